@@ -61,20 +61,29 @@ def _offsets(counts: DataFrame, group: Sequence[str], slices: Sequence[str]) ->
     )
 
 
-def rank_in_order(
-    df: DataFrame, group: Sequence[str], slices: Sequence[str], order: Sequence[str], out: str
+def running_total(
+    df: DataFrame, group: Sequence[str], slices: Sequence[str], order: Sequence[str], weight: Column, out: str
 ) -> DataFrame:
-    """Add ``out``: the 1-based position of the row within its ordered group, exact and without gaps."""
+    """Add ``out``: the sum of ``weight`` over the row and all rows before it in its ordered group."""
     keys = [*group, *slices]
-    ranked = df.withColumn("__pos", F.row_number().over(window_over(keys, order)).cast("long"))
-    offsets = _offsets(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), group, slices)
+    weighted = df.withColumn("__w", weight.cast("long"))
+    upto = window_over(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = weighted.withColumn("__pos", F.sum("__w").over(upto))
+    offsets = _offsets(weighted.groupBy(*keys).agg(F.sum("__w").alias("__n")), group, slices)
     return (
-        join_on(ranked, offsets, keys)
+        join_on(inside, offsets, keys)
         .withColumn(out, F.col("__pos") + F.col("__offset"))
-        .drop("__pos", "__offset")
+        .drop("__w", "__pos", "__offset")
     )
 
 
+def rank_in_order(
+    df: DataFrame, group: Sequence[str], slices: Sequence[str], order: Sequence[str], out: str
+) -> DataFrame:
+    """Add ``out``: the 1-based position of the row within its ordered group, exact and without gaps."""
+    return running_total(df, group, slices, order, F.lit(1), out)
+
+
 def hash_slice(hash_column: str, bits: int = 12) -> Column:
     """Order-preserving slice of a signed 64-bit hash: its top ``bits`` bits."""
     return F.shiftright(F.col(hash_column), 64 - bits)

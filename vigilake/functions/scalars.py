@@ -16,7 +16,7 @@ def lookup(value: Column, table: Mapping[str, str], default: str | None = None)
     return F.coalesce(F.try_element_at(F.create_map(*pairs), value), F.lit(default))
 
 
-def first_match(cases: list[tuple[Column, str]], default: str) -> Column:
+def first_match(cases: list[tuple[Column, str | Column]], default: str | Column) -> Column:
     """The result of the first condition that holds."""
     chosen = None
     for condition, result in cases:

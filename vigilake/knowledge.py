@@ -244,8 +244,6 @@ DEFAULT_ENTITIES = [
 ]
 SERIES_MINUTES = 24
 EMPTY_DISTRIBUTION = ("Clean (No Attacks)", 1)
-DISTRIBUTION_COLORS = ["#ff1744", "#ffc107", "#7c4dff", "#448aff", "#00e676", "#00bcd4", "#5a6580"]
-EMPTY_COLOR = "#00e676"
 NO_RESPONSE_DETAILS = "Automated action taken based on risk level"
 
 # (stage name, abbreviation, keyword looked for in the predicted tactic), in display order
