@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilake import knowledge as kb
@@ -182,10 +182,18 @@ def risk_of_stage(deepest: Column) -> Column:
     return S.first_match([(deepest >= low, risk) for low, risk in kb.STAGE_RISK], "LOW")
 
 
-def assess(evidence: DataFrame, top: int = 3) -> DataFrame:
+def all_pattern_predictions(spark: SparkSession) -> DataFrame:
+    """Ranked predictions of all 512 evidence patterns without negative evidence, e.g. to join to a stream."""
+    patterns = spark.range(2**STAGE_COUNT).select(
+        F.col("id").cast("int").alias("seen_mask"), F.col("id").cast("int").alias("value_mask")
+    )
+    return ranked_predictions(patterns)
+
+
+def assess(evidence: DataFrame, top: int = 3, by_pattern: DataFrame | None = None) -> DataFrame:
     """Progression, risk level, the ``top`` most probable next stages and the recommended action per entity."""
     deepest = deepest_stage(F.col("value_mask"))
-    attached = _attach(evidence, ranked_predictions(evidence), "left")
+    attached = _attach(evidence, ranked_predictions(evidence) if by_pattern is None else by_pattern, "left")
     progression = F.concat((F.col("deepest_idx") + 1).cast("string"), F.lit(f"/{STAGE_COUNT} stages"))
     nothing = F.array().cast("array<struct<stage:string,probability:double>>")
     return attached.withColumn("deepest_idx", deepest).withColumn("risk_level", risk_of_stage(F.col("deepest_idx"))).select(

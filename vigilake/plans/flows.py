@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilake import knowledge as kb
-from vigilake.functions import scalars as S
 from vigilake.operators import alerts, anomaly, classify, cleaning, features, threat
 from vigilake.operators.balancing import smote
 from vigilake.operators.classes import distribution_change
@@ -70,19 +69,3 @@ def detect_and_respond(events: DataFrame, labelled: DataFrame, columns: Sequence
     assessed = threat.assess(windowed_evidence(events, window_seconds))
     built = alerts.build_alerts(predicted, scored, assessed)
     return alerts.respond(built, threshold)
-
-
-def window_labels(matrix: DataFrame) -> DataFrame:
-    """A plain behavioural label per feature row, for training where none is supplied.
-
-    Escapes and escalations count as lateral movement, shells as exfiltration, wide port use as ddos.
-    """
-    label = S.first_match(
-        [
-            (F.col("has_escape_attempt") + F.col("has_privilege_esc") > 1, "lateral_movement"),
-            (F.col("has_shell_exec") == 1, "exfiltration"),
-            (F.col("port_entropy") > 2.0, "ddos"),
-        ],
-        "benign",
-    )
-    return matrix.withColumn("label", label)
