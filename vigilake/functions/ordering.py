@@ -32,17 +32,17 @@ def lag_in_order(
     ``order`` are ascending columns, unique within a group.
     """
     keys = [*group, *slices]
+    depth = len(slices)
+    prev, tail, edge = f"__prev{depth}", f"__tail{depth}", f"__edge{depth}"
     boxed = F.struct(F.col(value).alias("v"))  # a null value stays apart from "no preceding row"
-    within = df.withColumn("__prev", F.lag(boxed).over(window_over(keys, order)))
+    within = df.withColumn(prev, F.lag(boxed).over(window_over(keys, order)))
     if not slices:
-        return within.withColumn(out, F.col("__prev.v")).drop("__prev")
-    tails = df.groupBy(*keys).agg(F.max_by(boxed, F.struct(*order)).alias("__tail"))
-    heads = lag_in_order(tails, group, slices[:-1], [slices[-1]], "__tail", "__before").select(*keys, "__before")
-    return (
-        join_on(within, heads, keys)
-        .withColumn(out, F.coalesce("__prev", "__before")["v"])
-        .drop("__prev", "__before")
-    )
+        return within.withColumn(out, F.col(prev)["v"]).drop(prev)
+    # one row per slice: its last value, handed on to the next slice of the group
+    tails = df.groupBy(*keys).agg(F.max_by(F.col(value), F.struct(*order)).alias(tail))
+    heads = lag_in_order(tails, group, slices[:-1], [slices[-1]], tail, edge).select(*keys, edge)
+    own = F.when(F.col(prev).isNotNull(), F.col(prev)["v"]).otherwise(F.col(edge))
+    return join_on(within, heads, keys).withColumn(out, own).drop(prev, edge)
 
 
 def _offsets(counts: DataFrame, group: Sequence[str], slices: Sequence[str]) -> DataFrame:

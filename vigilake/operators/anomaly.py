@@ -11,12 +11,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.functions import scalars as S
 from vigilake.functions.quantiles import exact_percentile
-from vigilake.operators.scaling import Components, Scaler, fit_components, fit_scaler
 
 LATENT_WIDTH = 32
 VALIDATION_FRACTION = 0.15
@@ -25,37 +27,31 @@ PERCENTILE = 95.0
 
 @dataclass(frozen=True)
 class Reconstruction:
-    scaler: Scaler
-    components: Components
+    """A fitted assembler, standard scaler and projection; saved and loaded like any pipeline model."""
 
-    @property
-    def columns(self) -> list[str]:
-        return self.scaler.columns
+    model: PipelineModel
 
     def score(self, df: DataFrame, out: str = "anomaly_score") -> DataFrame:
         """Add the mean squared reconstruction error of each row."""
-        names = [f"__x{i}" for i in range(len(self.columns))]
-        copied = df.withColumns({n: F.col(c).cast("double") for n, c in zip(names, self.columns)})
-        inner = Scaler(names, self.scaler.shift, self.scaler.width, self.scaler.span, self.scaler.base)
-        projected = self.components.vectors(inner.transform(copied), "__y")
 
-        def squares(values):
-            return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v * v)
+        def squares(vector: str):
+            return F.aggregate(vector_to_array(vector), F.lit(0.0), lambda acc, v: acc + v * v)
 
-        full = squares(F.array(*names))
-        residual = F.greatest(F.lit(0.0), (full - squares(F.col("__y"))) / F.lit(float(len(names))))
-        return projected.withColumn(out, residual).drop("__y", *names)
+        width = F.lit(float(len(self.model.stages[0].getInputCols())))
+        residual = F.greatest(F.lit(0.0), (squares("__x") - squares("__y")) / width)
+        return self.model.transform(df).withColumn(out, residual).drop("__raw", "__x", "__y")
 
 
 def fit_reconstruction(benign: DataFrame, columns: Sequence[str], width: int | None = None) -> Reconstruction:
     """Fit on benign rows. ``width`` is the latent size (32, but always below the number of columns)."""
     columns = list(columns)
     width = min(width or LATENT_WIDTH, max(1, len(columns) - 1))
-    scaler = fit_scaler(benign, columns, "zscore")
-    names = [f"__x{i}" for i in range(len(columns))]
-    renamed = benign.select(*[F.col(c).cast("double").alias(n) for n, c in zip(names, columns)])
-    inner = Scaler(names, scaler.shift, scaler.width)
-    return Reconstruction(scaler, fit_components(inner.transform(renamed), names, n_components=width))
+    stages = Pipeline(stages=[
+        VectorAssembler(inputCols=columns, outputCol="__raw"),
+        StandardScaler(withMean=True, withStd=True, inputCol="__raw", outputCol="__x"),
+        PCA(k=width, inputCol="__x", outputCol="__y"),
+    ])
+    return Reconstruction(stages.fit(benign.select(*columns)))
 
 
 def split_validation(df: DataFrame, row_id: str = "id", fraction: float = VALIDATION_FRACTION, seed: int = 42) -> DataFrame:

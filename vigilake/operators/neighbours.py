@@ -115,7 +115,9 @@ def nearest_neighbours(df: DataFrame, columns: Sequence[str], label: str, k: int
         return pd.DataFrame({"label": queries["label"], "point_id": queries["point_id"], "neighbours": result})
 
     key = ["label", "target", "origin"]
-    second = requests.groupBy(*key).cogroup(candidates.groupBy(*key)).applyInPandas(
+    queries = requests.toDF(*requests.columns)  # fresh column identities on either side of the cogroup
+    blocks = candidates.toDF(*candidates.columns)
+    second = queries.groupBy(*key).cogroup(blocks.groupBy(*key)).applyInPandas(
         across, f"label {label_type}, point_id bigint, neighbours {NEIGHBOUR}"
     )
     found = first.select("label", "point_id", "neighbours").unionByName(second)

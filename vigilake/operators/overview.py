@@ -120,10 +120,15 @@ def attack_distribution(alerts: DataFrame) -> DataFrame:
 
 def minute_series(alerts: DataFrame, now: Column, minutes: int = kb.SERIES_MINUTES) -> DataFrame:
     """Alerts and high anomaly scores per minute for the last minutes, zero-filled."""
-    last = F.date_trunc("minute", now)
+    kind = alerts.schema["timestamp"].dataType
+
+    def minute_of(time: Column) -> Column:
+        return F.date_trunc("minute", time).cast(kind)
+
+    last = minute_of(now)
     first = last - F.expr(f"interval {minutes - 1} minutes")
     in_range = alerts.filter((F.col("timestamp") >= first) & (F.col("timestamp") < last + F.expr("interval 1 minute")))
-    counts = in_range.groupBy(F.date_trunc("minute", F.col("timestamp")).alias("minute")).agg(
+    counts = in_range.groupBy(minute_of(F.col("timestamp")).alias("minute")).agg(
         F.count(F.lit(1)).alias("attacks"),
         F.count_if(F.col("anomaly_score") > kb.ANOMALY_CUTOFF).alias("anomalies"),
     )

@@ -1 +1,216 @@
+"""Reduction and balancing (F4-F7), classification (G1-G11), anomaly scores (G12-G15) and alert building (I13)."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vigilake.operators import anomaly as A
+from vigilake.operators import classes as L
+from vigilake.operators import classify as G
+from vigilake.operators import features as X
+from vigilake.operators.balancing import smote
+from vigilake.operators.scaling import apply_pca
+from vigilake.plans.flows import balance_features, detect_and_respond
+from vigilake.session import staging_path
+from vigilake.sources import sinks
+from vigilake.workload import fixtures as fx
+from vigilake.workload.feature_queries import W, fx_events
+from vigilake.workload.fixtures import r6, sql_r6
+from vigilake.workload.registry import query
+
+COLUMNS = fx.vector_columns()
+SEED = 42
+# forest size of the registered runs; the library default is 200 trees without a depth limit
+TREES, DEPTH = 40, 10
+
+VECTORS_SQL = """
+v as (select vec_id as id, case when label = 0 then 'benign' else concat('attack_', cast(label as varchar)) end as label from embeddings)"""
+SIZES_SQL = f"{VECTORS_SQL}, c as (select label, count(*) as n from v group by label), top as (select max(n) as most from c)"
+
+
+# --- F ------------------------------------------------------------------------------------
+@query("f04_principal_components")
+def f04_principal_components(spark, sf_dir):
+    reduced, _ = apply_pca(fx.vectors(spark, sf_dir), COLUMNS, n_components=8)
+    return reduced
+
+
+@query("f04_explained_variance")
+def f04_explained_variance(spark, sf_dir):
+    _, components = apply_pca(fx.vectors(spark, sf_dir), COLUMNS, variance_threshold=0.95)
+    ratios = components.analysis()["explained_variance_ratio"]
+    return spark.createDataFrame([(i + 1, r) for i, r in enumerate(ratios)], "component int, explained double")
+
+
+@query("f05_oversampled_counts", f"""
+with {SIZES_SQL}
+select label, false as is_synthetic, n from c
+union all select label, true, most - n from c, top where most > n""")
+def f05_oversampled_counts(spark, sf_dir):
+    resampled = smote(fx.vectors(spark, sf_dir), COLUMNS)
+    return resampled.groupBy("label", "is_synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("f06_distribution_change", f"""
+with {SIZES_SQL} select label, n as samples_before, most as samples_after, most - n as synthetic_created from c, top""")
+def f06_distribution_change(spark, sf_dir):
+    before = fx.vectors(spark, sf_dir)
+    return L.distribution_change(before, smote(before, COLUMNS))
+
+
+@query("f07_balanced_components")
+def f07_balanced_components(spark, sf_dir):
+    balanced, _ = balance_features(fx.vectors(spark, sf_dir), COLUMNS, n_components=8)
+    return balanced
+
+
+# --- G: classification --------------------------------------------------------------------
+@query("g01_label_codes", f"""
+with {VECTORS_SQL} select id, label, cast(dense_rank() over (order by label) - 1 as double) as label_index from v""")
+def g01_label_codes(spark, sf_dir):
+    encoded, _ = G.encode_labels(fx.vectors(spark, sf_dir).select("id", "label"))
+    return encoded
+
+
+@query("g02_stratified_split", f"""
+with {SIZES_SQL} select label, cast(ceil(n * 0.2) as bigint) as test_rows, n - cast(ceil(n * 0.2) as bigint) as train_rows from c""")
+def g02_stratified_split(spark, sf_dir):
+    split = L.stratified_split(fx.vectors(spark, sf_dir).select("id", "label"))
+    return split.groupBy("label").agg(F.count_if("is_test").alias("test_rows"), F.count_if(~F.col("is_test")).alias("train_rows"))
+
+
+@query("g03_class_weights", f"""
+with {SIZES_SQL}, t as (select sum(n) as total, count(*) as classes from c)
+select id, label, {sql_r6("total / (classes * n)", "weight")} from v join c using (label), t""")
+def g03_class_weights(spark, sf_dir):
+    weighted = L.balanced_weights(fx.vectors(spark, sf_dir).select("id", "label"))
+    return weighted.select("id", "label", r6("weight"))
+
+
+@query("g04_forest_predictions")
+def g04_forest_predictions(spark, sf_dir):
+    split = L.stratified_split(fx.vectors(spark, sf_dir))
+    model, labels = G.fit_forest(split.filter(~F.col("is_test")), COLUMNS, n_trees=TREES, max_depth=DEPTH)
+    predicted = G.predict_threats(model, split.filter("is_test"), labels)
+    return predicted.select("id", "label", "predicted_label", "confidence", "probabilities")
+
+
+CONFUSION_SQL = f"p as ({fx.PREDICTIONS_SQL}), cc as (select label, prediction, count(*) as n from p group by all)"
+REPORT_SQL = f"""
+{CONFUSION_SQL},
+cls as (select label as class from p union select prediction from p),
+r0 as (select class, coalesce((select sum(n) from cc where label = class), 0) as support,
+         coalesce((select sum(n) from cc where prediction = class), 0) as predicted,
+         coalesce((select sum(n) from cc where label = class and prediction = class), 0) as hits from cls),
+rep as (select class, cast(support as bigint) as support, cast(hits as bigint) as hits,
+          case when predicted = 0 then 0 else hits / predicted end as precision_,
+          case when support = 0 then 0 else hits / support end as recall_,
+          case when support + predicted = 0 then 0 else 2 * hits / (support + predicted) end as f1 from r0)"""
+
+
+@query("g05_overall_metrics", f"""
+with {REPORT_SQL}, o as (select sum(hits) / sum(support) as accuracy, avg(precision_) as precision_macro, avg(recall_) as recall_macro,
+  avg(f1) as f1_macro, sum(precision_ * support) / sum(support) as precision_weighted,
+  sum(recall_ * support) / sum(support) as recall_weighted, sum(f1 * support) / sum(support) as f1_weighted,
+  cast(sum(support) as bigint) as support from rep)
+select support, {", ".join(sql_r6(c) for c in ["accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_weighted",
+                                                "recall_weighted", "f1_weighted"])} from o""")
+def g05_overall_metrics(spark, sf_dir):
+    metrics = G.overall_metrics(G.class_report(fx.predictions(spark, sf_dir)))
+    return metrics.select("support", *[r6(c) for c in metrics.columns if c != "support"])
+
+
+@query("g06_confusion_matrix", f"""
+with {CONFUSION_SQL}, cls as (select label as class from p union select prediction from p)
+select a.class as label, b.class as prediction, coalesce(n, 0) as n
+from cls a cross join cls b left join cc on cc.label = a.class and cc.prediction = b.class""")
+def g06_confusion_matrix(spark, sf_dir):
+    return G.confusion_matrix(fx.predictions(spark, sf_dir))
+
+
+@query("g07_class_report", f"""
+with {REPORT_SQL} select class, {sql_r6("precision_", "precision")}, {sql_r6("recall_", "recall")}, {sql_r6("f1")}, support from rep""")
+def g07_class_report(spark, sf_dir):
+    report = G.class_report(fx.predictions(spark, sf_dir))
+    return report.select("class", r6("precision"), r6("recall"), r6("f1"), "support")
+
+
+@query("g08_fold_sizes", f"""
+with {SIZES_SQL} select label, cast(f.fold as int) as fold, n // 5 + cast(f.fold < n % 5 as bigint) as n
+from c, (select range as fold from range(5)) f where n // 5 + cast(f.fold < n % 5 as bigint) > 0""")
+def g08_fold_sizes(spark, sf_dir):
+    folds = L.stratified_folds(fx.vectors(spark, sf_dir).select("id", "label"))
+    return folds.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("g08_cross_validation")
+def g08_cross_validation(spark, sf_dir):
+    return G.cross_validate(fx.vectors(spark, sf_dir), COLUMNS, n_trees=10, max_depth=6)
+
+
+@query("g09_feature_importance")
+def g09_feature_importance(spark, sf_dir):
+    model, _ = G.fit_forest(fx.vectors(spark, sf_dir), COLUMNS, n_trees=TREES, max_depth=DEPTH)
+    return G.top_features(model, COLUMNS, spark)
+
+
+@query("g11_reloaded_model")
+def g11_reloaded_model(spark, sf_dir):
+    """Predictions of a forest that went through storage (A8)."""
+    rows = fx.vectors(spark, sf_dir)
+    model, labels = G.fit_forest(rows, COLUMNS, n_trees=10, max_depth=6)
+    path = staging_path(spark, "forest")
+    sinks.save_model(model, path, {"labels": labels, "columns": COLUMNS})
+    loaded, metadata = sinks.load_model(spark, path)
+    return G.predict_threats(loaded, rows, metadata["labels"]).select("id", "label", "predicted_label", "confidence")
+
+
+# --- G: anomalies -------------------------------------------------------------------------
+@query("g12_anomaly_scores")
+def g12_anomaly_scores(spark, sf_dir):
+    rows = fx.vectors(spark, sf_dir)
+    detector = A.train_detector(rows, COLUMNS, label="label")
+    flagged = A.detect_anomalies(detector["model"].score(rows), detector["threshold"])
+    return flagged.select("id", "label", "anomaly_score", "is_anomaly")
+
+
+@query("g13_threshold", f"select {sql_r6('quantile_cont(score, 0.95)', 'threshold')} from ({fx.PREDICTIONS_SQL}) p")
+def g13_threshold(spark, sf_dir):
+    threshold = A.determine_threshold(fx.predictions(spark, sf_dir), 95.0, "score")
+    return spark.createDataFrame([(threshold,)], "t double").select(r6("t", "threshold"))
+
+
+@query("g14_flagged_rate", f"""
+with p as ({fx.PREDICTIONS_SQL}), q as (select quantile_cont(score, 0.95) as t from p)
+select count(*) as total, count(case when score > t then 1 end) as anomalies,
+  {sql_r6("count(case when score > t then 1 end) / count(*)", "rate")} from p, q""")
+def g14_flagged_rate(spark, sf_dir):
+    rows = fx.predictions(spark, sf_dir)
+    flagged = A.detect_anomalies(rows, A.determine_threshold(rows, 95.0, "score"), "score")
+    return A.anomaly_rate(flagged).select("total", "anomalies", r6("rate"))
+
+
+@query("g15_split_errors")
+def g15_split_errors(spark, sf_dir):
+    return A.train_detector(fx.vectors(spark, sf_dir), COLUMNS, label="label")["errors"]
+
+
+# --- I13: from detections to alerts -------------------------------------------------------
+def training_rows(spark, sf_dir) -> DataFrame:
+    """Feature rows with an id and a label read off their flags."""
+    matrix = X.feature_matrix(fx_events(spark, sf_dir), W)
+    label = (
+        F.when(F.col("has_escape_attempt") + F.col("has_privilege_esc") > 1, "lateral_movement")
+        .when(F.col("severity_mean") > 1.0, "exfiltration").when(F.col("port_entropy") > 2.5, "ddos").otherwise("benign")
+    )
+    return matrix.withColumns({"label": label, "id": F.xxhash64("pod", "window_start")})
+
+
+@query("i13_alerts_from_detections")
+def i13_alerts_from_detections(spark, sf_dir):
+    events = fx_events(spark, sf_dir).withColumn("namespace", F.lit("prod"))
+    columns = [*X.TEMPORAL, *X.TRAFFIC, *X.SYSCALL, *X.BEHAVIOUR]
+    planned = detect_and_respond(events, training_rows(spark, sf_dir), columns, W, {"n_trees": 10, "max_depth": 6})
+    return planned.select("alert_id", "pod", "namespace", "threat_type", "confidence_score", "risk_level", "mitre_technique",
+                          "predicted_next_stage", "anomaly_score", "received_at", "status", F.size("actions").alias("action_count"))
