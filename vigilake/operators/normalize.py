@@ -19,11 +19,12 @@ def parse_json_lines(lines: DataFrame, schema: str) -> DataFrame:
 
     The original text stays in ``value``.
     """
-    text = F.trim(F.col("value"))
     full = f"{schema}, {schemas.CORRUPT} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
-    parsed = lines.select("value", F.from_json(text, full, options).alias("line"))
-    return parsed.filter(F.col("value").rlike(r"^\s*\{") & F.col(f"line.{schemas.CORRUPT}").isNull())
+    objects = lines.filter(F.col("value").rlike(r"^\s*\{"))
+    parsed = F.array(F.from_json(F.trim("value"), full, options))
+    # a generator and not a filter: a filter on the parsed line would be pushed down and parse every line twice
+    return objects.select("value", F.explode(F.filter(parsed, lambda p: p[schemas.CORRUPT].isNull())).alias("line"))
 
 
 def event_id(source: str) -> Column:

@@ -9,7 +9,8 @@ from vigilake.functions import scalars as S
 from vigilake.operators import cleaning as C
 from vigilake.operators import normalize as N
 from vigilake.operators.detection import detect
-from vigilake.sources.telemetry import line_tally, parse_unified
+from vigilake.session import staging_path
+from vigilake.sources.telemetry import line_tally, parse_unified, read_lines
 from vigilake.workload import fixtures as fx
 from vigilake.workload.registry import query
 
@@ -32,6 +33,13 @@ def _sql_pick(cases: dict[int, str | None], key: str) -> str:
     return f"case {key} " + " ".join(f"when {i} then '{v}'" for i, v in cases.items()) + " end"
 
 
+def as_text(lines: DataFrame, name: str) -> DataFrame:
+    """The lines written to text files and read back, so that parsing starts from files as it does in use."""
+    path = staging_path(lines.sparkSession, name)
+    lines.select("value").write.text(path)
+    return read_lines(lines.sparkSession, path)
+
+
 # --- A: unified NDJSON --------------------------------------------------------------------
 def unified_lines(spark, sf_dir) -> DataFrame:
     """Unified events as JSON lines; some lines are broken, some blank, some have no network part."""
@@ -57,7 +65,7 @@ select cast(count(case when event_id % 17 <> 0 and event_id % 19 <> 0 then 1 end
        cast(count(case when event_id % 17 = 0 then 1 end) as bigint) as malformed,
        cast(count(case when event_id % 17 <> 0 and event_id % 19 = 0 then 1 end) as bigint) as blank from events""")
 def a01_line_tally(spark, sf_dir):
-    return line_tally(unified_lines(spark, sf_dir))
+    return line_tally(as_text(unified_lines(spark, sf_dir), "unified"))
 
 
 @query("a02_flatten_network", f"""
@@ -67,7 +75,7 @@ select event_id, case when net_dst_port > 0 and net_dst_ip <> '10.244.0.3' then
        '' as net_src_ip, '0' as net_src_port, 'unknown' as net_protocol
 from ({fx.TELEMETRY_SQL}) t where {KEPT}""")
 def a02_flatten_network(spark, sf_dir):
-    return parse_unified(unified_lines(spark, sf_dir)).select(
+    return parse_unified(as_text(unified_lines(spark, sf_dir), "unified")).select(
         "event_id", "net_dst_ip", "net_dst_port", "net_src_ip", "net_src_port", "net_protocol")
 
 
@@ -136,7 +144,7 @@ def flat(unified: DataFrame) -> DataFrame:
 
 @query("b01_falco_unified", FALCO_EXPECTED)
 def b01_falco_unified(spark, sf_dir):
-    return flat(N.unify(falco_lines(spark, sf_dir), "falco"))
+    return flat(N.unify(as_text(falco_lines(spark, sf_dir), "falco"), "falco"))
 
 
 @query("b02_priority_severity", f"""
@@ -173,7 +181,7 @@ select concat('pod-', cast(user_id as varchar)) as pod, count(*) as connections,
        count(distinct case when k % 3 = 0 then concat('10.1.0.', cast(k as varchar)) else '' end) as targets
 from {EVENTS_SQL} where {FALCO_HAS_NETWORK} group by user_id""")
 def b05_falco_network(spark, sf_dir):
-    unified = N.unify(falco_lines(spark, sf_dir), "falco").filter(F.col("network_metadata").isNotNull())
+    unified = N.unify(as_text(falco_lines(spark, sf_dir), "falco"), "falco").filter(F.col("network_metadata").isNotNull())
     return unified.groupBy("pod").agg(F.count(F.lit(1)).alias("connections"),
                                       F.countDistinct("network_metadata.dst_ip").alias("targets"))
 
@@ -221,7 +229,7 @@ select {ISO_SQL} as timestamp, 'kubearmor' as source,
   cast(null as varchar) as mitre_technique
 from {EVENTS_SQL}""")
 def b06_kubearmor_unified(spark, sf_dir):
-    return flat(N.unify(kubearmor_lines(spark, sf_dir), "kubearmor"))
+    return flat(N.unify(as_text(kubearmor_lines(spark, sf_dir), "kubearmor"), "kubearmor"))
 
 
 @query("b07_numeric_severity", f"select event_id, {ARMOR_SEVERITY} as severity from {EVENTS_SQL}")
@@ -240,7 +248,7 @@ def b08_network_resource(spark, sf_dir):
 
 @query("b09_content_ids", "select cast(count(*) as bigint) as lines, cast(count(distinct event_id) as bigint) as ids from events")
 def b09_content_ids(spark, sf_dir):
-    lines = falco_lines(spark, sf_dir)
+    lines = as_text(falco_lines(spark, sf_dir), "falco")
     replayed = N.unify(lines.unionByName(lines), "falco")
     return replayed.groupBy("event_id").agg(F.count(F.lit(1)).alias("copies")).agg(
         (F.sum("copies") / 2).cast("bigint").alias("lines"), F.count(F.lit(1)).alias("ids"))
@@ -254,7 +262,7 @@ def b10_missing_event_time(spark, sf_dir):
     lines = _events(spark, sf_dir).select(
         F.to_json(F.struct(time.alias("time"), F.lit("x").alias("rule"))).alias("value"))
     recent = F.try_to_timestamp(F.col("timestamp")) > F.lit("2025-01-01").cast("timestamp")
-    return N.unify(lines, "falco").agg(F.count_if(recent).alias("from_clock"), F.count_if(~recent).alias("from_sensor"))
+    return N.unify(as_text(lines, "untimed"), "falco").agg(F.count_if(recent).alias("from_clock"), F.count_if(~recent).alias("from_sensor"))
 
 
 def _detected(rule: str, priority: str, tag: str, condition: str) -> str:
