@@ -68,3 +68,11 @@ def test_percentile_equals_numpy(spark, fraction):
 
 def test_percentile_of_nothing(spark):
     assert exact_percentile(spark.createDataFrame([], "v double"), "v", 0.5) is None
+
+
+@pytest.mark.parametrize("fraction", [0.1, 0.5, 0.951])
+def test_percentile_in_several_passes(spark, fraction):
+    values = [float(v % 997) for v in range(20_000)] + [500.0] * 8_000
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    found = exact_percentile(df, "v", fraction, bracket_rows=10)
+    assert found == pytest.approx(np.percentile(values, fraction * 100), rel=1e-12)

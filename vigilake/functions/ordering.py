@@ -84,6 +84,11 @@ def rank_in_order(
     return running_total(df, group, slices, order, F.lit(1), out)
 
 
+def slice_bits(rows: int, rows_per_slice: int = 1_000_000) -> int:
+    """Hash bits that cut this many rows into slices of about ``rows_per_slice`` (at least 16 slices)."""
+    return min(24, max(4, (rows // rows_per_slice).bit_length()))
+
+
 def hash_slice(hash_column: str, bits: int = 12) -> Column:
     """Order-preserving slice of a signed 64-bit hash: its top ``bits`` bits."""
     return F.shiftright(F.col(hash_column), 64 - bits)

@@ -8,42 +8,49 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
+# values that may be ordered in one task once the bracket is small enough
+BRACKET_ROWS = 1_000_000
 
 
-def exact_percentile(df: DataFrame, column: str, fraction: float) -> float | None:
+def exact_percentile(df: DataFrame, column: str, fraction: float, bracket_rows: int = BRACKET_ROWS) -> float | None:
     """Percentile with linear interpolation between the two nearest ranks.
 
-    Spark's exact aggregate keeps every distinct value in one buffer. Here a sketch first brackets the wanted
-    rank (a few parts in 10 000 of the rows); only the values inside the bracket are counted and ordered.
+    Spark's exact aggregate keeps every distinct value in one buffer. Here sketches narrow a bracket around the wanted
+    rank, each pass by a factor of about a thousand, until few enough values are left to be ordered.
     """
     values = df.select(F.col(column).alias("v")).filter("v IS NOT NULL")
+    low, high, size = values.agg(F.min("v"), F.max("v"), F.count(F.lit(1))).first()
+    if not size:
+        return None
+    rank = (size - 1) * fraction
+    first, second, before = math.floor(rank), math.ceil(rank), 0
+    while size > bracket_rows and low < high:
+        narrowed = _narrow(values.filter(F.col("v").between(low, high)), size, first - before, second - before)
+        if narrowed is None:
+            break
+        low, high, below, size = narrowed
+        before += below
+    a, b = _values_at(values.filter(F.col("v").between(low, high)), first - before, second - before)
+    return a + (b - a) * (rank - first)
+
+
+def _narrow(inside: DataFrame, size: int, first: int, second: int) -> tuple[float, float, int, int] | None:
+    """A smaller bracket that still holds both ranks, the rows below it and its size; None if there is none."""
     margin = 4.0 / ACCURACY
-    low_p, high_p = max(0.0, fraction - margin), min(1.0, fraction + margin)
-    sketch = values.agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max"),
-        F.percentile_approx("v", F.array(F.lit(low_p), F.lit(high_p)), ACCURACY).alias("q"),
-    ).first()
-    if not sketch["n"]:
+    low_p, high_p = max(0.0, first / size - margin), min(1.0, second / size + margin)
+    low, high = inside.agg(
+        F.percentile_approx("v", F.array(F.lit(low_p), F.lit(high_p)), ACCURACY).alias("q")
+    ).first()["q"]
+    below, kept = inside.agg(F.count_if(F.col("v") < low), F.count_if(F.col("v").between(low, high))).first()
+    if kept >= size or below > first or below + kept <= second:
         return None
-    rank = (sketch["n"] - 1) * fraction
-    below_rank, above_rank = math.floor(rank), math.ceil(rank)
-    found = _values_at(values, sketch["q"][0], sketch["q"][1], below_rank, above_rank)
-    if found is None:  # the sketch missed: take the whole range as the bracket
-        found = _values_at(values, sketch["min"], sketch["max"], below_rank, above_rank)
-    low, high = found
-    return low + (high - low) * (rank - below_rank)
-
-
-def _values_at(values: DataFrame, low: float, high: float, first: int, second: int) -> tuple[float, float] | None:
-    """Values at the 0-based ranks ``first`` and ``second`` if both lie within [low, high]."""
-    before = values.filter(F.col("v") < low).count()
-    counts = values.filter(F.col("v").between(low, high)).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    return low, high, below, kept
+
+
+def _values_at(inside: DataFrame, first: int, second: int) -> tuple[float, float]:
+    """Values at two 0-based ranks; equal values are merged before they are ordered."""
+    counts = inside.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cumulated = counts.withColumn("until", F.sum("n").over(upto) + before)
-    row = cumulated.agg(
-        F.min(F.when(F.col("until") > first, F.col("v"))).alias("a"),
-        F.min(F.when(F.col("until") > second, F.col("v"))).alias("b"),
+    return counts.withColumn("until", F.sum("n").over(upto)).agg(
+        F.min(F.when(F.col("until") > first, F.col("v"))), F.min(F.when(F.col("until") > second, F.col("v")))
     ).first()
-    if before > first or row["a"] is None or row["b"] is None:
-        return None
-    return row["a"], row["b"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.functions import scalars as S
-from vigilake.functions.ordering import hash_slice, running_total
+from vigilake.functions.ordering import hash_slice, running_total, slice_bits
 from vigilake.operators.classes import by_class, class_counts
 from vigilake.operators.neighbours import nearest_neighbours
 
@@ -40,7 +40,8 @@ def synthetic_rows(df: DataFrame, columns: Sequence[str], label: str = "label",
     targets = F.when(F.size(slots) > 0, slots).otherwise(F.array("vector"))
 
     # cumulative rounding in hash order: the shares of a class add up to exactly its missing rows
-    hashed = points.withColumn("__hash", F.xxhash64(F.lit(seed), "vector")).withColumn("__slice", hash_slice("__hash"))
+    bits = slice_bits(max(counts[name] for name in need))
+    hashed = points.withColumn("__hash", F.xxhash64(F.lit(seed), "vector")).withColumn("__slice", hash_slice("__hash", bits))
     cumulated = running_total(hashed, ["label"], ["__slice"], ["__hash", "point_id"], F.col("copies"), "__until")
     missing, size = by_class(need, F.col("label")), by_class(counts, F.col("label"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilake.functions.ordering import hash_slice, rank_in_order
+from vigilake.functions.ordering import hash_slice, rank_in_order, slice_bits
 
 MAX_CLASSES = 10_000
 
@@ -32,10 +32,10 @@ def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -
     return df.withColumn(out, by_class(weights, F.col(label)))
 
 
-def _class_rank(df: DataFrame, label: str, row_id: str, seed: int) -> DataFrame:
+def _class_rank(df: DataFrame, label: str, row_id: str, seed: int, counts: dict) -> DataFrame:
     """``__rank``: 1-based position of the row within its class in seeded hash order."""
     hashed = df.withColumn("__hash", F.xxhash64(F.lit(seed), F.col(row_id)))
-    hashed = hashed.withColumn("__slice", hash_slice("__hash"))
+    hashed = hashed.withColumn("__slice", hash_slice("__hash", slice_bits(max(counts.values(), default=0))))
     return rank_in_order(hashed, [label], ["__slice"], ["__hash", row_id], "__rank").drop("__hash", "__slice")
 
 
@@ -43,7 +43,7 @@ def stratified_split(df: DataFrame, label: str = "label", row_id: str = "id", te
                      seed: int = 42) -> DataFrame:
     """Add ``is_test``: exactly ceil(fraction * n_c) rows of every class, the same rows on every run."""
     counts = class_counts(df, label)
-    ranked = _class_rank(df, label, row_id, seed)
+    ranked = _class_rank(df, label, row_id, seed, counts)
     quota = F.ceil(F.round(F.lit(test_fraction) * by_class(counts, F.col(label)), 9))
     return ranked.withColumn("is_test", F.col("__rank") <= quota).drop("__rank")
 
@@ -51,7 +51,7 @@ def stratified_split(df: DataFrame, label: str = "label", row_id: str = "id", te
 def stratified_folds(df: DataFrame, label: str = "label", row_id: str = "id", folds: int = 5,
                      seed: int = 42) -> DataFrame:
     """Add ``fold`` 0..folds-1; class shares differ by at most one row between folds."""
-    ranked = _class_rank(df, label, row_id, seed)
+    ranked = _class_rank(df, label, row_id, seed, class_counts(df, label))
     return ranked.withColumn("fold", ((F.col("__rank") - 1) % folds).cast("int")).drop("__rank")
 
 

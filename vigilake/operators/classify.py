@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.operators.classes import balanced_weights, class_counts, stratified_folds, stratified_split
+from vigilake.session import staged
 
 # MLlib's deepest tree; it stands for "unlimited"
 MAX_DEPTH = 30
@@ -129,7 +130,7 @@ def top_features(model: PipelineModel, columns: Sequence[str], spark, k: int = 1
 def cross_validate(df: DataFrame, columns: Sequence[str], label: str = "label", row_id: str = "id", folds: int = 5,
                    seed: int = 42, **options) -> DataFrame:
     """Macro F1 per fold; one fit per fold over the same exact stratified folds."""
-    assigned = stratified_folds(df.select(row_id, label, *columns), label, row_id, folds, seed)
+    assigned = staged(stratified_folds(df.select(row_id, label, *columns), label, row_id, folds, seed), "folds")
     result = None
     for fold in range(folds):
         model, labels = fit_forest(assigned.filter(F.col("fold") != fold), columns, label, seed=seed, **options)
@@ -151,7 +152,8 @@ def cross_validation_summary(scores: DataFrame) -> DataFrame:
 def train_and_evaluate(df: DataFrame, columns: Sequence[str], label: str = "label", row_id: str = "id",
                        test_fraction: float = 0.2, folds: int = 5, seed: int = 42, **options) -> dict:
     """Split, fit, evaluate and cross-validate; metric tables stay DataFrames."""
-    split = stratified_split(df.select(row_id, label, *columns), label, row_id, test_fraction, seed)
+    df = staged(df.select(row_id, label, *columns), "training")
+    split = stratified_split(df, label, row_id, test_fraction, seed)
     model, labels = fit_forest(split.filter(~F.col("is_test")), columns, label, seed=seed, **options)
     predicted = predict_threats(model, split.filter("is_test"), labels)
     report = class_report(predicted, label, "predicted_label")

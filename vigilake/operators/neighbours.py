@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.functions.ordering import hash_slice, rank_in_order
-from vigilake.session import staging_path
+from vigilake.session import staged
 
 QUERY_CHUNK = 256
+# slice bounds take some 24 bytes each; up to this many are broadcast, beyond it the join is left to shuffle
+BROADCAST_SLICES = 1_000_000
 NEIGHBOUR = "array<struct<distance:double,point_id:bigint,vector:array<double>,copies:bigint>>"
 
 
@@ -77,10 +79,7 @@ def _nearest(row: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 def nearest_neighbours(df: DataFrame, columns: Sequence[str], label: str, k: int, slice_rows: int = 4096) -> DataFrame:
     """Distinct points with ``neighbours``: their k nearest other points of the class, nearest first."""
-    spark = df.sparkSession
-    path = staging_path(spark, "points")
-    distinct_points(df, columns, label, slice_rows).write.parquet(path)
-    points = spark.read.parquet(path)
+    points = staged(distinct_points(df, columns, label, slice_rows), "points")
     label_type = points.schema["label"].dataType.simpleString()
 
     def within(block: pd.DataFrame) -> pd.DataFrame:
@@ -88,14 +87,9 @@ def nearest_neighbours(df: DataFrame, columns: Sequence[str], label: str, k: int
         return block.assign(neighbours=result)
 
     schema = f"label {label_type}, slice bigint, point_id bigint, axis double, vector array<double>, copies bigint"
-    first_path = staging_path(spark, "neighbours")
-    (
-        points.groupBy("label", "slice").applyInPandas(within, f"{schema}, neighbours {NEIGHBOUR}")
-        .withColumn("reach", F.when(F.size("neighbours") >= k, F.element_at("neighbours", -1)["distance"])
-                    .otherwise(F.lit(float("inf"))))
-        .write.parquet(first_path)
-    )
-    first = spark.read.parquet(first_path)
+    searched = points.groupBy("label", "slice").applyInPandas(within, f"{schema}, neighbours {NEIGHBOUR}")
+    reach = F.when(F.size("neighbours") >= k, F.element_at("neighbours", -1)["distance"]).otherwise(F.lit(float("inf")))
+    first = staged(searched.withColumn("reach", reach), "neighbours")
 
     # slice bounds: one row per slice_rows points, i.e. thousands of times smaller than the points
     bounds = points.groupBy("label", "slice").agg(F.min("axis").alias("low"), F.max("axis").alias("high"))
@@ -103,6 +97,8 @@ def nearest_neighbours(df: DataFrame, columns: Sequence[str], label: str, k: int
     reachable = F.filter("slices", lambda s: (s["slice"] != F.col("slice"))
                          & (s["high"] >= F.col("axis") - F.col("reach"))
                          & (s["low"] <= F.col("axis") + F.col("reach")))
+    if bounds.count() <= BROADCAST_SLICES:
+        per_class = F.broadcast(per_class)
     requests = first.join(per_class, "label").select(
         "label", "point_id", "vector", "reach", F.col("slice").alias("origin"),
         F.explode(F.transform(reachable, lambda s: s["slice"])).alias("target"),

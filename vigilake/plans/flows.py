@@ -12,6 +12,7 @@ from vigilake.operators import alerts, anomaly, classify, cleaning, features, th
 from vigilake.operators.balancing import smote
 from vigilake.operators.classes import distribution_change
 from vigilake.operators.scaling import apply_pca, normalize_features
+from vigilake.session import staged
 from vigilake.sources import sinks, telemetry
 
 
@@ -36,13 +37,18 @@ def extract_all_features(events: DataFrame, window_seconds: int = kb.DEFAULT_WIN
 def balance_features(df: DataFrame, columns: Sequence[str], label: str | None = "label", method: str = "minmax",
                      n_components: int | None = None, variance_threshold: float = 0.95, oversample: bool = True,
                      k_neighbors: int = 5, seed: int = 42) -> tuple[DataFrame, dict]:
-    """Normalise, reduce, oversample; without labels the last step is left out."""
+    """Normalise, reduce, oversample; without labels the last step is left out.
+
+    The input is staged once, since every fit reads it, and so are the reduced rows that oversampling reads.
+    """
+    df = staged(df, "matrix")
     normalised, _ = normalize_features(df, columns, method)
     reduced, components = apply_pca(normalised, columns, n_components, variance_threshold)
     stats = {"normalization": method, "pca": components.analysis()}
     if label is None or not oversample:
         return reduced, stats
     names = [f"PC{i + 1}" for i in range(components.k)]
+    reduced = staged(reduced, "components")
     resampled = smote(reduced, names, label, k_neighbors, seed)
     stats["smote"] = distribution_change(reduced, resampled, label)
     return resampled, stats
@@ -60,7 +66,8 @@ def detect_and_respond(events: DataFrame, labelled: DataFrame, columns: Sequence
 
     ``labelled`` are training feature rows with ``id`` and ``label``; the namespace of a window is its pod's.
     """
-    matrix = features.feature_matrix(events, window_seconds)
+    matrix = staged(features.feature_matrix(events, window_seconds), "matrix")
+    labelled = staged(labelled, "labelled")
     model, labels = classify.fit_forest(labelled, columns, **(forest or {}))
     detector = anomaly.train_detector(labelled, columns, label="label")
     names = events.groupBy("pod").agg(F.max("namespace").alias("namespace"))
