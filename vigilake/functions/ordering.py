@@ -20,6 +20,12 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(right, list(keys), how)
 
 
+def _no_nulls(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Drops nothing; it spells out the filters the optimizer would infer for some uses of a summary and not for
+    others, so that all uses have the same plan and share one shuffle."""
+    return df.filter(" and ".join(f"{k} is not null" for k in keys))
+
+
 def window_over(keys: Sequence[str], order: Sequence[str | Column]):
     return Window.partitionBy(*keys).orderBy(*order)
 
@@ -39,7 +45,7 @@ def lag_in_order(
     if not slices:
         return within.withColumn(out, F.col(prev)["v"]).drop(prev)
     # one row per slice: its last value, handed on to the next slice of the group
-    tails = df.groupBy(*keys).agg(F.max_by(F.col(value), F.struct(*order)).alias(tail))
+    tails = _no_nulls(df, keys).groupBy(*keys).agg(F.max_by(F.col(value), F.struct(*order)).alias(tail))
     heads = lag_in_order(tails, group, slices[:-1], [slices[-1]], tail, edge).select(*keys, edge)
     own = F.when(F.col(prev).isNotNull(), F.col(prev)["v"]).otherwise(F.col(edge))
     return join_on(within, heads, keys).withColumn(out, own).drop(prev, edge)
@@ -69,7 +75,7 @@ def running_total(
     weighted = df.withColumn("__w", weight.cast("long"))
     upto = window_over(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = weighted.withColumn("__pos", F.sum("__w").over(upto))
-    offsets = _offsets(weighted.groupBy(*keys).agg(F.sum("__w").alias("__n")), group, slices)
+    offsets = _offsets(_no_nulls(weighted, keys).groupBy(*keys).agg(F.sum("__w").alias("__n")), group, slices)
     return (
         join_on(inside, offsets, keys)
         .withColumn(out, F.col("__pos") + F.col("__offset"))

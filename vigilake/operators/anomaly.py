@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from vigilake.functions import scalars as S
 from vigilake.functions.quantiles import exact_percentile
+from vigilake.session import staged
 
 LATENT_WIDTH = 32
 VALIDATION_FRACTION = 0.15
@@ -84,10 +85,13 @@ def anomaly_rate(flagged: DataFrame) -> DataFrame:
 
 def train_detector(df: DataFrame, columns: Sequence[str], row_id: str = "id", label: str | None = None,
                    width: int | None = None, percentile: float = PERCENTILE, seed: int = 42) -> dict:
-    """Benign rows only, split, fit, per-part errors and threshold."""
+    """Benign rows only, split, fit, per-part errors and threshold.
+
+    The scores are staged as two narrow columns, since errors and threshold read them several times.
+    """
     benign = df if label is None else df.filter(F.col(label) == "benign")
-    parts = split_validation(benign, row_id, seed=seed)
+    parts = split_validation(benign, row_id, seed=seed).select("is_validation", *columns)
     model = fit_reconstruction(parts.filter(~F.col("is_validation")), columns, width)
-    scored = model.score(parts)
+    scored = staged(model.score(parts).select("is_validation", "anomaly_score"), "scores")
     threshold = determine_threshold(scored.filter(~F.col("is_validation")), percentile)
     return {"model": model, "threshold": threshold, "errors": mean_errors(scored)}

@@ -45,7 +45,11 @@ def build_pipeline(columns: Sequence[str], n_trees: int = 200, max_depth: int |
 
 
 def fit_forest(train: DataFrame, columns: Sequence[str], label: str = "label", **options) -> tuple[PipelineModel, list[str]]:
-    """Fit on balanced weights; returns the model and its label names in code order."""
+    """Fit on balanced weights; returns the model and its label names in code order.
+
+    The training rows are staged once: indexer, scaler and forest each pass over them.
+    """
+    train = staged(train.select(*columns, label), "train")
     encoded, indexer = encode_labels(balanced_weights(train, label), label)
     wanted = encoded.select(*columns, "label_index", "weight")
     return build_pipeline(columns, **options).fit(wanted), list(indexer.labels)

@@ -147,18 +147,19 @@ def _finish(rolled: DataFrame, syscalls: tuple[str, ...]) -> DataFrame:
     )
 
 
-def bigram_stream(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS, slice_seconds: int = 1,
+def bigram_stream(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS, slice_ms: int = 100,
                   delay: str = "10 minutes", k: int = kb.TOP_BIGRAMS) -> DataFrame:
     """Top-k syscall bigrams per (window, pod) on a stream, equal to the batch operator.
 
-    A short time slice is the only thing ever collected; from each slice go its pairs and its two ends. Pairs are
-    counted per bigram, and the ends (at most window / slice of them) are stitched when the window closes.
+    Only a short time slice is ever collected (``slice_ms`` must divide the window; the shorter, the fewer calls of a
+    busy pod in one slice). From each slice go its pairs and its two ends. Pairs are counted per bigram, and the ends,
+    at most window / slice of them, are stitched when the window closes.
     """
     span = f"{window_seconds} seconds"
     timed = events.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", delay)
     call = F.struct("timestamp", "event_id", "syscall")
     slices = timed.filter((F.length("syscall") > 0) & F.col("pod").isNotNull()).groupBy(
-        F.window("timestamp", f"{slice_seconds} seconds").alias("s"), "pod"
+        F.window("timestamp", f"{slice_ms} milliseconds").alias("s"), "pod"
     ).agg(F.array_sort(F.collect_list(call)).alias("seq"))
 
     end_type = "struct<first:struct<timestamp:timestamp,event_id:string,syscall:string>,last:string>"
