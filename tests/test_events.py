@@ -94,6 +94,13 @@ def test_numeric_severity(spark, level, severity):
     assert only(N.unify(lines_of(spark, [{"Severity": level}]), "kubearmor")).severity == severity
 
 
+def test_kubearmor_null_and_missing_fields(spark):
+    lines = lines_of(spark, [{"PodName": None, "Operation": "File", "Extra": {"a": [1]}}, "{broken", '{"PodName": "x"', "[]"])
+    row = only(N.unify(lines, "kubearmor"))
+    assert row.pod is None and row.namespace == "unknown" and row.event_type == "file_access"
+    assert row.network_metadata is None and row.severity == "LOW"
+
+
 def test_replayed_lines_keep_their_id(spark):
     lines = lines_of(spark, [{"rule": "a"}, {"rule": "a"}, {"rule": "b"}])
     assert N.unify(lines, "falco").select("event_id").distinct().count() == 2

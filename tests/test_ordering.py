@@ -76,3 +76,12 @@ def test_percentile_in_several_passes(spark, fraction):
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
     found = exact_percentile(df, "v", fraction, bracket_rows=10)
     assert found == pytest.approx(np.percentile(values, fraction * 100), rel=1e-12)
+
+
+def test_summary_shuffle_is_shared(spark, rows, tmp_path):
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    sliced = stored.withColumn("s", F.floor(F.col("t") / 7)).withColumn("fine", F.floor(F.col("t") / 2))
+    ranked = rank_in_order(sliced, ["g"], ["s", "fine"], ["t", "id"], "rank")
+    ranked.collect()
+    assert "ReusedExchange" in ranked._jdf.queryExecution().executedPlan().toString()

@@ -19,12 +19,23 @@ def parse_json_lines(lines: DataFrame, schema: str) -> DataFrame:
 
     The original text stays in ``value``.
     """
-    full = f"{schema}, {schemas.CORRUPT} string"
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
     objects = lines.filter(F.col("value").rlike(r"^\s*\{"))
-    parsed = F.array(F.from_json(F.trim("value"), full, options))
+    if schema.startswith("map<"):
+        parsed = F.filter(F.array(F.from_json(F.trim("value"), schema)), lambda p: p.isNotNull())
+    else:
+        full = f"{schema}, {schemas.CORRUPT} string"
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+        line = F.array(F.from_json(F.trim("value"), full, options))
+        parsed = F.filter(line, lambda p: p[schemas.CORRUPT].isNull())
     # a generator and not a filter: a filter on the parsed line would be pushed down and parse every line twice
-    return objects.select("value", F.explode(F.filter(parsed, lambda p: p[schemas.CORRUPT].isNull())).alias("line"))
+    return objects.select("value", F.explode(parsed).alias("line"))
+
+
+def field_or(fields: Column, key: str, default: str | Column) -> Column:
+    """A map entry; the default only where the key is absent. A key that is present with a null value stays null."""
+    absent = fields.isNull() | ~F.map_contains_key(fields, key)
+    fallback = default if isinstance(default, Column) else F.lit(default)
+    return F.when(absent, fallback).otherwise(F.try_element_at(fields, F.lit(key)))
 
 
 def event_id(source: str) -> Column:
@@ -32,9 +43,9 @@ def event_id(source: str) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(source), F.col("value")), 256)
 
 
-def _event_time(value: Column) -> Column:
-    """The sensor's own time text; processing time where the sensor gave none."""
-    return F.coalesce(value, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+def _processing_time() -> Column:
+    """Stands in where the sensor gave no time of its own."""
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
 
 
 def parse_falco(lines: DataFrame, ignore_priority_case: bool = False) -> DataFrame:
@@ -43,9 +54,7 @@ def parse_falco(lines: DataFrame, ignore_priority_case: bool = False) -> DataFra
     fields = F.col("line.output_fields")
 
     def field(key: str, default: str) -> Column:
-        # a key that is present with a null value stays null, only an absent key takes the default
-        absent = fields.isNull() | ~F.map_contains_key(fields, key)
-        return F.when(absent, F.lit(default)).otherwise(F.try_element_at(fields, F.lit(key)))
+        return field_or(fields, key, default)
 
     ip, port = F.try_element_at(fields, F.lit("fd.rip")), F.try_element_at(fields, F.lit("fd.rport"))
     has_network = (F.coalesce(ip, F.lit("")) != "") | ~F.coalesce(port, F.lit("")).isin("", "0", "0.0")
@@ -54,7 +63,7 @@ def parse_falco(lines: DataFrame, ignore_priority_case: bool = False) -> DataFra
         S.to_int(field("fd.rport", "0")), field("fd.l4proto", "unknown"),
     )
     return raw.select(
-        _event_time(F.col("line.time")).alias("timestamp"),
+        F.coalesce("line.time", _processing_time()).alias("timestamp"),
         F.lit("falco").alias("source"),
         event_id("falco").alias("event_id"),
         field("k8s.pod.name", "unknown").alias("pod"),
@@ -73,20 +82,24 @@ def parse_falco(lines: DataFrame, ignore_priority_case: bool = False) -> DataFra
 def parse_kubearmor(lines: DataFrame) -> DataFrame:
     """KubeArmor telemetry lines to unified events."""
     raw = parse_json_lines(lines, schemas.KUBEARMOR_LINE)
-    line = F.col("line")
-    is_network = F.lower(F.coalesce(line["Operation"], F.lit(""))) == "network"
+
+    def field(key: str, default: str | Column) -> Column:
+        return field_or(F.col("line"), key, default)
+
+    operation = field("Operation", "")
+    is_network = F.coalesce(F.lower(operation) == "network", F.lit(False))
     return raw.select(
-        _event_time(line["UpdatedTime"]).alias("timestamp"),
+        field("UpdatedTime", _processing_time()).alias("timestamp"),
         F.lit("kubearmor").alias("source"),
         event_id("kubearmor").alias("event_id"),
-        F.coalesce(line["PodName"], F.lit("unknown")).alias("pod"),
-        F.coalesce(line["NamespaceName"], F.lit("unknown")).alias("namespace"),
-        F.coalesce(line["ContainerID"], F.lit("unknown")).alias("container_id"),
-        S.kubearmor_severity(line["Severity"]).alias("severity"),
-        S.event_type_of_operation(line["Operation"]).alias("event_type"),
-        F.coalesce(line["Syscall"], F.lit("")).alias("syscall"),
-        F.coalesce(line["ProcessName"], F.lit("")).alias("process"),
-        F.when(is_network, S.network_of_resource(line["Resource"])).alias("network_metadata"),
+        field("PodName", "unknown").alias("pod"),
+        field("NamespaceName", "unknown").alias("namespace"),
+        field("ContainerID", "unknown").alias("container_id"),
+        S.kubearmor_severity(field("Severity", "1")).alias("severity"),
+        S.event_type_of_operation(operation).alias("event_type"),
+        field("Syscall", "").alias("syscall"),
+        field("ProcessName", "").alias("process"),
+        F.when(is_network, S.network_of_resource(field("Resource", ""))).alias("network_metadata"),
         F.lit(None).cast("string").alias("mitre_technique"),
         F.col("value").alias("raw_event"),
     )

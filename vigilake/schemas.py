@@ -16,10 +16,8 @@ FALCO_LINE = (
     "rule string, priority string, time string, tags array<string>, output_fields map<string,string>"
 )
 
-KUBEARMOR_LINE = (
-    "Operation string, Resource string, UpdatedTime string, PodName string, NamespaceName string, "
-    "ContainerID string, Syscall string, ProcessName string, Severity string"
-)
+# Flat objects; a map tells a field that is null from one that is missing.
+KUBEARMOR_LINE = "map<string,string>"
 
 CLEAN_EVENT = (
     "timestamp timestamp, source string, event_id string, pod string, namespace string, container_id string, "
