@@ -223,6 +223,12 @@ def test_score_is_the_reconstruction_error(spark):
     assert np.allclose(scores, ((x - rebuilt) ** 2).mean(axis=1))
 
 
+def test_training_needs_benign_rows(spark):
+    df, columns = frame(spark, RNG.normal(size=(5, 2)), ["ddos"] * 5)
+    with pytest.raises(ValueError, match="no benign rows"):
+        A.train_detector(df, columns, label="label")
+
+
 def test_threshold_comparison_is_strict(spark):
     scored = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "anomaly_score double")
     assert A.determine_threshold(scored, 50.0) == 2.0

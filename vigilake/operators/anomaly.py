@@ -91,7 +91,10 @@ def train_detector(df: DataFrame, columns: Sequence[str], row_id: str = "id", la
     """
     benign = df if label is None else df.filter(F.col(label) == "benign")
     parts = split_validation(benign, row_id, seed=seed).select("is_validation", *columns)
-    model = fit_reconstruction(parts.filter(~F.col("is_validation")), columns, width)
+    training = parts.filter(~F.col("is_validation"))
+    if training.isEmpty():
+        raise ValueError("no benign rows to train on")
+    model = fit_reconstruction(training, columns, width)
     scored = staged(model.score(parts).select("is_validation", "anomaly_score"), "scores")
     threshold = determine_threshold(scored.filter(~F.col("is_validation")), percentile)
     return {"model": model, "threshold": threshold, "errors": mean_errors(scored)}

@@ -198,12 +198,13 @@ def g15_split_errors(spark, sf_dir):
 
 # --- I13: from detections to alerts -------------------------------------------------------
 def training_rows(spark, sf_dir) -> DataFrame:
-    """Feature rows with an id and a label read off their flags."""
+    """Feature rows with an id and a label: windows far above the average in one feature count as attacks."""
     matrix = X.feature_matrix(fx_events(spark, sf_dir), W)
-    label = (
-        F.when(F.col("has_escape_attempt") + F.col("has_privilege_esc") > 1, "lateral_movement")
-        .when(F.col("severity_mean") > 1.0, "exfiltration").when(F.col("port_entropy") > 2.5, "ddos").otherwise("benign")
-    )
+    watched = {"severity_mean": "lateral_movement", "avg_dst_port": "exfiltration", "event_count": "ddos"}
+    stats = matrix.agg(*[F.avg(c) for c in watched], *[F.stddev_pop(c) for c in watched]).first()
+    label = F.lit("benign")
+    for i, (column, name) in enumerate(watched.items()):
+        label = F.when(F.col(column) > stats[i] + stats[i + len(watched)], name).otherwise(label)
     return matrix.withColumns({"label": label, "id": F.xxhash64("pod", "window_start")})
 
 
