@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from vigilake.functions.ordering import hash_slice, rank_in_order
 from vigilake.session import staged
 
 QUERY_CHUNK = 256
+AXIS_BINS = 1024
 # slice bounds take some 24 bytes each; up to this many are broadcast, beyond it the join is left to shuffle
 BROADCAST_SLICES = 1_000_000
 NEIGHBOUR = "array<struct<distance:double,point_id:bigint,vector:array<double>,copies:bigint>>"
@@ -33,13 +35,11 @@ def distinct_points(df: DataFrame, columns: Sequence[str], label: str, slice_row
         .withColumn("axis", F.col("vector")[0])
         .withColumn("__hash", F.xxhash64("vector"))
     )
-    low, high = points.agg(F.min("axis"), F.max("axis")).first()
-    width = ((high - low) or 1.0) if low is not None else 1.0
-    # coarse bins along the axis; equal axis values are split further by hash
-    binned = points.withColumns({
-        "__bin": F.floor((F.col("axis") - F.lit(low)) / F.lit(width) * 4096),
-        "__tie": F.struct("axis", hash_slice("__hash")),
-    })
+    # bins of about equal size however the axis is distributed; equal axis values are split further by hash
+    cuts = points.agg(F.percentile_approx("axis", F.array(*[F.lit(i / AXIS_BINS) for i in range(1, AXIS_BINS)]))).first()[0]
+    splits = [float("-inf"), *sorted(set(cuts or [0.0])), float("inf")]
+    bucketizer = Bucketizer(splits=splits, inputCol="axis", outputCol="__bin", handleInvalid="keep")
+    binned = bucketizer.transform(points).withColumn("__tie", F.struct("axis", hash_slice("__hash")))
     ranked = rank_in_order(binned, ["label"], ["__bin", "__tie"], ["axis", "__hash", "vector"], "point_id")
     sliced = ranked.withColumn("slice", F.floor((F.col("point_id") - 1) / F.lit(slice_rows)))
     return sliced.select("label", "slice", "point_id", "axis", "vector", "copies")
