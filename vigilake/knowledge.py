@@ -162,8 +162,6 @@ LABEL_TECHNIQUES = {
     "benign": [],
 }
 
-ATTACK_CLASSES = ["benign", "ddos", "exfiltration", "lateral_movement", "crypto_mining"]
-
 # --- Fixed values: kill chain and its Bayesian network ------------------------------------
 STAGES = [
     "initial_access",
