@@ -22,16 +22,16 @@ from vigilake.llm.components import min_labels
 from vigilake.llm.texts import WordHashes, long_lists, map_arrow, shingles, utf8, words_of
 from vigilake.session import staged
 
-SAMPLE_SHARE = 64          # every 64th document (by hash) tells which shingles are common; affects order, not results
-COMMON_IN_SAMPLE = 4       # a shingle is common if so many sampled documents have it
+SAMPLE_SHARE = 16          # every 16th document (by hash) tells which shingles are common; affects order, not results
+COMMON_IN_SAMPLE = 3       # a shingle is common if so many sampled documents have it
 COMMON_MOST = 131_072      # as many common shingles at most, the most frequent ones: bounds what workers hold
 BROADCAST_IDS = 2_000_000  # ids of candidate documents are broadcast up to here; beyond, the join shuffles
 HUB_ROUNDS = 3
-PAIRS_PER_ENTRY = 4        # remaining pairs are enumerated once there are at most so many per posting
+PAIRS_PER_ENTRY = 64       # remaining pairs are enumerated once there are at most so many per posting
 
 
 def need(n, percent: int):
-    """Columns that a row of n must share with any partner at the threshold; works on numbers and on columns."""
+    """Columns that a row of n must share with any partner at the threshold."""
     return (n * percent + 99) // 100
 
 
@@ -108,8 +108,10 @@ def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
     """
     fits = (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
     bound = F.expr(f"((nx + ny) * {percent} + {99 + percent}) div {100 + percent}")
-    # head columns are matched in one order, so after the last match only the rest of either row can follow
-    rest = F.least(F.col("nx") - F.col("px") - 1, F.col("ny") - F.col("py") - 1)
+    # head columns are matched in one order, so after the last match only the rest of either row can follow; and the row
+    # whose head ends first has met all of it, so besides the matches only its columns behind the head can be shared
+    behind = F.expr(f"(greatest(nx, ny) * {percent} + 99) div 100 - 1")
+    rest = F.least(F.col("nx") - F.col("px") - 1, F.col("ny") - F.col("py") - 1, behind)
     return (pairs.filter(fits).groupBy("x", "y", "nx", "ny")
             .agg(F.count(F.lit(1)).alias("c"), F.max("px").alias("px"), F.max("py").alias("py"))
             .filter(F.col("c") + rest >= bound).select("x", "y", "nx", "ny"))

@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from vigilake.functions.ordering import rank_in_order
 from vigilake.llm.texts import MEMO_ENTRIES, map_arrow, utf8
@@ -236,5 +237,5 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length") ->
                 [batch.column(i) for i in kept] + [pa.array(bins[at] + nth), pa.array(place[at] + slot * size)],
                 names=[batch.schema.names[i] for i in kept] + ["sequence_id", "offset"])
 
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    schema = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
     return ranked.select(*pieces.columns, "__rank").mapInArrow(run, schema)
