@@ -5,7 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from vigilake.llm import decontaminate, jaccard, language_id, packing, secret_scan
+from vigilake.llm import (
+    decontaminate,
+    exact_search,
+    jaccard,
+    language_id,
+    ngram_lm,
+    packing,
+    passage_quality,
+    secret_scan,
+    texts,
+    token_count,
+    warc,
+)
 from vigilake.session import staged
 from vigilake.workload.registry import Query
 
@@ -39,6 +51,35 @@ def op1_best_fit_packing(spark, sf_dir):
     return packed(_table(spark, sf_dir, "documents"))
 
 
+# --- 2 ------------------------------------------------------------------------------------
+SEGMENT_BYTES = 16 * 1024
+
+WARC_SQL = """
+with p as (
+  select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, upper(sha1(coalesce(html, ''))) as hexa from pages),
+d as (
+  select page_id, payload_bytes, translate(concat(
+    {groups}), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') as payload_digest
+  from p),
+f as (select *, min(page_id) over (partition by payload_digest, payload_bytes) as least from d)
+select page_id, payload_bytes, payload_digest, case when page_id = least then 'response' else 'revisit' end as record_type,
+  case when page_id = least then null else least end as refers_to from f""".replace("{groups}", ",\n    ".join(
+    f"to_base(cast('0x' || substr(hexa, {1 + 5 * i}, 5) as bigint), 32, 4)" for i in range(8)))
+
+
+@query("op2_warc_round_trip", WARC_SQL)
+def op2_warc_round_trip(spark, sf_dir):
+    read = warc.round_trip(_table(spark, sf_dir, "pages"), SEGMENT_BYTES)
+    return warc.resolve_revisits(staged(read, "warc-index")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# --- 3 ------------------------------------------------------------------------------------
+@query("op3_token_counts")
+def op3_token_counts(spark, sf_dir):
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 # --- 4 ------------------------------------------------------------------------------------
 @query("op4_benchmark_decontamination")
 def op4_benchmark_decontamination(spark, sf_dir):
@@ -60,6 +101,17 @@ def op5_language_id(spark, sf_dir):
                         "rejected")
 
 
+# --- 6 ------------------------------------------------------------------------------------
+@query("op6_passage_quality")
+def op6_passage_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    learnable = language_id.remainder("doc_id", 4) != 2
+    model = passage_quality.fit(docs.filter(learnable).join(labels.filter(learnable), "doc_id"))
+    scored = passage_quality.score_quality(docs, model)
+    return scored.select("doc_id", (language_id.remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 # --- 7 ------------------------------------------------------------------------------------
 @query("op7_secret_scan")
 def op7_secret_scan(spark, sf_dir):
@@ -90,6 +142,37 @@ def op8_ngram_jaccard_join(spark, sf_dir):
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+# --- 9 ------------------------------------------------------------------------------------
+TOP_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s)
+select query_id, rank, vec_id, score from r where rank <= 5"""
+
+
+@query("op9_exact_top_k", TOP_SQL)
+def op9_exact_top_k(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings")
+    return exact_search.top_k(rows, F.pmod(F.col("vec_id"), F.lit(50)) == 0, 5)
+
+
+# --- 10 -----------------------------------------------------------------------------------
+@query("op10_ngram_lm")
+def op10_ngram_lm(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ngram_lm.fit(docs.filter(language_id.remainder("doc_id", 10) != 0).select(texts.utf8().alias("text")))
+    scored = ngram_lm.score(docs, model)
+    return scored.withColumns({
+        "held_out": language_id.remainder("doc_id", 10) == 0,
+        "train_tokens": F.lit(model.tokens).cast("bigint"),
+    }).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 # --- pipeline -----------------------------------------------------------------------------
 @query("pipeline")
 def pipeline(spark, sf_dir):
