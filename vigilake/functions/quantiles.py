@@ -24,16 +24,23 @@ def exact_percentile(df: DataFrame, column: str, fraction: float, bracket_rows:
         return None
     rank = (size - 1) * fraction
     first, second, before = math.floor(rank), math.ceil(rank), 0
-    while size > bracket_rows and low < high:
-        narrowed = _narrow(values.filter(F.col("v").between(low, high)), size, first - before, second - before)
+    # two neighbouring values need no ordering, whatever their number of rows
+    while size > bracket_rows and low < high and not _neighbours(values, low, high):
+        inside = values.filter(F.col("v").between(low, high))
+        narrowed = _narrow(inside, size, first - before, second - before)
         if narrowed is None:
-            break
+            narrowed = _halve(inside, low, high, first - before, second - before)
         low, high, below, size = narrowed
         before += below
     a, b = _values_at(values.filter(F.col("v").between(low, high)), first - before, second - before)
     return a + (b - a) * (rank - first)
 
 
+def _neighbours(values: DataFrame, low: float, high: float) -> bool:
+    """Whether no value lies between the two."""
+    return values.filter((F.col("v") > low) & (F.col("v") < high)).isEmpty()
+
+
 def _narrow(inside: DataFrame, size: int, first: int, second: int) -> tuple[float, float, int, int] | None:
     """A smaller bracket that still holds both ranks, the rows below it and its size; None if there is none."""
     margin = 4.0 / ACCURACY
@@ -47,6 +54,22 @@ def _narrow(inside: DataFrame, size: int, first: int, second: int) -> tuple[floa
     return low, high, below, kept
 
 
+def _halve(inside: DataFrame, low: float, high: float, first: int, second: int) -> tuple[float, float, int, int]:
+    """The half of the value range that holds both ranks; where they fall apart, the two values between the halves.
+
+    The ends are values that occur, so the bracket shrinks by at least one distinct value each time.
+    """
+    middle = low + (high - low) / 2
+    left = F.col("v") <= middle if middle < high else F.col("v") < high
+    n, last, begin = inside.agg(F.count_if(left), F.max(F.when(left, F.col("v"))), F.min(F.when(~left, F.col("v")))).first()
+    if second < n:
+        return low, last, 0, n
+    if first >= n:
+        return begin, high, n, inside.filter(F.col("v") >= begin).count()
+    at_last, at_begin = inside.agg(F.count_if(F.col("v") == last), F.count_if(F.col("v") == begin)).first()
+    return last, begin, n - at_last, at_last + at_begin
+
+
 def _values_at(inside: DataFrame, first: int, second: int) -> tuple[float, float]:
     """Values at two 0-based ranks; equal values are merged before they are ordered."""
     counts = inside.groupBy("v").agg(F.count(F.lit(1)).alias("n"))

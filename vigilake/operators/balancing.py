@@ -9,27 +9,27 @@ from pyspark.sql import functions as F
 
 from vigilake.functions import scalars as S
 from vigilake.functions.ordering import hash_slice, running_total, slice_bits
-from vigilake.operators.classes import by_class, class_counts
+from vigilake.operators.classes import class_sizes
 from vigilake.operators.neighbours import nearest_neighbours
 
 EMIT_CHUNK = 10_000
 
 
 def synthetic_rows(df: DataFrame, columns: Sequence[str], label: str = "label", k_neighbors: int = 5, seed: int = 42,
-                   slice_rows: int = 4096) -> DataFrame:
+                   slice_rows: int = 1024) -> DataFrame:
     """The rows to add so that every class reaches the size of the largest one.
 
     Each minority point yields its share of the missing rows; a row lies at a hash-drawn fraction of the way to a
     hash-drawn one of the point's k nearest neighbours in its class. Copies of a point count as neighbours at
-    distance zero. Same input and seed give the same rows.
+    distance zero. Same input and seed give the same rows. Unlabelled rows take no part.
     """
-    counts = class_counts(df, label)
-    largest, smallest = max(counts.values()), min(counts.values())
-    k = k_neighbors if smallest > k_neighbors else max(1, smallest - 1)
-    need = {name: largest - n for name, n in counts.items() if n < largest}
-    if not need:
+    sizes = class_sizes(df, label, "__size").withColumnRenamed(label, "label")
+    largest, smallest = sizes.agg(F.max("__size"), F.min("__size")).first()
+    if largest is None or largest == smallest:
         return df.select(*columns, label).limit(0)
-    minority = df.filter(F.col(label).isin(list(need)))
+    k = k_neighbors if smallest > k_neighbors else max(1, smallest - 1)
+    smaller = sizes.filter(F.col("__size") < largest)
+    minority = df.join(smaller.select(F.col("label").alias(label)), label, "left_semi")
     points = nearest_neighbours(minority, columns, label, k, slice_rows)
 
     # k slots: first the point's own copies, then its neighbours, each as often as it has copies
@@ -40,10 +40,11 @@ def synthetic_rows(df: DataFrame, columns: Sequence[str], label: str = "label",
     targets = F.when(F.size(slots) > 0, slots).otherwise(F.array("vector"))
 
     # cumulative rounding in hash order: the shares of a class add up to exactly its missing rows
-    bits = slice_bits(max(counts[name] for name in need))
-    hashed = points.withColumn("__hash", F.xxhash64(F.lit(seed), "vector")).withColumn("__slice", hash_slice("__hash", bits))
+    bits = slice_bits(largest)
+    hashed = points.join(smaller, "label").withColumn("__hash", F.xxhash64(F.lit(seed), "vector")).withColumn("__slice", hash_slice("__hash", bits))
     cumulated = running_total(hashed, ["label"], ["__slice"], ["__hash", "point_id"], F.col("copies"), "__until")
-    missing, size = by_class(need, F.col("label")), by_class(counts, F.col("label"))
+    size = F.col("__size")
+    missing = F.lit(largest) - size
 
     def quota(upto):
         return F.floor(upto.cast("decimal(20,0)") * missing.cast("decimal(18,0)") / size).cast("long")
@@ -65,7 +66,7 @@ def synthetic_rows(df: DataFrame, columns: Sequence[str], label: str = "label",
 
 
 def smote(df: DataFrame, columns: Sequence[str], label: str = "label", k_neighbors: int = 5, seed: int = 42,
-          slice_rows: int = 4096) -> DataFrame:
+          slice_rows: int = 1024) -> DataFrame:
     """Original rows plus synthetic ones, told apart by ``is_synthetic``."""
     doubles = [F.col(c).cast("double").alias(c) for c in columns]
     original = df.select(*doubles, label, F.lit(False).alias("is_synthetic"))

@@ -1,58 +1,57 @@
-"""Class counts, weights, exact stratified splits and folds."""
+"""Class sizes, weights, exact stratified splits and folds.
+
+Sizes stay a table that is joined on the label: any number of classes is allowed, Spark broadcasts the table only where
+its measured size permits, and otherwise splits the partition of a heavily used label. Rows without a label are
+unlabelled: they keep their place in the result, with a null weight, no fold, and outside the test part.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.functions.ordering import hash_slice, rank_in_order, slice_bits
 
-MAX_CLASSES = 10_000
-
 
-def class_counts(df: DataFrame, label: str = "label") -> dict:
-    """Rows per class on the driver; the number of classes is checked, the number of rows is free."""
-    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in column {label!r}")
-    return {row[label]: row["n"] for row in sorted(rows, key=lambda r: str(r[label]))}
+def class_sizes(df: DataFrame, label: str = "label", out: str = "n") -> DataFrame:
+    """One row per class and its number of rows; rows without a label don't count."""
+    return df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias(out))
 
 
-def by_class(values: dict, label: Column) -> Column:
-    """A per-class constant as an expression; spares a join or window on a heavily skewed label."""
-    pairs = [F.lit(x) for item in values.items() for x in item]
-    return F.element_at(F.create_map(*pairs), label)
+def with_class_size(df: DataFrame, label: str = "label", out: str = "__size") -> DataFrame:
+    """Add the size of each row's class, null for unlabelled rows."""
+    return df.join(class_sizes(df, label, out), label, "left").select(*df.columns, out)
 
 
 def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Add n / (C * n_c) per row."""
-    counts = class_counts(df, label)
-    total = sum(counts.values())
-    weights = {name: total / (len(counts) * n) for name, n in counts.items()}
-    return df.withColumn(out, by_class(weights, F.col(label)))
+    total, classes = class_sizes(df, label).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    return with_class_size(df, label).withColumn(out, F.lit(float(total)) / (F.lit(classes) * F.col("__size"))).drop("__size")
 
 
-def _class_rank(df: DataFrame, label: str, row_id: str, seed: int, counts: dict) -> DataFrame:
-    """``__rank``: 1-based position of the row within its class in seeded hash order."""
-    hashed = df.withColumn("__hash", F.xxhash64(F.lit(seed), F.col(row_id)))
-    hashed = hashed.withColumn("__slice", hash_slice("__hash", slice_bits(max(counts.values(), default=0))))
+def _class_rank(df: DataFrame, label: str, row_id: str, seed: int) -> DataFrame:
+    """``__rank``: 1-based position of the labelled row within its class in seeded hash order."""
+    most = class_sizes(df, label).agg(F.max("n")).first()[0] or 0
+    hashed = df.filter(F.col(label).isNotNull()).withColumn("__hash", F.xxhash64(F.lit(seed), F.col(row_id)))
+    hashed = hashed.withColumn("__slice", hash_slice("__hash", slice_bits(most)))
     return rank_in_order(hashed, [label], ["__slice"], ["__hash", row_id], "__rank").drop("__hash", "__slice")
 
 
 def stratified_split(df: DataFrame, label: str = "label", row_id: str = "id", test_fraction: float = 0.2,
                      seed: int = 42) -> DataFrame:
     """Add ``is_test``: exactly ceil(fraction * n_c) rows of every class, the same rows on every run."""
-    counts = class_counts(df, label)
-    ranked = _class_rank(df, label, row_id, seed, counts)
-    quota = F.ceil(F.round(F.lit(test_fraction) * by_class(counts, F.col(label)), 9))
-    return ranked.withColumn("is_test", F.col("__rank") <= quota).drop("__rank")
+    ranked = with_class_size(_class_rank(df, label, row_id, seed), label)
+    quota = F.ceil(F.round(F.lit(test_fraction) * F.col("__size"), 9))
+    split = ranked.withColumn("is_test", F.col("__rank") <= quota).drop("__rank", "__size")
+    return split.unionByName(df.filter(F.col(label).isNull()).withColumn("is_test", F.lit(False)))
 
 
 def stratified_folds(df: DataFrame, label: str = "label", row_id: str = "id", folds: int = 5,
                      seed: int = 42) -> DataFrame:
     """Add ``fold`` 0..folds-1; class shares differ by at most one row between folds."""
-    ranked = _class_rank(df, label, row_id, seed, class_counts(df, label))
-    return ranked.withColumn("fold", ((F.col("__rank") - 1) % folds).cast("int")).drop("__rank")
+    ranked = _class_rank(df, label, row_id, seed)
+    assigned = ranked.withColumn("fold", ((F.col("__rank") - 1) % folds).cast("int")).drop("__rank")
+    return assigned.unionByName(df.filter(F.col(label).isNull()).withColumn("fold", F.lit(None).cast("int")))
 
 
 def distribution_change(before: DataFrame, after: DataFrame, label: str = "label") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilake.operators.classes import balanced_weights, class_counts, stratified_folds, stratified_split
+from vigilake.operators.classes import balanced_weights, class_sizes, stratified_folds, stratified_split
 from vigilake.session import staged
 
 # MLlib's deepest tree; it stands for "unlimited"
@@ -47,9 +47,9 @@ def build_pipeline(columns: Sequence[str], n_trees: int = 200, max_depth: int |
 def fit_forest(train: DataFrame, columns: Sequence[str], label: str = "label", **options) -> tuple[PipelineModel, list[str]]:
     """Fit on balanced weights; returns the model and its label names in code order.
 
-    The training rows are staged once: indexer, scaler and forest each pass over them.
+    Indexer, scaler and forest each pass over the rows, so callers hand in staged ones. Unlabelled rows don't count.
     """
-    train = staged(train.select(*columns, label), "train")
+    train = train.filter(F.col(label).isNotNull()).select(*columns, label)
     encoded, indexer = encode_labels(balanced_weights(train, label), label)
     wanted = encoded.select(*columns, "label_index", "weight")
     return build_pipeline(columns, **options).fit(wanted), list(indexer.labels)
@@ -135,6 +135,12 @@ def cross_validate(df: DataFrame, columns: Sequence[str], label: str = "label",
                    seed: int = 42, **options) -> DataFrame:
     """Macro F1 per fold; one fit per fold over the same exact stratified folds."""
     assigned = staged(stratified_folds(df.select(row_id, label, *columns), label, row_id, folds, seed), "folds")
+    return fold_scores(assigned, columns, label, folds, seed, **options)
+
+
+def fold_scores(assigned: DataFrame, columns: Sequence[str], label: str = "label", folds: int = 5, seed: int = 42,
+                **options) -> DataFrame:
+    """Scores of rows whose ``fold`` is known; every fit filters the one staged table."""
     result = None
     for fold in range(folds):
         model, labels = fit_forest(assigned.filter(F.col("fold") != fold), columns, label, seed=seed, **options)
@@ -156,17 +162,19 @@ def cross_validation_summary(scores: DataFrame) -> DataFrame:
 def train_and_evaluate(df: DataFrame, columns: Sequence[str], label: str = "label", row_id: str = "id",
                        test_fraction: float = 0.2, folds: int = 5, seed: int = 42, **options) -> dict:
     """Split, fit, evaluate and cross-validate; metric tables stay DataFrames."""
-    df = staged(df.select(row_id, label, *columns), "training")
-    split = stratified_split(df, label, row_id, test_fraction, seed)
+    # one copy of the training rows serves the split, every fold and the main fit
+    assigned = stratified_folds(df.select(row_id, label, *columns), label, row_id, folds, seed)
+    split = staged(stratified_split(assigned, label, row_id, test_fraction, seed), "training")
+    df = split
     model, labels = fit_forest(split.filter(~F.col("is_test")), columns, label, seed=seed, **options)
     predicted = predict_threats(model, split.filter("is_test"), labels)
     report = class_report(predicted, label, "predicted_label")
-    scores = cross_validate(df, columns, label, row_id, folds, seed, **options)
+    scores = staged(fold_scores(df, columns, label, folds, seed, **options), "scores")
     return {
         "model": model, "labels": labels, "predictions": predicted,
         "confusion_matrix": confusion_matrix(predicted, label, "predicted_label"),
         "report": report, "metrics": overall_metrics(report),
         "cv_scores": scores, "cv_summary": cross_validation_summary(scores),
         "top_features": top_features(model, columns, df.sparkSession),
-        "class_counts": class_counts(df, label),
+        "class_sizes": class_sizes(df, label),
     }

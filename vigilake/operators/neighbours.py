@@ -1,9 +1,10 @@
-"""Exact nearest neighbours within a class, without forming all pairs.
+"""Nearest neighbours within a class, from several random orderings.
 
-Points are reduced to distinct vectors with a multiplicity, ordered along one axis and cut into equal slices.
-Each slice is searched on its own first; the distance to the k-th neighbour found there bounds how far along the
-axis a better one can lie, so only slices inside that bound are searched afterwards. Every task sees at most one
-slice of queries and one slice of candidates, and returns at most k neighbours per query.
+Points are reduced to distinct vectors with a multiplicity. Each ordering codes a point by the sides of random planes on
+which it lies, sorts the class by that code and cuts it into slices of equal size; points of a slice share the longest
+prefixes and are compared with each other exactly. A point meets at most ``orderings * slice_rows`` others, however many
+points there are. A class that fits into one slice is searched exactly; beyond, the result is approximate and its recall
+is measured in the tests.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,47 +20,59 @@ from vigilake.functions.ordering import hash_slice, rank_in_order
 from vigilake.session import staged
 
 QUERY_CHUNK = 256
-AXIS_BINS = 1024
-# slice bounds take some 24 bytes each; up to this many are broadcast, beyond it the join is left to shuffle
-BROADCAST_SLICES = 1_000_000
+ORDERINGS = 8
+PLANES = 24
+SEED = 17
 NEIGHBOUR = "array<struct<distance:double,point_id:bigint,vector:array<double>,copies:bigint>>"
 
 
-def distinct_points(df: DataFrame, columns: Sequence[str], label: str, slice_rows: int) -> DataFrame:
-    """One row per class and distinct vector: multiplicity, dense id in axis order, and slice number."""
+def distinct_points(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
+    """One row per class and distinct vector: its multiplicity, and an id that follows from the vector and label."""
     vector = F.array(*[F.col(c).cast("double") for c in columns])
-    points = (
-        df.select(F.col(label).alias("label"), vector.alias("vector"))
-        .groupBy("label", "vector").agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("axis", F.col("vector")[0])
-        .withColumn("__hash", F.xxhash64("vector"))
-    )
-    # bins of about equal size however the axis is distributed; equal axis values are split further by hash
-    cuts = points.agg(F.percentile_approx("axis", F.array(*[F.lit(i / AXIS_BINS) for i in range(1, AXIS_BINS)]))).first()[0]
-    splits = [float("-inf"), *sorted(set(cuts or [0.0])), float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol="axis", outputCol="__bin", handleInvalid="keep")
-    binned = bucketizer.transform(points).withColumn("__tie", F.struct("axis", hash_slice("__hash")))
-    ranked = rank_in_order(binned, ["label"], ["__bin", "__tie"], ["axis", "__hash", "vector"], "point_id")
-    sliced = ranked.withColumn("slice", F.floor((F.col("point_id") - 1) / F.lit(slice_rows)))
-    return sliced.select("label", "slice", "point_id", "axis", "vector", "copies")
-
-
-def _closest(queries: pd.DataFrame, candidates: pd.DataFrame, k: int, limit: np.ndarray) -> list[list[dict]]:
-    """Per query the up to k candidates nearer than its limit, itself excluded; ordered by (distance, id)."""
-    points = np.stack(candidates["vector"].to_numpy())
-    ids = candidates["point_id"].to_numpy()
-    copies = candidates["copies"].to_numpy()
-    wanted = np.stack(queries["vector"].to_numpy())
-    own = queries["point_id"].to_numpy()
+    points = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("label"), vector.alias("vector"))
+    counted = points.groupBy("label", "vector").agg(F.count(F.lit(1)).alias("copies"))
+    return counted.withColumn("point_id", F.xxhash64("label", "vector"))
+
+
+def _codes(points: DataFrame, centre: np.ndarray, orderings: int) -> DataFrame:
+    """One row per point and ordering with its code, the sides of PLANES random planes through ``centre``."""
+    planes = np.random.default_rng(SEED).normal(size=(orderings * PLANES, len(centre)))
+    weights = (1 << np.arange(PLANES, dtype=np.int64))[::-1]
+    schema = ", ".join(f"{name} {kind}" for name, kind in points.dtypes)
+
+    def run(frames):
+        for frame in frames:
+            if len(frame):
+                sides = (np.stack(frame["vector"].to_numpy()) - centre) @ planes.T > 0
+                codes = sides.reshape(len(frame), orderings, PLANES) @ weights
+                # consecutive codes differ on one plane only, so neighbours in the order are neighbours in space
+                for at in range(orderings):
+                    yield frame.assign(ordering=np.int32(at), code=_gray_rank(codes[:, at]))
+
+    return points.mapInPandas(run, f"{schema}, ordering int, code bigint")
+
+
+def _gray_rank(codes: np.ndarray) -> np.ndarray:
+    """Place of each code in the Gray sequence."""
+    rank, shift = codes.copy(), 1
+    while shift < PLANES:
+        rank ^= rank >> shift
+        shift *= 2
+    return rank
+
+
+def _closest(block: pd.DataFrame, k: int) -> list[list[dict]]:
+    """Per point of the block its up to k nearest others; ordered by (distance, id)."""
+    points = np.stack(block["vector"].to_numpy())
+    ids, copies = block["point_id"].to_numpy(), block["copies"].to_numpy()
     found: list[list[dict]] = []
-    for start in range(0, len(wanted), QUERY_CHUNK):
-        chunk = wanted[start:start + QUERY_CHUNK]
+    for start in range(0, len(points), QUERY_CHUNK):
+        chunk = points[start:start + QUERY_CHUNK]
         squared = np.zeros((len(chunk), len(points)))
         for axis in range(points.shape[1]):
             squared += (chunk[:, axis, None] - points[None, :, axis]) ** 2
         distance = np.sqrt(squared)
-        distance[ids[None, :] == own[start:start + QUERY_CHUNK, None]] = np.inf
-        distance[distance > limit[start:start + QUERY_CHUNK, None]] = np.inf
+        distance[np.arange(len(chunk)), np.arange(start, start + len(chunk))] = np.inf
         for row in distance:
             kept = np.lexsort((ids, row))[:k] if len(row) <= k else _nearest(row, ids, k)
             found.append([
@@ -77,47 +89,26 @@ def _nearest(row: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((ids[near], row[near]))][:k]
 
 
-def nearest_neighbours(df: DataFrame, columns: Sequence[str], label: str, k: int, slice_rows: int = 4096) -> DataFrame:
+def nearest_neighbours(df: DataFrame, columns: Sequence[str], label: str, k: int, slice_rows: int = 1024,
+                       orderings: int = ORDERINGS) -> DataFrame:
     """Distinct points with ``neighbours``: their k nearest other points of the class, nearest first."""
-    points = staged(distinct_points(df, columns, label, slice_rows), "points")
+    points = staged(distinct_points(df, columns, label), "points")
+    # classes that fit into a slice need one ordering only
+    largest = points.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    means = points.agg(*[F.avg(F.col("vector")[i]) for i in range(len(columns))]).first()
+    centre = np.array([m or 0.0 for m in means])
+    coded = _codes(points, centre, orderings if largest > slice_rows else 1)
+    hashed = coded.withColumn("__prefix", F.shiftright("code", PLANES - 12)).withColumn("__tie", hash_slice("point_id", 4))
+    ranked = rank_in_order(hashed, ["label", "ordering"], ["__prefix", "code", "__tie"], ["point_id"], "__rank")
+    sliced = ranked.withColumn("slice", F.floor((F.col("__rank") - 1) / F.lit(slice_rows))).select(
+        "label", "ordering", "slice", "point_id", "vector", "copies")
     label_type = points.schema["label"].dataType.simpleString()
 
     def within(block: pd.DataFrame) -> pd.DataFrame:
-        result = _closest(block, block, k, np.full(len(block), np.inf))
-        return block.assign(neighbours=result)
-
-    schema = f"label {label_type}, slice bigint, point_id bigint, axis double, vector array<double>, copies bigint"
-    searched = points.groupBy("label", "slice").applyInPandas(within, f"{schema}, neighbours {NEIGHBOUR}")
-    reach = F.when(F.size("neighbours") >= k, F.element_at("neighbours", -1)["distance"]).otherwise(F.lit(float("inf")))
-    first = staged(searched.withColumn("reach", reach), "neighbours")
-
-    # slice bounds: one row per slice_rows points, i.e. thousands of times smaller than the points
-    bounds = points.groupBy("label", "slice").agg(F.min("axis").alias("low"), F.max("axis").alias("high"))
-    per_class = bounds.groupBy("label").agg(F.collect_list(F.struct("slice", "low", "high")).alias("slices"))
-    reachable = F.filter("slices", lambda s: (s["slice"] != F.col("slice"))
-                         & (s["high"] >= F.col("axis") - F.col("reach"))
-                         & (s["low"] <= F.col("axis") + F.col("reach")))
-    if bounds.count() <= BROADCAST_SLICES:
-        per_class = F.broadcast(per_class)
-    requests = first.join(per_class, "label").select(
-        "label", "point_id", "vector", "reach", F.col("slice").alias("origin"),
-        F.explode(F.transform(reachable, lambda s: s["slice"])).alias("target"),
-    )
-    pairs = requests.select("label", "target", "origin").distinct()
-    candidates = pairs.join(points.withColumnRenamed("slice", "target"), ["label", "target"])
-
-    def across(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        result = _closest(queries, block, k, queries["reach"].to_numpy())
-        return pd.DataFrame({"label": queries["label"], "point_id": queries["point_id"], "neighbours": result})
-
-    key = ["label", "target", "origin"]
-    queries = requests.toDF(*requests.columns)  # fresh column identities on either side of the cogroup
-    blocks = candidates.toDF(*candidates.columns)
-    second = queries.groupBy(*key).cogroup(blocks.groupBy(*key)).applyInPandas(
-        across, f"label {label_type}, point_id bigint, neighbours {NEIGHBOUR}"
-    )
-    found = first.select("label", "point_id", "neighbours").unionByName(second)
+        return pd.DataFrame({"label": block["label"], "point_id": block["point_id"], "neighbours": _closest(block, k)})
+
+    found = sliced.groupBy("label", "ordering", "slice").applyInPandas(
+        within, f"label {label_type}, point_id bigint, neighbours {NEIGHBOUR}")
     merged = found.groupBy("label", "point_id").agg(
-        F.slice(F.array_sort(F.flatten(F.collect_list("neighbours"))), 1, k).alias("neighbours")
-    )
+        F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("neighbours")))), 1, k).alias("neighbours"))
     return points.join(merged, ["label", "point_id"])
