@@ -1,0 +1,267 @@
+"""The methods against brute force, round trips and held-out rows."""
+
+from __future__ import annotations
+
+import math
+import random
+import zlib
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pytest
+from oracle import connect, differences
+
+from vigilake.llm import decontaminate, ngram_lm, packing, passage_quality, queries, token_count
+from vigilake.llm.jaccard import near_duplicates
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are not available")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF)
+
+
+@pytest.fixture(scope="module")
+def rows(duck):
+    return duck.sql("select doc_id, text, lang from documents order by doc_id").fetchall()
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(queries.tokenizer_path())
+
+
+@pytest.mark.parametrize("name", sorted(n for n, q in queries.QUERIES.items() if q.oracle))
+def test_equals_sql(spark, duck, name):
+    query = queries.QUERIES[name]
+    assert differences(query.build(spark, SF), duck, query.oracle) == []
+
+
+# --- 1 ------------------------------------------------------------------------------------
+def test_packed_pieces_are_the_librarys(spark, rows, library):
+    got = queries.QUERIES["op1_best_fit_packing"].build(spark, SF).collect()
+    by_doc: dict = {}
+    for r in got:
+        by_doc.setdefault(r.doc_id, []).append(r)
+    for doc_id, text, _ in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        pieces = sorted(by_doc[doc_id], key=lambda r: r.piece)
+        assert [(r.start, r.length) for r in pieces] == [(at, min(4096, len(ids) - at)) for at in range(0, len(ids), 4096)]
+        for r in pieces:
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start:r.start + r.length], dtype="<u4").tobytes())
+    bins: dict = {}
+    for r in got:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for members in bins.values():
+        members.sort()
+        assert [o for o, _ in members] == [sum(n for _, n in members[:i]) for i in range(len(members))]
+        assert sum(n for _, n in members) <= 4096
+    assert len(bins) <= -(-sum(r.length for r in got) // 4096) + 1
+
+
+def test_subset_sum_is_fullest():
+    rng = random.Random(2)
+    for _ in range(200):
+        lengths = sorted({rng.randrange(1, 30) for _ in range(rng.randrange(1, 7))}, reverse=True)
+        available = [(n, rng.randrange(1, 4)) for n in lengths]
+        room = rng.randrange(1, 80)
+        sums = {0}
+        for n, count in available:
+            sums |= {s + n * i for s in sums for i in range(count + 1) if s + n * i <= room}
+        chosen = packing.fullest(available, room)
+        assert sum(n * t for n, t in chosen) == max(sums) and all(t <= dict(available)[n] for n, t in chosen)
+
+
+# --- 3 ------------------------------------------------------------------------------------
+def test_transducer_counts_like_the_library(library):
+    machine = token_count.Transducer(queries.tokenizer_path())
+    rng = random.Random(3)
+    bits = ["a", "th", "e", "ing", "'s", "'", " ", "\n", "1", "é", "中", "!", "..", "-", "Σ", "İ", "́", "\t", "The", "<|", "|>", "🙂",
+            "\x1f", "<|endoftext|>", " "]
+    texts = ["", "a" * 2000, "ab" * 400, "<|endoftext|> A <|ENDOFTEXT|>x<|startoftext|>'s", "J̌x\x85e ǰ", "it's, don't. 3,4. 'LL"]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 40))) for _ in range(800)]
+    for text in texts:
+        want = len(library.encode(text, add_special_tokens=False).ids)
+        for chunk in (1, 5, 32_768):
+            maps = [machine.state_map(text[at:at + chunk]) for at in range(0, len(text), chunk)]
+            assert machine.scan(maps) == want, (text, chunk)
+
+
+def test_composition_is_associative():
+    machine = token_count.Transducer(queries.tokenizer_path())
+    a, b, c = (machine.state_map(t) for t in ("the qui", "ckest", " brown fo"))
+    assert machine.compose(machine.compose(a, b), c) == machine.compose(a, machine.compose(b, c))
+
+
+def test_token_counts_of_documents(spark, rows, library):
+    got = {r.doc_id: r for r in queries.QUERIES["op3_token_counts"].build(spark, SF).collect()}
+    for doc_id, text, _ in rows:
+        n = len(library.encode(text or "", add_special_tokens=False).ids)
+        assert (got[doc_id].n_bytes, got[doc_id].n_tokens, got[doc_id].over_limit) == (len((text or "").encode()), n, n > 2048)
+
+
+# --- 4 ------------------------------------------------------------------------------------
+def test_recall_at_the_edit_bound(rows):
+    rng = random.Random(4)
+    words = [t.lower().split() for _, t, _ in rows if t]
+    items = [(i, " ".join(w[5:5 + rng.randrange(8, 60)])) for i, w in enumerate(words) if len(w) > 80]
+    index = decontaminate.LeakIndex(items)
+    vocabulary = sorted({w for own in words for w in own})
+    met = asked = 0
+    for number, (_, text) in enumerate(items):
+        own = text.split()
+        bound = decontaminate.edit_bound(len(own))
+        edited = list(own)
+        for _ in range(bound):
+            at = rng.randrange(len(edited))
+            edited[at:at + rng.randrange(2)] = [rng.choice(vocabulary)] * rng.randrange(2)
+        other = rng.choice(words)[:200]
+        doc = [*other, *edited, *other[:50]]
+        codes = [index.vocabulary.get(w, 0) for w in doc]
+        if min(decontaminate.edit_distance(index.items[number][1], codes[s:s + len(own)], bound) for s in range(len(doc))) <= bound:
+            asked += 1
+            met += any(hit[0] == number for hit in index.search(doc))
+    assert asked >= 50 and met >= 0.95 * asked
+
+
+def test_exact_copies_are_always_found_and_others_left(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    docs = spark.createDataFrame([(1, f"x y z {item} w"), (2, "alpha beta gamma is not the passage at all here now"), (3, item.upper())], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    found = decontaminate.find_leaks(docs, benchmark).collect()
+    assert sorted((r.doc_id, r.item_id, r.distance, r.start_word) for r in found) == [(1, 7, 0, 3), (3, 7, 0, 0)]
+    assert [r.doc_id for r in decontaminate.drop_leaking(docs, benchmark).collect()] == [2]
+
+
+def test_edit_distance_against_table():
+    rng = random.Random(9)
+    for _ in range(200):
+        a, b = ([rng.randrange(3) for _ in range(rng.randrange(8))] for _ in range(2))
+        table = np.zeros((len(a) + 1, len(b) + 1), dtype=int)
+        table[:, 0], table[0, :] = range(len(a) + 1), range(len(b) + 1)
+        for i, x in enumerate(a, 1):
+            for j, y in enumerate(b, 1):
+                table[i, j] = min(table[i - 1, j] + 1, table[i, j - 1] + 1, table[i - 1, j - 1] + (x != y))
+        for bound in (0, 2, 9):
+            assert decontaminate.edit_distance(a, b, bound) == min(table[-1, -1], bound + 1)
+
+
+# --- 5, 6 ---------------------------------------------------------------------------------
+def test_language_of_held_out_rows(spark, rows):
+    got = {r.doc_id: r for r in queries.QUERIES["op5_language_id"].build(spark, "/root/testdata/sf0.01").collect()}
+    truth = {r[0]: r[1] for r in connect("/root/testdata/sf0.01").sql("select doc_id, lang from documents").fetchall()}
+    held = [r for r in got.values() if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got.values())
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) >= 0.97
+    assert np.mean([r.rejected for r in held]) <= 0.02
+
+
+def test_quality_of_held_out_rows(spark):
+    got = {r.doc_id: r for r in queries.QUERIES["op6_passage_quality"].build(spark, "/root/testdata/sf0.01").collect()}
+    labels = connect("/root/testdata/sf0.01").sql("select doc_id, quality from labels").fetchall()
+    scores = {v: [got[d].score for d, q in labels if q == v and d in got and got[d].held_out] for v in (0, 1)}
+    auc = np.mean([np.mean([(a > b) + 0.5 * (a == b) for b in scores[0]]) for a in scores[1]])
+    assert auc >= 0.95
+
+
+def test_quality_gradient():
+    rng = np.random.default_rng(0)
+    bags = [rng.normal(size=(n, passage_quality.WIDTH)) for n in (1, 3, 5)]
+    labels = np.array([0.0, 1.0, 1.0])
+    shape = {"E": (passage_quality.WIDTH, 4), "e": 4, "V": (4, 3), "U": (4, 3), "a": 3, "c": 4, "b": ()}
+    model = passage_quality.AttentionModel(np.zeros(passage_quality.WIDTH), np.ones(passage_quality.WIDTH), {k: rng.normal(size=s) * 0.3 for k, s in shape.items()})
+    starts = np.array([0, 1, 4])
+
+    def loss():
+        score, _ = model.forward(np.concatenate(bags), starts)
+        return -np.mean(labels * np.log(score) + (1 - labels) * np.log(1 - score))
+
+    score, seen = model.forward(np.concatenate(bags), starts)
+    slopes = model.gradient(seen, (score - labels) / 3, starts)
+    for name in ("E", "V", "U", "a", "c"):
+        index = tuple(0 for _ in np.shape(model.weights[name]))
+        before = model.weights[name][index]
+        model.weights[name][index] = before + 1e-5
+        up = loss()
+        model.weights[name][index] = before - 1e-5
+        down = loss()
+        model.weights[name][index] = before
+        assert math.isclose((up - down) / 2e-5, slopes[name][index], rel_tol=1e-3, abs_tol=1e-7)
+
+
+# --- 8 ------------------------------------------------------------------------------------
+def test_chain_of_near_copies_is_one_component(spark):
+    rng = random.Random(8)
+    current = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(40):
+        rows.append((100 - i, " ".join(current)))
+        current = list(current)
+        current[(i * 7) % 120] = f"n{i}"
+    rows += [(1000 + i, " ".join(f"q{i}-{j}" for j in range(50))) for i in range(5)]
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {got[100 - i] for i in range(40)} == {61} and all(got[1000 + i] == 1000 + i for i in range(5))
+
+
+# --- 10 -----------------------------------------------------------------------------------
+def test_base_scores_and_probabilities(spark, rows):
+    got = {r.doc_id: r for r in queries.QUERIES["op10_ngram_lm"].build(spark, SF).collect()}
+    own = {d: [*(t or "").encode().lower().split(), b"\n"] for d, t, _ in rows}
+    training = [d for d in own if zlib.crc32(str(d).encode()) % 10 != 0]
+    counts = Counter(w for d in training for w in own[d])
+    total, distinct = sum(counts.values()), len(counts)
+    for d, words in own.items():
+        base = sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in words)
+        assert (got[d].n_tokens, got[d].n_known, got[d].train_tokens) == (len(words), sum(counts[w] > 0 for w in words), total)
+        assert math.isclose(got[d].base_score, base, rel_tol=1e-9)
+    held = [r for r in got.values() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_automaton_sums_to_one_and_matches_backoff(spark):
+    texts = ["a b a b c", "a b b a", "b a b", "c c a b"]
+    rows = spark.createDataFrame([(bytearray(t.encode()),) for t in texts], "text binary")
+    model = ngram_lm.fit(rows, 3)
+    symbols = [ngram_lm.RARE, *model.symbols.values()]
+    for state in range(len(model.machine.arcs)):
+        mass = 0.0
+        for symbol in symbols:
+            at, log = state, 0.0
+            while symbol not in model.machine.arcs[at]:
+                log += model.machine.weight[at]
+                at = model.machine.fail[at]
+            mass += 10 ** (log + model.machine.arcs[at][symbol][1])
+        assert math.isclose(mass, 1.0, rel_tol=1e-9)
+
+
+# --- pipeline -----------------------------------------------------------------------------
+def test_pipeline_against_brute_force(spark, rows, duck):
+    """Each stage's decisions, from the stage's own input."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).collect(), docs.schema)
+        kept[name] = {r.doc_id: r.text for r in docs.collect()}
+    assert len(kept["language_id"]) >= 0.97 * len(rows)
+    texts = {d: [w for w in t.encode().lower().split()] for d, t in kept["language_id"].items()}
+    sets = {d: {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for d, w in texts.items()}
+    survivors = set(kept["ngram_jaccard_join"])
+    for d in set(texts) - survivors:
+        assert any(4 * len(sets[d] & sets[e]) >= 3 * len(sets[d] | sets[e]) for e in texts if e != d)
+    alive = sorted(survivors)
+    for i, d in enumerate(alive):
+        assert not any(4 * len(sets[d] & sets[e]) >= 3 * len(sets[d] | sets[e]) for e in alive[i + 1:])
+    items = [" ".join(t.lower().split()) for (t,) in duck.sql("select text from benchmark where text is not null").fetchall()]
+    leaking = {d for d in survivors if any(f" {i} " in f" {' '.join(kept['ngram_jaccard_join'][d].lower().split())} " for i in items)}
+    assert not leaking & set(kept["benchmark_decontamination"])
+    assert set(kept["secret_scan"]) == set(kept["benchmark_decontamination"])
+    assert not any("AKIA" in t for t in kept["secret_scan"].values())
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(kept["secret_scan"])

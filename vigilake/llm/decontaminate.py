@@ -156,12 +156,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``docs``: doc_id bigint, text string; ``benchmark``: item_id bigint, text string; further columns are ignored. An
     item matches where a window of as many words lies within ``edit_bound`` word edits. Null or blank texts match
-    nothing, items under MIN_WORDS words are not searched, repeated rows each give their rows, null ids stay null. An
+    nothing, repeated items count once, items under MIN_WORDS words are not searched, repeated rows each give their rows, null ids stay null. An
     empty table on either side gives no rows.
     """
     from vigilake.llm.texts import utf8
 
-    items = benchmark.select("item_id", "text").filter("text is not null")
+    items = benchmark.select("item_id", "text").filter("text is not null").distinct()
     blocks = max(1, -(-items.count() // ITEMS_PER_BLOCK))
     texts = docs.select("doc_id", utf8().alias("text"))
     found = None

@@ -69,6 +69,8 @@ def ngram_counts(texts: DataFrame, symbols: dict[bytes, int], order: int) -> Dat
 
         def flush():
             for n, parts in enumerate(held, 2):
+                if not parts:  # no text of that many symbols
+                    continue
                 grams, counts = np.unique(np.concatenate(parts), return_counts=True)
                 for at in range(0, len(grams), 100_000):
                     part = grams[at:at + 100_000]

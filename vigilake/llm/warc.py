@@ -46,8 +46,8 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     keys = rows.filter(F.col("size") >= least_bytes).select("digest", "size", "page_id")
     firsts = keys.groupBy("digest", "size").agg(F.min("page_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     copies = (keys.join(firsts.drop("n"), ["digest", "size"]).filter("page_id != least")
-              .select("page_id", F.col("least").alias("first")).dropDuplicates(["page_id"]))
-    return rows.join(copies, "page_id", "left")
+              .select("page_id", "digest", F.col("least").alias("first")).dropDuplicates(["page_id", "digest"]))
+    return rows.join(copies, ["page_id", "digest"], "left")
 
 
 def _header(name: str, value: Column) -> Column:
@@ -55,8 +55,9 @@ def _header(name: str, value: Column) -> Column:
 
 
 def _urn(page: Column, segment: Column | None = None) -> Column:
+    """Record id: rows that are equal in page and payload share it."""
     tail = F.lit("") if segment is None else F.when(segment > 1, F.concat(F.lit("-"), segment.cast("string"))).otherwise(F.lit(""))
-    return F.concat(F.lit("<urn:page:"), page.cast("string"), tail, F.lit(">"))
+    return F.concat(F.lit("<urn:page:"), page.cast("string"), F.lit(":"), F.col("digest"), tail, F.lit(">"))
 
 
 def _chunked(payload: Column, chunk: int) -> Column:
@@ -102,8 +103,8 @@ def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT_BYTES, ch
                    per_file: int = RECORDS_PER_FILE) -> None:
     """One record per row of ``pages`` (page_id bigint, url string, html string; further columns are ignored) under ``path``.
 
-    A null html is an empty payload, a null url an empty one; rows with a null page_id have no record id and are left out;
-    rows that share a page_id are one page to readers. An empty table writes no record.
+    A null html is an empty payload, a null url an empty one; rows with a null page_id have no record id and are left out.
+    Rows equal in page_id and payload have the same record id. An empty table writes no record.
     """
     (records(pages, segment, chunk, least_bytes).write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
      .option("maxRecordsPerFile", per_file).text(path))
@@ -173,7 +174,7 @@ def reassemble(raw: DataFrame) -> DataFrame:
     joined = parts.groupBy("of").agg(
         *[first(name) for name in ("record_id", "kind", "uri", "digest", "refers_to")],
         F.max("total").alias("total"), F.max("segment").alias("last"),
-        F.array_sort(F.collect_list(F.struct("segment", "content"))).alias("segments"))
+        F.array_sort(F.collect_set(F.struct("segment", "content"))).alias("segments"))
     content = F.aggregate("segments", F.lit(b""), lambda acc, s: F.concat(acc, s["content"]))
     complete = (F.size("segments") == F.col("last")) & (F.octet_length("content") == F.col("total"))
     checked = joined.withColumn("content", content).withColumn("content", F.when(complete, F.col("content")).otherwise(
@@ -222,24 +223,23 @@ def round_trip(pages: DataFrame, segment: int = SEGMENT_BYTES, least_bytes: int
     """Write the pages to archives in the shared folder, read them back and describe every record.
 
     (page_id, payload_bytes, payload_digest, record_type, refers_to): size and digest are those of the payload read, for
-    revisits those of the response they refer to. Edge cases are those of ``write_archives``.
+    revisits those of the response they refer to. Rows equal in page and payload give one row. Edge cases are those of ``write_archives``.
     """
     spark = pages.sparkSession
     path = staging_path(spark, "warc")
     write_archives(pages, path, segment, least_bytes=least_bytes)
     read = read_payloads(spark, path).select(
-        "record_id", "kind", "refers_to", F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        "record_id", "kind", "refers_to", F.regexp_replace("digest", "^sha1:", "").alias("stated"), F.octet_length("payload").cast("bigint").alias("payload_bytes"),
         sha1_base32(F.col("payload")).alias("payload_digest"))
     # digests only from here on
-    page = lambda name: F.regexp_extract(name, r"<urn:page:(-?\d+)>", 1).cast("bigint")
-    rows = read.select(page("record_id").alias("page_id"), F.col("kind").alias("record_type"),
-                       F.when(F.col("kind") == "revisit", page("refers_to")).alias("refers_to"), "payload_bytes", "payload_digest")
-    return rows
+    page = lambda name: F.regexp_extract(name, r"<urn:page:(-?\d+):", 1).cast("bigint")
+    return read.select(page("record_id").alias("page_id"), F.col("kind").alias("record_type"), F.when(
+        F.col("kind") == "revisit", page("refers_to")).alias("refers_to"), "stated", "payload_bytes", "payload_digest").distinct()
 
 
 def resolve_revisits(rows: DataFrame) -> DataFrame:
-    """Give revisit rows the size and digest of the response they refer to."""
+    """Give revisit rows the size and digest of the response they refer to, found by page and stated digest."""
     own = rows.filter("record_type != 'revisit'")
     revisits = rows.filter("record_type = 'revisit'").drop("payload_bytes", "payload_digest")
-    known = own.select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest")
-    return own.unionByName(revisits.join(known, "refers_to", "left").select(*own.columns))
+    known = own.select(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("stated"), "payload_bytes", "payload_digest")
+    return own.unionByName(revisits.join(known, ["refers_to", "stated"], "left").select(*own.columns))
