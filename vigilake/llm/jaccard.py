@@ -36,12 +36,12 @@ def need(n, percent: int):
 
 
 def _shingle_rows(docs: DataFrame, size: int, percent: int, common: np.ndarray) -> DataFrame:
-    """One row per document: size of its set, two fingerprints of the set, and its head block in column order."""
+    """One row per document: size of its set, rare columns in it, two fingerprints of it, and its head block in column order."""
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            counts, low, high, heads = [], [], [], []
+            counts, rare, low, high, heads = [], [], [], [], []
             for text in batch.column(1):
                 own = shingles(words_of(text.as_py()), hashes, size)
                 unsigned = own.view(np.uint64)
@@ -54,13 +54,16 @@ def _shingle_rows(docs: DataFrame, size: int, percent: int, common: np.ndarray)
                     at = np.searchsorted(common, own)
                     is_common = common[np.minimum(at, len(common) - 1)] == own
                     own = np.concatenate([own[~is_common], own[is_common]])
+                    rare.append(len(own) - int(is_common.sum()))
+                else:
+                    rare.append(len(own))
                 heads.append(own[:head])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()),
-                 long_lists(heads)], names=["doc_id", "n_shingles", "low", "high", "head"])
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(rare, pa.int64()), pa.array(low, pa.int64()),
+                 pa.array(high, pa.int64()), long_lists(heads)], names=["doc_id", "n_shingles", "rare", "low", "high", "head"])
 
     return map_arrow(docs.select("doc_id", utf8().alias("text")), run,
-                     "doc_id bigint, n_shingles bigint, low bigint, high bigint, head array<bigint>")
+                     "doc_id bigint, n_shingles bigint, rare bigint, low bigint, high bigint, head array<bigint>")
 
 
 def _full_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -86,10 +89,10 @@ def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def _postings(rows: DataFrame, common: np.ndarray) -> DataFrame:
-    """(h, doc_id, n, pos) of the head block, for columns with two rows or more."""
+    """(h, doc_id, n, r, pos) of the head block, for columns with two rows or more; the columns from place r on are common."""
     spark = rows.sparkSession
     entries = rows.filter("n_shingles > 0").select(
-        "doc_id", F.col("n_shingles").cast("int").alias("n"), F.posexplode("head").alias("pos", "h"))
+        "doc_id", (F.shiftleft("n_shingles", 32) + F.col("rare")).alias("nr"), F.posexplode("head").alias("pos", "h"))
     # common columns: counted with map-side merging, at most COMMON_MOST rows, so this side has a proven size bound
     hot = spark.createDataFrame([(int(h),) for h in common], "h bigint")
     hot_entries = entries.join(F.broadcast(hot), "h", "left_semi")
@@ -97,22 +100,32 @@ def _postings(rows: DataFrame, common: np.ndarray) -> DataFrame:
     hot_shared = hot_entries.join(F.broadcast(hot_sizes), "h", "left_semi")
     cold = entries.join(F.broadcast(hot), "h", "left_anti")
     sized = cold.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h")))
-    columns = ["h", "doc_id", "n", "pos"]
+    # both sizes travel as one number
+    columns = ["h", "doc_id", F.shiftright("nr", 32).cast("int").alias("n"), F.col("nr").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("r"), "pos"]
     return sized.filter("m > 1").select(*columns).unionByName(hot_shared.select(*columns))
 
 
 def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
     """Sum the product's terms per pair and discard pairs that stay below the bound their sizes give.
 
-    ``pairs``: x, y (x < y), nx, ny, px, py per shared head column. Returns x, y, nx, ny.
+    ``pairs``: x, y (x < y), nx, ny, rx, ry, px, py per shared head column. Returns x, y, nx, ny.
+
+    Most columns of a document that shows up in the list of a common column are common. Two such rows can only reach the
+    bound if their common columns alone are enough, or if they share a rare column; in the latter case they also meet in
+    that column's list. So in common columns only pairs of the first kind are formed, and for the others what the common
+    columns can add is bounded by their number.
     """
     fits = (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
     bound = F.expr(f"((nx + ny) * {percent} + {99 + percent}) div {100 + percent}")
+    common = F.least(F.col("nx") - F.col("rx"), F.col("ny") - F.col("ry"))
+    formed = (F.col("px") < F.col("rx")) | (common >= bound)
     # head columns are matched in one order, so after the last match only the rest of either row can follow; and the row
     # whose head ends first has met all of it, so besides the matches only its columns behind the head can be shared
     behind = F.expr(f"(greatest(nx, ny) * {percent} + 99) div 100 - 1")
+    head_is_common = lambda n, r: F.col(r) < F.col(n) - F.expr(f"({n} * {percent} + 99) div 100") + 1
+    behind = F.when(head_is_common("nx", "rx") & head_is_common("ny", "ry") & (common < bound), common).otherwise(behind)
     rest = F.least(F.col("nx") - F.col("px") - 1, F.col("ny") - F.col("py") - 1, behind)
-    return (pairs.filter(fits).groupBy("x", "y", "nx", "ny")
+    return (pairs.filter(fits & formed).groupBy("x", "y", "nx", "ny", "rx", "ry")
             .agg(F.count(F.lit(1)).alias("c"), F.max("px").alias("px"), F.max("py").alias("py"))
             .filter(F.col("c") + rest >= bound).select("x", "y", "nx", "ny"))
 
@@ -132,11 +145,11 @@ def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataF
 
 
 def _as_pairs(joined: DataFrame) -> DataFrame:
-    """Orient (doc_id, n, pos) against (hub, hn, hpos) so that x < y."""
+    """Orient (doc_id, n, r, pos) against (hub, hn, hr, hpos) so that x < y."""
     first = F.col("doc_id") < F.col("hub")
     pick = lambda a, b: F.when(first, F.col(a)).otherwise(F.col(b))
     return joined.select(pick("doc_id", "hub").alias("x"), pick("hub", "doc_id").alias("y"), pick("n", "hn").alias("nx"),
-                         pick("hn", "n").alias("ny"), pick("pos", "hpos").alias("px"), pick("hpos", "pos").alias("py"))
+                         pick("hn", "n").alias("ny"), pick("r", "hr").alias("rx"), pick("hr", "r").alias("ry"), pick("pos", "hpos").alias("px"), pick("hpos", "pos").alias("py"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -157,7 +170,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     reps = full.groupBy(*keys).agg(F.min("doc_id").alias("rep"))
     equal = staged(full.select("doc_id", *keys).join(reps, keys).select("doc_id", "rep").distinct(), "equal")
     representatives = equal.filter("doc_id = rep").select("doc_id")
-    shared = _postings(full.select("doc_id", "n_shingles", "head"), common)
+    shared = _postings(full.select("doc_id", "n_shingles", "rare", "head"), common)
     postings = staged(shared.join(representatives, "doc_id", "left_semi"), "postings")
     label = min_labels(equal.filter("doc_id != rep").select(F.col("doc_id").alias("x"), F.col("rep").alias("y")))
 
@@ -175,9 +188,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
                 break
         order = F.xxhash64("doc_id", F.lit(turn)) if turn else F.col("doc_id")
         part = F.col("component") if turn else F.col("doc_id")
-        hub = F.min(F.struct(order.alias("order"), "doc_id", "n", "pos", part.alias("part")))
+        hub = F.min(F.struct(order.alias("order"), "doc_id", "n", "r", "pos", part.alias("part")))
         hubs = state.groupBy("h").agg(hub.alias("hub")).select(
-            "h", F.col("hub.doc_id").alias("hub"), F.col("hub.n").alias("hn"), F.col("hub.pos").alias("hpos"),
+            "h", F.col("hub.doc_id").alias("hub"), F.col("hub.n").alias("hn"), F.col("hub.r").alias("hr"), F.col("hub.pos").alias("hpos"),
             F.col("hub.part").alias("hpart"))
         joined = state.join(hubs, "h").filter(part != F.col("hpart"))
         found = _linked(_bounded(_as_pairs(joined), percent), docs, size, percent)
@@ -200,6 +213,6 @@ def _still_apart(postings: DataFrame, label: DataFrame) -> DataFrame:
 
 def _across(state: DataFrame) -> DataFrame:
     """All pairs of a column's rows that lie in different components."""
-    other = state.select("h", F.col("doc_id").alias("hub"), F.col("n").alias("hn"), F.col("pos").alias("hpos"),
+    other = state.select("h", F.col("doc_id").alias("hub"), F.col("n").alias("hn"), F.col("r").alias("hr"), F.col("pos").alias("hpos"),
                          F.col("component").alias("hc"))
     return _as_pairs(state.join(other, "h").filter("component != hc and doc_id < hub"))
