@@ -13,8 +13,8 @@ from vigilake.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(shuffle_partitions=4)
+def spark(tmp_path_factory):
+    session = local_session(shuffle_partitions=4, checkpoint_dir=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -11,7 +11,8 @@ from vigilake.operators import anomaly as A
 from vigilake.operators import classes as L
 from vigilake.operators import classify as G
 from vigilake.operators.balancing import smote
-from vigilake.operators.neighbours import distinct_points, nearest_neighbours
+from vigilake.functions.quantiles import exact_percentile
+from vigilake.operators.neighbours import nearest_neighbours
 from vigilake.operators.scaling import apply_pca, choose_components, normalize_features
 from vigilake.plans.flows import balance_features
 from vigilake.sources import sinks
@@ -83,11 +84,11 @@ def clustered():
     return np.vstack([a, b]), ["a"] * 90 + ["b"] * 25
 
 
-@pytest.mark.parametrize("slice_rows", [8, 1000])
-def test_neighbours_against_brute_force(spark, clustered, slice_rows):
+def test_neighbours_against_brute_force(spark, clustered):
+    """A class that fits into one slice is searched exactly."""
     matrix, labels = clustered
     df, columns = frame(spark, matrix, labels)
-    rows = nearest_neighbours(df, columns, "label", 4, slice_rows).collect()
+    rows = nearest_neighbours(df, columns, "label", 4, 1000).collect()
     for name in ("a", "b"):
         points = np.unique(matrix[np.array(labels) == name], axis=0)
         mine = [r for r in rows if r["label"] == name]
@@ -97,11 +98,50 @@ def test_neighbours_against_brute_force(spark, clustered, slice_rows):
             assert np.allclose([n["distance"] for n in r["neighbours"]], distances)
 
 
-def test_slices_stay_small(spark, clustered):
+def test_neighbour_recall_and_flat_cost(spark):
+    """64 dimensions, slices far smaller than the class: good recall, and as many comparisons per point at 4x the rows."""
+    centres = RNG.normal(size=(40, 64)) * 3
+    matrix = centres[RNG.integers(0, 40, 1200)] + RNG.normal(size=(1200, 64)) * 0.5
+    df, columns = frame(spark, matrix, ["a"] * 1200)
+    rows = nearest_neighbours(df, columns, "label", 5, slice_rows=64).collect()
+    assert len(rows) == 1200
+    hits = 0
+    for r in rows[:150]:
+        distances = np.sort(np.linalg.norm(matrix - np.array(r["vector"]), axis=1))[1:6]
+        assert len(r["neighbours"]) == 5 and all(n["distance"] >= distances[0] - 1e-9 for n in r["neighbours"])
+        hits += sum(n["distance"] <= distances[-1] + 1e-9 for n in r["neighbours"])
+    assert hits >= 0.8 * 5 * 150
+    assert len({r["point_id"] for r in rows}) == 1200
+
+
+def test_many_classes_and_null_labels(spark):
+    rows = spark.range(40_000).select(
+        F.col("id"), F.when(F.col("id") % 100 != 99, F.concat(F.lit("c"), (F.col("id") % 20_000).cast("string"))).alias("label"))
+    weighted = L.balanced_weights(rows)
+    classes, n = rows.agg(F.count_distinct("label"), F.count("label")).first()
+    assert classes > 19_000
+    bad = weighted.filter("label is not null").filter(F.abs(F.col("weight") - n / (classes * 2.0)) > 1e-9)
+    assert bad.isEmpty() and weighted.filter("label is null and weight is null").count() == 400
+    split = L.stratified_split(rows, test_fraction=0.5)
+    assert split.count() == 40_000 and split.filter("is_test").count() == classes and split.filter("label is null and is_test").isEmpty()
+    folds = L.stratified_folds(rows, folds=2)
+    assert folds.filter("label is null and fold is null").count() == 400 and folds.filter("fold = 1").count() == classes
+
+
+def test_smote_leaves_unlabelled_rows(spark, clustered):
     matrix, labels = clustered
     df, columns = frame(spark, matrix, labels)
-    sizes = distinct_points(df, columns, "label", 8).groupBy("label", "slice").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 8
+    odd = df.withColumn("label", F.when(F.col("id") != 0, F.col("label")))
+    counts = {r["label"]: r["count"] for r in smote(odd, columns).groupBy("label").count().collect()}
+    assert counts == {None: 1, "a": 89, "b": 89}
+
+
+def test_percentile_that_sketches_cannot_narrow(spark):
+    """Two values that hold nearly all rows, and ranks between them."""
+    values = spark.range(4000).select(F.when(F.col("id") < 1999, 1.0).when(F.col("id") < 2001, 1.0 + F.col("id") / 1e4).otherwise(2.0).alias("v"))
+    ordered = np.sort([r["v"] for r in values.collect()])
+    for fraction in (0.0, 0.25, 0.5, 0.50012, 0.75, 1.0):
+        assert exact_percentile(values, "v", fraction, bracket_rows=10) == pytest.approx(np.quantile(ordered, fraction), abs=1e-12)
 
 
 def test_smote_properties(spark, clustered):

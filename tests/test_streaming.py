@@ -78,7 +78,10 @@ def test_response_ledger_is_idempotent(spark, tmp_path):
 
     def step():
         K.start_response(read_stream(spark, str(folder)), ledger, str(tmp_path / "cp"), available_now=True).awaitTermination()
-        return sorted(r["pod"] for r in spark.read.parquet(ledger).collect())
+        return created()
+
+    def created():
+        return sorted(r["pod"] for r in spark.read.parquet(ledger).filter("status = 'created'").collect())
 
     feed(("1", "a", 0.95, "HIGH"), ("2", "a", 0.99, "CRITICAL"), ("3", "b", 0.5, "HIGH"), ("4", "c", 0.95, "LOW"))
     assert step() == ["a"]
@@ -86,11 +89,45 @@ def test_response_ledger_is_idempotent(spark, tmp_path):
     assert step() == ["a", "d"]
     # a lost checkpoint replays everything; pods in the ledger are not isolated again
     K.start_response(read_stream(spark, str(folder)), ledger, str(tmp_path / "cp2"), available_now=True).awaitTermination()
-    assert len({r["pod"] for r in spark.read.parquet(ledger).collect()}) == 2
+    assert created() == ["a", "d"]
+    # every planned action is recorded, also those of the batch before
+    actions = {r["action"] for r in spark.read.parquet(ledger).collect()}
+    assert {"isolate_pod", "log_only"} <= actions
+
+
+def test_response_ledger_of_two_runs_and_a_rollback(spark, tmp_path):
+    schema = ("alert_id string, pod string, namespace string, threat_type string, confidence_score double, risk_level string, "
+              "mitre_technique string, predicted_next_stage string, anomaly_score double, received_at timestamp")
+    ledger = str(tmp_path / "ledger")
+
+    def run_once(number, pod, minute):
+        folder = tmp_path / f"alerts{number}"
+        row = (str(number), pod, "ns", "ddos", 0.95, "HIGH", None, None, None, START + timedelta(minutes=minute))
+        spark.createDataFrame([row], schema).coalesce(1).write.parquet(str(folder))
+        K.start_response(read_stream(spark, str(folder)), ledger, str(tmp_path / f"cp{number}"), available_now=True).awaitTermination()
+        rows = spark.read.parquet(ledger).filter("action = 'isolate_pod'").collect()
+        return sorted((r["alert_id"], r["pod"], r["status"]) for r in rows)
+
+    run_once(1, "a", 0)
+    assert run_once(2, "b", 1) == [("1", "a", "created"), ("2", "b", "created")]
+    assert run_once(3, "a", 2)[-1] == ("3", "a", "already_exists")
+    pods = spark.createDataFrame([("ns", "a", START + timedelta(minutes=3))], "namespace string, pod string, ts timestamp")
+    K.record_rollback(pods, ledger, "r1")
+    assert run_once(4, "a", 4)[-1] == ("4", "a", "created")
+
+
+def test_feature_stream_skips_null_pods_and_null_severities(spark, clean_events, tmp_path):
+    some = clean_events.fillna("").limit(6)
+    odd = some.withColumn("pod", F.when(F.col("event_id") != some.first()["event_id"], F.col("pod"))).withColumn(
+        "severity_numeric", F.when(F.col("severity") != "LOW", F.col("severity_numeric")))
+    source = read_stream(spark, stage_closed(odd, "odd"))
+    rows = run(K.feature_stream(source, 60, "1 day"), tmp_path, "odd-features").select("pod", "severity_mean").collect()
+    batch = X.feature_matrix(odd, 60, [], []).select("pod", "severity_mean").collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, batch))
 
 
 def test_late_rows_do_not_reopen_feature_windows(spark, clean_events, tmp_path):
     source = read_stream(spark, stage_closed(clean_events.fillna(""), "clean"))
     rows = run(K.feature_stream(source, 60, "1 day"), tmp_path, "features")
-    assert rows.count() == X.feature_matrix(clean_events, 60, []).count()
+    assert rows.count() == X.feature_matrix(clean_events, 60, [], []).count()
     assert rows.agg(F.sum("event_count")).first()[0] == 100

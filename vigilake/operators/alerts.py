@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from vigilake import knowledge as kb
 from vigilake.functions import scalars as S
+from vigilake.operators.drain import STEP_TYPE, drain_plan
 
 OPTIONAL_FIELDS = {
     "risk_level": "string", "mitre_technique": "string", "predicted_next_stage": "string",
     "anomaly_score": "double",
 }
 
-ACTION_TYPE = "array<struct<action:string,status:string,policy_name:string,node:string,reason:string>>"
+DETAIL_TYPE = f"struct<status:string,error:string,steps:array<{STEP_TYPE}>>"
+ACTION_TYPE = f"array<struct<action:string,status:string,policy_name:string,node:string,reason:string,details:{DETAIL_TYPE}>>"
 
 
 # --- validation ---------------------------------------------------------------------------
@@ -99,7 +101,7 @@ def actions_of_risk(risk: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), risk), fallback)
 
 
-def _outcome(action: Column, pod: Column, node: Column) -> Column:
+def _outcome(action: Column, pod: Column, node: Column, drained: Column) -> Column:
     text = F.lit(None).cast("string")
     skipped = action == "apply_audit_policy"
     return F.struct(
@@ -108,6 +110,7 @@ def _outcome(action: Column, pod: Column, node: Column) -> Column:
         F.when(action == "isolate_pod", F.concat(F.lit(kb.POLICY_PREFIX), pod)).otherwise(text).alias("policy_name"),
         F.when(action == "cordon_node", node).otherwise(text).alias("node"),
         F.when(skipped, F.lit(kb.SKIPPED_REASON)).otherwise(text).alias("reason"),
+        F.when(action == "migrate_pods", drained).alias("details"),
     )
 
 
@@ -115,19 +118,22 @@ def plan_response(gated: DataFrame, inventory: DataFrame | None = None) -> DataF
     """Add ``risk`` (defaulted) and ``actions`` (ordered results; empty below the threshold).
 
     With an ``inventory`` (pod, namespace, node) the node to cordon is filled in, and a pod without a node
-    loses its cordon step; without one the node stays open.
+    loses its cordon step; without one the node stays open. ``migrate_pods`` carries the drain plan of the pod's node as
+    ``details``, null where there is no inventory; plans are made once per processed pod.
     """
     planned = gated.withColumn("risk", F.coalesce("risk_level", F.lit(kb.DEFAULT_RISK)))
     if inventory is None:
-        planned = planned.withColumn("__node", F.lit(None).cast("string"))
+        planned = planned.withColumns({"__node": F.lit(None).cast("string"), "__drained": F.lit(None).cast(DETAIL_TYPE)})
     else:
         nodes = inventory.groupBy("pod", "namespace").agg(F.max("node").alias("__node"))
-        planned = planned.join(nodes, ["pod", "namespace"], "left")
-    results = F.transform(actions_of_risk(F.col("risk")), lambda a: _outcome(a, F.col("pod"), F.col("__node")))
+        drained = drain_plan(gated.filter("status = 'processed'"), inventory).groupBy("pod", "namespace").agg(
+            F.max_by(F.struct("status", "error", "steps"), F.coalesce("node", F.lit(""))).cast(DETAIL_TYPE).alias("__drained"))
+        planned = planned.join(nodes, ["pod", "namespace"], "left").join(drained, ["pod", "namespace"], "left")
+    results = F.transform(actions_of_risk(F.col("risk")), lambda a: _outcome(a, F.col("pod"), F.col("__node"), F.col("__drained")))
     if inventory is not None:
         results = F.filter(results, lambda r: (r["action"] != "cordon_node") | r["node"].isNotNull())
     taken = F.when(F.col("status") == "processed", results).otherwise(F.array().cast(ACTION_TYPE))
-    return planned.withColumn("actions", taken).drop("__node")
+    return planned.withColumn("actions", taken).drop("__node", "__drained")
 
 
 def action_rows(planned: DataFrame, keep: tuple[str, ...] = ("alert_id", "pod", "namespace")) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from vigilake import knowledge as kb
 from vigilake.functions import scalars as S
 from vigilake.functions.ordering import lag_in_order
+from vigilake.session import staged
 
 KEY = ["pod", "window_start"]
 
@@ -43,26 +44,67 @@ def _is_network() -> Column:
 
 def base_measures(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS) -> DataFrame:
     """Everything that merges through fixed-size buffers."""
-    port = F.when(_is_network(), F.col("net_dst_port"))
-    flags = [
-        F.max((F.col("event_type") == kind).cast("int")).alias(flag) for kind, flag in kb.EVENT_TYPE_FLAGS
-    ]
-    grouped = with_window(events, window_seconds).groupBy(*KEY).agg(
+    return _finished(with_window(events, window_seconds).groupBy(*KEY).agg(*_sums()))
+
+
+def _sums() -> list[Column]:
+    port = F.when(_is_network(), F.col("net_dst_port").cast("long"))
+    return [
         F.min("timestamp").alias("first_event"),
         F.max("timestamp").alias("last_event"),
         F.count("event_id").alias("event_count"),
         F.count(F.lit(1)).alias("total"),
-        F.count_if(_is_network()).alias("net_count"),
-        F.avg(port).alias("avg_dst_port"),
-        F.stddev_samp(port).alias("std_dst_port"),
+        F.count(port).alias("net_count"),
+        F.sum(port).alias("port_sum"),
+        F.sum(port * port).alias("port_squares"),
         F.max(port).alias("max_dst_port"),
         F.count_if(F.length("syscall") > 0).alias("syscall_count"),
-        F.avg("severity_numeric").alias("severity_mean"),
+        F.sum("severity_numeric").alias("severity_sum"),
+        F.count("severity_numeric").alias("severity_n"),
         F.max("severity_numeric").alias("severity_max"),
         F.count_if(F.col("severity") == "CRITICAL").alias("critical_count"),
-        *flags,
-    )
+        *[F.max((F.col("event_type") == kind).cast("int")).alias(flag) for kind, flag in kb.EVENT_TYPE_FLAGS],
+    ]
+
+
+def _merged_sums() -> list[Column]:
+    """``_sums`` of partial rows."""
+    least, most = ["first_event"], ["last_event", "max_dst_port", "severity_max", *[flag for _, flag in kb.EVENT_TYPE_FLAGS]]
+    added = ["event_count", "total", "net_count", "port_sum", "port_squares", "syscall_count", "severity_sum", "severity_n",
+             "critical_count"]
+    return [f(c).alias(c) for f, cs in ((F.min, least), (F.max, most), (F.sum, added)) for c in cs]
+
+
+def measures(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS, syscalls: Sequence[str] = ()) -> DataFrame:
+    """Base measures and facet figures of every group from one scan.
+
+    Events are first counted by all their facet values at once: equal events become one row with a count and partial
+    sums. Facets are taken apart from these rows, so the second step works on distinct combinations only.
+    """
+    windowed = with_window(events, window_seconds)
+    names = list(_facets())
+    values = {name: value if applies is None else F.when(applies, value) for name, (value, applies) in _facets().items()}
+    combined = windowed.withColumns({f"__{n}": v for n, v in values.items()}).groupBy(*KEY, *[f"__{n}" for n in names]).agg(*_sums())
+    # the sums ride on one entry without a facet; each facet value is an entry with its count
+    sums = [c for c in combined.columns if c not in KEY and not c.startswith("__")]
+    own = F.struct(F.lit("").alias("facet"), F.lit("").alias("value"), F.col("total").alias("n"), F.struct(*sums).alias("s"))
+    empty = F.lit(None).cast(combined.select(F.struct(*sums).alias("s")).schema["s"].dataType)
+    entries = [F.when(F.col(f"__{n}").isNotNull(), F.struct(
+        F.lit(n).alias("facet"), F.col(f"__{n}").alias("value"), F.col("total").alias("n"), empty.alias("s"))) for n in names]
+    apart = combined.select(*KEY, F.explode(F.array(own, *entries)).alias("e")).filter(F.col("e").isNotNull())
+    flat = apart.select(*KEY, "e.facet", "e.value", "e.n", *[F.col(f"e.s.{c}").alias(c) for c in sums])
+    counted = flat.groupBy(*KEY, "facet", "value").agg(F.sum("n").alias("n"), *_merged_sums())
+    merged = _rolled(counted, syscalls, _merged_sums())
+    return _finished(merged, [c for c in merged.columns if c not in KEY and c not in sums])
+
+
+def _finished(grouped: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     zero = F.lit(0.0)
+    n = F.col("net_count")
+    wide = {c: F.col(c).cast("decimal(19,0)") for c in ("net_count", "port_sum", "port_squares")}
+    spread = (wide["net_count"] * wide["port_squares"] - wide["port_sum"] * wide["port_sum"]).cast("double")
+    average = F.when(n > 0, F.col("port_sum") / n)
+    deviation = F.when(n > 1, F.sqrt(F.greatest(zero, spread) / (n * (n - 1))))
     duration = S.seconds_between(F.col("first_event"), F.col("last_event"))
     hour = F.hour("first_event")
     return grouped.select(
@@ -72,15 +114,16 @@ def base_measures(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SEC
         (F.col("event_count") / F.greatest(duration, F.lit(1.0))).alias("event_rate"),
         hour.alias("hour_of_day"),
         ((hour >= kb.OFF_HOURS_FROM) | (hour < kb.OFF_HOURS_UNTIL)).cast("int").alias("is_off_hours"),
-        F.coalesce("avg_dst_port", zero).alias("avg_dst_port"),
-        F.coalesce("std_dst_port", zero).alias("std_dst_port"),
+        F.coalesce(average, zero).alias("avg_dst_port"),
+        F.coalesce(deviation, zero).alias("std_dst_port"),
         F.coalesce((F.col("max_dst_port") > kb.HIGH_PORT).cast("int"), F.lit(0)).alias("has_high_ports"),
         (F.col("net_count") / F.col("total")).alias("network_event_ratio"),
         "syscall_count",
-        "severity_mean",
+        F.try_divide("severity_sum", "severity_n").alias("severity_mean"),
         "severity_max",
         (F.col("critical_count") / F.col("total")).alias("critical_event_ratio"),
         *[F.coalesce(flag, F.lit(0)).alias(flag) for _, flag in kb.EVENT_TYPE_FLAGS],
+        *extra,
     )
 
 
@@ -122,7 +165,10 @@ def facet_counts(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECO
 
 def facet_rollup(counts: DataFrame, syscalls: Sequence[str] = ()) -> DataFrame:
     """Distinct counts, port entropy and syscall frequencies from facet counts."""
+    return _rolled(counts, syscalls)
+
 
+def _rolled(counts: DataFrame, syscalls: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
     def distinct(facet: str) -> Column:
         return F.count_if(F.col("facet") == facet)
 
@@ -144,6 +190,7 @@ def facet_rollup(counts: DataFrame, syscalls: Sequence[str] = ()) -> DataFrame:
         F.sum(F.when(is_port, n * F.log2(n))).alias("__clogc"),
         F.sum(F.when(is_port, F.lit(1.0) / n)).alias("__inverse"),
         *frequencies,
+        *more,
     )
     entropy = S.entropy_from_counts(F.col("__n"), F.col("__clogc"), F.col("unique_dst_ports"), F.col("__inverse"))
     return rolled.withColumn("port_entropy", F.coalesce(entropy, F.lit(0.0))).drop("__n", "__clogc", "__inverse")
@@ -156,9 +203,7 @@ def temporal_features(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW
 
 def traffic_features(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS) -> DataFrame:
     """Only groups with at least one network event have a row."""
-    counts = facet_counts(events, window_seconds, ["dst_ip", "dst_port"])
-    joined = base_measures(events, window_seconds).join(facet_rollup(counts), KEY, "inner")
-    return joined.filter("unique_dst_ports > 0").select(*KEY, *TRAFFIC)
+    return measures(events, window_seconds).filter("unique_dst_ports > 0").select(*KEY, *TRAFFIC)
 
 
 def syscall_features(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS,
@@ -172,10 +217,7 @@ def syscall_features(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_
 
 
 def behavioural_features(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS) -> DataFrame:
-    counts = facet_counts(events, window_seconds, ["event_type", "process", "technique"])
-    joined = base_measures(events, window_seconds).join(facet_rollup(counts), KEY, "left")
-    distinct = ["event_type_diversity", "process_diversity", "mitre_technique_count"]
-    return joined.na.fill(0, distinct).select(*KEY, *BEHAVIOUR)
+    return measures(events, window_seconds).select(*KEY, *BEHAVIOUR)
 
 
 # --- syscalls: frequencies and bigrams ----------------------------------------------------
@@ -241,18 +283,35 @@ def bigram_columns(top: DataFrame, bigrams: Sequence[str]) -> DataFrame:
 
 
 # --- unified matrix -----------------------------------------------------------------------
+def bigram_names(top: DataFrame, most: int | None = None) -> list[str]:
+    """Distinct bigrams kept by any group, the most frequent first; they become column names. All by default."""
+    totals = top.groupBy("bigram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "bigram")
+    return [row["bigram"] for row in (totals if most is None else totals.limit(most)).collect()]
+
+
 def feature_matrix(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS,
-                   syscalls: Sequence[str] | None = None, with_bigrams: bool = False) -> DataFrame:
-    """All feature categories, one row per (pod, window_start); missing numbers are 0."""
+                   syscalls: Sequence[str] | None = None, bigrams: Sequence[str] | None = None,
+                   max_bigrams: int | None = None) -> DataFrame:
+    """All feature categories, one row per (pod, window_start); missing numbers are 0.
+
+    ``bigrams`` names the ``bigram_<a_b>`` columns; by default they are the bigrams that some group keeps among its most
+    frequent ones, ``max_bigrams`` of them at most where it is given. An empty list leaves them out.
+    """
     names = top_syscalls(events) if syscalls is None else list(syscalls)
-    rolled = facet_rollup(facet_counts(events, window_seconds), names)
     frequencies = [f"syscall_freq_{s}" for s in names]
-    joined = base_measures(events, window_seconds).join(rolled, KEY, "left")
-    matrix = joined.select(*KEY, *TEMPORAL, *TRAFFIC, *SYSCALL, *frequencies, *BEHAVIOUR)
+    measured = measures(events, window_seconds, names)
+    matrix = measured.select(*KEY, *TEMPORAL, *TRAFFIC, *SYSCALL, *frequencies, *BEHAVIOUR)
     matrix = matrix.na.fill(0, [c for c in matrix.columns if c not in KEY])
-    if with_bigrams:
-        matrix = matrix.join(bigram_maps(top_bigrams(events, window_seconds)), KEY, "left")
-    return matrix
+    if bigrams is not None and not bigrams:
+        return matrix
+    top = top_bigrams(events, window_seconds)
+    if bigrams is None:
+        top = staged(top, "bigrams")  # read for the names and for the columns
+        bigrams = bigram_names(top, max_bigrams)
+    if not bigrams:
+        return matrix
+    added = [f"bigram_{b}" for b in bigrams]
+    return matrix.join(bigram_columns(top, bigrams), KEY, "left").na.fill(0, added)
 
 
 def numeric_columns(matrix: DataFrame) -> list[str]:

@@ -38,6 +38,21 @@ def field_or(fields: Column, key: str, default: str | Column) -> Column:
     return F.when(absent, fallback).otherwise(F.try_element_at(fields, F.lit(key)))
 
 
+def typed(value: Column, kind: str) -> Column:
+    """A VARIANT as ``kind``; null where it holds something else."""
+    return F.try_variant_get(value, "$", kind)
+
+
+def is_object(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+
+
+def network_of_variant(value: Column) -> Column:
+    """The network struct of a line; null where the field is not an object."""
+    fields = [F.try_variant_get(value, f"$.{name}", "string").alias(name) for name in schemas.NETWORK_FIELDS]
+    return F.when(is_object(value), F.struct(*fields))
+
+
 def event_id(source: str) -> Column:
     """Content hash: replayed or re-shipped lines get the same id, so deduplication can catch them."""
     return F.sha2(F.concat_ws("|", F.lit(source), F.col("value")), 256)
@@ -51,7 +66,7 @@ def _processing_time() -> Column:
 def parse_falco(lines: DataFrame, ignore_priority_case: bool = False) -> DataFrame:
     """Falco alert lines to unified events."""
     raw = parse_json_lines(lines, schemas.FALCO_LINE)
-    fields = F.col("line.output_fields")
+    fields = typed(F.col("line.output_fields"), "map<string,string>")
 
     def field(key: str, default: str) -> Column:
         return field_or(fields, key, default)
@@ -74,7 +89,7 @@ def parse_falco(lines: DataFrame, ignore_priority_case: bool = False) -> DataFra
         field("evt.type", "").alias("syscall"),
         field("proc.cmdline", "").alias("process"),
         F.when(has_network, network).alias("network_metadata"),
-        S.technique_of_tags(F.col("line.tags")).alias("mitre_technique"),
+        S.technique_of_tags(typed(F.col("line.tags"), "array<string>")).alias("mitre_technique"),
         F.col("value").alias("raw_event"),
     )
 
@@ -84,8 +99,12 @@ def parse_kubearmor(lines: DataFrame) -> DataFrame:
     raw = parse_json_lines(lines, schemas.KUBEARMOR_LINE)
 
     def field(key: str, default: str | Column) -> Column:
-        return field_or(F.col("line"), key, default)
+        return field_or(line, key, default)
 
+    line = F.transform_values("line", lambda _, v: typed(v, "string"))
+    # severities are numbers; a quoted one is none of them
+    level = F.try_element_at(F.col("line"), F.lit("Severity"))
+    quoted = F.coalesce(F.schema_of_variant(level) == "STRING", F.lit(False))
     operation = field("Operation", "")
     is_network = F.coalesce(F.lower(operation) == "network", F.lit(False))
     return raw.select(
@@ -95,7 +114,7 @@ def parse_kubearmor(lines: DataFrame) -> DataFrame:
         field("PodName", "unknown").alias("pod"),
         field("NamespaceName", "unknown").alias("namespace"),
         field("ContainerID", "unknown").alias("container_id"),
-        S.kubearmor_severity(field("Severity", "1")).alias("severity"),
+        S.kubearmor_severity(F.when(quoted, F.lit("0")).otherwise(field("Severity", "1"))).alias("severity"),
         S.event_type_of_operation(operation).alias("event_type"),
         field("Syscall", "").alias("syscall"),
         field("ProcessName", "").alias("process"),

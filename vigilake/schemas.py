@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-NETWORK = "struct<src_ip:string,dst_ip:string,src_port:string,dst_port:string,protocol:string>"
+# A field whose JSON type may differ from line to line is read as VARIANT, so it never costs the line.
+LENIENT = "variant"
+NETWORK_FIELDS = ("src_ip", "dst_ip", "src_port", "dst_port", "protocol")
 
 # Ports are read as text so that one bad port does not reject the whole line.
 UNIFIED_LINE = (
     "timestamp string, source string, event_id string, pod string, namespace string, container_id string, "
     "severity string, event_type string, syscall string, process string, "
-    f"network_metadata {NETWORK}, mitre_technique string, label string"
+    f"network_metadata {LENIENT}, mitre_technique string, label string"
 )
 
 # Keys of output_fields contain dots, hence a map and not a struct.
 FALCO_LINE = (
-    "rule string, priority string, time string, tags array<string>, output_fields map<string,string>"
+    f"rule string, priority string, time string, tags {LENIENT}, output_fields {LENIENT}"
 )
 
 # Flat objects; a map tells a field that is null from one that is missing.
-KUBEARMOR_LINE = "map<string,string>"
+KUBEARMOR_LINE = f"map<string,{LENIENT}>"
 
 CLEAN_EVENT = (
     "timestamp timestamp, source string, event_id string, pod string, namespace string, container_id string, "

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from vigilake import schemas
-from vigilake.operators.normalize import flatten_network, parse_json_lines
+from vigilake.operators.normalize import flatten_network, network_of_variant, parse_json_lines
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -26,7 +26,8 @@ def tail_lines(spark: SparkSession, folder: str, max_files: int | None = None) -
 def parse_unified(lines: DataFrame) -> DataFrame:
     """Unified NDJSON lines to flat event columns; blank and malformed lines are skipped."""
     parsed = parse_json_lines(lines, schemas.UNIFIED_LINE)
-    return flatten_network(parsed.select("line.*").drop(schemas.CORRUPT))
+    fields = parsed.select("line.*").drop(schemas.CORRUPT)
+    return flatten_network(fields.withColumn("network_metadata", network_of_variant(F.col("network_metadata"))))
 
 
 def ingest_telemetry(spark: SparkSession, path: str) -> DataFrame:

@@ -5,9 +5,10 @@ Every function takes and returns a streaming DataFrame unless it says that it st
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from vigilake import knowledge as kb
 from vigilake.functions import scalars as S
@@ -81,7 +82,8 @@ def feature_stream(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SE
     The state holds one small row per distinct value and never a collection, whatever one pod sends.
     """
     span = f"{window_seconds} seconds"
-    timed = events.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", delay)
+    located = events.filter(F.col("pod").isNotNull())
+    timed = located.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", delay)
     entries = timed.select(
         "timestamp", F.window("timestamp", span).alias("w"), "pod", F.explode(_feature_entries()).alias("e")
     )
@@ -92,7 +94,7 @@ def feature_stream(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SE
         F.min("e.ts").alias("first_event"), F.max("e.ts").alias("last_event"), F.sum("e.ids").alias("ids"),
         F.count("e.port").alias("ports"), F.sum("e.port").alias("port_sum"), F.sum(square).alias("port_squares"),
         F.max("e.port").alias("port_max"), F.sum("e.syscalls").alias("syscalls"),
-        F.sum("e.severity").alias("severity_sum"), F.max("e.severity").alias("severity_max"),
+        F.sum("e.severity").alias("severity_sum"), F.count("e.severity").alias("severity_n"), F.max("e.severity").alias("severity_max"),
         F.sum("e.critical").alias("critical"), *[F.max(f"e.{flag}").alias(flag) for flag in flags],
     )
     n, facet = F.col("n"), F.col("facet")
@@ -107,7 +109,7 @@ def feature_stream(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SE
         F.sum("ids").alias("event_count"), F.sum(F.when(is_event, F.col("ports"))).alias("net_count"),
         F.sum("port_sum").alias("port_sum"), F.sum("port_squares").alias("port_squares"),
         F.max("port_max").alias("port_max"), F.sum("syscalls").alias("syscall_count"),
-        F.sum("severity_sum").alias("severity_sum"), F.max("severity_max").alias("severity_max"),
+        F.sum("severity_sum").alias("severity_sum"), F.sum("severity_n").alias("severity_n"), F.max("severity_max").alias("severity_max"),
         F.sum("critical").alias("critical"), *[F.max(flag).alias(flag) for flag in flags],
         distinct("dst_ip").alias("unique_dst_ips"), distinct("dst_port").alias("unique_dst_ports"),
         distinct("syscall").alias("syscall_diversity"), distinct("event_type").alias("event_type_diversity"),
@@ -138,7 +140,7 @@ def _finish(rolled: DataFrame, syscalls: tuple[str, ...]) -> DataFrame:
         "port_entropy": F.when(net > 0, entropy).otherwise(zero),
         "has_high_ports": F.coalesce((F.col("port_max") > kb.HIGH_PORT).cast("int"), F.lit(0)),
         "network_event_ratio": net / total,
-        "severity_mean": F.col("severity_sum") / total,
+        "severity_mean": F.coalesce(F.try_divide("severity_sum", "severity_n"), zero),
         "critical_event_ratio": F.col("critical") / total,
     }
     frequencies = [f"syscall_freq_{s}" for s in syscalls]
@@ -223,24 +225,34 @@ def kill_chain_stream(events: DataFrame, column: str = "mitre_technique") -> Dat
 
 def start_response(alerts: DataFrame, ledger_path: str, checkpoint: str,
                    threshold: float = kb.CONFIDENCE_THRESHOLD, available_now: bool = False):
-    """Start planning responses per micro-batch; isolations not yet in the ledger are appended to it.
+    """Start planning responses per micro-batch and append every action to the ledger.
 
-    Each batch writes its own folder and overwrites it when replayed, so a restart adds nothing twice.
+    An isolation is ``created`` unless the pod is isolated already, that is, unless its latest isolation in the ledger is
+    younger than its latest rollback; then it is ``already_exists``. Of several isolations of a pod in one batch the
+    earliest creates it. Each batch of each run writes its own folder and overwrites it when replayed, so a restart adds
+    nothing twice, and a run with a new checkpoint replaces nothing of an older one. Batches without actions write nothing.
     """
 
     def respond(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or hashlib.sha256(checkpoint.encode()).hexdigest()[:32]
         planned = alert_ops.action_rows(alert_ops.respond(batch, threshold), ("alert_id", "pod", "namespace", "received_at"))
-        wanted = planned.filter(F.col("action") == "isolate_pod").groupBy("namespace", "pod").agg(
-            F.min("received_at").alias("ts"), F.min(F.struct("received_at", "alert_id"))["alert_id"].alias("alert_id")
-        )
+        rows = planned.withColumnRenamed("received_at", "ts")
+        if rows.isEmpty():
+            return
+        isolates = F.col("action") == "isolate_pod"
+        first = rows.filter(isolates).groupBy("namespace", "pod").agg(F.min(F.struct("ts", "alert_id"))["alert_id"].alias("__first"))
+        rows = rows.join(first, ["namespace", "pod"], "left")
+        active = F.lit(False)
         known = _read_ledger(spark, ledger_path)
         if known is not None:
-            known = known.filter(F.col("batch_id") != batch_id)
-            wanted = wanted.join(known.select("namespace", "pod"), ["namespace", "pod"], "left_anti")
-        wanted.withColumn("policy_name", policy_name(F.col("pod"))).write.mode("overwrite").parquet(
-            f"{ledger_path}/batch_id={batch_id}"
-        )
+            earlier = known.filter((F.col("run") != run) | (F.col("batch_id") != batch_id))
+            rows = rows.join(isolated_pods(earlier).withColumn("__active", F.lit(True)), ["namespace", "pod"], "left")
+            active = F.coalesce("__active", F.lit(False))
+        status = F.when(isolates & (active | (F.col("alert_id") != F.col("__first"))), "already_exists").when(
+            isolates, "created").otherwise(F.col("status"))
+        rows.withColumn("status", status).select(*LEDGER_COLUMNS).write.mode("overwrite").parquet(
+            f"{ledger_path}/run={run}/batch_id={batch_id}")
 
     writer = alerts.writeStream.foreachBatch(respond).option("checkpointLocation", checkpoint)
     if available_now:
@@ -248,11 +260,29 @@ def start_response(alerts: DataFrame, ledger_path: str, checkpoint: str,
     return writer.start()
 
 
-LEDGER_SCHEMA = "namespace string, pod string, ts timestamp, alert_id string, policy_name string, batch_id int"
+LEDGER_FIELDS = ("namespace string, pod string, ts timestamp, alert_id string, action string, position int, status string, "
+                 "policy_name string, node string, reason string")
+LEDGER_COLUMNS = [field.split()[0] for field in LEDGER_FIELDS.split(", ")]
+LEDGER_SCHEMA = f"{LEDGER_FIELDS}, run string, batch_id int"
+
+
+def isolated_pods(ledger: DataFrame) -> DataFrame:
+    """(namespace, pod) whose latest isolation was not rolled back since."""
+    when = lambda action: F.max(F.when(F.col("action") == action, F.col("ts")))
+    latest = ledger.groupBy("namespace", "pod").agg(when("isolate_pod").alias("isolated"), when("rollback").alias("undone"))
+    return latest.filter("isolated is not null and (undone is null or undone < isolated)").select("namespace", "pod")
+
+
+def record_rollback(pods: DataFrame, ledger_path: str, rollback_id: str) -> None:
+    """Append the end of isolations: ``pods`` has namespace, pod and ts. The same ``rollback_id`` replaces its rows."""
+    rows = pods.select("namespace", "pod", F.col("ts").cast("timestamp").alias("ts")).withColumns({
+        "alert_id": F.lit(None).cast("string"), "action": F.lit("rollback"), "position": F.lit(0), "status": F.lit("deleted"),
+        "policy_name": policy_name(F.col("pod")), "node": F.lit(None).cast("string"), "reason": F.lit(None).cast("string")})
+    rows.select(*LEDGER_COLUMNS).write.mode("overwrite").parquet(f"{ledger_path}/run=rollback-{rollback_id}/batch_id=0")
 
 
 def _read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except AnalysisException:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
         return None
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)

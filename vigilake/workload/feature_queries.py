@@ -153,19 +153,24 @@ def d12_top_bigrams(spark, sf_dir):
     return X.top_bigrams(fx_events(spark, sf_dir), W)
 
 
+# the fixture's calls are few, so the columns are named in full; by default they are gathered from the events
+BIGRAM_NAMES = [f"{a}_{b}" for a in SYSCALL_NAMES for b in SYSCALL_NAMES]
 MATRIX_COLUMNS = [*X.TEMPORAL, *X.TRAFFIC, *X.SYSCALL, *X.BEHAVIOUR]
 FREQUENCY_SQL = ", ".join(f"coalesce(f.freq_{s}, 0) as syscall_freq_{s}" for s in SYSCALL_NAMES)
 MATRIX_ORACLE = f"""
 with {GROUPED},
 f as (select pod, window_start, {", ".join(f"count(case when syscall = '{s}' then 1 end) as freq_{s}" for s in SYSCALL_NAMES)}
-      from t group by pod, window_start)
-select pod, window_start, {_sql_round(MATRIX_COLUMNS)}, {FREQUENCY_SQL}
-from m left join f using (pod, window_start)"""
+      from t group by pod, window_start),
+b as (select pod, window_start, {", ".join(f"cast(sum(case when bigram = '{x}' then n else 0 end) as bigint) as b_{x}" for x in BIGRAM_NAMES)}
+      from ({BIGRAM_SQL}) q group by pod, window_start)
+select pod, window_start, {_sql_round(MATRIX_COLUMNS)}, {FREQUENCY_SQL},
+  {", ".join(f"coalesce(b_{x}, 0) as bigram_{x}" for x in BIGRAM_NAMES)}
+from m left join f using (pod, window_start) left join b using (pod, window_start)"""
 
 
 @query("d17_feature_matrix", MATRIX_ORACLE)
 def d17_feature_matrix(spark, sf_dir):
-    matrix = X.feature_matrix(fx_events(spark, sf_dir), W)
+    matrix = X.feature_matrix(fx_events(spark, sf_dir), W, bigrams=BIGRAM_NAMES)
     return matrix.select(*X.KEY, *_round([c for c in matrix.columns if c not in X.KEY]))
 
 
@@ -181,7 +186,7 @@ def e01_temporal_with_traffic(spark, sf_dir):
 @query("a06_feature_csv", _matrix_oracle(["session_duration", "event_count", "port_entropy", "severity_mean"]))
 def a06_feature_csv(spark, sf_dir):
     columns = ["session_duration", "event_count", "port_entropy", "severity_mean"]
-    matrix = X.feature_matrix(fx_events(spark, sf_dir), W, []).select(*X.KEY, *columns)
+    matrix = X.feature_matrix(fx_events(spark, sf_dir), W, [], []).select(*X.KEY, *columns)
     path = staging_path(spark, "features-csv")
     sinks.write_table(matrix, path, "csv")
     schema = ("pod string, window_start timestamp_ntz, session_duration double, event_count bigint, "
@@ -201,7 +206,7 @@ select pod, window_start, {parts}, {sql_r6(flat, 'flat')} from mm"""
 
 
 def _scaled(spark, sf_dir, method):
-    matrix = X.feature_matrix(fx_events(spark, sf_dir), W, []).withColumn("flat", F.lit(7))
+    matrix = X.feature_matrix(fx_events(spark, sf_dir), W, [], []).withColumn("flat", F.lit(7))
     scaled, _ = normalize_features(matrix, [*SCALED, "flat"], method)
     return scaled.select(*X.KEY, *[r6(c) for c in [*SCALED, "flat"]])
 

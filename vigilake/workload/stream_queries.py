@@ -155,4 +155,4 @@ def k06_response_stream(spark, sf_dir):
     running = K.start_response(read_stream(spark, stage(alerts, "alerts")), ledger,
                                staging_path(spark, "ledger-checkpoint"), available_now=True)
     running.awaitTermination()
-    return spark.read.parquet(ledger).select("namespace", "pod", "policy_name")
+    return spark.read.parquet(ledger).filter("status = 'created'").select("namespace", "pod", "policy_name")
