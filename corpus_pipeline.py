@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigilake.llm import decontaminate, jaccard, language_id, queries, secret_scan
-from vigilake.session import staged
+from vigilake.llm import decontaminate, jaccard, language_id, queries, secret_scan, texts
+from vigilake.session import apply_engine_conf, staged
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the text; every document stays."""
-    return secret_scan.redact(docs, secret_scan.scan(docs))
+    return secret_scan.redact(docs, secret_scan.scan(texts.keyed(docs)))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = apply_engine_conf(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:

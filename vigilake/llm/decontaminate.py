@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilake.llm.texts import map_arrow
+from vigilake.llm.texts import keyed, map_arrow, utf8, without
 
 EDIT_SHARE = 0.2       # edits per item word that still count as a leak
 MIN_WORDS = 5          # shorter items also occur in ordinary prose and are not searched
@@ -159,8 +159,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     nothing, repeated items count once, items under MIN_WORDS words are not searched, repeated rows each give their rows, null ids stay null. An
     empty table on either side gives no rows.
     """
-    from vigilake.llm.texts import utf8
-
     items = benchmark.select("item_id", "text").filter("text is not null").distinct()
     blocks = max(1, -(-items.count() // ITEMS_PER_BLOCK))
     texts = docs.select("doc_id", utf8().alias("text"))
@@ -194,6 +192,5 @@ def _searcher(shared):
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item was found, all columns kept; rows without a doc_id stay."""
-    leaking = find_leaks(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaking, "doc_id", "left_anti").select(*docs.columns)
+    """The documents in which no benchmark item was found, all columns kept; rows are decided by ``row_key``."""
+    return without(docs, find_leaks(keyed(docs), benchmark))

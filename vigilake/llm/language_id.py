@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilake.llm.texts import map_arrow, utf8
+from vigilake.llm.texts import keyed, map_arrow, utf8, without
 
 SAMPLE_DOCS = 300             # labelled documents per language at most that a dictionary is cut from
 DICTIONARY_BYTES = 64 * 1024  # dictionary per language at most; each document gives an equal share at most
@@ -115,11 +115,9 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
 def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
     """The documents whose language is told with a clear margin, all columns kept.
 
-    Rows are decided by their id, which documents have once; a row with a null id stays out only if its text has no letter.
+    Rows are decided by ``row_key``, so rows that share a doc_id stay or go together.
     """
-    rejected = identify(docs.filter("doc_id is not null"), dictionaries).filter("rejected").select("doc_id").distinct()
-    has_letter = F.col("doc_id").isNotNull() | F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.filter(has_letter).join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, identify(keyed(docs), dictionaries).filter("rejected"))
 
 
 def remainder(doc_id: str | Column, parts: int) -> Column:

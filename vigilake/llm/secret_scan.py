@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigilake.llm.texts import row_key
 from vigilake.session import staged
 
 # A finding is a run of key-like characters with a digit somewhere, long enough to carry a secret.
@@ -152,11 +153,11 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 def redact(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """``docs`` with every found secret replaced by REDACTED; all rows and columns stay, n_chars follows the text.
 
-    Rows are matched by doc_id; a row with a null id is redacted by form alone. Only values that were judged secrets
-    are replaced, at every place in the document where they stand as a whole.
+    ``scanned`` is the scan of ``texts.keyed(docs)``. Only values that were judged secrets are replaced, at every place in
+    the documents with that key.
     """
-    values = (scanned.filter("is_secret").groupBy("doc_id").agg(F.collect_set("finding").alias("__secrets")))
-    joined = docs.join(values, "doc_id", "left")
+    values = scanned.filter("is_secret").groupBy(F.col("doc_id").alias("__key")).agg(F.collect_set("finding").alias("__secrets"))
+    joined = docs.withColumn("__key", row_key()).join(values, "__key", "left")
     longest_first = F.array_sort("__secrets", lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1)
                                  .when(a < b, -1).when(a > b, 1).otherwise(0))
     clean = F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(

@@ -55,6 +55,22 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string").cast("binary"), F.lit(b""))
 
 
+def row_key() -> Column:
+    """The id a row is decided by: its doc_id, or a hash of its text where it has none."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with ``row_key`` as the id."""
+    return docs.select(row_key().alias("doc_id"), "text")
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``row_key`` is among ``ids`` (doc_id); all columns kept."""
+    out = ids.select(F.col("doc_id").alias("__key")).distinct()
+    return docs.withColumn("__key", row_key()).join(out, "__key", "left_anti").select(*docs.columns)
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` over batches of few rows, so that very long texts don't meet in one batch of ten thousand."""
 
