@@ -131,3 +131,15 @@ def test_late_rows_do_not_reopen_feature_windows(spark, clean_events, tmp_path):
     rows = run(K.feature_stream(source, 60, "1 day"), tmp_path, "features")
     assert rows.count() == X.feature_matrix(clean_events, 60, [], []).count()
     assert rows.agg(F.sum("event_count")).first()[0] == 100
+
+
+def test_kill_chain_periods_expire(spark, clean_events, tmp_path):
+    """Evidence of a period that the watermark has passed is dropped from the state."""
+    source = read_stream(spark, stage_closed(clean_events.fillna(""), "kill-chain"))
+    assessed = K.kill_chain_stream(source, period="1 minute", delay="1 second")
+    query = assessed.select("pod", "period", "risk_level").writeStream.outputMode("update").format("memory").queryName(
+        "periods").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    seen = spark.sql("select distinct pod, period from periods").count()
+    left = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert seen > 6 and left <= 1

@@ -17,6 +17,7 @@ from vigilake.operators import cleaning, threat
 from vigilake.operators.containment import policy_name
 from vigilake.operators.features import BEHAVIOUR, SYSCALL, TEMPORAL, TRAFFIC
 from vigilake.operators.normalize import flatten_network, unify_all
+from vigilake.session import staged
 from vigilake.sources.telemetry import tail_lines
 
 
@@ -217,10 +218,21 @@ def _total_of(bigram: Column) -> Column:
 
 
 # --- kill chain and response --------------------------------------------------------------
-def kill_chain_stream(events: DataFrame, column: str = "mitre_technique") -> DataFrame:
-    """Current assessment per pod (update mode): nine bits of state per pod and a join to the 512 fixed patterns."""
-    evidence = threat.observed_stages(events, ["pod"], column)
-    return threat.assess(evidence, by_pattern=threat.all_pattern_predictions(events.sparkSession))
+def kill_chain_stream(events: DataFrame, column: str = "mitre_technique", period: str | None = None,
+                      delay: str = "10 minutes") -> DataFrame:
+    """Current assessment per pod (update mode): nine bits of state per pod and a join to the 512 fixed patterns.
+
+    With a ``period`` (a window length such as "1 day") evidence is gathered per pod and period, and the state of a period
+    goes once the watermark has passed it; without one, pods are assessed over all time and their state stays. The
+    patterns are computed once, when the stream is defined.
+    """
+    keys = ["pod"]
+    if period:
+        timed = events.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", delay)
+        events, keys = timed.withColumn("period", F.window("timestamp", period)), ["pod", "period"]
+    evidence = threat.observed_stages(events, keys, column)
+    patterns = staged(threat.all_pattern_predictions(events.sparkSession), "patterns")
+    return threat.assess(evidence, by_pattern=patterns)
 
 
 def start_response(alerts: DataFrame, ledger_path: str, checkpoint: str,

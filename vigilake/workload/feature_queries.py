@@ -157,10 +157,14 @@ def d12_top_bigrams(spark, sf_dir):
 BIGRAM_NAMES = [f"{a}_{b}" for a in SYSCALL_NAMES for b in SYSCALL_NAMES]
 MATRIX_COLUMNS = [*X.TEMPORAL, *X.TRAFFIC, *X.SYSCALL, *X.BEHAVIOUR]
 FREQUENCY_SQL = ", ".join(f"coalesce(f.freq_{s}, 0) as syscall_freq_{s}" for s in SYSCALL_NAMES)
+FREQUENCIES = f"""f as (select pod, window_start, {", ".join(f"count(case when syscall = '{s}' then 1 end) as freq_{s}" for s in SYSCALL_NAMES)}
+      from t group by pod, window_start)"""
 MATRIX_ORACLE = f"""
-with {GROUPED},
-f as (select pod, window_start, {", ".join(f"count(case when syscall = '{s}' then 1 end) as freq_{s}" for s in SYSCALL_NAMES)}
-      from t group by pod, window_start),
+with {GROUPED}, {FREQUENCIES}
+select pod, window_start, {_sql_round(MATRIX_COLUMNS)}, {FREQUENCY_SQL}
+from m left join f using (pod, window_start)"""
+WITH_BIGRAMS = f"""
+with {GROUPED}, {FREQUENCIES},
 b as (select pod, window_start, {", ".join(f"cast(sum(case when bigram = '{x}' then n else 0 end) as bigint) as b_{x}" for x in BIGRAM_NAMES)}
       from ({BIGRAM_SQL}) q group by pod, window_start)
 select pod, window_start, {_sql_round(MATRIX_COLUMNS)}, {FREQUENCY_SQL},
@@ -168,7 +172,7 @@ select pod, window_start, {_sql_round(MATRIX_COLUMNS)}, {FREQUENCY_SQL},
 from m left join f using (pod, window_start) left join b using (pod, window_start)"""
 
 
-@query("d17_feature_matrix", MATRIX_ORACLE)
+@query("d17_feature_matrix", WITH_BIGRAMS)
 def d17_feature_matrix(spark, sf_dir):
     matrix = X.feature_matrix(fx_events(spark, sf_dir), W, bigrams=BIGRAM_NAMES)
     return matrix.select(*X.KEY, *_round([c for c in matrix.columns if c not in X.KEY]))

@@ -90,19 +90,32 @@ def i03_risk_actions(spark, sf_dir):
         "alert_id", risk.alias("risk"), F.posexplode(A.actions_of_risk(risk)).alias("position", "action"))
 
 
+INV_SQL = f"""
+inv as (select *, owner_code in (0, 1) as is_daemonset,
+          phase = 'Running' and (ready_code < 3 or ready_code = 6) as ready from ({fx.INVENTORY_SQL}) i),
+req as (select distinct pod, namespace from ({fx.ALERTS_SQL}) a),
+placed as (select req.pod, req.namespace, inv.node from req left join inv using (pod, namespace))"""
+
+
 @query("i04_action_results", f"""
-with {ACTIONS_SQL}, {PROCESSED_SQL}, inv as ({fx.INVENTORY_SQL}),
+with {ACTIONS_SQL}, {PROCESSED_SQL}, {INV_SQL},
+ns as (select namespace, count(case when ready then 1 end) >= 2 as rescheduled from inv group by namespace),
 rows as (select al.alert_id, al.pod, al.namespace, row_number() over (partition by alert_id order by position) - 1 as position,
     actions.action, case action when 'log_only' then 'logged' when 'apply_audit_policy' then 'skipped' else 'success' end as status,
     case when action = 'isolate_pod' then concat('aiops-isolate-', al.pod) end as policy_name,
     case when action = 'cordon_node' then inv.node end as node,
-    case when action = 'apply_audit_policy' then 'response modules not available' end as reason
+    case when action = 'apply_audit_policy' then 'response modules not available' end as reason,
+    case when action <> 'migrate_pods' then null when inv.node is null then 'failed'
+         when coalesce(rescheduled, false) then 'success' else 'partial_success' end as drain_status,
+    case when action = 'migrate_pods' then case when inv.node is null then 0 else 5 end end as drain_steps
   from al join actions on actions.risk = al.action_key left join inv on inv.pod = al.pod and inv.namespace = al.namespace
+    left join ns on ns.namespace = al.namespace
   where al.status = 'processed' and not (action = 'cordon_node' and inv.node is null))
 select * replace (cast(position as int) as position) from rows""")
 def i04_action_results(spark, sf_dir):
     planned = A.respond(fx.alerts(spark, sf_dir), inventory=fx.inventory(spark, sf_dir))
-    return A.action_rows(planned)
+    return A.action_rows(planned).withColumns({
+        "drain_status": F.col("details.status"), "drain_steps": F.size("details.steps")}).drop("details")
 
 
 @query("i05_alert_history", f"""
@@ -175,13 +188,6 @@ def e04_policies_to_create(spark, sf_dir):
 
 
 # --- inventory ----------------------------------------------------------------------------
-INV_SQL = f"""
-inv as (select *, owner_code in (0, 1) as is_daemonset,
-          phase = 'Running' and (ready_code < 3 or ready_code = 6) as ready from ({fx.INVENTORY_SQL}) i),
-req as (select distinct pod, namespace from ({fx.ALERTS_SQL}) a),
-placed as (select req.pod, req.namespace, inv.node from req left join inv using (pod, namespace))"""
-
-
 @query("e03_pods_on_node", f"""
 with {INV_SQL}
 select inv.node, inv.namespace, inv.pod, inv.is_daemonset, inv.phase from inv

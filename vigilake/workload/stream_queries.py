@@ -13,6 +13,7 @@ from vigilake.workload.event_queries import FALCO_EXPECTED, falco_lines, flat, k
 from vigilake.workload.feature_queries import (
     BIGRAM_SQL,
     MATRIX_COLUMNS,
+    MATRIX_ORACLE,
     SYSCALL_NAMES,
     W,
     _round,
@@ -105,7 +106,7 @@ def k02_deduplicate_stream(spark, sf_dir):
     return finish(stream.select("event_id", "pod"), "deduplicated")
 
 
-@query("k03_feature_stream", REGISTRY["d17_feature_matrix"].oracle)
+@query("k03_feature_stream", MATRIX_ORACLE)
 def k03_feature_stream(spark, sf_dir):
     source = read_stream(spark, stage_closed(fx_events(spark, sf_dir), "events"))
     rows = finish(K.feature_stream(source, W, DELAY, tuple(SYSCALL_NAMES)), "features")
