@@ -129,39 +129,48 @@ def test_rules(spark, values, rules):
 
 
 # --- ingest and cleaning ------------------------------------------------------------------
-def ndjson_event(i):
-    return {
-        "timestamp": f"2026-03-23T10:{i * 2 // 60:02d}:{i * 2 % 60:02d}Z", "source": "falco", "event_id": f"evt-{i}",
-        "pod": f"test-pod-{i % 3}", "namespace": "test", "container_id": "c1",
-        "severity": kb.SEVERITY_ORDER[i % 4], "event_type": "shell_execution", "syscall": "execve", "process": "bash",
-        "network_metadata": {"src_ip": "10.0.0.1", "dst_ip": "10.0.0.2", "src_port": 1000, "dst_port": [80, 443, 8080, 0][i % 4],
-                             "protocol": "tcp"} if i % 4 else None,
-        "mitre_technique": ["T1609", None, "T1611", ""][i % 4], "raw_event": {},
+KINDS = [("shell_execution", "execve", "sh"), ("network_connection", "connect", "curl"), ("file_access", "openat", "tar")]
+
+
+def telemetry_line(number):
+    """A unified event of one of three workloads, seven seconds after the one before; every fifth has no network part."""
+    kind, syscall, process = KINDS[number % len(KINDS)]
+    minute, second = divmod(number * 7, 60)
+    line = {
+        "event_id": f"e{number:03d}", "timestamp": f"2025-11-02T08:{minute:02d}:{second:02d}Z", "source": "kubearmor",
+        "namespace": "shop", "pod": ["cart", "search", "mail", "stock"][number % 4], "container_id": f"box{number % 2}",
+        "event_type": kind, "syscall": syscall, "process": process, "severity": "HIGH" if number % 9 == 0 else "MEDIUM",
+        "mitre_technique": "T1046" if kind == "network_connection" else None,
     }
+    if number % 5:
+        line["network_metadata"] = {"src_ip": "192.168.7.2", "dst_ip": "192.168.7.9", "src_port": 40000 + number, "dst_port": 5432,
+                                    "protocol": "udp"}
+    return json.dumps(line)
 
 
 @pytest.fixture(scope="module")
 def ndjson(tmp_path_factory):
-    path = tmp_path_factory.mktemp("ndjson") / "unified.jsonl"
-    events = [json.dumps(ndjson_event(i)) for i in range(50)]
-    path.write_text("\n".join([*events, "", "{broken", events[0]]) + "\n")
+    """37 events, a blank line, a line that breaks off, and one event shipped twice."""
+    path = tmp_path_factory.mktemp("telemetry") / "lines.ndjson"
+    lines = [telemetry_line(n) for n in range(37)]
+    path.write_text("\n".join([*lines[:20], "", lines[3][:40], *lines[20:], lines[11]]) + "\n")
     return str(path)
 
 
 def test_ingest_skips_blank_and_malformed(spark, ndjson):
     events = telemetry.ingest_telemetry(spark, ndjson)
-    assert events.count() == 51
+    assert events.count() == 38
     assert "raw_event" not in events.columns and "network_metadata" not in events.columns
     tally = only(telemetry.line_tally(telemetry.read_lines(spark, ndjson)))
-    assert (tally.valid, tally.malformed, tally.blank) == (51, 1, 1)
+    assert (tally.valid, tally.malformed, tally.blank) == (38, 1, 1)
 
 
 def test_preprocess(spark, ndjson, tmp_path):
     cleaned = preprocess_telemetry(spark, ndjson, str(tmp_path / "clean"))
-    assert cleaned.count() == 50
+    assert cleaned.count() == 37
     assert dict(cleaned.dtypes)["timestamp"] == "timestamp"
     assert {r["column_name"]: r["missing"] for r in C.missing_counts(cleaned.drop("label")).collect() if r["missing"]} == {}
-    assert spark.read.option("header", True).csv(str(tmp_path / "clean")).count() == 50
+    assert spark.read.option("header", True).csv(str(tmp_path / "clean")).count() == 37
 
 
 def test_missing_source_and_empty_source(spark, tmp_path):
@@ -201,3 +210,21 @@ def test_append_ndjson_twice(spark, tmp_path):
         sinks.append_ndjson(unified, str(tmp_path / "out"))
     again = telemetry.parse_unified(telemetry.read_lines(spark, str(tmp_path / "out")))
     assert again.count() == 2 and C.deduplicate(C.validate_schema(again)).count() == 1
+
+
+def test_mistyped_fields_keep_the_line(spark):
+    """A field of another JSON type costs its own value only."""
+    unified = spark.createDataFrame([(json.dumps({"timestamp": "2026-01-01T00:00:00Z", "event_id": "a", "network_metadata": "x"}),)], "value string")
+    row = only(telemetry.parse_unified(unified))
+    assert (row.event_id, row.net_dst_ip, row.net_dst_port, row.net_protocol) == ("a", "", "0", "unknown")
+    assert only(telemetry.line_tally(unified)).malformed == 0
+    falco = spark.createDataFrame([(json.dumps({"rule": "r", "tags": "T1609", "output_fields": {"k8s.pod.name": "p"}}),),
+                                   (json.dumps({"rule": "r", "tags": ["T1609"], "output_fields": "none"}),)], "value string")
+    rows = {(r.pod, r.mitre_technique) for r in N.unify(falco, "falco").collect()}
+    assert rows == {("p", None), ("unknown", "T1609")}
+
+
+@pytest.mark.parametrize(("level", "severity"), [(9, "CRITICAL"), ("9", "LOW"), (None, "LOW")])
+def test_a_quoted_severity_is_no_number(spark, level, severity):
+    lines = spark.createDataFrame([(json.dumps({"Severity": level, "PodName": "p"}),)], "value string")
+    assert only(N.unify(lines, "kubearmor")).severity == severity

@@ -34,7 +34,7 @@ def shown(spark, rows):
 # --- validation and plan ------------------------------------------------------------------
 @pytest.mark.parametrize("payload, error", [
     ({"pod": "p", "namespace": "n", "threat_type": "t", "confidence_score": 0.95}, None),
-    ({"pod": "test-pod"}, "Missing required field: namespace"),
+    ({"pod": "cart-7"}, "Missing required field: namespace"),
     ({}, "Missing required field: pod"),
     ({"pod": "p", "namespace": "n", "threat_type": "t", "confidence_score": "0.9"}, "confidence_score must be numeric"),
     ({"pod": "p", "namespace": "n", "threat_type": "t", "confidence_score": None}, "confidence_score must be numeric"),
@@ -80,11 +80,11 @@ def test_history_is_bounded(spark):
 
 # --- containment --------------------------------------------------------------------------
 def test_isolation_policy(spark):
-    row = N.isolation_policy(table(spark, [alert(1, pod="test-pod")]), F.col("received_at")).first()
+    row = N.isolation_policy(table(spark, [alert(1, pod="cart-7")]), F.col("received_at")).first()
     policy = json.loads(row["policy"])
-    assert policy["metadata"]["name"] == row["policy_name"] == "aiops-isolate-test-pod"
+    assert policy["metadata"]["name"] == row["policy_name"] == "aiops-isolate-cart-7"
     assert policy["spec"]["policyTypes"] == ["Ingress", "Egress"]
-    assert policy["spec"]["podSelector"]["matchLabels"] == {"statefulset.kubernetes.io/pod-name": "test-pod"}
+    assert policy["spec"]["podSelector"]["matchLabels"] == {"statefulset.kubernetes.io/pod-name": "cart-7"}
 
 
 def test_ledger_and_audit(spark, tmp_path):
