@@ -43,12 +43,15 @@ def fit_dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, size:
     The sample takes the documents with the smallest hash of (doc_id, lang), so it is the same in every run and a
     language with most of the rows is cut to ``sample_docs`` per task before anything is shuffled.
     """
-    ranked = labelled.filter("lang is not null and text is not null").select(
-        "lang", "text", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "lang"), "doc_id")).alias("rank"))
+    known = labelled.filter("lang is not null and text is not null")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "lang"), "doc_id")
+    ranked = known.select("doc_id", "lang", F.row_number().over(order).alias("rank")).filter(F.col("rank") <= sample_docs)
+    chosen = ranked.dropDuplicates(["doc_id", "lang"])  # languages times sample_docs ids at most, so they may be broadcast
     share = size // 32
-    sample = ranked.filter(F.col("rank") <= sample_docs).select("lang", "rank", F.substring("text", 1, share).alias("text"))
+    sample = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).select(
+        "lang", "rank", F.substring("text", 1, share).alias("text"))
     by_language: dict[str, list[bytes]] = {}
-    for lang, _, text in sorted(sample.collect(), key=lambda r: (r[0], r[1])):
+    for lang, _, text in sorted(sample.collect(), key=lambda r: (r[0], r[1], r[2])):
         by_language.setdefault(lang, []).append(letters(text))
     return {lang: _cut(parts, size) for lang, parts in by_language.items() if any(parts)}
 
