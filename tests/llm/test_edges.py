@@ -55,8 +55,8 @@ def apply(name, docs, benchmark):
     if name == "language":
         return language_id.identify(docs, language_id.fit_dictionaries(docs))
     if name == "quality":
-        labelled = docs.withColumn("quality", (F.col("doc_id") % 2).cast("int"))
-        return passage_quality.score_quality(docs, passage_quality.fit(labelled))
+        labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+        return passage_quality.score_quality(docs, passage_quality.fit(docs, labels))
     if name == "secrets":
         return secret_scan.scan(docs)
     if name == "near":

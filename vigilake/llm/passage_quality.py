@@ -141,26 +141,26 @@ def train(bags: list[np.ndarray], labels: np.ndarray) -> AttentionModel:
     return model
 
 
-def fit(labelled: DataFrame, label: str = "quality", most: int = TRAINING_DOCS) -> AttentionModel | None:
-    """Model from ``labelled`` (doc_id, text, label 0 or 1; other labels don't count); None without both labels.
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAINING_DOCS) -> AttentionModel | None:
+    """Model from ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0 or 1; other labels don't count); None without both.
 
-    Half of ``most`` documents per label at most are used, in the order of a hash of the id; sampling weights undo the
-    different shares, so scores follow the labels' own frequency.
+    Half of ``most`` labels per class at most are used, in the order of a hash of the id; the shift of the class shares is
+    taken back afterwards, so scores follow the labels' own frequency. Only the sample's texts are read on.
     """
-    known = labelled.filter(F.col(label).isin(0, 1)).withColumn("__h", F.xxhash64("doc_id"))
-    counts = {r[0]: r[1] for r in known.groupBy(label).count().collect()}
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
+    counts = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     if len(counts) < 2:
         return None
-    bags, labels = [], []
-    for value in (0, 1):
-        part = known.filter(F.col(label) == value).select("doc_id", "__h").orderBy("__h", "doc_id").limit(most // 2)
-        # at most ``most`` ids: a bounded table
-        chosen = known.filter(F.col(label) == value).join(F.broadcast(part.select("doc_id").distinct()), "doc_id", "left_semi")
-        rows = _features(chosen.select("doc_id", F.substring(utf8(), 1, TRAINING_BYTES).alias("text"))).orderBy("doc_id").collect()
-        bags += [np.frombuffer(r[1], dtype=np.float32).reshape(-1, WIDTH) for r in rows]
-        labels += [value] * len(rows)
-    model = train(bags, np.array(labels, dtype=np.float64))
-    used = {v: labels.count(v) for v in (0, 1)}
+    hashed = known.withColumn("h", F.xxhash64("doc_id"))
+    part = lambda value: hashed.filter(F.col("label") == value).orderBy("h", "doc_id").limit(most // 2)
+    chosen = part(0).unionByName(part(1)).select("doc_id", "label").dropDuplicates(["doc_id"])  # at most ``most`` rows
+    texts = docs.select("doc_id", F.substring(utf8(), 1, TRAINING_BYTES).alias("text"))
+    rows = _features(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")).orderBy("doc_id", "features").collect()
+    used = {value: sum(r[2] == value for r in rows) for value in (0, 1)}
+    if not all(used.values()):
+        return None
+    bags = [np.frombuffer(r[1], dtype=np.float32).reshape(-1, WIDTH) for r in rows]
+    model = train(bags, np.array([r[2] for r in rows], dtype=np.float64))
     model.weights["b"] = model.weights["b"] + np.log(counts[1] / counts[0]) - np.log(used[1] / used[0])
     return model
 
@@ -169,9 +169,9 @@ def _features(rows: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             data = [passages(t.as_py()).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["doc_id", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary()), batch.column(2)], names=["doc_id", "features", "label"])
 
-    return map_arrow(rows, run, "doc_id bigint, features binary")
+    return map_arrow(rows, run, "doc_id bigint, features binary, label int")
 
 
 def score_quality(docs: DataFrame, model: AttentionModel | None, accept: float = ACCEPT) -> DataFrame:

@@ -106,8 +106,7 @@ def op5_language_id(spark, sf_dir):
 def op6_passage_quality(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
-    learnable = language_id.remainder("doc_id", 4) != 2
-    model = passage_quality.fit(docs.filter(learnable).join(labels.filter(learnable), "doc_id"))
+    model = passage_quality.fit(docs, labels.filter(language_id.remainder("doc_id", 4) != 2))
     scored = passage_quality.score_quality(docs, model)
     return scored.select("doc_id", (language_id.remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
