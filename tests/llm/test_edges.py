@@ -149,3 +149,19 @@ def test_search_of_odd_vectors(spark):
     assert [g for g in got if g[0] == 100] == [(100, 1, 150, 0)]
     assert [g[2] for g in got if g[0] == 50] == [0, 5]
     assert exact_search.top_k(table.limit(0), F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_search_of_repeated_vectors_equals_sql(spark):
+    """Repeated candidates and query rows rank like the rows of the SQL's join, also across blocks."""
+    import duckdb
+    from oracle import differences
+
+    rows = [(1, [1.0, 1.0])] * 7 + [(2, [0.5, 1.0])] * 2 + [(i, [0.25, i / 64]) for i in range(3, 40)] + [
+        (2, [0.75, 0.5]), (50, [1.0, 0.5]), (50, [1.0, 0.5]), (50, [0.0, 1.0]), (100, [-1.0, 0.5])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    con = duckdb.connect()
+    con.execute("create table embeddings (vec_id bigint, embedding double[])")
+    con.executemany("insert into embeddings values (?, ?)", rows)
+    for parts in (1, 8):  # a block never spans parts
+        got = exact_search.top_k(table.repartition(parts), F.col("vec_id") % 50 == 0, 5)
+        assert differences(got, con, queries.TOP_SQL) == []

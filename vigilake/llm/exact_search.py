@@ -78,19 +78,22 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
 
     ``rows``: vec_id bigint, embedding array of numbers; further columns are ignored. Vectors that are null or hold null
     or non-finite components take no part, nor do rows with a null vec_id. Vectors meet only vectors of their own
-    dimension. Rows with the query's vec_id count as its own; a repeated query id is asked once, with the smallest of its
-    vectors. Ties go to the smaller vec_id. Scores beyond bigint stop at its ends. No queries or rows give no rows.
+    dimension. Rows with the query's vec_id count as its own. Repeated rows stay rows, as in a join: a candidate that
+    occurs m times takes m ranks, and a query id that occurs on several rows ranks the hits of all of them together. Ties
+    go to the smaller vec_id. Scores beyond bigint stop at its ends. No queries or rows give no rows.
     """
     vectors = scaled(rows)
-    queries = scaled(rows.filter(is_query)).groupBy("vec_id").agg(F.min("v").alias("v"))
+    # more than k repeats of a query row can't take further ranks
+    repeats = scaled(rows.filter(is_query)).groupBy("vec_id", "v").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("n"))
+    queries = repeats.select("vec_id", F.explode(F.array_repeat("v", F.col("n"))).alias("v"))
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     found = None
     for block in range(blocks):
-        part = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).orderBy("vec_id").collect()
+        part = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).orderBy("vec_id", "v").collect()
         shared = rows.sparkSession.sparkContext.broadcast([(r[0], np.array(r[1], dtype=np.int64)) for r in part])
         hits = vectors.mapInArrow(_searcher(shared, k), HITS)
         found = hits if found is None else found.unionByName(hits)
-    ranked = found.distinct().withColumn("rank", F.row_number().over(
+    ranked = found.withColumn("rank", F.row_number().over(
         Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
