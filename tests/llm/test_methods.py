@@ -239,6 +239,20 @@ def test_automaton_sums_to_one_and_matches_backoff(spark):
         assert math.isclose(mass, 1.0, rel_tol=1e-9)
 
 
+def test_scores_know_every_bigram_and_trigram(spark):
+    """Rare words keep their own n-grams: scores equal the automaton over all real words, and unseen words fall back."""
+    texts = ["x y z"] + [" ".join(f"w{(7 * i + j * j) % 900}" for j in range(12)) for i in range(400)] + ["", "x y z w1 w2"]
+    rows = spark.createDataFrame([(bytearray(t.encode()),) for t in texts], "text binary")
+    model = ngram_lm.fit(rows, 3)
+    machine, symbols = model.machine, model.symbols
+    asked = [*texts, "x y", "y x z", "unseen w1 x y z", "z y x unseen"]
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r.score for r in ngram_lm.score(docs, model).collect()}
+    for i, text in enumerate(asked):
+        walked = machine.walk([*[symbols.get(w, ngram_lm.RARE) for w in text.encode().split()], symbols[ngram_lm.END]])
+        assert math.isclose(got[i], walked, rel_tol=1e-9), text
+
+
 # --- pipeline -----------------------------------------------------------------------------
 def test_pipeline_against_brute_force(spark, rows, duck):
     """Each stage's decisions, from the stage's own input."""

@@ -1,103 +1,138 @@
-"""Language-model scores from a weighted backoff automaton.
+"""Language-model scores from a weighted backoff automaton that is kept as a table.
 
-Counting runs over the whole corpus. The automaton's alphabet are the core words, one class for all other words, and the
-end of a text. Its states are histories of up to ``ORDER - 1`` symbols; an arc carries the smoothed log probability of a
-symbol and leads to the longest history that exists; a failure arc leads to the next shorter history and carries the
-back-off weight. A text is scored in one walk from left to right: take the arc of the next symbol, after as many failure
-arcs as needed, and add up the weights. A word of the class of other words adds its own share of the class.
+The model is interpolated absolute discounting over all words and all n-grams of the training texts, down to those that
+occur once. Its states are histories of up to ``ORDER - 1`` words with their total and their number of continuations
+(from which the failure weight follows), its arcs are the n-grams with their counts. Nothing of it is held in one place:
+n-grams are known by 64-bit hashes, and the hash range is cut into buckets whose number grows with the corpus.
 
-The lowest level is the add-0.1 unigram model over all words, so its counts follow the whole vocabulary. Frequent words,
-at most ``1 / KNOWN_SHARE``, are handed to the workers; the counts of all others are joined in by word.
+Texts meet the table in blocks. A block asks each bucket once for every distinct n-gram it holds, so a frequent n-gram is
+one entry a block; the answers go back to the block, which walks its texts. The lowest level is the add-0.1 unigram model.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from dataclasses import dataclass, field
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilake.llm.texts import map_arrow, utf8, words_of
+from vigilake.llm.texts import WordHashes, map_arrow, utf8, words_of
 from vigilake.session import staged
 
 ORDER = 3
 ADD = 0.1                # added to every count of the unigram level
 DISCOUNT = 0.6           # taken off every n-gram count and given to the shorter history
-KNOWN_SHARE = 1e-6       # words with this share of the training tokens or more: at most a million, held by workers
-CORE_SHARE = 5e-4        # words with this share or more are symbols of their own: at most two thousand
-ARC_SHARE = 1e-6         # n-grams with this share or more become arcs: at most a million per order
-FLUSH = 400_000          # distinct words or n-grams that a task gathers before it hands them on
+BLOCK = 1_000_000        # words of one block of texts
+BUCKET = 1 << 20         # words of the corpus per bucket of the table
+LEAST_BITS = 7           # 128 buckets at least, so that a small corpus is spread as well
+WORD_BYTES = 6           # of text, to choose the number of buckets before anything is counted
 END = b"\n"              # no word holds a line end, so it can stand for the end of a text
-RARE, STOP, BITS = 0, 1, 20
+RARE = 0                 # symbol of all words that no training text holds
+MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
+TABLE = "kind string, n int, bucket int, keys binary, a binary, b binary, size bigint, total bigint"
 
 
-def _counted(batches, keys_of, make):
-    """Partial counts of a task: gathers until FLUSH distinct keys, then hands on."""
-    held: Counter = Counter()
-    for batch in batches:
-        for text in batch.column(0):
-            held.update(keys_of(text.as_py()))
-            if len(held) >= FLUSH:
-                yield make(held)
-                held = Counter()
-    if held:
-        yield make(held)
+def _mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of the n-grams that prolong ``history`` by ``word``."""
+    out = ((history ^ (history >> np.uint64(31))) * MIX[0] + word) * MIX[1]
+    return (out ^ (out >> np.uint64(29))) * MIX[0]
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word binary, c) over all of ``texts`` (text binary), the end of each text counted as a word."""
+def _levels(texts: list[bytes | None], hashes: WordHashes, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(starts, place, grams): texts one behind the other, each between two ends. ``grams[n - 1][i]`` is the n-gram that ends
+    at i; it lies within one text where ``place[i] >= n - 1``."""
+    end = hashes[END]
+    words = [words_of(text) for text in texts]
+    sizes = np.array([len(own) + 2 for own in words], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    flat = np.empty(int(sizes.sum()), dtype=np.uint64)
+    for at, own in zip(starts.tolist(), words):
+        flat[at] = flat[at + len(own) + 1] = end
+        flat[at + 1:at + 1 + len(own)] = np.fromiter(map(hashes.__getitem__, own), dtype=np.uint64, count=len(own))
+    place = np.arange(len(flat)) - np.repeat(starts, sizes)
+    grams = [flat]
+    for _ in range(1, order):
+        longer = np.zeros(len(flat), dtype=np.uint64)
+        longer[1:] = _mixed(grams[-1][:-1], flat[1:])
+        grams.append(longer)
+    return starts, place, grams
 
-    def run(batches):
-        return _counted(batches, lambda data: [*words_of(data), END], lambda held: pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "c"]))
 
-    return map_arrow(texts.select("text"), run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+def _cuts(keys: np.ndarray, bits: int):
+    """(bucket, slice) of every bucket that sorted keys fall into."""
+    bounds = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist() + [len(keys)]
+    return [(i, slice(a, b)) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
 
 
-def ngram_counts(texts: DataFrame, symbols: dict[bytes, int], order: int) -> DataFrame:
-    """(n, gram, c): counts of the n-grams of 2 to ``order`` symbols; a text starts behind an end. Grams are packed, BITS a symbol."""
-    shared = texts.sparkSession.sparkContext.broadcast(symbols)
+def _merged(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted distinct keys with the sums of their values; values of unsigned type are the same for equal keys."""
+    if not len(keys):
+        return keys, *values
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], *[v[order][first] if v.dtype == np.uint64 else np.add.reduceat(v[order], first) for v in values]
 
-    def run(batches):
-        get = shared.value.get
-        held: list[list[np.ndarray]] = [[] for _ in range(order - 1)]
-        size = 0
 
-        def flush():
-            for n, parts in enumerate(held, 2):
-                if not parts:  # no text of that many symbols
-                    continue
-                grams, counts = np.unique(np.concatenate(parts), return_counts=True)
-                for at in range(0, len(grams), 100_000):
-                    part = grams[at:at + 100_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), n, dtype=np.int32)), pa.array(part), pa.array(counts[at:at + 100_000].astype(np.int64))],
-                        names=["n", "gram", "c"])
-                parts.clear()
+def _joined(column, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
 
-        for batch in batches:
-            for text in batch.column(0):
-                words = words_of(text.as_py())
-                ids = np.fromiter(map(get, words, repeat(RARE)), dtype=np.int64, count=len(words))
-                ids = np.concatenate([[STOP], ids, [STOP]])
-                for n, parts in enumerate(held, 2):
-                    if len(ids) >= n:
-                        gram = ids[:len(ids) - n + 1].copy()
-                        for place in range(1, n):
-                            gram = (gram << BITS) | ids[place:len(ids) - n + 1 + place]
-                        parts.append(gram)
-                size += len(ids)
-                if size >= 10 * FLUSH:
-                    yield from flush()
-                    size = 0
-        if size:
-            yield from flush()
-
-    return map_arrow(texts.select("text"), run, "n int, gram bigint, c bigint").groupBy("n", "gram").agg(F.sum("c").alias("c"))
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _gathered(batches):
+    """Lists of rows (tuples) of BLOCK words or a little more; the text is the last column."""
+    held, size = [], 0
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns]):
+            held.append(row)
+            size += len(row[-1] or b"") // WORD_BYTES + 2
+            if size >= BLOCK:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def gram_table(texts: DataFrame, order: int, bits: int) -> DataFrame:
+    """TABLE over all n-grams of ``texts`` (text binary), a row per n and bucket of the keys.
+
+    Kind 'arc': n-grams with count ``a``. Kind 'state': histories of n words with the total ``a`` and number ``b`` of their
+    continuations, in parts that add up.
+    """
+
+    def count(batches):
+        hashes = WordHashes()
+        for rows in _gathered(batches):
+            _, place, grams = _levels([text for text, in rows], hashes, order)
+            for n in range(1, order + 1):
+                at = np.flatnonzero(place >= max(1, n - 1))
+                before = grams[n - 2][at - 1] if n > 1 else np.zeros(len(at), dtype=np.uint64)
+                keys, histories, counts = _merged(grams[n - 1][at], before, np.ones(len(at), dtype=np.int64))
+                yield _batch([(n, i, keys[s].tobytes(), histories[s].tobytes() if n > 1 else b"", counts[s].tobytes())
+                              for i, s in _cuts(keys, bits)], _PART)
+
+    def merge(part: pa.Table) -> pa.Table:
+        n, bucket = part.column("n")[0].as_py(), part.column("bucket")[0].as_py()
+        keys, counts = _joined(part.column("keys"), np.uint64), _joined(part.column("counts"), np.int64)
+        histories = _joined(part.column("histories"), np.uint64) if n > 1 else np.zeros(len(keys), dtype=np.uint64)
+        keys, histories, counts = _merged(keys, histories, counts)
+        out = [("arc", n, bucket, keys.tobytes(), counts.tobytes(), b"", len(keys), int(counts.sum()))]
+        if n > 1:
+            states, totals, numbers = _merged(histories, counts, np.ones(len(keys), dtype=np.int64))
+            out += [("state", n - 1, i, states[s].tobytes(), totals[s].tobytes(), numbers[s].tobytes(), 0, 0)
+                    for i, s in _cuts(states, bits)]
+        return pa.Table.from_batches([_batch(out, _TABLE)])
+
+    parts = map_arrow(texts.select("text"), count, "n int, bucket int, keys binary, histories binary, counts binary")
+    return parts.groupBy("n", "bucket").applyInArrow(merge, TABLE)
 
 
 @dataclass
@@ -124,49 +159,36 @@ class Automaton:
         return total
 
 
-def build(unigram: dict[int, float], grams: dict[int, list[tuple[int, int]]], histories: dict[int, list[tuple[int, int]]],
-          discount: float = DISCOUNT) -> Automaton:
-    """The automaton of interpolated absolute discounting.
-
-    ``unigram``: symbol -> probability; ``grams[n]``: (packed n-gram, count) kept as arcs; ``histories[n]``: (packed history
-    of n - 1 symbols, its count with any continuation).
-    """
-    mask = (1 << BITS) - 1
+def build(texts: list[list[int]], end: int, unigram: dict[int, float], order: int, discount: float = DISCOUNT) -> Automaton:
+    """The automaton of small ``texts`` in memory, from the lists of their symbols without ends."""
     levels: list[dict[tuple[int, ...], dict[int, float]]] = [{(): dict(unigram)}]
     backoff: dict[tuple[int, ...], float] = {}
-    for n in sorted(grams):
-        unpack = lambda g, k: tuple((g >> (BITS * (k - 1 - i))) & mask for i in range(k))
-        totals = {unpack(h, n - 1): c for h, c in histories[n]}
-        kept: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-        for gram, count in grams[n]:
-            symbols = unpack(gram, n)
-            kept.setdefault(symbols[:-1], []).append((symbols[-1], count))
+    for n in range(2, order + 1):
+        kept: dict[tuple[int, ...], Counter] = {}
+        for own in texts:
+            padded = [end, *own, end]
+            for at in range(len(padded) - n + 1):
+                kept.setdefault(tuple(padded[at:at + n - 1]), Counter())[padded[at + n - 1]] += 1
         level: dict[tuple[int, ...], dict[int, float]] = {}
-        for history in sorted(kept):
-            left = 1 - sum(c - discount for _, c in kept[history]) / totals[history]
-            backoff[history] = left
-            shorter = lambda s: _probability(levels, backoff, history[1:], s)  # noqa: E731, B023
-            level[history] = {s: (c - discount) / totals[history] + left * shorter(s) for s, c in kept[history]}
+        for history, counts in kept.items():
+            backoff[history] = discount * len(counts) / counts.total()
+            level[history] = {s: (c - discount) / counts.total() + backoff[history] * _probability(levels, backoff, history[1:], s)
+                              for s, c in counts.items()}
         levels.append(level)
-    number = {history: i for i, history in enumerate(h for level in levels for h in sorted(level))}
-    longest = max(len(levels) - 1, 0)
+    number = {history: i for i, history in enumerate(h for level in levels for h in level)}
     machine = Automaton()
+
+    def known(history: tuple[int, ...]) -> int:
+        while history not in number:
+            history = history[1:]
+        return number[history]
+
     for history in number:
-        probabilities = levels[len(history)][history]
-        arcs = {}
-        for symbol, p in probabilities.items():
-            following = (*history, symbol)[-longest:] if longest else ()
-            while following not in number:
-                following = following[1:]
-            arcs[symbol] = (number[following], float(np.log10(p)))
-        machine.arcs.append(arcs)
-        behind = history[1:]
-        while behind not in number:
-            behind = behind[1:]
-        machine.fail.append(number[behind])
-        # histories in between that are no states give all their mass to the next one
-        machine.weight.append(float(np.log10(max(backoff[history], 1e-12))) if history else 0.0)
-    machine.start = number.get((STOP,), 0)
+        arcs = levels[len(history)][history]
+        machine.arcs.append({s: (known((*history, s)[-(order - 1):] if order > 1 else ()), float(np.log10(p))) for s, p in arcs.items()})
+        machine.fail.append(known(history[1:]))
+        machine.weight.append(float(np.log10(backoff[history])) if history else 0.0)
+    machine.start = known((end,) if order > 1 else ())
     return machine
 
 
@@ -183,47 +205,42 @@ def _probability(levels, backoff, history: tuple[int, ...], symbol: int) -> floa
 
 @dataclass
 class Model:
-    counts: DataFrame             # (word, c) of the whole vocabulary, in the shared folder
+    table: DataFrame              # TABLE, in the shared folder
+    texts: DataFrame              # the training texts
     tokens: int                   # N
     words: int                    # V
-    known: dict[bytes, int]       # counts of frequent words
-    symbols: dict[bytes, int]     # core words and END
-    machine: Automaton
-    rare: float                   # probability of the class of other words
+    order: int
+    bits: int                     # the table has 2^bits buckets a level
 
     def unigram(self, count: int) -> float:
         return (count + ADD) / (self.tokens + ADD * (self.words + 1))
 
+    def _small(self) -> tuple[list[list[bytes]], Counter]:
+        own = [words_of(r[0]) for r in self.texts.collect()]
+        return own, Counter(w for words in own for w in [*words, END])
+
+    @property
+    def symbols(self) -> dict[bytes, int]:
+        """Word -> symbol, for texts that fit in memory."""
+        return {w: i for i, w in enumerate(sorted(self._small()[1]), RARE + 1)}
+
+    @property
+    def machine(self) -> Automaton:
+        """The model of texts that fit in memory as one automaton; tests hold ``score`` against it."""
+        own, counts = self._small()
+        symbols = self.symbols
+        unigram = {RARE: self.unigram(0)} | {symbols[w]: self.unigram(c) for w, c in counts.items()}
+        return build([[symbols[w] for w in words] for words in own], symbols[END], unigram, self.order)
+
 
 def fit(texts: DataFrame, order: int = ORDER) -> Model:
-    """Count and build from all rows of ``texts`` (text binary)."""
-    counts = staged(word_counts(texts), "word-counts")
-    tokens, words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    least = max(2, int(np.ceil(tokens * KNOWN_SHARE)))
-    known = {bytes(r[0]): r[1] for r in counts.filter(F.col("c") >= least).collect()}
-    core = sorted((w for w, c in known.items() if c >= tokens * CORE_SHARE and w != END), key=lambda w: (-known[w], w))
-    symbols = {END: STOP} | {w: i for i, w in enumerate(core, 2)}
-    ends = counts.filter(F.col("word") == F.lit(END)).first()
-    model = Model(counts, tokens, words, known, symbols, Automaton(), 1.0)
-    unigram = {i: model.unigram(known[w]) for w, i in symbols.items() if w in known}
-    unigram[STOP] = model.unigram(ends[1] if ends else 0)
-    model.known.setdefault(END, ends[1] if ends else 0)
-    model.rare = unigram[RARE] = max(1e-300, 1 - sum(unigram.values()))
-    grams, histories = {}, {}
-    if tokens:
-        counted = staged(ngram_counts(texts, symbols, order), "ngrams")
-        bound = max(2, int(np.ceil(tokens * ARC_SHARE)))
-        for n in range(2, order + 1):
-            own = counted.filter(F.col("n") == n).withColumn("history", F.shiftright("gram", BITS))
-            arcs = own.filter(F.col("c") >= bound)
-            totals = own.join(arcs.select("history").distinct(), "history", "left_semi").groupBy("history").agg(F.sum("c").alias("c"))
-            grams[n] = [(r[0], r[1]) for r in arcs.select("gram", "c").collect()]
-            histories[n] = [(r[0], r[1]) for r in totals.collect()]
-    model.machine = build(unigram, grams, histories)
-    return model
-
-
-INFO = "struct<doc_id:bigint,n_tokens:bigint,n_known:bigint,base:double,class:double>"
+    """Count all n-grams of all rows of ``texts`` (text binary)."""
+    size = texts.agg(F.sum(F.length("text") / WORD_BYTES + 1)).first()[0] or 0
+    bits = max(LEAST_BITS, int(np.ceil(np.log2(max(1, size / BUCKET)))))
+    table = staged(gram_table(texts, order, bits), "ngrams")
+    words = table.filter("kind = 'arc' and n = 1")
+    tokens, distinct = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    return Model(table, texts, tokens, distinct, order, bits)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -232,48 +249,91 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     A null text is an empty one and is its end alone. Repeated and null ids each keep their row; an empty table gives no
     rows; further columns are ignored. ``base_score`` is the unigram model's, ``score`` the automaton's log10 probability.
     """
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((model.known, model.symbols, model.machine, model.tokens, model.words))
-    rare_log = float(np.log10(model.rare))
+    order, bits = model.order, model.bits
     whole = float(model.tokens + ADD * (model.words + 1))
 
-    def run(batches):
-        known, symbols, machine, tokens, words = shared.value
-        logs = {w: float(np.log10((c + ADD) / whole)) for w, c in known.items()}
+    def block(batches):
+        for rows in _gathered(batches):
+            ids, own = zip(*rows)
+            yield _batch([(uuid.uuid4().hex, list(ids), list(own))], _BLOCK)
+
+    def ask(batches):
+        hashes = WordHashes()
         for batch in batches:
-            infos, rare = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = [*words_of(text.as_py()), END]
-                ids = list(map(symbols.get, own, repeat(RARE)))
-                found = list(map(logs.get, own))
-                other = Counter(w for w, log in zip(own, found) if log is None)
-                local = [log for log in found if log is not None]
-                base = sum(local)
-                in_class = sum(log for log, i in zip(found, ids) if i == RARE and log is not None)
-                n_class = ids.count(RARE)
-                infos.append({"doc_id": doc_id, "n_tokens": len(own), "n_known": len(local) - (known[END] == 0),
-                              "base": base, "class": machine.walk(ids) + in_class - n_class * rare_log})
-                rare.append([{"word": w, "tf": n} for w, n in other.items()])
-            yield pa.RecordBatch.from_arrays([pa.array(infos, _INFO), pa.array(rare, _RARE)], names=["info", "rare"])
+            for name, _, own in zip(*[c.to_pylist() for c in batch.columns]):
+                _, place, grams = _levels(own, hashes, order)
+                for n in range(1, order + 1):
+                    keys = np.unique(grams[n - 1][place >= n - 1])
+                    yield _batch([(n, i, name, keys[s].tobytes()) for i, s in _cuts(keys, bits)], _ASKED)
+
+    def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
+        found = {"arc": [], "state": []}
+        if asked.num_rows and table.num_rows:
+            for row in table.select(["kind", "keys", "a", "b"]).to_pylist():
+                found[row["kind"]].append(row)
+        column = lambda kind, name, dtype: np.frombuffer(b"".join(r[name] for r in found[kind]), dtype=dtype)
+        arcs, counts = _merged(column("arc", "keys", np.uint64), column("arc", "a", np.int64))
+        states, totals, numbers = _merged(*[column("state", name, dtype) for name, dtype in
+                                            (("keys", np.uint64), ("a", np.int64), ("b", np.int64))])
+        out = []
+        for row in asked.to_pylist() if asked.num_rows else []:
+            keys = np.frombuffer(row["keys"], dtype=np.uint64)
+            out.append((row["name"], row["n"], row["bucket"], *[
+                _looked_up(keys, own, values).tobytes() for own, values in ((arcs, counts), (states, totals), (states, numbers))]))
+        return pa.Table.from_batches([_batch(out, _ANSWER)])
+
+    def walk(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        for block in blocks.to_pylist() if blocks.num_rows else []:
+            starts, place, grams = _levels(block["own"], WordHashes(), order)
+            replies = sorted(answers.to_pylist(), key=lambda r: (r["n"], r["bucket"]))
+            known = []  # per level: count, total and number of continuations of the n-gram at each place
+            for n in range(1, order + 1):
+                at = place >= n - 1
+                _, back = np.unique(grams[n - 1][at], return_inverse=True)
+                level = []
+                for name in ("counts", "totals", "numbers"):
+                    spread = np.zeros(len(place), dtype=np.int64)
+                    spread[at] = np.frombuffer(b"".join(r[name] for r in replies if r["n"] == n), dtype=np.int64)[back]
+                    level.append(spread)
+                known.append(level)
+            inside = place > 0
+            p = (known[0][0] + ADD) / whole
+            base = np.where(inside, np.log10(p), 0.0)
+            for n in range(2, order + 1):
+                at = np.flatnonzero(place >= n - 1)
+                total, number = known[n - 2][1][at - 1], known[n - 2][2][at - 1]
+                longer = (np.maximum(known[n - 1][0][at] - DISCOUNT, 0.0) + DISCOUNT * number * p[at]) / np.maximum(total, 1)
+                p[at] = np.where(total > 0, longer, p[at])
+            sums = [np.add.reduceat(v, starts).tolist() for v in (
+                inside.astype(np.int64), (inside & (known[0][0] > 0)).astype(np.int64), base, np.where(inside, np.log10(p), 0.0))]
+            out += zip(block["ids"], *sums)
+        return pa.Table.from_batches([_batch(out, _SCORE)])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8().alias("text"))
-    walked = map_arrow(rows, run, f"info {INFO}, rare array<struct<word:binary,tf:bigint>>")
-    # one key per row; it is made and used inside one job, so a task that runs again makes the same keys
-    keyed = walked.withColumn("key", F.monotonically_increasing_id())
-    # the row's own figures ride on a first entry without a word
-    entries = keyed.select("key", F.posexplode(F.concat(
-        F.expr("array(named_struct('word', cast(null as binary), 'tf', 0L))"), F.col("rare"))).alias("place", "entry"), "info").select(
-        "key", F.col("entry.word").alias("word"), F.col("entry.tf").alias("tf"), F.when(F.col("place") == 0, F.col("info")).alias("info"))
-    joined = entries.filter("word is not null").drop("info").join(model.counts, "word", "left")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    terms = joined.select("key", (F.col("tf") * F.log10((c + ADD) / F.lit(whole))).alias("log"),
-                          F.when(c > 0, F.col("tf")).otherwise(0).alias("known"), F.lit(None).cast(INFO).alias("info"))
-    own = entries.filter("word is null").select("key", F.lit(0.0).alias("log"), F.lit(0).cast("bigint").alias("known"), "info")
-    summed = own.unionByName(terms).groupBy("key").agg(
-        F.sum("log").alias("log"), F.sum("known").alias("known"), F.max("info").alias("info"))
-    return summed.select("info.doc_id", "info.n_tokens", (F.col("info.n_known") + F.col("known")).alias("n_known"),
-                         (F.col("info.base") + F.col("log")).alias("base_score"), (F.col("info.class") + F.col("log")).alias("score"))
-
-
-_INFO = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("class", pa.float64())])
-_RARE = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))
+    # written once, so that questions and answers speak of the same blocks whatever is computed again
+    blocks = staged(map_arrow(rows, block, "name string, ids array<bigint>, own array<binary>"), "lm-blocks")
+    asked = blocks.mapInArrow(ask, "n int, bucket int, name string, keys binary")
+    answers = asked.groupBy("n", "bucket").cogroup(model.table.groupBy("n", "bucket")).applyInArrow(
+        answer, "name string, n int, bucket int, counts binary, totals binary, numbers binary")
+    return blocks.groupBy("name").cogroup(answers.groupBy("name")).applyInArrow(
+        walk, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
+
+
+def _looked_up(keys: np.ndarray, own: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The values of sorted ``own`` at ``keys``, 0 where they are missing."""
+    if not len(own):
+        return np.zeros(len(keys), dtype=np.int64)
+    at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+    return np.where(own[at] == keys, values[at], 0)
+
+
+_PART = pa.schema([("n", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("histories", pa.binary()), ("counts", pa.binary())])
+_TABLE = pa.schema([("kind", pa.string()), ("n", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("a", pa.binary()),
+                    ("b", pa.binary()), ("size", pa.int64()), ("total", pa.int64())])
+_BLOCK = pa.schema([("name", pa.string()), ("ids", pa.list_(pa.int64())), ("own", pa.list_(pa.binary()))])
+_ASKED = pa.schema([("n", pa.int32()), ("bucket", pa.int32()), ("name", pa.string()), ("keys", pa.binary())])
+_ANSWER = pa.schema([("name", pa.string()), ("n", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()), ("totals", pa.binary()),
+                     ("numbers", pa.binary())])
+_SCORE = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()),
+                    ("score", pa.float64())])
