@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from oracle import connect, differences
 
-from vigilake.llm import decontaminate, ngram_lm, packing, passage_quality, queries, token_count
+from vigilake.llm import decontaminate, ngram_lm, packing, passage_quality, queries, secret_scan, token_count
 from vigilake.llm.jaccard import near_duplicates
 
 SF = "/root/testdata/sf0.001"
@@ -253,6 +253,13 @@ def test_scores_know_every_bigram_and_trigram(spark):
         assert math.isclose(got[i], walked, rel_tol=1e-9), text
 
 
+# --- 7 ------------------------------------------------------------------------------------
+def test_dictionary_counts_all_documents(spark):
+    docs = spark.createDataFrame([(i, f"rarely{chr(97 + i % 26)} common deadbeef9") for i in range(78)], "doc_id bigint, text string")
+    words = {r.word for r in secret_scan.dictionary(docs).collect()}
+    assert words == {"common"} | {f"rarely{chr(97 + i)}" for i in range(26)}
+
+
 # --- pipeline -----------------------------------------------------------------------------
 def test_pipeline_against_brute_force(spark, rows, duck):
     """Each stage's decisions, from the stage's own input."""

@@ -17,8 +17,7 @@ from vigilake.session import staged
 # A finding is a run of key-like characters with a digit somewhere, long enough to carry a secret.
 CANDIDATE = r"(?=[A-Za-z_\-.+/=@]{0,63}[0-9])[A-Za-z0-9_\-.+/=@]{12,}"
 TRAINING_FINDINGS = 20_000   # labelled findings at most that the forest is fitted on
-DICTIONARY_WORDS = 20_000    # words at most of the dictionary behind the coverage feature
-DICTIONARY_SHARE = 64        # it is cut from every 64th document by hash
+DICTIONARY_COUNT = 3         # a word of the dictionary behind the coverage feature occurs so often
 TREES, DEPTH, SEED = 40, 8, 13
 THRESHOLD = 0.5
 REDACTED = "[SECRET]"
@@ -57,11 +56,10 @@ def findings(docs: DataFrame) -> DataFrame:
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """(word): frequent words of letters in a fixed hash sample of the documents, at most DICTIONARY_WORDS of them."""
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(DICTIONARY_SHARE)) == 0)
-    words = sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}"), F.lit(0))).alias("word"))
-    return (words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 2")
-            .orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS).select("word"))
+    """(word): whole words of three letters or more that occur DICTIONARY_COUNT times in all documents together."""
+    whole = r"(?<![\p{L}\p{N}_])\p{L}{3,}(?![\p{L}\p{N}_])"
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(whole), F.lit(0))).alias("word"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= DICTIONARY_COUNT).select("word")
 
 
 def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -87,11 +85,10 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
         "hex_only": value.rlike(r"^([A-Za-z_]+=)?[0-9a-fA-F]{12,}$").cast("double"),
         "digits_only": value.rlike(r"^[0-9 .+\-]+$").cast("double"),
     })
-    # dictionary coverage: letters of the finding inside words of the dictionary, over all its characters. The
-    # dictionary has at most DICTIONARY_WORDS rows, so it may be broadcast; findings are few against texts.
+    # dictionary coverage: letters of the finding inside words of the dictionary, over all its characters
     runs = found.select("finding").distinct().select(
         "finding", F.explode(F.regexp_extract_all(F.lower("finding"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
-    covered = runs.join(F.broadcast(words), "word").groupBy("finding").agg(F.sum(F.length("word")).alias("inside"))
+    covered = runs.join(words, "word").groupBy("finding").agg(F.sum(F.length("word")).alias("inside"))
     return plain.join(covered, "finding", "left").withColumn("coverage", F.coalesce(F.col("inside") / size, F.lit(0.0))).drop("inside")
 
 
