@@ -14,15 +14,21 @@ from pyspark.sql import functions as F
 from vigilake.llm.texts import row_key
 from vigilake.session import staged
 
-# A finding is a run of key-like characters with a digit somewhere, long enough to carry a secret.
-CANDIDATE = r"(?=[A-Za-z_\-.+/=@]{0,63}[0-9])[A-Za-z0-9_\-.+/=@]{12,}"
+# A finding is a run of key-like characters with a digit somewhere, long enough to carry a secret, or any value that is
+# assigned to a secret's name.
+NAMES = r"pass(?:word|wd)?|pwd|token|secret|api[_-]?key|access[_-]?key|credential|bearer|auth"
+CANDIDATE = (r"(?=[A-Za-z_\-.+/=@]{0,63}[0-9])[A-Za-z0-9_\-.+/=@]{12,}"
+             r"|(?<=[=:]\s{0,2}[\"']?)(?<=(?i:(?<![a-z0-9])(?:" + NAMES + r")[\"']?\s{0,2}[=:]\s{0,2}[\"']?))[A-Za-z0-9_\-.+/=@!#$%&*^~?]+")
 TRAINING_FINDINGS = 20_000   # labelled findings at most that the forest is fitted on
 DICTIONARY_COUNT = 3         # a word of the dictionary behind the coverage feature occurs so often
 TREES, DEPTH, SEED = 40, 8, 13
 THRESHOLD = 0.5
 REDACTED = "[SECRET]"
-NEIGHBOUR = r"(?i)\b(pass(word|wd)?|pwd|token|secret|api[_-]?key|access[_-]?key|credential|bearer|auth)\b"
-SAMPLE_WORD = r"(?i)(example|sample|dummy|test|fake|placeholder|changeme|your[_-]|xxxx|<.*>)"
+KEY_LIKE = 12                # shorter values are replaced only where they stand alone
+NEIGHBOUR = r"(?i)\b(" + NAMES + r")\b"
+# placeholder words count inside the value and directly in front of it, as whole words
+SAMPLE_IN = r"(?i)(?<![a-z0-9])(example|sample|dummy|test|fake|placeholder|changeme)(?![a-z0-9])|(?<![a-z0-9])your[_-]|xxxx"
+SAMPLE_FRONT = r"(?i)(?<![a-z0-9@._/\-])(example|sample|dummy|test|fake|placeholder)[\s=:\"'(]{1,4}$|[=:]\s{0,2}[\"']?<$"
 
 FEATURES = ["chars", "digit_share", "upper_share", "lower_share", "symbol_share", "changes", "letter_digit", "vowel_share",
             "repeats", "distinct_share", "coverage", "path", "address", "assigned", "quoted", "key_word_near",
@@ -81,7 +87,7 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
         "assigned": (F.col("before").rlike(r"[=:]\s*[\"']?$") | value.rlike(r"^[A-Za-z_]+=[^=]")).cast("double"),
         "quoted": F.col("before").rlike(r"[\"']$").cast("double"),
         "key_word_near": near.rlike(NEIGHBOUR).cast("double"),
-        "sample_word_near": near.rlike(SAMPLE_WORD).cast("double"),
+        "sample_word_near": (value.rlike(SAMPLE_IN) | F.col("before").rlike(SAMPLE_FRONT)).cast("double"),
         "hex_only": value.rlike(r"^([A-Za-z_]+=)?[0-9a-fA-F]{12,}$").cast("double"),
         "digits_only": value.rlike(r"^[0-9 .+\-]+$").cast("double"),
     })
@@ -101,9 +107,11 @@ def rule_label(finding: str = "finding", before: str = "before") -> Column:
     value, near = F.col(finding), F.concat_ws(" ", before, finding)
     named = near.rlike(NEIGHBOUR) & (F.col(before).rlike(r"[=:]\s*[\"']?$") | value.rlike("="))
     issued = value.rlike(r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[bp]-|^sk_live_[A-Za-z0-9]{16,}$|^eyJ[\w-]+\.eyJ")
-    harmless = value.rlike(r"@.*\.|^[0-9.+\-/]+$|^\d{1,3}(\.\d{1,3}){3}|^(https?:)?/?/|^[A-Za-z]+\d{0,2}$") | near.rlike(SAMPLE_WORD)
+    harmless = value.rlike(r"@.*\.|^[0-9.+\-/]+$|^\d{1,3}(\.\d{1,3}){3}|^(https?:)?/?/|^[A-Za-z]+\d{0,2}$") | value.rlike(SAMPLE_IN)
     random = value.rlike(r"[0-9a-fA-F]{16,}$|[A-Za-z0-9+/_\-]{24,}={0,2}$")
-    return F.when(harmless, F.lit(0)).when(issued | (named & random), F.lit(1)).cast("double")
+    # an issued format is certain by itself; words in front of a value decide only where its own form doesn't
+    return F.when(issued, F.lit(1)).when(harmless, F.lit(0)).when(named & random, F.lit(1)).when(
+        F.col(before).rlike(SAMPLE_FRONT), F.lit(0)).cast("double")
 
 
 def fit(labelled: DataFrame, most: int = TRAINING_FINDINGS) -> RandomForestClassificationModel | None:
@@ -151,14 +159,18 @@ def redact(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """``docs`` with every found secret replaced by REDACTED; all rows and columns stay, n_chars follows the text.
 
     ``scanned`` is the scan of ``texts.keyed(docs)``. Only values that were judged secrets are replaced, at every place in
-    the documents with that key.
+    the documents with that key; short ones where they stand alone.
     """
     values = scanned.filter("is_secret").groupBy(F.col("doc_id").alias("__key")).agg(F.collect_set("finding").alias("__secrets"))
     joined = docs.withColumn("__key", row_key()).join(values, "__key", "left")
     longest_first = F.array_sort("__secrets", lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1)
                                  .when(a < b, -1).when(a > b, 1).otherwise(0))
+    # values hold no backslash, so they can be quoted; a short one may also be part of other words
+    alone = lambda value: F.concat(F.lit(r"(?<![A-Za-z0-9_])\Q"), value, F.lit(r"\E(?![A-Za-z0-9_])"))
     clean = F.when(F.col("__secrets").isNull(), F.col("text")).otherwise(
-        F.aggregate(longest_first, F.col("text"), lambda text, value: F.replace(text, value, F.lit(REDACTED))))
+        F.aggregate(longest_first, F.col("text"), lambda text, value: F.when(
+            F.length(value) < KEY_LIKE, F.regexp_replace(text, alone(value), F.lit(REDACTED))).otherwise(
+            F.replace(text, value, F.lit(REDACTED)))))
     out = joined.withColumn("__clean", clean)
     changes = {"text": F.col("__clean")}
     if "n_chars" in docs.columns:
