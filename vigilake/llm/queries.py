@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from vigilake.llm import (
     decontaminate,
     exact_search,
+    graph_search,
+    hard_negatives,
     jaccard,
     language_id,
     ngram_lm,
     packing,
     passage_quality,
+    ranked_search,
     secret_scan,
     texts,
     token_count,
@@ -172,6 +175,69 @@ def op10_ngram_lm(spark, sf_dir):
     }).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+# --- 11 -----------------------------------------------------------------------------------
+@query("op11_graph_search")
+def op11_graph_search(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings")
+    return graph_search.nearest(rows, F.pmod(F.col("vec_id"), F.lit(20)) == 0, 20)
+
+
+# --- 12 -----------------------------------------------------------------------------------
+RANK_SQL = r"""
+with t as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents where text is not null),
+d as (select row_number() over () as place, doc_id, terms, len(terms) as n from t where len(terms) > 0),
+s as (select count(*) as docs, cast(sum(n) as bigint) as total from d),
+b as (
+  select item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (select distinct item_id, text from benchmark)),
+q as (select item_id, text, term, count(*) as times from b group by item_id, text, term),
+e as (select place, unnest(terms) as term from d),
+p as (select e.place, e.term, count(*) as tf from e where e.term in (select term from q) group by e.place, e.term),
+f as (select term, count(*) as df from p group by term),
+w as (select q.*, cast(floor(1000 * ln((2 * s.docs + 2) / (2 * f.df + 1))) as bigint) as weight from q join f using (term) cross join s),
+r as (
+  select w.item_id, w.text, d.doc_id, cast(sum(w.times * w.weight * ((1000000000 * p.tf) // (1000 * p.tf + 12 * (100 - 25 + (25 * d.n * s.docs) // s.total)))) as bigint) as score
+  from w join p using (term) join d using (place) cross join s where d.doc_id is not null group by w.item_id, w.text, p.place, d.doc_id),
+o as (select item_id, cast(row_number() over (partition by item_id, text order by score desc, doc_id) as integer) as rank, doc_id, score from r where score > 0)
+select * from o where rank <= 20"""
+
+
+@query("op12_ranked_search", RANK_SQL)
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 20)
+
+
+# --- 13 -----------------------------------------------------------------------------------
+NEGATIVE_SQL = """
+with v as (
+  select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, a.label as own, a.e as anchor, c.vec_id, c.label, cast(list_inner_product(a.e, c.e) as bigint) as score
+  from v a join v c on a.vec_id <> c.vec_id and len(a.e) = len(c.e) where a.vec_id % 100 = 0),
+p as (
+  select *, row_number() over (partition by anchor_id, own, anchor order by score desc, vec_id) as n from s where label = own),
+w as (
+  select p.anchor_id, p.own, p.anchor, p.n, p.vec_id as positive_id, p.score as positive_score, s.vec_id as negative_id, s.score as negative_score
+  from p join s on p.anchor_id = s.anchor_id and p.own = s.own and p.anchor = s.anchor and s.label <> s.own
+  where p.n <= 5 and 80 * p.score <= 100 * s.score and 100 * s.score <= 100 * p.score),
+r as (
+  select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, own, anchor, n order by negative_score desc, negative_id) as integer) as rank,
+    negative_id, positive_score, negative_score from w)
+select * from r where rank <= 5"""
+
+
+@query("op13_hard_negatives", NEGATIVE_SQL)
+def op13_hard_negatives(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.pmod(F.col("vec_id"), F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, F.pmod(F.col("vec_id"), F.lit(100)) == 0, label)
+
+
 # --- pipeline -----------------------------------------------------------------------------
 @query("pipeline")
 def pipeline(spark, sf_dir):
