@@ -21,6 +21,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows may be whole books: a batch to a Python worker ends by its bytes, not only by its rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 # paths staged by this process and not yet removed
