@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 from oracle import connect, differences
+from pyspark.sql import functions as F
 
 from vigilake.llm import decontaminate, ngram_lm, packing, passage_quality, queries, secret_scan, token_count
 from vigilake.llm.jaccard import near_duplicates
@@ -223,34 +224,68 @@ def test_base_scores_and_probabilities(spark, rows):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_automaton_sums_to_one_and_matches_backoff(spark):
-    texts = ["a b a b c", "a b b a", "b a b", "c c a b"]
-    rows = spark.createDataFrame([(bytearray(t.encode()),) for t in texts], "text binary")
-    model = ngram_lm.fit(rows, 3)
-    symbols = [ngram_lm.RARE, *model.symbols.values()]
-    for state in range(len(model.machine.arcs)):
-        mass = 0.0
-        for symbol in symbols:
-            at, log = state, 0.0
-            while symbol not in model.machine.arcs[at]:
-                log += model.machine.weight[at]
-                at = model.machine.fail[at]
-            mass += 10 ** (log + model.machine.arcs[at][symbol][1])
-        assert math.isclose(mass, 1.0, rel_tol=1e-9)
-
-
-def test_scores_know_every_bigram_and_trigram(spark):
-    """Rare words keep their own n-grams: scores equal the automaton over all real words, and unseen words fall back."""
-    texts = ["x y z"] + [" ".join(f"w{(7 * i + j * j) % 900}" for j in range(12)) for i in range(400)] + ["", "x y z w1 w2"]
-    rows = spark.createDataFrame([(bytearray(t.encode()),) for t in texts], "text binary")
-    model = ngram_lm.fit(rows, 3)
-    machine, symbols = model.machine, model.symbols
-    asked = [*texts, "x y", "y x z", "unseen w1 x y z", "z y x unseen"]
-    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id bigint, text string").repartition(3)
-    got = {r.doc_id: r.score for r in ngram_lm.score(docs, model).collect()}
-    for i, text in enumerate(asked):
-        walked = machine.walk([*[symbols.get(w, ngram_lm.RARE) for w in text.encode().split()], symbols[ngram_lm.END]])
-        assert math.isclose(got[i], walked, rel_tol=1e-9), text
+def brute_force_lm(training, order=3):
+    """log10 probability of a text by the smoothing formula over plain dictionaries."""
+    counts = Counter()
+    for text in training:
+        tokens = [b"\n", *text.encode().lower().split(), b"\n"]
+        counts.update((w,) for w in tokens[1:])
+        counts.update(tuple(tokens[i:i + n]) for n in range(2, order + 1) for i in range(len(tokens) - n + 1))
+    total, distinct = sum(c for g, c in counts.items() if len(g) == 1), sum(len(g) == 1 for g in counts)
+
+    def probability(history, word):
+        if not history:
+            return (counts[(word,)] + 0.1) / (total + 0.1 * (distinct + 1))
+        own, below = counts[history], probability(history[1:], word)
+        return (counts[(*history, word)] + ngram_lm.PRIOR * below) / (own + ngram_lm.PRIOR)
+
+    def score(text):
+        tokens = [b"\n", *text.encode().lower().split(), b"\n"]
+        return sum(math.log10(probability(tuple(tokens[max(0, i - order + 1):i]), tokens[i])) for i in range(1, len(tokens)))
+
+    return score, probability, counts
+
+
+def test_scores_equal_the_formula(spark, monkeypatch):
+    """Rare words keep their own n-grams, unseen ones fall back; blocks, buckets and segments don't show in the result."""
+    training = ["x y z"] + [" ".join(f"w{(7 * i + j * j) % 900}" for j in range(12)) for i in range(400)] + ["", "x y z w1 w2", "a b a b c", "a b b a"]
+    training.append(" ".join(f"w{(i * i) % 97}" for i in range(1500)))
+    asked = [*training, "x y", "y x z", "unseen w1 x y z", "z y x unseen", "unseen", " ".join(f"w{i % 50}" for i in range(1030))]
+    score, *_ = brute_force_lm(training)
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id bigint, text string")
+    for parts, block in ((3, 1_500_000), (2, 700)):
+        monkeypatch.setattr(ngram_lm, "BLOCK", block)
+        got = {r.doc_id: r.score for r in ngram_lm.score(docs.repartition(parts), F.col("doc_id") < len(training)).collect()}
+        assert len(got) == len(asked)
+        for i, text in enumerate(asked):
+            assert math.isclose(got[i], score(text), rel_tol=1e-9), text[:50]
+
+
+def test_probabilities_sum_to_one():
+    _, probability, counts = brute_force_lm(["a b a b c", "a b b a", "b a b", "c c a b"])
+    words = [g[0] for g in counts if len(g) == 1]
+    for history in {(), *[g for g in counts if len(g) < 3 and g[-1] != b"\n"], (b"\n",)}:
+        assert math.isclose(sum(probability(history, w) for w in [*words, b"unseen"]), 1.0, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("segment", [1, 2, 7, 512])
+def test_walk_takes_arcs_and_failure_arcs(segment):
+    """The automaton of one block, step by step: states are histories, segments start in the state before them."""
+    from vigilake.llm.texts import WordHashes
+
+    texts = ["a b a b c", "a b b a", "b a b", "c c a b", "b c q a b a"]
+    grams = ngram_lm.grams_of([t.encode() for t in texts], WordHashes(), 3, 48)
+    counts = []
+    for n in (1, 2, 3):
+        at = grams.inside(n)
+        counts.append(ngram_lm._flagged(grams.levels[n - 1][at], at < grams.starts[4]))
+    tokens, words = int(counts[0][1].sum()), int((counts[0][1] > 0).sum())
+    machine = ngram_lm.Automaton(grams, counts, tokens, words)
+    score, *_ = brute_force_lm(texts[:4])
+    sizes = np.diff(np.r_[grams.starts, len(grams.place)])
+    assert np.allclose(machine.walk(grams.starts, sizes, 3, segment), [score(t) for t in texts], rtol=1e-12)
+    states = np.arange(1, len(machine.weight))
+    assert (machine.fail[states] < states).all() and (machine.weight[states] <= 0).all()
 
 
 # --- 7 ------------------------------------------------------------------------------------

@@ -1,23 +1,26 @@
-"""Language-model scores from a weighted backoff automaton that is kept as a table.
-
-The model is interpolated absolute discounting over all words and all n-grams of the training texts, down to those that
-occur once. Its states are histories of up to ``ORDER - 1`` words with their total and their number of continuations
-(from which the failure weight follows), its arcs are the n-grams with their counts. Nothing of it is held in one place:
-n-grams are known by 64-bit hashes, and the hash range is cut into buckets whose number grows with the corpus.
-
-Texts meet the table in blocks. A block asks each bucket once for every distinct n-gram it holds, so a frequent n-gram is
-one entry a block; the answers go back to the block, which walks its texts. The lowest level is the add-0.1 unigram model.
+"""Language-model scores from a weighted backoff automaton over all words and all n-grams of the training texts.
+
+The model is an n-gram model with Dirichlet smoothing: a history of count c is as sure of its own continuations as of
+``PRIOR`` more that are dealt out by the next shorter history, and the lowest level is the add-0.1 unigram model. As an
+automaton, the histories of up to ``ORDER - 1`` words are the states and the seen n-grams the arcs; a state without an arc
+for a word fails to the next shorter history at the weight PRIOR / (c + PRIOR).
+
+Nothing of the model is held in one place. Texts are cut into blocks. A block sends each of its distinct n-grams, with the
+count of its own training texts, to the bucket of the n-gram's hash; the bucket adds up all blocks' counts and answers each
+with the sums. That is one round trip, in which a frequent n-gram is one entry a block. From the answers a block builds the
+part of the automaton its texts can reach and walks it from left to right: many texts, and long texts cut into segments,
+side by side. A segment starts in the state its preceding words lead to.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.llm.texts import WordHashes, map_arrow, utf8, words_of
@@ -25,15 +28,16 @@ from vigilake.session import staged
 
 ORDER = 3
 ADD = 0.1                # added to every count of the unigram level
-DISCOUNT = 0.6           # taken off every n-gram count and given to the shorter history
-BLOCK = 1_000_000        # words of one block of texts
-BUCKET = 1 << 20         # words of the corpus per bucket of the table
+PRIOR = 2.0              # weight of the shorter history, in counts
+BLOCK = 1_500_000        # words of one block of texts
+BUCKET = 1 << 20         # words of the corpus per bucket of a level
 LEAST_BITS = 7           # 128 buckets at least, so that a small corpus is spread as well
-WORD_BYTES = 6           # of text, to choose the number of buckets before anything is counted
-END = b"\n"              # no word holds a line end, so it can stand for the end of a text
-RARE = 0                 # symbol of all words that no training text holds
+SEGMENT = 512            # words of a long text that one lane of the walk reads
+# n-grams are known by hashes of so many bits more than their number needs: an unseen n-gram is taken for a seen one with a
+# chance of one in four million
+SPARE_BITS, LEAST_WIDTH, MOST_WIDTH = 22, 48, 63
+END = b"\n"              # no word holds a line end, so it can stand for the start and the end of a text
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
-TABLE = "kind string, n int, bucket int, keys binary, a binary, b binary, size bigint, total bigint"
 
 
 def _mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -42,9 +46,39 @@ def _mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))) * MIX[0]
 
 
-def _levels(texts: list[bytes | None], hashes: WordHashes, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(starts, place, grams): texts one behind the other, each between two ends. ``grams[n - 1][i]`` is the n-gram that ends
-    at i; it lies within one text where ``place[i] >= n - 1``."""
+def _shrunk(values: np.ndarray) -> bytes:
+    """64-bit numbers by planes of their bytes: high bytes that are all zero take no room."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _grown(data: bytes, kind=np.int64) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view(kind).ravel()
+
+
+def _sorted_bytes(keys: np.ndarray) -> bytes:
+    return _shrunk(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _sorted_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_grown(data, np.uint64), dtype=np.uint64)
+
+
+@dataclass
+class Grams:
+    """The n-grams of a block of texts, one behind the other, each text between two ends."""
+
+    starts: np.ndarray          # per text the place of its first end in the block
+    place: np.ndarray           # place of each token in its text
+    levels: list[np.ndarray]    # levels[n - 1][i]: key of the n-gram that ends at i
+
+    def inside(self, n: int) -> np.ndarray:
+        """Places at which an n-gram ends that lies within one text; the end in front of a text is no token."""
+        return np.flatnonzero(self.place >= max(1, n - 1))
+
+
+def grams_of(texts: list[bytes], hashes: WordHashes, order: int, width: int) -> Grams:
     end = hashes[END]
     words = [words_of(text) for text in texts]
     sizes = np.array([len(own) + 2 for own in words], dtype=np.int64)
@@ -54,32 +88,135 @@ def _levels(texts: list[bytes | None], hashes: WordHashes, order: int) -> tuple[
         flat[at] = flat[at + len(own) + 1] = end
         flat[at + 1:at + 1 + len(own)] = np.fromiter(map(hashes.__getitem__, own), dtype=np.uint64, count=len(own))
     place = np.arange(len(flat)) - np.repeat(starts, sizes)
-    grams = [flat]
+    longer, levels = flat, [flat >> np.uint64(64 - width)]
     for _ in range(1, order):
-        longer = np.zeros(len(flat), dtype=np.uint64)
-        longer[1:] = _mixed(grams[-1][:-1], flat[1:])
-        grams.append(longer)
-    return starts, place, grams
+        mixed = np.zeros(len(flat), dtype=np.uint64)
+        mixed[1:] = _mixed(longer[:-1], flat[1:])
+        longer = mixed
+        levels.append(longer >> np.uint64(64 - width))
+    return Grams(starts, place, levels)
 
 
-def _cuts(keys: np.ndarray, bits: int):
-    """(bucket, slice) of every bucket that sorted keys fall into."""
-    bounds = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist() + [len(keys)]
-    return [(i, slice(a, b)) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
-
-
-def _merged(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sorted distinct keys with the sums of their values; values of unsigned type are the same for equal keys."""
+def _counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
     if not len(keys):
-        return keys, *values
+        return keys, counts
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return keys[first], *[v[order][first] if v.dtype == np.uint64 else np.add.reduceat(v[order], first) for v in values]
+    return keys[first], np.add.reduceat(counts[order], first)
+
+
+def _flagged(keys: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_counted`` of keys below 2^63 and counts of 0 and 1, by one plain sort."""
+    both = (keys << np.uint64(1)) | flags.astype(np.uint64)
+    both.sort()
+    keys = both >> np.uint64(1)
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, dtype=np.int64)
+    return keys[first], np.add.reduceat((both & np.uint64(1)).astype(np.int64), first) if len(keys) else np.empty(0, dtype=np.int64)
 
 
-def _joined(column, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
+def _cuts(keys: np.ndarray, width: int, bits: int):
+    """(bucket, slice) of every bucket that sorted keys of ``width`` bits fall into."""
+    bounds = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(width - bits)).tolist() + [len(keys)]
+    return [(i, slice(a, b)) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+
+
+class Automaton:
+    """What the texts of a block can reach of the automaton.
+
+    State 0 is the empty history; a history of m words that the training texts hold is ``first[m]`` plus its number among
+    the block's m-grams. Arcs are sorted by (state, word).
+    """
+
+    def __init__(self, grams: Grams, counts: list[tuple[np.ndarray, np.ndarray]], tokens: int, words: int, prior: float = PRIOR):
+        """``counts[n - 1]``: (sorted distinct keys, counts in the training texts) of the block's n-grams."""
+        order = len(counts)
+        number = [np.searchsorted(keys, level) for (keys, _), level in zip(counts, grams.levels)]  # n-gram at each place
+        self.symbols = number[0]
+        base = (counts[0][1] + ADD) / (tokens + ADD * (words + 1))
+        self.known = counts[0][1] > 0
+        self.first = np.cumsum([1] + [len(keys) for keys, _ in counts[:order - 1]])
+        histories = [c for _, c in counts[:order - 1]]
+        totals = np.concatenate([[0], *histories]) if histories else np.zeros(1)
+        self.weight = np.log10(prior / (totals + prior))
+        self.fail = np.zeros(len(totals), dtype=np.int64)
+        self.base = np.log10(base)
+        self.next = np.where(self.known & (order > 1), 1 + np.arange(len(base)), 0)
+        states, symbols, targets, logs = [], [], [], []
+        below = base[number[0]]  # probability of the word at each place, given the shorter history
+        for n in range(2, order + 1):
+            at = grams.inside(n)
+            if n <= order - 1:
+                self.fail[self.first[n - 1] + number[n - 1][at]] = self.first[n - 2] + number[n - 2][at]
+            seen = np.zeros(len(grams.place), dtype=np.int64)
+            seen[at] = counts[n - 1][1][number[n - 1][at]]
+            own = np.zeros(len(grams.place), dtype=np.int64)
+            own[at] = counts[n - 2][1][number[n - 2][at - 1]]
+            p = (seen + prior * below) / (own + prior)
+            p[own == 0] = below[own == 0]
+            # one place stands for all with the same n-gram
+            arcs = np.full(len(counts[n - 1][0]), -1, dtype=np.int64)
+            arcs[number[n - 1][at]] = at
+            arcs = arcs[(counts[n - 1][1] > 0) & (arcs >= 0)]
+            states.append(self.first[n - 2] + number[n - 2][arcs - 1])
+            symbols.append(number[0][arcs])
+            kept = min(n, order - 1)
+            targets.append(self.first[kept - 1] + number[kept - 1][arcs])
+            logs.append(np.log10(p[arcs]))
+            below = p
+        self.width = len(base)
+        if states:
+            keys = np.concatenate(states) * self.width + np.concatenate(symbols)
+            order_ = np.argsort(keys)
+            self.keys, self.targets, self.logs = keys[order_], np.concatenate(targets)[order_], np.concatenate(logs)[order_]
+        else:
+            self.keys, self.targets, self.logs = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+
+    def read(self, states: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next states, log10 probabilities): every lane takes the arc of its symbol, after as many failure arcs as it needs."""
+        states, logs = states.copy(), np.zeros(len(states))
+        out = np.zeros(len(states), dtype=np.int64)
+        waiting = np.arange(len(states))
+        while len(waiting):
+            state, symbol = states[waiting], symbols[waiting]
+            empty = state == 0
+            done = waiting[empty]
+            logs[done] += self.base[symbol[empty]]
+            out[done] = self.next[symbol[empty]]
+            waiting, state, symbol = waiting[~empty], state[~empty], symbol[~empty]
+            if not len(waiting):
+                break
+            key = state * self.width + symbol
+            at = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+            found = self.keys[at] == key if len(self.keys) else np.zeros(len(key), dtype=bool)
+            done = waiting[found]
+            logs[done] += self.logs[at[found]]
+            out[done] = self.targets[at[found]]
+            waiting, state = waiting[~found], state[~found]
+            logs[waiting] += self.weight[state]
+            states[waiting] = self.fail[state]
+        return out, logs
+
+    def walk(self, starts: np.ndarray, sizes: np.ndarray, order: int, segment: int = SEGMENT) -> np.ndarray:
+        """log10 probability of each text: tokens ``starts + 1`` to ``starts + sizes - 1`` of the block's symbols."""
+        pieces = -(-(sizes - 1) // segment)
+        text = np.repeat(np.arange(len(starts)), pieces)
+        within = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        first = 1 + within * segment                                 # first token that counts for the lane
+        last = np.minimum(first + segment, sizes[text])
+        before = np.maximum(0, first - max(1, order - 1))            # words that only lead to the state
+        lanes = np.argsort(-(last - before), kind="stable")
+        text, first, last, before = text[lanes], first[lanes], last[lanes], before[lanes]
+        length, offset = last - before, starts[text] + before
+        states, sums = np.zeros(len(text), dtype=np.int64), np.zeros(len(text))
+        active = len(text)
+        for step in range(int(length.max(initial=0))):
+            active = int(np.searchsorted(-length[:active], -step, side="left"))
+            states[:active], logs = self.read(states[:active], self.symbols[offset[:active] + step])
+            counted = before[:active] + step >= first[:active]
+            sums[:active] += np.where(counted, logs, 0.0)
+        return np.bincount(text, weights=sums, minlength=len(starts))
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -87,253 +224,107 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _gathered(batches):
-    """Lists of rows (tuples) of BLOCK words or a little more; the text is the last column."""
+def _blocks(batches):
+    """Rows of _BLOCK: texts of BLOCK words or a little more, compressed together."""
     held, size = [], 0
+
+    def block():
+        ids, training, texts = zip(*held)
+        data = zstandard.ZstdCompressor(level=6).compress(b"".join(texts))
+        tokens = sum(len(words_of(text)) + 1 for text in texts)
+        return _batch([(uuid.uuid4().hex, tokens, list(ids), list(training), [len(t) for t in texts], data)], _BLOCK)
+
     for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns]):
-            held.append(row)
-            size += len(row[-1] or b"") // WORD_BYTES + 2
+        for doc_id, training, text in zip(*[c.to_pylist() for c in batch.columns]):
+            held.append((doc_id, training, text))
+            size += text.count(b" ") + 2
             if size >= BLOCK:
-                yield held
+                yield block()
                 held, size = [], 0
     if held:
-        yield held
+        yield block()
 
 
-def gram_table(texts: DataFrame, order: int, bits: int) -> DataFrame:
-    """TABLE over all n-grams of ``texts`` (text binary), a row per n and bucket of the keys.
+def _texts(row: dict) -> list[bytes]:
+    data = zstandard.ZstdDecompressor().decompress(row["data"])
+    ends = np.cumsum(row["lengths"]).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
 
-    Kind 'arc': n-grams with count ``a``. Kind 'state': histories of n words with the total ``a`` and number ``b`` of their
-    continuations, in parts that add up.
-    """
-
-    def count(batches):
-        hashes = WordHashes()
-        for rows in _gathered(batches):
-            _, place, grams = _levels([text for text, in rows], hashes, order)
-            for n in range(1, order + 1):
-                at = np.flatnonzero(place >= max(1, n - 1))
-                before = grams[n - 2][at - 1] if n > 1 else np.zeros(len(at), dtype=np.uint64)
-                keys, histories, counts = _merged(grams[n - 1][at], before, np.ones(len(at), dtype=np.int64))
-                yield _batch([(n, i, keys[s].tobytes(), histories[s].tobytes() if n > 1 else b"", counts[s].tobytes())
-                              for i, s in _cuts(keys, bits)], _PART)
-
-    def merge(part: pa.Table) -> pa.Table:
-        n, bucket = part.column("n")[0].as_py(), part.column("bucket")[0].as_py()
-        keys, counts = _joined(part.column("keys"), np.uint64), _joined(part.column("counts"), np.int64)
-        histories = _joined(part.column("histories"), np.uint64) if n > 1 else np.zeros(len(keys), dtype=np.uint64)
-        keys, histories, counts = _merged(keys, histories, counts)
-        out = [("arc", n, bucket, keys.tobytes(), counts.tobytes(), b"", len(keys), int(counts.sum()))]
-        if n > 1:
-            states, totals, numbers = _merged(histories, counts, np.ones(len(keys), dtype=np.int64))
-            out += [("state", n - 1, i, states[s].tobytes(), totals[s].tobytes(), numbers[s].tobytes(), 0, 0)
-                    for i, s in _cuts(states, bits)]
-        return pa.Table.from_batches([_batch(out, _TABLE)])
-
-    parts = map_arrow(texts.select("text"), count, "n int, bucket int, keys binary, histories binary, counts binary")
-    return parts.groupBy("n", "bucket").applyInArrow(merge, TABLE)
 
+def score(docs: DataFrame, training: Column, order: int = ORDER) -> DataFrame:
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs`` (doc_id bigint, text string).
 
-@dataclass
-class Automaton:
-    """States are numbered; 0 is the empty history. ``arcs[s]``: symbol -> (next state, log10 probability)."""
-
-    arcs: list[dict[int, tuple[int, float]]] = field(default_factory=list)
-    fail: list[int] = field(default_factory=list)
-    weight: list[float] = field(default_factory=list)
-    start: int = 0
-
-    def walk(self, symbols: list[int]) -> float:
-        """Sum of the log10 probabilities of the symbols, from the start of a text."""
-        arcs, fail, weight = self.arcs, self.fail, self.weight
-        state, total = self.start, 0.0
-        for symbol in symbols:
-            found = arcs[state].get(symbol)
-            while found is None:
-                total += weight[state]
-                state = fail[state]
-                found = arcs[state].get(symbol)
-            state = found[0]
-            total += found[1]
-        return total
-
-
-def build(texts: list[list[int]], end: int, unigram: dict[int, float], order: int, discount: float = DISCOUNT) -> Automaton:
-    """The automaton of small ``texts`` in memory, from the lists of their symbols without ends."""
-    levels: list[dict[tuple[int, ...], dict[int, float]]] = [{(): dict(unigram)}]
-    backoff: dict[tuple[int, ...], float] = {}
-    for n in range(2, order + 1):
-        kept: dict[tuple[int, ...], Counter] = {}
-        for own in texts:
-            padded = [end, *own, end]
-            for at in range(len(padded) - n + 1):
-                kept.setdefault(tuple(padded[at:at + n - 1]), Counter())[padded[at + n - 1]] += 1
-        level: dict[tuple[int, ...], dict[int, float]] = {}
-        for history, counts in kept.items():
-            backoff[history] = discount * len(counts) / counts.total()
-            level[history] = {s: (c - discount) / counts.total() + backoff[history] * _probability(levels, backoff, history[1:], s)
-                              for s, c in counts.items()}
-        levels.append(level)
-    number = {history: i for i, history in enumerate(h for level in levels for h in level)}
-    machine = Automaton()
-
-    def known(history: tuple[int, ...]) -> int:
-        while history not in number:
-            history = history[1:]
-        return number[history]
-
-    for history in number:
-        arcs = levels[len(history)][history]
-        machine.arcs.append({s: (known((*history, s)[-(order - 1):] if order > 1 else ()), float(np.log10(p))) for s, p in arcs.items()})
-        machine.fail.append(known(history[1:]))
-        machine.weight.append(float(np.log10(backoff[history])) if history else 0.0)
-    machine.start = known((end,) if order > 1 else ())
-    return machine
-
-
-def _probability(levels, backoff, history: tuple[int, ...], symbol: int) -> float:
-    scale = 1.0
-    while True:
-        level = levels[len(history)].get(history)
-        if level is not None:
-            if symbol in level:
-                return scale * level[symbol]
-            scale *= backoff[history]
-        history = history[1:]
-
-
-@dataclass
-class Model:
-    table: DataFrame              # TABLE, in the shared folder
-    texts: DataFrame              # the training texts
-    tokens: int                   # N
-    words: int                    # V
-    order: int
-    bits: int                     # the table has 2^bits buckets a level
-
-    def unigram(self, count: int) -> float:
-        return (count + ADD) / (self.tokens + ADD * (self.words + 1))
-
-    def _small(self) -> tuple[list[list[bytes]], Counter]:
-        own = [words_of(r[0]) for r in self.texts.collect()]
-        return own, Counter(w for words in own for w in [*words, END])
-
-    @property
-    def symbols(self) -> dict[bytes, int]:
-        """Word -> symbol, for texts that fit in memory."""
-        return {w: i for i, w in enumerate(sorted(self._small()[1]), RARE + 1)}
-
-    @property
-    def machine(self) -> Automaton:
-        """The model of texts that fit in memory as one automaton; tests hold ``score`` against it."""
-        own, counts = self._small()
-        symbols = self.symbols
-        unigram = {RARE: self.unigram(0)} | {symbols[w]: self.unigram(c) for w, c in counts.items()}
-        return build([[symbols[w] for w in words] for words in own], symbols[END], unigram, self.order)
-
-
-def fit(texts: DataFrame, order: int = ORDER) -> Model:
-    """Count all n-grams of all rows of ``texts`` (text binary)."""
-    size = texts.agg(F.sum(F.length("text") / WORD_BYTES + 1)).first()[0] or 0
-    bits = max(LEAST_BITS, int(np.ceil(np.log2(max(1, size / BUCKET)))))
-    table = staged(gram_table(texts, order, bits), "ngrams")
-    words = table.filter("kind = 'arc' and n = 1")
-    tokens, distinct = words.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    return Model(table, texts, tokens, distinct, order, bits)
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) of every row of ``docs`` (doc_id bigint, text string).
-
-    A null text is an empty one and is its end alone. Repeated and null ids each keep their row; an empty table gives no
-    rows; further columns are ignored. ``base_score`` is the unigram model's, ``score`` the automaton's log10 probability.
+    The model learns from the rows for which ``training`` holds (null: it doesn't) and scores all of them. A null text is an
+    empty one and is its end alone. Repeated and null ids each keep their row; an empty table gives no rows; further
+    columns are ignored. ``base_score`` is the unigram model's, ``score`` the automaton's log10 probability of the text.
+    Without any training row all probability lies on unknown words.
     """
-    order, bits = model.order, model.bits
-    whole = float(model.tokens + ADD * (model.words + 1))
-
-    def block(batches):
-        for rows in _gathered(batches):
-            ids, own = zip(*rows)
-            yield _batch([(uuid.uuid4().hex, list(ids), list(own))], _BLOCK)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(training, F.lit(False)).alias("training"), utf8().alias("text"))
+    # written once, so that questions and answers speak of the same blocks whatever is computed again
+    blocks = staged(map_arrow(rows, _blocks, _schema(_BLOCK)), "lm-blocks")
+    size = blocks.agg(F.sum("tokens")).first()[0] or 0
+    bits = max(LEAST_BITS, int(np.ceil(np.log2(max(1, size / BUCKET)))))
+    width = int(min(MOST_WIDTH, max(LEAST_WIDTH, np.ceil(np.log2(max(1, order * size))) + SPARE_BITS)))
 
     def ask(batches):
         hashes = WordHashes()
         for batch in batches:
-            for name, _, own in zip(*[c.to_pylist() for c in batch.columns]):
-                _, place, grams = _levels(own, hashes, order)
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                grams = grams_of(_texts(row), hashes, order, width)
+                learned = np.repeat(np.array(row["training"], dtype=bool), np.diff(np.r_[grams.starts, len(grams.place)]))
                 for n in range(1, order + 1):
-                    keys = np.unique(grams[n - 1][place >= n - 1])
-                    yield _batch([(n, i, name, keys[s].tobytes()) for i, s in _cuts(keys, bits)], _ASKED)
-
-    def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
-        found = {"arc": [], "state": []}
-        if asked.num_rows and table.num_rows:
-            for row in table.select(["kind", "keys", "a", "b"]).to_pylist():
-                found[row["kind"]].append(row)
-        column = lambda kind, name, dtype: np.frombuffer(b"".join(r[name] for r in found[kind]), dtype=dtype)
-        arcs, counts = _merged(column("arc", "keys", np.uint64), column("arc", "a", np.int64))
-        states, totals, numbers = _merged(*[column("state", name, dtype) for name, dtype in
-                                            (("keys", np.uint64), ("a", np.int64), ("b", np.int64))])
+                    at = grams.inside(n)
+                    keys, counts = _flagged(grams.levels[n - 1][at], learned[at])
+                    yield _batch([(n, bucket, row["name"], _sorted_bytes(keys[s]), _shrunk(counts[s])) for bucket, s in _cuts(keys, width, bits)], _ASKED)
+
+    def answer(table: pa.Table) -> pa.Table:
+        n, bucket = table.column("n")[0].as_py(), table.column("bucket")[0].as_py()
+        asked = [_sorted_keys(k.as_py()) for k in table.column("keys")]
+        keys, counts = _counted(np.concatenate(asked), np.concatenate([_grown(c.as_py()) for c in table.column("counts")]))
         out = []
-        for row in asked.to_pylist() if asked.num_rows else []:
-            keys = np.frombuffer(row["keys"], dtype=np.uint64)
-            out.append((row["name"], row["n"], row["bucket"], *[
-                _looked_up(keys, own, values).tobytes() for own, values in ((arcs, counts), (states, totals), (states, numbers))]))
+        for number, (name, own) in enumerate(zip(table.column("name").to_pylist(), asked)):
+            # totals of the words stand on one row of each bucket
+            tokens, words = (int(counts.sum()), int((counts > 0).sum())) if n == 1 and number == 0 else (0, 0)
+            out.append((name, n, bucket, _shrunk(counts[np.searchsorted(keys, own)]), tokens, words))
         return pa.Table.from_batches([_batch(out, _ANSWER)])
 
-    def walk(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+    asked = blocks.select("name", "training", "lengths", "data").mapInArrow(ask, _schema(_ASKED))
+    answers = staged(asked.groupBy("n", "bucket").applyInArrow(answer, _schema(_ANSWER)), "lm-answers")
+    tokens, words = answers.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+
+    def walk(own: pa.Table, replies: pa.Table) -> pa.Table:
         out = []
-        for block in blocks.to_pylist() if blocks.num_rows else []:
-            starts, place, grams = _levels(block["own"], WordHashes(), order)
-            replies = sorted(answers.to_pylist(), key=lambda r: (r["n"], r["bucket"]))
-            known = []  # per level: count, total and number of continuations of the n-gram at each place
+        for row in own.to_pylist() if own.num_rows else []:
+            grams = grams_of(_texts(row), WordHashes(), order, width)
+            sizes = np.diff(np.r_[grams.starts, len(grams.place)])
+            given: dict[int, list] = {n: [] for n in range(1, order + 1)}
+            for reply in sorted(replies.select(["n", "bucket", "counts"]).to_pylist(), key=lambda r: (r["n"], r["bucket"])):
+                given[reply["n"]].append(_grown(reply["counts"]))
+            counts = []
             for n in range(1, order + 1):
-                at = place >= n - 1
-                _, back = np.unique(grams[n - 1][at], return_inverse=True)
-                level = []
-                for name in ("counts", "totals", "numbers"):
-                    spread = np.zeros(len(place), dtype=np.int64)
-                    spread[at] = np.frombuffer(b"".join(r[name] for r in replies if r["n"] == n), dtype=np.int64)[back]
-                    level.append(spread)
-                known.append(level)
-            inside = place > 0
-            p = (known[0][0] + ADD) / whole
-            base = np.where(inside, np.log10(p), 0.0)
-            for n in range(2, order + 1):
-                at = np.flatnonzero(place >= n - 1)
-                total, number = known[n - 2][1][at - 1], known[n - 2][2][at - 1]
-                longer = (np.maximum(known[n - 1][0][at] - DISCOUNT, 0.0) + DISCOUNT * number * p[at]) / np.maximum(total, 1)
-                p[at] = np.where(total > 0, longer, p[at])
-            sums = [np.add.reduceat(v, starts).tolist() for v in (
-                inside.astype(np.int64), (inside & (known[0][0] > 0)).astype(np.int64), base, np.where(inside, np.log10(p), 0.0))]
-            out += zip(block["ids"], *sums)
+                keys = np.sort(grams.levels[n - 1][grams.inside(n)])
+                keys = keys[np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])] if len(keys) else keys
+                counts.append((keys, np.concatenate(given[n]) if given[n] else np.empty(0, dtype=np.int64)))
+            machine = Automaton(grams, counts, tokens, words)
+            inside = grams.place > 0
+            sums = [np.add.reduceat(v, grams.starts) for v in (
+                inside.astype(np.int64), (inside & machine.known[machine.symbols]).astype(np.int64), np.where(inside, machine.base[machine.symbols], 0.0))]
+            out += zip(row["ids"], sums[0].tolist(), sums[1].tolist(), sums[2].tolist(), machine.walk(grams.starts, sizes, order).tolist())
         return pa.Table.from_batches([_batch(out, _SCORE)])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8().alias("text"))
-    # written once, so that questions and answers speak of the same blocks whatever is computed again
-    blocks = staged(map_arrow(rows, block, "name string, ids array<bigint>, own array<binary>"), "lm-blocks")
-    asked = blocks.mapInArrow(ask, "n int, bucket int, name string, keys binary")
-    answers = asked.groupBy("n", "bucket").cogroup(model.table.groupBy("n", "bucket")).applyInArrow(
-        answer, "name string, n int, bucket int, counts binary, totals binary, numbers binary")
-    return blocks.groupBy("name").cogroup(answers.groupBy("name")).applyInArrow(
-        walk, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
-
-
-def _looked_up(keys: np.ndarray, own: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """The values of sorted ``own`` at ``keys``, 0 where they are missing."""
-    if not len(own):
-        return np.zeros(len(keys), dtype=np.int64)
-    at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
-    return np.where(own[at] == keys, values[at], 0)
-
-
-_PART = pa.schema([("n", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("histories", pa.binary()), ("counts", pa.binary())])
-_TABLE = pa.schema([("kind", pa.string()), ("n", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("a", pa.binary()),
-                    ("b", pa.binary()), ("size", pa.int64()), ("total", pa.int64())])
-_BLOCK = pa.schema([("name", pa.string()), ("ids", pa.list_(pa.int64())), ("own", pa.list_(pa.binary()))])
-_ASKED = pa.schema([("n", pa.int32()), ("bucket", pa.int32()), ("name", pa.string()), ("keys", pa.binary())])
-_ANSWER = pa.schema([("name", pa.string()), ("n", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()), ("totals", pa.binary()),
-                     ("numbers", pa.binary())])
-_SCORE = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()),
-                    ("score", pa.float64())])
+    scored = blocks.groupBy("name").cogroup(answers.select("name", "n", "bucket", "counts").groupBy("name")).applyInArrow(walk, _schema(_SCORE))
+    return scored.withColumn("train_tokens", F.lit(tokens).cast("bigint"))
+
+
+def _schema(schema: pa.Schema) -> str:
+    kinds = {"int64": "bigint", "int32": "int", "double": "double", "binary": "binary", "string": "string", "bool": "boolean"}
+    kind = lambda t: f"array<{kind(t.value_type)}>" if pa.types.is_list(t) else kinds[str(t)]
+    return ", ".join(f"{field.name} {kind(field.type)}" for field in schema)
+
+
+_BLOCK = pa.schema([("name", pa.string()), ("tokens", pa.int64()), ("ids", pa.list_(pa.int64())), ("training", pa.list_(pa.bool_())),
+                    ("lengths", pa.list_(pa.int64())), ("data", pa.binary())])
+_ASKED = pa.schema([("n", pa.int32()), ("bucket", pa.int32()), ("name", pa.string()), ("keys", pa.binary()), ("counts", pa.binary())])
+_ANSWER = pa.schema([("name", pa.string()), ("n", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()), ("tokens", pa.int64()), ("words", pa.int64())])
+_SCORE = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
