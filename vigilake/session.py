@@ -6,6 +6,7 @@ import atexit
 import os
 import uuid
 import zipfile
+from collections.abc import Callable
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -120,6 +121,15 @@ def staging(spark: SparkSession):
         release(spark, [path for path in _STAGED if path not in before])
 
 
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``staged`` of what ``build`` returns; whatever is staged on the way there is deleted once the rows are written."""
+    path = staging_path(spark, name)
+    with staging(spark):
+        made = build()
+        made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def _sweep() -> None:
     spark = SparkSession.getActiveSession()
     if spark is None:
