@@ -164,3 +164,34 @@ def test_search_of_repeated_vectors_equals_sql(spark):
     for parts in (1, 8):  # a block never spans parts
         got = exact_search.top_k(table.repartition(parts), F.col("vec_id") % 50 == 0, 5)
         assert differences(got, con, queries.TOP_SQL) == []
+
+
+def test_near_duplicates_of_one_id_on_two_texts(spark):
+    """An id on two different texts keeps the links of both of them; so do its copies."""
+    rows = []
+    for i in range(12):
+        for side in "ab":
+            words = [f"{side}{i}w{j}" for j in range(60)]
+            rows.append((i, " ".join(words)))
+            rows.append((100 + 2 * i + (side == "b"), " ".join([*words[:30], f"new{side}{i}", *words[31:]])))
+    rows += [(3, rows[12][1]), (500, "alone " * 3), (500, "other words than these and those"), (501, None)]
+    got = {}
+    for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        got.setdefault(r.doc_id, set()).add(r.component_id)
+    assert all(got[i] == got[100 + 2 * i] == got[101 + 2 * i] == {i} for i in range(12))
+    assert got[500] == {500} and got[501] == {501}
+
+
+def test_one_document_of_each_group_stays(spark, tmp_path):
+    """Repeated ids and rows without an id are one document each per key."""
+    near = f"{PROSE} now"
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, PROSE), (1, PROSE), (None, PROSE), (None, PROSE), (2, near), (3, long), (3, long), (4, f"{long} tail"), (None, None), (None, None), (5, ""),
+            (6, "quite another text that nothing else is like at all")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.STAGES[1][1](spark, docs, str(tmp_path)).collect()
+    texts_of = sorted(str(r.text) for r in kept)
+    assert len([t for t in texts_of if t in (PROSE, near)]) == 1
+    assert sum(t.startswith(long) for t in texts_of) == 1
+    assert sorted(str(r.doc_id) for r in kept if r.doc_id in (5, 6)) == ["5", "6"]
+    assert sum(r.text is None for r in kept) == 1

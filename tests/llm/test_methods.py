@@ -107,27 +107,68 @@ def test_token_counts_of_documents(spark, rows, library):
 
 
 # --- 4 ------------------------------------------------------------------------------------
-def test_recall_at_the_edit_bound(rows):
+def edited(words, edits, kind, rng, vocabulary):
+    """``words`` after ``edits`` edits of the kind at different places."""
+    out = list(words)
+    for at in sorted(rng.sample(range(len(words)), edits), reverse=True):
+        own = rng.choice(("insert", "delete", "replace")) if kind == "mixed" else kind
+        out[at:at + (own != "insert")] = [] if own == "delete" else [rng.choice(vocabulary)]
+    return out
+
+
+@pytest.mark.parametrize("kind", ["replace", "insert", "delete", "mixed"])
+def test_recall_at_the_edit_bound(rows, kind):
     rng = random.Random(4)
     words = [t.lower().split() for _, t, _ in rows if t]
     items = [(i, " ".join(w[5:5 + rng.randrange(8, 60)])) for i, w in enumerate(words) if len(w) > 80]
     index = decontaminate.LeakIndex(items)
     vocabulary = sorted({w for own in words for w in own})
-    met = asked = 0
+    met = 0
     for number, (_, text) in enumerate(items):
         own = text.split()
-        bound = decontaminate.edit_bound(len(own))
-        edited = list(own)
-        for _ in range(bound):
-            at = rng.randrange(len(edited))
-            edited[at:at + rng.randrange(2)] = [rng.choice(vocabulary)] * rng.randrange(2)
         other = rng.choice(words)[:200]
-        doc = [*other, *edited, *other[:50]]
-        codes = [index.vocabulary.get(w, 0) for w in doc]
-        if min(decontaminate.edit_distance(index.items[number][1], codes[s:s + len(own)], bound) for s in range(len(doc))) <= bound:
-            asked += 1
-            met += any(hit[0] == number for hit in index.search(doc))
-    assert asked >= 50 and met >= 0.95 * asked
+        doc = [*other, *edited(own, decontaminate.edit_bound(len(own)), kind, rng, vocabulary), *other[:50]]
+        met += any(hit[0] == number for hit in index.search(doc))
+    assert len(items) >= 100 and met >= 0.9 * len(items)
+
+
+def plain_edit_distance(a, b):
+    """Smallest edit distance of ``a`` to any passage of ``b``."""
+    row = [0] * (len(b) + 1)
+    for i, x in enumerate(a, 1):
+        last = row
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y)))
+    return min(row)
+
+
+def test_leaks_equal_brute_force(spark, rows):
+    """Every document against every item by the plain distance: the same pairs at the same distances."""
+    rng = random.Random(44)
+    words = [t.lower().split() for _, t, _ in rows if t]
+    vocabulary = sorted({w for own in words for w in own})
+    items = [" ".join(w[3:3 + n]) for w, n in zip([w for w in words if len(w) > 60], (1, 2, 3, 4, 5, 6, 9, 14, 20, 31, 40, 55))]
+    docs = []
+    for i in range(60):
+        own = rng.choice(words)[:80]
+        item = items[i % len(items)].split()
+        own[20:20] = edited(item, min(len(item), rng.randrange(0, decontaminate.edit_bound(len(item)) + 2)), "mixed", rng, vocabulary)
+        docs.append((i, " ".join(own)))
+    want = {}
+    for i, text in docs:
+        for j, item in enumerate(items):
+            distance = plain_edit_distance(item.split(), text.split())
+            if distance <= decontaminate.edit_bound(len(item.split())):
+                want[(i, j)] = distance
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                     spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")).collect()
+    got = {(r.doc_id, r.item_id): r.distance for r in found}
+    assert len(got) == len(found) and all(want.get(pair) == distance for pair, distance in got.items())
+    assert len(want) >= 50 and len(got) >= 0.97 * len(want)
+    texts = dict(docs)
+    for r in found:
+        assert texts[r.doc_id].split()[r.start_word:r.start_word + r.n_words] == r.passage.split()
 
 
 def test_exact_copies_are_always_found_and_others_left(spark):
@@ -139,17 +180,19 @@ def test_exact_copies_are_always_found_and_others_left(spark):
     assert [r.doc_id for r in decontaminate.drop_leaking(docs, benchmark).collect()] == [2]
 
 
-def test_edit_distance_against_table():
+def test_nearest_passage_against_table():
     rng = random.Random(9)
-    for _ in range(200):
-        a, b = ([rng.randrange(3) for _ in range(rng.randrange(8))] for _ in range(2))
-        table = np.zeros((len(a) + 1, len(b) + 1), dtype=int)
-        table[:, 0], table[0, :] = range(len(a) + 1), range(len(b) + 1)
+    for _ in range(300):
+        a, b = ([rng.randrange(3) for _ in range(rng.randrange(low, 9))] for low in (1, 0))
+        distance, start, end = decontaminate.nearest_passage(np.array(a), np.array(b, dtype=np.int64))
+        assert distance == plain_edit_distance(a, b)
+        # the passage itself has that distance from end to end
+        row = list(range(end - start + 1))
         for i, x in enumerate(a, 1):
-            for j, y in enumerate(b, 1):
-                table[i, j] = min(table[i - 1, j] + 1, table[i, j - 1] + 1, table[i - 1, j - 1] + (x != y))
-        for bound in (0, 2, 9):
-            assert decontaminate.edit_distance(a, b, bound) == min(table[-1, -1], bound + 1)
+            corner, row[0] = row[0], i
+            for j, y in enumerate(b[start:end], 1):
+                corner, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, corner + (x != y))
+        assert row[-1] == distance
 
 
 # --- 5, 6 ---------------------------------------------------------------------------------

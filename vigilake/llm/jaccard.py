@@ -20,14 +20,15 @@ from pyspark.sql import functions as F
 
 from vigilake.llm.components import min_labels
 from vigilake.llm.texts import WordHashes, long_lists, map_arrow, shingles, utf8, words_of
-from vigilake.session import staged
+from vigilake.session import settled, staged
 
-SAMPLE_SHARE = 16          # every 16th document (by hash) tells which shingles are common; affects order, not results
-COMMON_IN_SAMPLE = 3       # a shingle is common if so many sampled documents have it
+COMMON_AMONG = 2048        # documents, or shingles, that are counted together to find common shingles
+COMMON_TERMS = 2_000_000
+COMMON_SEEN = 12           # a shingle is common if so many of them have it; affects the order of columns, not results
 COMMON_MOST = 131_072      # as many common shingles at most, the most frequent ones: bounds what workers hold
-BROADCAST_IDS = 2_000_000  # ids of candidate documents are broadcast up to here; beyond, the join shuffles
 HUB_ROUNDS = 3
 PAIRS_PER_ENTRY = 64       # remaining pairs are enumerated once there are at most so many per posting
+SET_KEYS = ["n_shingles", "low", "high"]
 
 
 def need(n, percent: int):
@@ -44,11 +45,9 @@ def _shingle_rows(docs: DataFrame, size: int, percent: int, common: np.ndarray)
             counts, rare, low, high, heads = [], [], [], [], []
             for text in batch.column(1):
                 own = shingles(words_of(text.as_py()), hashes, size)
-                unsigned = own.view(np.uint64)
                 counts.append(len(own))
-                low.append(int(np.add.reduce(unsigned).view(np.int64)) if len(own) else 0)
-                mixed = (unsigned ^ (unsigned >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-                high.append(int(np.bitwise_xor.reduce(mixed ^ (mixed >> np.uint64(29))).view(np.int64)) if len(own) else 0)
+                for column, value in zip((low, high), _fingerprints(own)):
+                    column.append(value)
                 head = len(own) - need(len(own), percent) + 1 if len(own) else 0
                 if len(common) and len(own):
                     at = np.searchsorted(common, own)
@@ -66,30 +65,68 @@ def _shingle_rows(docs: DataFrame, size: int, percent: int, common: np.ndarray)
                      "doc_id bigint, n_shingles bigint, rare bigint, low bigint, high bigint, head array<bigint>")
 
 
+def _fingerprints(own: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit numbers that tell sets apart."""
+    unsigned = own.view(np.uint64)
+    if not len(own):
+        return 0, 0
+    mixed = (unsigned ^ (unsigned >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    return int(np.add.reduce(unsigned).view(np.int64)), int(np.bitwise_xor.reduce(mixed ^ (mixed >> np.uint64(29))).view(np.int64))
+
+
 def _full_sets(docs: DataFrame, size: int) -> DataFrame:
+    """(set_id, columns) of every row of ``docs``."""
+
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingles(words_of(text.as_py()), hashes, size) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), long_lists(sets)], names=["doc_id", "columns"])
+            sets = [shingles(words_of(text.as_py()), hashes, size) for text in batch.column(0)]
+            prints = [_fingerprints(own) for own in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([len(own) for own in sets], pa.int64()), pa.array([p[0] for p in prints], pa.int64()),
+                 pa.array([p[1] for p in prints], pa.int64()), long_lists(sets)], names=[*SET_KEYS, "columns"])
+
+    made = map_arrow(docs.select(utf8().alias("text")), run, "n_shingles bigint, low bigint, high bigint, columns array<bigint>")
+    return made.select(_set_id(), "columns")
+
 
-    return map_arrow(docs.select("doc_id", utf8().alias("text")), run, "doc_id bigint, columns array<bigint>")
+def _set_id():
+    return F.xxhash64(*SET_KEYS).alias("set_id")
 
 
 def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
-    """Sorted hashes of shingles frequent in a fixed hash sample of the documents, at most COMMON_MOST of them.
+    """Sorted hashes of the shingles that are frequent among some thousand documents that lie together.
 
-    They only decide the column order. Any choice gives the same links; a good one keeps posting lists short.
+    All documents are counted; a shingle that neighbours don't share is left out where it is counted. The shingles found
+    only decide the column order. Any choice gives the same links; a good one keeps posting lists short.
     """
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_SHARE)) == 0)
-    counted = (_full_sets(sample, size).select(F.explode("columns").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-               .filter(F.col("c") >= COMMON_IN_SAMPLE))
-    rows = counted.orderBy(F.desc("c"), "h").limit(COMMON_MOST).select("h").collect()
+
+    def run(batches):
+        hashes = WordHashes()
+        held: list[np.ndarray] = []
+        for batch in batches:
+            held += [shingles(words_of(text.as_py()), hashes, size) for text in batch.column(0)]
+            if len(held) >= COMMON_AMONG or sum(map(len, held)) >= COMMON_TERMS:
+                yield _frequent(held)
+                held = []
+        if held:
+            yield _frequent(held)
+
+    found = map_arrow(docs.select(utf8().alias("text")), run, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c"))
+    rows = found.orderBy(F.desc("c"), "h").limit(COMMON_MOST).select("h").collect()
     return np.sort(np.array([r[0] for r in rows], dtype=np.int64))
 
 
+def _frequent(sets: list[np.ndarray]) -> pa.RecordBatch:
+    keys = np.sort(np.concatenate(sets)) if sets else np.empty(0, np.int64)
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+    counts = np.diff(np.r_[first, len(keys)])
+    often = counts >= COMMON_SEEN
+    return pa.RecordBatch.from_arrays([pa.array(keys[first][often], pa.int64()), pa.array(counts[often], pa.int64())], names=["h", "c"])
+
+
 def _postings(rows: DataFrame, common: np.ndarray) -> DataFrame:
-    """(h, doc_id, n, r, pos) of the head block, for columns with two rows or more; the columns from place r on are common."""
+    """(h, doc_id, n, r, pos) of the head block of each row of the matrix (doc_id: its set), for columns with two rows or more; the columns from place r on are common."""
     spark = rows.sparkSession
     entries = rows.filter("n_shingles > 0").select(
         "doc_id", (F.shiftleft("n_shingles", 32) + F.col("rare")).alias("nr"), F.posexplode("head").alias("pos", "h"))
@@ -130,16 +167,16 @@ def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
             .filter(F.col("c") + rest >= bound).select("x", "y", "nx", "ny"))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold, as (x, y)."""
+def _linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs of sets whose full sets reach the threshold, as (x, y); ``sets``: a document (rep) that has the set."""
     pairs = staged(pairs, "pairs")
-    ids = pairs.select(F.col("x").alias("doc_id")).union(pairs.select(F.col("y").alias("doc_id"))).distinct()
-    small = ids.count() <= BROADCAST_IDS
-    wanted = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    sets = staged(_full_sets(wanted, size).dropDuplicates(["doc_id"]), "sets")
+    ids = pairs.select(F.col("x").alias("set_id")).union(pairs.select(F.col("y").alias("set_id"))).distinct()
+    reps = sets.join(ids, "set_id").select(F.col("rep").alias("doc_id")).distinct()
+    # an id may stand on several texts: rows are told apart by their sets
+    full = staged(_full_sets(docs.join(reps, "doc_id", "left_semi"), size).dropDuplicates(["set_id"]), "sets")
     # the rarer side first: the hub's set repeats for many partners, adaptive execution splits its partition
-    both = (pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("columns").alias("cx")), "x")
-            .join(sets.select(F.col("doc_id").alias("y"), F.col("columns").alias("cy")), "y"))
+    both = (pairs.join(full.select(F.col("set_id").alias("x"), F.col("columns").alias("cx")), "x")
+            .join(full.select(F.col("set_id").alias("y"), F.col("columns").alias("cy")), "y"))
     overlap = F.size(F.array_intersect("cx", "cy"))
     return both.filter(overlap * 100 >= (F.col("nx") + F.col("ny") - overlap) * percent).select("x", "y")
 
@@ -160,44 +197,48 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     stay, with a null component. Rows that share a doc_id each stay, with the component of that id. An empty table gives
     no rows; further columns are ignored.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     named = docs.filter(F.col("doc_id").isNotNull())
     common = common_shingles(named, size)
-    rows = staged(_shingle_rows(docs, size, percent, common), "rows")
-    # equal sets are one row of the matrix: everything below works on the smallest id of each set
-    keys = ["n_shingles", "low", "high"]
+    rows = staged(_shingle_rows(docs, size, percent, common).withColumn("set_id", _set_id()), "rows")
+    # equal sets are one row of the matrix, known by its fingerprints; a document that has it stands for its text
     full = rows.filter("n_shingles > 0 and doc_id is not null")
-    reps = full.groupBy(*keys).agg(F.min("doc_id").alias("rep"))
-    equal = staged(full.select("doc_id", *keys).join(reps, keys).select("doc_id", "rep").distinct(), "equal")
-    representatives = equal.filter("doc_id = rep").select("doc_id")
-    shared = _postings(full.select("doc_id", "n_shingles", "rare", "head"), common)
-    postings = staged(shared.join(representatives, "doc_id", "left_semi"), "postings")
-    label = min_labels(equal.filter("doc_id != rep").select(F.col("doc_id").alias("x"), F.col("rep").alias("y")))
-
-    links = None
-    for turn in range(HUB_ROUNDS + 1):
-        state = postings if links is None else staged(_still_apart(postings, label), "apart")
-        if links is not None:
-            total, remaining = state.agg(F.count(F.lit(1)), F.sum("others") / 2).first()
-            if not remaining:
-                break
-            if remaining <= PAIRS_PER_ENTRY * total or turn == HUB_ROUNDS:
-                pairs = _across(state)
-                links = links.unionByName(_linked(_bounded(pairs, percent), docs, size, percent))
-                label = min_labels(links)
-                break
-        order = F.xxhash64("doc_id", F.lit(turn)) if turn else F.col("doc_id")
+    sets = staged(full.groupBy("set_id").agg(F.min("doc_id").alias("rep")), "sets")
+    chosen = full.join(sets.withColumnRenamed("rep", "doc_id"), ["set_id", "doc_id"], "left_semi").dropDuplicates(["set_id"])
+    postings = settled(spark, "postings", lambda: _postings(
+        chosen.select(F.col("set_id").alias("doc_id"), "n_shingles", "rare", "head"), common))
+
+    def round_of(turn: int, state: DataFrame, done: DataFrame | None) -> DataFrame:
+        """Links after every row of a column was paired with the column's hub."""
+        order = F.xxhash64("doc_id", F.lit(turn))
         part = F.col("component") if turn else F.col("doc_id")
         hub = F.min(F.struct(order.alias("order"), "doc_id", "n", "r", "pos", part.alias("part")))
         hubs = state.groupBy("h").agg(hub.alias("hub")).select(
             "h", F.col("hub.doc_id").alias("hub"), F.col("hub.n").alias("hn"), F.col("hub.r").alias("hr"), F.col("hub.pos").alias("hpos"),
             F.col("hub.part").alias("hpart"))
         joined = state.join(hubs, "h").filter(part != F.col("hpart"))
-        found = _linked(_bounded(_as_pairs(joined), percent), docs, size, percent)
-        if links is None:
-            links = equal.filter("doc_id != rep").select(F.col("rep").alias("x"), F.col("doc_id").alias("y"))
-        links = staged(links.unionByName(found), "links")
-        label = min_labels(links)
+        found = _linked(_bounded(_as_pairs(joined), percent), sets, docs, size, percent)
+        return found if done is None else done.unionByName(found)
+
+    links = settled(spark, "links", lambda: round_of(0, postings, None))
+    for turn in range(1, HUB_ROUNDS + 1):
+        before = links
+        label = settled(spark, "label", lambda links=before: min_labels(links))
+        state = settled(spark, "apart", lambda label=label: _still_apart(postings, label))
+        total, remaining = state.agg(F.count(F.lit(1)), F.sum("others") / 2).first()
+        if not remaining:
+            break
+        last = remaining <= PAIRS_PER_ENTRY * total or turn == HUB_ROUNDS
+        links = settled(spark, "links", lambda turn=turn, state=state, before=before, last=last: before.unionByName(
+            _linked(_bounded(_across(state), percent), sets, docs, size, percent)) if last else round_of(turn, state, before))
+        if last:
+            break
+    # from sets to documents: all documents of a set hang on its first one, which may stand on several texts
+    reps = links.join(sets.select(F.col("set_id").alias("x"), F.col("rep").alias("a")), "x").join(
+        sets.select(F.col("set_id").alias("y"), F.col("rep").alias("b")), "y").select(F.col("a").alias("x"), F.col("b").alias("y"))
+    members = full.select("doc_id", "set_id").join(sets, "set_id").select(F.col("doc_id").alias("x"), F.col("rep").alias("y"))
+    label = settled(spark, "label", lambda: min_labels(members.unionByName(reps)))
     return (rows.select("doc_id", "n_shingles").join(label, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")))
 

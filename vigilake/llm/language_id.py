@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilake.llm.texts import keyed, map_arrow, utf8, without
+from vigilake.llm.texts import keep_rows, map_arrow, utf8
 
 SAMPLE_DOCS = 300             # labelled documents per language at most that a dictionary is cut from
 DICTIONARY_BYTES = 64 * 1024  # dictionary per language at most; each document gives an equal share at most
@@ -116,11 +116,14 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
-    """The documents whose language is told with a clear margin, all columns kept.
+    """The documents whose language is told with a clear margin, all columns kept; every row is decided by its own text."""
+    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
-    Rows are decided by ``row_key``, so rows that share a doc_id stay or go together.
-    """
-    return without(docs, identify(keyed(docs), dictionaries).filter("rejected"))
+    def prepare(held):
+        model = LanguageModel(held.value)
+        return lambda text: not model.classify(text.decode("utf-8", "replace"))[3]
+
+    return keep_rows(docs, prepare, shared)
 
 
 def remainder(doc_id: str | Column, parts: int) -> Column:

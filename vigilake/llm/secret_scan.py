@@ -61,10 +61,15 @@ def findings(docs: DataFrame) -> DataFrame:
         F.substring("text", at + F.length(finding) + 1, F.lit(20)).alias("after"))
 
 
-def dictionary(docs: DataFrame) -> DataFrame:
-    """(word): whole words of three letters or more that occur DICTIONARY_COUNT times in all documents together."""
+def dictionary(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """(word): whole words of three letters or more that occur DICTIONARY_COUNT times in all documents together.
+
+    ``wanted`` (word): only these are counted; the others drop out before anything is grouped.
+    """
     whole = r"(?<![\p{L}\p{N}_])\p{L}{3,}(?![\p{L}\p{N}_])"
     words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(whole), F.lit(0))).alias("word"))
+    if wanted is not None:
+        words = words.join(wanted, "word", "left_semi")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= DICTIONARY_COUNT).select("word")
 
 
@@ -92,12 +97,16 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
         "digits_only": value.rlike(r"^[0-9 .+\-]+$").cast("double"),
     })
     # dictionary coverage: letters of the finding inside words of the dictionary, over all its characters
-    runs = found.select("finding").distinct().select(
-        "finding", F.explode(F.regexp_extract_all(F.lower("finding"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
-    covered = runs.join(words, "word").groupBy("finding").agg(F.sum(F.length("word")).alias("inside"))
+    covered = _runs(found).join(words, "word").groupBy("finding").agg(F.sum(F.length("word")).alias("inside"))
     return plain.join(covered, "finding", "left").withColumn("coverage", F.coalesce(F.col("inside") / size, F.lit(0.0))).drop("inside")
 
 
+def _runs(found: DataFrame) -> DataFrame:
+    """(finding, word): the runs of three letters or more inside each different finding."""
+    return found.select("finding").distinct().select(
+        "finding", F.explode(F.regexp_extract_all(F.lower("finding"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
+
+
 def rule_label(finding: str = "finding", before: str = "before") -> Column:
     """Label of a finding whose kind is certain: 1 for issued key formats and random values assigned to a secret's name,
     0 for addresses, numbers, plain words and placeholders, null where the form doesn't tell.
@@ -145,8 +154,10 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     documents themselves whose form is certain are the labels. Null texts give no findings; rows with null or repeated
     ids each give theirs; an empty table gives none; further columns are ignored.
     """
-    words = staged(dictionary(docs), "dictionary")
-    found = staged(with_features(findings(docs), words), "findings")
+    proposed = staged(findings(docs), "proposed")
+    inside = _runs(proposed if labelled is None else proposed.select("finding").unionByName(labelled.select("finding")))
+    words = staged(dictionary(docs, inside.select("word").distinct()), "dictionary")
+    found = staged(with_features(proposed, words), "findings")
     if labelled is None:
         marked = found.withColumn("label", rule_label())
     else:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 250_000
 
 
 def words_of(data: bytes | None) -> list[bytes]:
@@ -65,10 +65,23 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(row_key().alias("doc_id"), "text")
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose ``row_key`` is among ``ids`` (doc_id); all columns kept."""
-    out = ids.select(F.col("doc_id").alias("__key")).distinct()
-    return docs.withColumn("__key", row_key()).join(out, "__key", "left_anti").select(*docs.columns)
+def keep_rows(docs: DataFrame, prepare, *shared) -> DataFrame:
+    """The rows of ``docs`` whose text passes, all columns kept; the rows go through the map and are not shuffled.
+
+    ``prepare(*shared)`` makes the predicate on a text's bytes inside each task. Null texts are judged as empty ones.
+    """
+    names = docs.columns
+    held = "text"
+    while held in names:  # any name that no column has
+        held = f"_{held}"
+
+    def run(batches):
+        passes = prepare(*shared)
+        for batch in cut(batches):
+            kept = pa.array([passes(text.as_py()) for text in batch.column(len(names))], pa.bool_())
+            yield batch.select(list(range(len(names)))).filter(kept)
+
+    return docs.withColumn(held, utf8()).mapInArrow(run, docs.schema)
 
 
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
