@@ -6,35 +6,52 @@ packed pieces. Between stages the rows are written to the shared folder and read
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from vigilake.llm import decontaminate, jaccard, language_id, queries, secret_scan, texts
-from vigilake.session import apply_engine_conf, staged
+from vigilake.session import apply_engine_conf, settled
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is not told with a clear margin go."""
+    """Documents whose language is not told with a clear margin go, so do null texts and those without a letter.
+
+    Every row is decided by its own text: null and repeated ids and rows don't matter. An empty table stays empty.
+    """
     return language_id.keep_identified(docs, queries.language_dictionaries(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays; rows without an id stay."""
-    kept = jaccard.near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near duplicates stays, that with the smallest key.
+
+    The key is the doc_id, or a hash of the text where it is null. Rows that share a key are one document and one of
+    them stays, whatever texts they have. Blank texts link with nothing. An empty table stays empty.
+    """
+    order = Window.partitionBy("__key").orderBy(F.xxhash64("text"))
+    one = docs.withColumn("__key", texts.row_key()).withColumn("__copy", F.row_number().over(order)).filter("__copy = 1")
+    gone = jaccard.near_duplicates(texts.keyed(docs)).filter("doc_id != component_id").select(F.col("doc_id").alias("__key")).distinct()
+    return one.join(gone, "__key", "left_anti").select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.
+
+    Every row is decided by its own text; null and blank texts hold none. Null and repeated items don't matter, and without
+    items all documents stay.
+    """
     return decontaminate.drop_leaking(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced in the text; every document stays."""
+    """Secrets are replaced in the text; every document stays.
+
+    Rows that share a key (doc_id, or a hash of the text where it is null) share their findings. Null texts stay null.
+    """
     return secret_scan.redact(docs, secret_scan.scan(texts.keyed(docs)))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece with its place in a training sequence."""
+    """One row per piece with its place in a training sequence; a null or empty text is a piece of its end token alone."""
     return queries.packed(docs)
 
 
@@ -53,7 +70,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = apply_engine_conf(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
-            docs = staged(docs, name)
+            docs = settled(spark, name, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
+        else:
+            docs = stage(spark, docs, sf_dir)
     return docs
