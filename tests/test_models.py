@@ -114,6 +114,75 @@ def test_neighbour_recall_and_flat_cost(spark):
     assert len({r["point_id"] for r in rows}) == 1200
 
 
+def shapes(width, rows):
+    """Two far classes and a centred one, of ``rows`` points each."""
+    one = RNG.normal(size=(rows, width))
+    return {"centred": one, "far": RNG.normal(size=(rows, width)) + 50.0, "parts": np.where(RNG.random((rows, 1)) < 0.6, 0.0, 30.0) + RNG.normal(size=(rows, width))}
+
+
+def point_frame(spark, matrix, labels):
+    import pandas as pd
+
+    columns = [f"c{i}" for i in range(matrix.shape[1])]
+    data = pd.DataFrame(matrix, columns=columns)
+    data["label"] = labels
+    return spark.createDataFrame(data), columns
+
+
+def recall_of(rows, points, k, asked=100):
+    hits = 0
+    for r in rows[:asked]:
+        distances = np.sort(np.sqrt(np.square(points - np.array(r["vector"])).sum(axis=1)))[1:k + 1]
+        assert len(r["neighbours"]) == k
+        hits += sum(n["distance"] <= distances[-1] * (1 + 1e-9) for n in r["neighbours"])
+    return hits / (k * min(asked, len(rows)))
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 4])
+def test_few_columns_are_searched_exactly(spark, monkeypatch, width):
+    """Leaves and chunks far smaller than the class: rings that cross their boxes find the true neighbours."""
+    import vigilake.operators.neighbours as N
+
+    monkeypatch.setattr(N, "CHUNK", 700)
+    parts = shapes(width, 1500)
+    # a coarse grid has many equal distances and coordinates
+    parts["grid"] = np.unique(np.round(RNG.normal(size=(1500, width)) * 4) / 4, axis=0)
+    matrix = np.concatenate(list(parts.values()))
+    labels = [name for name, rows in parts.items() for _ in rows]
+    df, columns = point_frame(spark, matrix, labels)
+    got = N.nearest_neighbours(df, columns, "label", 3, slice_rows=60).collect()
+    for name, points in parts.items():
+        rows = [r for r in got if r["label"] == name]
+        points = np.unique(points, axis=0)
+        assert len(rows) == len(points)
+        for r in rows[::7]:
+            distances = np.sort(np.sqrt(np.square(points - np.array(r["vector"])).sum(axis=1)))[1:4]
+            assert np.allclose([n["distance"] for n in r["neighbours"]], distances[:3], atol=1e-12)
+
+
+@pytest.mark.parametrize("width", [2, 64])
+def test_neighbours_of_hundred_thousand_points(spark, width):
+    """Recall against brute force on a class of two far parts, well beyond a leaf and a chunk."""
+    rows = RNG.normal(size=(100_000, width))
+    rows[:60_000] += 40.0
+    df, columns = point_frame(spark, rows, "a")
+    got = nearest_neighbours(df, columns, "label", 5)
+    from vigilake.session import staged
+
+    got = staged(got, "neighbours")
+    assert got.count() == 100_000
+    recall = recall_of(got.orderBy(F.xxhash64("point_id")).limit(150).collect(), rows, 5, 150)
+    assert recall == 1.0 if width <= 4 else recall >= 0.9
+
+
+@pytest.mark.parametrize("name", ["centred", "far", "parts"])
+def test_forest_recall_wherever_the_class_lies(spark, name):
+    points = shapes(8, 6000)[name]
+    df, columns = point_frame(spark, points, name)
+    rows = nearest_neighbours(df, columns, "label", 5, slice_rows=512).collect()
+    assert len(rows) == 6000 and recall_of(rows, points, 5) >= 0.95
+
+
 def test_many_classes_and_null_labels(spark):
     rows = spark.range(40_000).select(
         F.col("id"), F.when(F.col("id") % 100 != 99, F.concat(F.lit("c"), (F.col("id") % 20_000).cast("string"))).alias("label"))

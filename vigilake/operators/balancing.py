@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from vigilake.functions import scalars as S
 from vigilake.functions.ordering import hash_slice, running_total, slice_bits
 from vigilake.operators.classes import class_sizes
-from vigilake.operators.neighbours import nearest_neighbours
+from vigilake.operators.neighbours import LEAF, nearest_neighbours
 
 EMIT_CHUNK = 10_000
 
 
 def synthetic_rows(df: DataFrame, columns: Sequence[str], label: str = "label", k_neighbors: int = 5, seed: int = 42,
-                   slice_rows: int = 1024) -> DataFrame:
+                   slice_rows: int = LEAF) -> DataFrame:
     """The rows to add so that every class reaches the size of the largest one.
 
     Each minority point yields its share of the missing rows; a row lies at a hash-drawn fraction of the way to a
@@ -66,7 +66,7 @@ def synthetic_rows(df: DataFrame, columns: Sequence[str], label: str = "label",
 
 
 def smote(df: DataFrame, columns: Sequence[str], label: str = "label", k_neighbors: int = 5, seed: int = 42,
-          slice_rows: int = 1024) -> DataFrame:
+          slice_rows: int = LEAF) -> DataFrame:
     """Original rows plus synthetic ones, told apart by ``is_synthetic``."""
     doubles = [F.col(c).cast("double").alias(c) for c in columns]
     original = df.select(*doubles, label, F.lit(False).alias("is_synthetic"))
