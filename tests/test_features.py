@@ -91,6 +91,34 @@ def test_bigrams_with_equal_times(spark):
         assert {r["bigram"]: r["n"] for r in counts.collect()} == expected
 
 
+def test_sparse_bigrams_of_a_fitted_vocabulary(clean_events):
+    """One vector column, whatever the vocabulary; entries are the counts of the group's most frequent bigrams."""
+    top = X.top_bigrams(clean_events, WINDOW)
+    vocabulary = X.fit_bigrams(top)
+    places = {r["bigram"]: r["place"] for r in vocabulary.collect()}
+    assert sorted(places.values()) == list(range(len(places))) and list(sorted(places)) == sorted(places, key=places.get)
+    plain = X.feature_matrix(clean_events, WINDOW)
+    matrix = X.feature_matrix(clean_events, WINDOW, bigrams=vocabulary)
+    assert [c for c in matrix.columns if c not in plain.columns] == ["bigrams"]
+    rows, maps = keyed(matrix), keyed(X.bigram_maps(top))
+    assert len(rows) == plain.count()
+    for key, row in rows.items():
+        expected = maps[key]["top_bigrams"] if key in maps else {}
+        assert row["bigrams"].size == len(places)
+        assert dict(zip(row["bigrams"].indices.tolist(), row["bigrams"].values.tolist())) == {places[b]: n for b, n in expected.items()}
+    most = X.fit_bigrams(top, 1)
+    assert most.count() == 1 and most.first()["place"] == 0
+    # a group without any call has an empty vector
+    quiet = X.feature_matrix(clean_events.withColumn("syscall", F.lit("")), WINDOW, bigrams=vocabulary).first()
+    assert quiet["bigrams"].size == len(places) and quiet["bigrams"].numNonzeros() == 0
+
+
+def test_facets_on_demand(clean_events):
+    """Features of one area count only their own facets."""
+    plan = X.traffic_features(clean_events, WINDOW)._jdf.queryExecution().optimizedPlan().toString()
+    assert "unique_dst_ips" in plan and "mitre_technique_count" not in plan and "process_diversity" not in plan
+
+
 def test_bigram_map_and_columns(clean_events):
     top = X.top_bigrams(clean_events, WINDOW)
     maps = keyed(X.bigram_maps(top))

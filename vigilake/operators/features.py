@@ -3,7 +3,7 @@
 Two aggregates make the whole matrix:
 
 * ``base_measures``: plain sums, extremes and moments; fixed-size buffers, merged before the shuffle.
-* ``facet_counts``: rows (pod, window, facet, value) -> n for the six columns whose *distinct* values matter.
+* facet counts: rows (pod, window, facet, value) -> n for the columns whose *distinct* values matter, at most six.
   The value is part of the grouping key, so a pod that owns a third of all rows spreads over all tasks, no task
   ever holds a set of values, and one result serves distinct counts, port entropy and syscall frequencies.
 
@@ -14,12 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from vigilake import knowledge as kb
 from vigilake.functions import scalars as S
-from vigilake.functions.ordering import lag_in_order
+from vigilake.functions.ordering import lag_in_order, running_total
 from vigilake.session import staged
 
 KEY = ["pod", "window_start"]
@@ -67,35 +69,21 @@ def _sums() -> list[Column]:
     ]
 
 
-def _merged_sums() -> list[Column]:
-    """``_sums`` of partial rows."""
-    least, most = ["first_event"], ["last_event", "max_dst_port", "severity_max", *[flag for _, flag in kb.EVENT_TYPE_FLAGS]]
-    added = ["event_count", "total", "net_count", "port_sum", "port_squares", "syscall_count", "severity_sum", "severity_n",
-             "critical_count"]
-    return [f(c).alias(c) for f, cs in ((F.min, least), (F.max, most), (F.sum, added)) for c in cs]
+def measures(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS, syscalls: Sequence[str] = (),
+             facets: Sequence[str] | None = None) -> DataFrame:
+    """Base measures and the figures of ``facets`` (all by default) of every group.
 
-
-def measures(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS, syscalls: Sequence[str] = ()) -> DataFrame:
-    """Base measures and facet figures of every group from one scan.
-
-    Events are first counted by all their facet values at once: equal events become one row with a count and partial
-    sums. Facets are taken apart from these rows, so the second step works on distinct combinations only.
+    Two aggregates of narrow rows, each merged inside the map tasks: the sums per group, and the counts per group, facet
+    and value of the facets asked for. Both end up partitioned by group, so joining them shuffles nothing more.
     """
+    names = list(_facets()) if facets is None else list(facets)
     windowed = with_window(events, window_seconds)
-    names = list(_facets())
-    values = {name: value if applies is None else F.when(applies, value) for name, (value, applies) in _facets().items()}
-    combined = windowed.withColumns({f"__{n}": v for n, v in values.items()}).groupBy(*KEY, *[f"__{n}" for n in names]).agg(*_sums())
-    # the sums ride on one entry without a facet; each facet value is an entry with its count
-    sums = [c for c in combined.columns if c not in KEY and not c.startswith("__")]
-    own = F.struct(F.lit("").alias("facet"), F.lit("").alias("value"), F.col("total").alias("n"), F.struct(*sums).alias("s"))
-    empty = F.lit(None).cast(combined.select(F.struct(*sums).alias("s")).schema["s"].dataType)
-    entries = [F.when(F.col(f"__{n}").isNotNull(), F.struct(
-        F.lit(n).alias("facet"), F.col(f"__{n}").alias("value"), F.col("total").alias("n"), empty.alias("s"))) for n in names]
-    apart = combined.select(*KEY, F.explode(F.array(own, *entries)).alias("e")).filter(F.col("e").isNotNull())
-    flat = apart.select(*KEY, "e.facet", "e.value", "e.n", *[F.col(f"e.s.{c}").alias(c) for c in sums])
-    counted = flat.groupBy(*KEY, "facet", "value").agg(F.sum("n").alias("n"), *_merged_sums())
-    merged = _rolled(counted, syscalls, _merged_sums())
-    return _finished(merged, [c for c in merged.columns if c not in KEY and c not in sums])
+    sums = windowed.groupBy(*KEY).agg(*_sums())
+    counts = explode_facets(windowed, names).groupBy(*KEY, "facet", "value").agg(F.count(F.lit(1)).alias("n"))
+    rolled = _rolled(counts, syscalls, names)
+    extra = [c for c in rolled.columns if c not in KEY]
+    # a group may have no value of any facet; its distinct counts are 0
+    return _finished(sums.join(rolled, KEY, "left").na.fill(0, extra), extra)
 
 
 def _finished(grouped: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -163,35 +151,27 @@ def facet_counts(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECO
     )
 
 
+DISTINCT = {"dst_ip": "unique_dst_ips", "dst_port": "unique_dst_ports", "syscall": "syscall_diversity",
+            "event_type": "event_type_diversity", "process": "process_diversity", "technique": "mitre_technique_count"}
+
+
 def facet_rollup(counts: DataFrame, syscalls: Sequence[str] = ()) -> DataFrame:
     """Distinct counts, port entropy and syscall frequencies from facet counts."""
-    return _rolled(counts, syscalls)
-
+    return _rolled(counts, syscalls, list(DISTINCT))
 
-def _rolled(counts: DataFrame, syscalls: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
-    def distinct(facet: str) -> Column:
-        return F.count_if(F.col("facet") == facet)
 
-    is_port = F.col("facet") == "dst_port"
-    n = F.col("n")
-    frequencies = [
-        F.sum(F.when((F.col("facet") == "syscall") & (F.col("value") == name), n).otherwise(0))
-        .alias(f"syscall_freq_{name}")
-        for name in syscalls
-    ]
+def _rolled(counts: DataFrame, syscalls: Sequence[str], facets: Sequence[str]) -> DataFrame:
+    is_port, n = F.col("facet") == "dst_port", F.col("n")
+    figures = [F.count_if(F.col("facet") == name).alias(DISTINCT[name]) for name in DISTINCT if name in facets]
+    figures += [F.sum(F.when((F.col("facet") == "syscall") & (F.col("value") == name), n).otherwise(0)).alias(f"syscall_freq_{name}")
+                for name in syscalls]
+    if "dst_port" not in facets:
+        return counts.groupBy(*KEY).agg(*figures)
     rolled = counts.groupBy(*KEY).agg(
-        distinct("dst_ip").alias("unique_dst_ips"),
-        distinct("dst_port").alias("unique_dst_ports"),
-        distinct("syscall").alias("syscall_diversity"),
-        distinct("event_type").alias("event_type_diversity"),
-        distinct("process").alias("process_diversity"),
-        distinct("technique").alias("mitre_technique_count"),
+        *figures,
         F.sum(F.when(is_port, n)).alias("__n"),
         F.sum(F.when(is_port, n * F.log2(n))).alias("__clogc"),
-        F.sum(F.when(is_port, F.lit(1.0) / n)).alias("__inverse"),
-        *frequencies,
-        *more,
-    )
+        F.sum(F.when(is_port, F.lit(1.0) / n)).alias("__inverse"))
     entropy = S.entropy_from_counts(F.col("__n"), F.col("__clogc"), F.col("unique_dst_ports"), F.col("__inverse"))
     return rolled.withColumn("port_entropy", F.coalesce(entropy, F.lit(0.0))).drop("__n", "__clogc", "__inverse")
 
@@ -203,7 +183,7 @@ def temporal_features(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW
 
 def traffic_features(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS) -> DataFrame:
     """Only groups with at least one network event have a row."""
-    return measures(events, window_seconds).filter("unique_dst_ports > 0").select(*KEY, *TRAFFIC)
+    return measures(events, window_seconds, facets=["dst_ip", "dst_port"]).filter("unique_dst_ports > 0").select(*KEY, *TRAFFIC)
 
 
 def syscall_features(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS,
@@ -217,7 +197,7 @@ def syscall_features(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_
 
 
 def behavioural_features(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS) -> DataFrame:
-    return measures(events, window_seconds).select(*KEY, *BEHAVIOUR)
+    return measures(events, window_seconds, facets=["event_type", "process", "technique"]).select(*KEY, *BEHAVIOUR)
 
 
 # --- syscalls: frequencies and bigrams ----------------------------------------------------
@@ -262,9 +242,12 @@ def bigram_counts(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SEC
 def top_bigrams(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS, k: int = kb.TOP_BIGRAMS,
                 slices: int = 64, tie_chars: int = 0) -> DataFrame:
     """The k most frequent bigrams per group with their rank; ties go to the one seen first."""
+    return _most_frequent(bigram_counts(events, window_seconds, slices, tie_chars), k)
+
+
+def _most_frequent(counted: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy(*KEY).orderBy(F.desc("n"), "first_seen")
-    ranked = bigram_counts(events, window_seconds, slices, tie_chars).withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= k).drop("first_seen")
+    return counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("first_seen")
 
 
 def bigram_maps(top: DataFrame) -> DataFrame:
@@ -282,36 +265,60 @@ def bigram_columns(top: DataFrame, bigrams: Sequence[str]) -> DataFrame:
     return top.groupBy(*KEY).agg(*columns)
 
 
-# --- unified matrix -----------------------------------------------------------------------
-def bigram_names(top: DataFrame, most: int | None = None) -> list[str]:
-    """Distinct bigrams kept by any group, the most frequent first; they become column names. All by default."""
-    totals = top.groupBy("bigram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "bigram")
-    return [row["bigram"] for row in (totals if most is None else totals.limit(most)).collect()]
+def fit_bigrams(top: DataFrame, most: int | None = None) -> DataFrame:
+    """(bigram, place): the bigrams that some group keeps among its most frequent ones, numbered from 0 by name.
+
+    ``most``: only so many, those with the highest counts. The vocabulary is a table and stays one.
+    """
+    totals = top.groupBy("bigram").agg(F.sum("n").alias("n"))
+    if most is not None:
+        totals = totals.orderBy(F.desc("n"), "bigram").limit(most)
+    numbered = totals.select("bigram", F.lit(0).alias("__all"), F.substring("bigram", 1, 2).alias("__slice"))
+    return running_total(numbered, ["__all"], ["__slice"], ["bigram"], F.lit(1), "place").select(
+        "bigram", (F.col("place") - 1).cast("int").alias("place"))
+
+
+def bigram_vectors(top: DataFrame, vocabulary: DataFrame, size: int) -> DataFrame:
+    """(pod, window_start, bigrams): one sparse vector of ``size`` places per group, with the counts of its bigrams.
+
+    A group has at most as many entries as ``top`` keeps, however large the vocabulary; bigrams outside it don't count.
+    """
+    entries = top.join(vocabulary, "bigram").groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("place", F.col("n").cast("double").alias("n")))).alias("e"))
+    return entries.select(*KEY, _sparse(F.lit(size), F.col("e.place"), F.col("e.n")).alias("bigrams"))
+
 
+def _sparse(size: Column, places: Column, values: Column) -> Column:
+    """An ML vector from its fields, without leaving the JVM."""
+    fields = F.struct(F.lit(0).cast("byte").alias("type"), size.cast("int").alias("size"), places.cast("array<int>").alias("indices"),
+                      values.cast("array<double>").alias("values"))
+    return F.from_json(F.to_json(F.struct(fields.alias("v"))), _VECTOR)["v"]
 
+
+_VECTOR = StructType([StructField("v", VectorUDT())])
+
+
+# --- unified matrix -----------------------------------------------------------------------
 def feature_matrix(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS,
-                   syscalls: Sequence[str] | None = None, bigrams: Sequence[str] | None = None,
-                   max_bigrams: int | None = None) -> DataFrame:
+                   syscalls: Sequence[str] | None = None, bigrams: Sequence[str] | DataFrame | None = None) -> DataFrame:
     """All feature categories, one row per (pod, window_start); missing numbers are 0.
 
-    ``bigrams`` names the ``bigram_<a_b>`` columns; by default they are the bigrams that some group keeps among its most
-    frequent ones, ``max_bigrams`` of them at most where it is given. An empty list leaves them out.
+    ``bigrams``: None leaves them out; names make ``bigram_<a_b>`` columns of just these; a vocabulary of ``fit_bigrams``
+    makes one sparse vector column ``bigrams``, so the width of the matrix doesn't grow with the data.
     """
     names = top_syscalls(events) if syscalls is None else list(syscalls)
     frequencies = [f"syscall_freq_{s}" for s in names]
     measured = measures(events, window_seconds, names)
     matrix = measured.select(*KEY, *TEMPORAL, *TRAFFIC, *SYSCALL, *frequencies, *BEHAVIOUR)
     matrix = matrix.na.fill(0, [c for c in matrix.columns if c not in KEY])
-    if bigrams is not None and not bigrams:
-        return matrix
-    top = top_bigrams(events, window_seconds)
-    if bigrams is None:
-        top = staged(top, "bigrams")  # read for the names and for the columns
-        bigrams = bigram_names(top, max_bigrams)
-    if not bigrams:
+    if bigrams is None or (not isinstance(bigrams, DataFrame) and not bigrams):
         return matrix
-    added = [f"bigram_{b}" for b in bigrams]
-    return matrix.join(bigram_columns(top, bigrams), KEY, "left").na.fill(0, added)
+    if isinstance(bigrams, DataFrame):
+        vocabulary = staged(bigrams.select("bigram", "place"), "vocabulary")
+        size = vocabulary.count()
+        vectors = bigram_vectors(top_bigrams(events, window_seconds), vocabulary, size)
+        return matrix.join(vectors, KEY, "left").withColumn("bigrams", F.coalesce("bigrams", _sparse(
+            F.lit(size), F.expr("cast(array() as array<int>)"), F.expr("cast(array() as array<double>)"))))
+    return matrix.join(bigram_columns(top_bigrams(events, window_seconds), bigrams), KEY, "left").na.fill(0, [f"bigram_{b}" for b in bigrams])
 
 
 def numeric_columns(matrix: DataFrame) -> list[str]:

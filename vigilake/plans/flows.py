@@ -26,9 +26,10 @@ def preprocess_telemetry(spark: SparkSession, input_path: str, output_path: str
 
 
 def extract_all_features(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS,
-                         output_path: str | None = None, output_form: str = "csv") -> DataFrame:
-    """The unified feature matrix; optionally saved."""
-    matrix = features.feature_matrix(events, window_seconds)
+                         output_path: str | None = None, output_form: str = "csv",
+                         bigrams: Sequence[str] | DataFrame | None = None) -> DataFrame:
+    """The unified feature matrix; optionally saved. ``bigrams`` as in ``feature_matrix``; CSV can't hold a vector."""
+    matrix = features.feature_matrix(events, window_seconds, bigrams=bigrams)
     if output_path:
         sinks.write_table(matrix, output_path, output_form)
     return matrix
