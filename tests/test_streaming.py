@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vigilake.operators import features as X
 from vigilake.sources import sinks
+from vigilake.streaming import ledger
 from vigilake.streaming import streams as K
 from vigilake.workload.stream_queries import read_stream, stage_closed
 
@@ -143,3 +144,96 @@ def test_kill_chain_periods_expire(spark, clean_events, tmp_path):
     seen = spark.sql("select distinct pod, period from periods").count()
     left = query.lastProgress["stateOperators"][0]["numRowsTotal"]
     assert seen > 6 and left <= 1
+
+
+def test_kill_chain_state_of_vanished_pods_ends(spark, tmp_path):
+    """By default a pod's evidence adds up while it is heard of and ends after its time of silence."""
+    folder = tmp_path / "techniques"
+
+    def step(hours, *rows):
+        data = [(pod, technique, START + timedelta(hours=hours)) for pod, technique in rows]
+        spark.createDataFrame(data, "pod string, mitre_technique string, timestamp timestamp").coalesce(1).write.mode("append").parquet(str(folder))
+        seen = {}
+        assessed = K.kill_chain_stream(read_stream(spark, str(folder)), delay="1 second", keep="1 hour").select("pod", "attack_progression")
+        query = assessed.writeStream.outputMode("update").foreachBatch(lambda batch, _: seen.update(map(tuple, batch.collect()))).option(
+            "checkpointLocation", str(tmp_path / "chain-cp")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return seen, [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]][-1]
+
+    seen, left = step(0, ("a", "T1611"), ("a", "nonsense"), ("b", None), (None, "T1609"))
+    assert seen == {"a": "4/9 stages", "b": "0/9 stages"} and left == 2
+    # evidence adds up; the watermark passes the end of the other pod's time
+    assert step(2, ("a", "T1609")) == ({"a": "4/9 stages"}, 1)
+    assert step(10, ("c", None)) == ({"c": "0/9 stages"}, 1)
+    assert step(10, ("a", "T1609")) == ({"a": "2/9 stages"}, 2)
+
+
+LEDGER = "namespace string, pod string, action string, ts timestamp"
+
+
+def ledger_rows(spark, *rows):
+    return spark.createDataFrame([("ns", pod, action, START + timedelta(minutes=minute)) for pod, action, minute in rows], LEDGER)
+
+
+def state_of(folder, **options):
+    return {(r["pod"], r["isolated"], r["undone"]) for r in ledger.read(folder, **options).collect()}
+
+
+def test_ledger_state_survives_every_crash(spark, tmp_path):
+    """Merging may stop after any step; what is read stays the same."""
+    folder = ledger.Folder(spark, str(tmp_path / "ledger"))
+    for batch in range(5):
+        ledger.record(folder, ledger_rows(spark, (f"p{batch}", "isolate_pod", batch), ("p0", "isolate_pod", 10 + batch), ("q", "log_only", 0)), "r", batch)
+    ledger.record(folder, ledger_rows(spark, ("p1", "rollback", 30)), f"{ledger.ROLLBACK}x", 0)
+    want = state_of(folder)
+    assert len(want) == 5 and {r["pod"] for r in ledger.isolated(ledger.read(folder)).collect()} == {"p0", "p2", "p3", "p4"}
+    names = folder.names("deltas")
+    merged = ledger.settled_deltas(names)
+    assert set(names) - set(merged) == {"r@4"}  # the last batch of a run may be replayed
+    # a base without a pointer
+    base = ledger.write_base(folder, merged, 1)
+    assert folder.current() == (0, None) and state_of(folder) == want
+    # a pointer whose deltas are still there
+    assert folder.point(1, base) and not folder.point(1, "another") and folder.current() == (1, base)
+    assert state_of(folder) == want
+    # the next merge takes them up again and clears away what is old
+    assert ledger.merge(folder, 1) and state_of(folder) == want and folder.names("deltas") == ["r@4"]
+    assert not ledger.merge(folder, 1)
+    ledger.record(folder, ledger_rows(spark, ("p9", "isolate_pod", 50)), "r", 5)
+    assert ledger.merge(folder, 1) and folder.current()[0] == 3 and len(state_of(folder)) == 6
+    assert len([n for n in folder.names() if n.startswith("base-")]) == 2
+    # a replay leaves out its own rows
+    assert "p9" not in {p for p, *_ in state_of(folder, without="r@5")}
+
+
+def test_ledger_batch_reads_its_buckets_only(spark, tmp_path):
+    folder = ledger.Folder(spark, str(tmp_path / "ledger"))
+    rows = ledger_rows(spark, *[(f"pod-{i}", "isolate_pod", i) for i in range(300)])
+    ledger.record(folder, rows, "r", 0)
+    ledger.record(folder, ledger_rows(spark, ("pod-1", "isolate_pod", 500)), "r", 1)
+    assert ledger.merge(folder, 1)
+    own = rows.filter("pod = 'pod-7'").select(ledger.bucket_of()).first()[0]
+    read = ledger.read(folder, [own])
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters: [" in line and "bucket" in line.split("PartitionFilters: [")[1].split("]")[0]]
+    assert filters and f"{own}" in filters[0].split("PartitionFilters: [")[1].split("]")[0]
+    assert "pod-7" in {r["pod"] for r in read.collect()} and read.count() < 60
+
+
+def test_replayed_batch_and_merges_keep_statuses(spark, tmp_path):
+    """With a merge after every batch, a lost checkpoint and many batches give the statuses of a plain replay."""
+    schema = ("alert_id string, pod string, namespace string, threat_type string, confidence_score double, risk_level string, "
+              "mitre_technique string, predicted_next_stage string, anomaly_score double, received_at timestamp")
+    folder, path = tmp_path / "alerts", str(tmp_path / "ledger")
+    for batch in range(4):
+        rows = [(f"{batch}-{i}", f"pod{(batch + i) % 5}", "ns", "ddos", 0.95, "HIGH", None, None, None, START + timedelta(minutes=batch)) for i in range(2)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+        K.start_response(read_stream(spark, str(folder)), path, str(tmp_path / "cp"), available_now=True, merge_at=1).awaitTermination()
+    got = sorted((r["alert_id"], r["status"]) for r in spark.read.parquet(path).filter("action = 'isolate_pod'").collect())
+    seen, want = set(), []
+    for batch in range(4):
+        for i in range(2):
+            pod = (batch + i) % 5
+            want.append((f"{batch}-{i}", "already_exists" if pod in seen else "created"))
+            seen.add(pod)
+    assert got == sorted(want) and ledger.Folder(spark, path).current()[0] >= 1

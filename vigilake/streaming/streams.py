@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from vigilake.operators.features import BEHAVIOUR, SYSCALL, TEMPORAL, TRAFFIC
 from vigilake.operators.normalize import flatten_network, unify_all
 from vigilake.session import staged
 from vigilake.sources.telemetry import tail_lines
+from vigilake.streaming import ledger
 
 
 def unify_stream(spark: SparkSession, folders: dict[str, str], max_files: int | None = None) -> DataFrame:
@@ -219,30 +222,63 @@ def _total_of(bigram: Column) -> Column:
 
 # --- kill chain and response --------------------------------------------------------------
 def kill_chain_stream(events: DataFrame, column: str = "mitre_technique", period: str | None = None,
-                      delay: str = "10 minutes") -> DataFrame:
-    """Current assessment per pod (update mode): nine bits of state per pod and a join to the 512 fixed patterns.
-
-    With a ``period`` (a window length such as "1 day") evidence is gathered per pod and period, and the state of a period
-    goes once the watermark has passed it; without one, pods are assessed over all time and their state stays. The
-    patterns are computed once, when the stream is defined.
+                      delay: str = "10 minutes", keep: str = "7 days") -> DataFrame:
+    """Current assessment per pod (update mode): two masks and a count of state per pod and a join to the 512 fixed patterns.
+
+    A pod's evidence is kept until the watermark is the time ``keep`` past the pod's last event; then its state ends, and a
+    pod that comes back starts anew. Events without a ``timestamp`` column count from their arrival; events that the
+    watermark has passed are dropped. With a ``period`` (a window length such as "1 day") evidence is gathered per pod and period
+    instead, and the state of a period goes once the watermark has passed it. The patterns are computed once, when the
+    stream is defined.
     """
-    keys = ["pod"]
+    patterns = staged(threat.all_pattern_predictions(events.sparkSession), "patterns")
     if period:
         timed = events.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", delay)
-        events, keys = timed.withColumn("period", F.window("timestamp", period)), ["pod", "period"]
-    evidence = threat.observed_stages(events, keys, column)
-    patterns = staged(threat.all_pattern_predictions(events.sparkSession), "patterns")
-    return threat.assess(evidence, by_pattern=patterns)
+        evidence = threat.observed_stages(timed.withColumn("period", F.window("timestamp", period)), ["pod", "period"], column)
+        return threat.assess(evidence, by_pattern=patterns)
+    heard = F.col("timestamp").cast("timestamp") if "timestamp" in events.columns else F.current_timestamp()
+    timed = events.filter(F.col("pod").isNotNull()).select("pod", heard.alias("heard"), F.col(column).alias("technique_id"))
+    tagged = threat.add_technique_info(timed.withWatermark("heard", delay))
+    index = threat.stage_index(F.col("tactic"))
+    bits = tagged.select("pod", "heard", F.unix_millis("heard").alias("millis"),
+                         F.when(index >= 0, F.call_function("shiftleft", F.lit(1), index)).otherwise(0).cast("int").alias("bit"),
+                         (index < 0).cast("int").alias("unknown"))
+    keep_ms = int(events.sparkSession.sql(f"select unix_millis(timestamp_millis(0) + interval {keep})").first()[0])
+    masks = bits.groupBy("pod").applyInPandasWithState(
+        _gathered_evidence(keep_ms), "pod string, seen_mask int, unknown_stages long", "seen_mask int, unknown_stages long, last long",
+        "update", "EventTimeTimeout")
+    evidence = masks.withColumn("value_mask", F.col("seen_mask")).withColumn("observed_stages", threat.stages_of_mask(F.col("value_mask")))
+    return threat.assess(evidence.select("pod", "seen_mask", "value_mask", "unknown_stages", "observed_stages"), by_pattern=patterns)
+
+
+def _gathered_evidence(keep_ms: int):
+    """Update function of a pod's state: its stages so far as bits. A silent pod's state ends without a row."""
+
+    def update(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        mask, unknown, last = state.get if state.exists else (0, 0, 0)
+        for rows in batches:
+            mask |= int(np.bitwise_or.reduce(rows["bit"].to_numpy()))
+            unknown += int(rows["unknown"].sum())
+            last = max(last, int(rows["millis"].max()))
+        state.update((mask, unknown, last))
+        state.setTimeoutTimestamp(max(last + keep_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"pod": [key[0]], "seen_mask": [mask], "unknown_stages": [unknown]})
+
+    return update
 
 
 def start_response(alerts: DataFrame, ledger_path: str, checkpoint: str,
-                   threshold: float = kb.CONFIDENCE_THRESHOLD, available_now: bool = False):
+                   threshold: float = kb.CONFIDENCE_THRESHOLD, available_now: bool = False, merge_at: int = ledger.MERGE_AT):
     """Start planning responses per micro-batch and append every action to the ledger.
 
     An isolation is ``created`` unless the pod is isolated already, that is, unless its latest isolation in the ledger is
     younger than its latest rollback; then it is ``already_exists``. Of several isolations of a pod in one batch the
     earliest creates it. Each batch of each run writes its own folder and overwrites it when replayed, so a restart adds
     nothing twice, and a run with a new checkpoint replaces nothing of an older one. Batches without actions write nothing.
+    What is isolated is read from the state that ``ledger`` keeps beside the log, of it the buckets of the batch's pods only.
     """
 
     def respond(batch: DataFrame, batch_id: int) -> None:
@@ -255,16 +291,17 @@ def start_response(alerts: DataFrame, ledger_path: str, checkpoint: str,
         isolates = F.col("action") == "isolate_pod"
         first = rows.filter(isolates).groupBy("namespace", "pod").agg(F.min(F.struct("ts", "alert_id"))["alert_id"].alias("__first"))
         rows = rows.join(first, ["namespace", "pod"], "left")
-        active = F.lit(False)
-        known = _read_ledger(spark, ledger_path)
-        if known is not None:
-            earlier = known.filter((F.col("run") != run) | (F.col("batch_id") != batch_id))
-            rows = rows.join(isolated_pods(earlier).withColumn("__active", F.lit(True)), ["namespace", "pod"], "left")
-            active = F.coalesce("__active", F.lit(False))
+        folder = ledger.Folder(spark, ledger_path)
+        asked = [r[0] for r in rows.select(ledger.bucket_of().alias("b")).distinct().collect()]  # at most BUCKETS numbers
+        known = ledger.read(folder, asked, without=f"{run}@{batch_id}")
+        rows = rows.join(ledger.isolated(known).withColumn("__active", F.lit(True)), ["namespace", "pod"], "left")
+        active = F.coalesce("__active", F.lit(False))
         status = F.when(isolates & (active | (F.col("alert_id") != F.col("__first"))), "already_exists").when(
             isolates, "created").otherwise(F.col("status"))
-        rows.withColumn("status", status).select(*LEDGER_COLUMNS).write.mode("overwrite").parquet(
-            f"{ledger_path}/run={run}/batch_id={batch_id}")
+        written = f"{ledger_path}/run={run}/batch_id={batch_id}"
+        rows.withColumn("status", status).select(*LEDGER_COLUMNS).write.mode("overwrite").parquet(written)
+        ledger.record(folder, spark.read.schema(LEDGER_FIELDS).parquet(written), run, batch_id)
+        ledger.merge(folder, merge_at)
 
     writer = alerts.writeStream.foreachBatch(respond).option("checkpointLocation", checkpoint)
     if available_now:
@@ -275,14 +312,6 @@ def start_response(alerts: DataFrame, ledger_path: str, checkpoint: str,
 LEDGER_FIELDS = ("namespace string, pod string, ts timestamp, alert_id string, action string, position int, status string, "
                  "policy_name string, node string, reason string")
 LEDGER_COLUMNS = [field.split()[0] for field in LEDGER_FIELDS.split(", ")]
-LEDGER_SCHEMA = f"{LEDGER_FIELDS}, run string, batch_id int"
-
-
-def isolated_pods(ledger: DataFrame) -> DataFrame:
-    """(namespace, pod) whose latest isolation was not rolled back since."""
-    when = lambda action: F.max(F.when(F.col("action") == action, F.col("ts")))
-    latest = ledger.groupBy("namespace", "pod").agg(when("isolate_pod").alias("isolated"), when("rollback").alias("undone"))
-    return latest.filter("isolated is not null and (undone is null or undone < isolated)").select("namespace", "pod")
 
 
 def record_rollback(pods: DataFrame, ledger_path: str, rollback_id: str) -> None:
@@ -290,11 +319,7 @@ def record_rollback(pods: DataFrame, ledger_path: str, rollback_id: str) -> None
     rows = pods.select("namespace", "pod", F.col("ts").cast("timestamp").alias("ts")).withColumns({
         "alert_id": F.lit(None).cast("string"), "action": F.lit("rollback"), "position": F.lit(0), "status": F.lit("deleted"),
         "policy_name": policy_name(F.col("pod")), "node": F.lit(None).cast("string"), "reason": F.lit(None).cast("string")})
-    rows.select(*LEDGER_COLUMNS).write.mode("overwrite").parquet(f"{ledger_path}/run=rollback-{rollback_id}/batch_id=0")
-
-
-def _read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
-        return None
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    run = f"{ledger.ROLLBACK}{rollback_id}"
+    written = f"{ledger_path}/run={run}/batch_id=0"
+    rows.select(*LEDGER_COLUMNS).write.mode("overwrite").parquet(written)
+    ledger.record(ledger.Folder(pods.sparkSession, ledger_path), pods.sparkSession.read.schema(LEDGER_FIELDS).parquet(written), run, 0)
