@@ -121,6 +121,23 @@ def test_archives_of_odd_pages(spark):
     assert warc.resolve_revisits(warc.round_trip(pages.limit(0))).collect() == []
 
 
+def test_a_record_for_every_row_equals_sql(spark):
+    """Repeated rows, one id on several payloads and rows without an id each come back once."""
+    import duckdb
+    from oracle import differences
+
+    long = "abc" * 20_000
+    rows = [(2, "u", "abc"), (2, "u", "abc"), (3, "u", "abc"), (6, "v", "zz"), (6, "v", "zz"), (6, "v", "other"), (None, "u", "abc"), (None, None, "lonely"),
+            (None, None, "lonely"), (None, "w", None), (8, "w", ""), (9, "u", long), (9, "u", long), (7, "u", long), (None, "u", long), (-4, "u", "neg")]
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", rows)
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    got = warc.resolve_revisits(warc.round_trip(pages, segment=1000)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert differences(got, con, queries.WARC_SQL) == []
+
+
 def test_small_payloads_are_never_revisits(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id bigint, url string, html string")
     got = {r.page_id: r.refers_to for r in warc.resolve_revisits(warc.round_trip(pages, least_bytes=3)).collect()}

@@ -65,7 +65,7 @@ d as (
     {groups}), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') as payload_digest
   from p),
 f as (select *, min(page_id) over (partition by payload_digest, payload_bytes) as least from d)
-select page_id, payload_bytes, payload_digest, case when page_id = least then 'response' else 'revisit' end as record_type,
+select page_id, payload_bytes, payload_digest, case when least is null or page_id = least then 'response' else 'revisit' end as record_type,
   case when page_id = least then null else least end as refers_to from f""".replace("{groups}", ",\n    ".join(
     f"to_base(cast('0x' || substr(hexa, {1 + 5 * i}, 5) as bigint), 32, 4)" for i in range(8)))
 

@@ -45,19 +45,25 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     rows = rows.withColumns({"digest": sha1_base32(F.col("payload")), "size": F.octet_length("payload").cast("bigint")})
     keys = rows.filter(F.col("size") >= least_bytes).select("digest", "size", "page_id")
     firsts = keys.groupBy("digest", "size").agg(F.min("page_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    copies = (keys.join(firsts.drop("n"), ["digest", "size"]).filter("page_id != least")
-              .select("page_id", "digest", F.col("least").alias("first")).dropDuplicates(["page_id", "digest"]))
-    return rows.join(copies, ["page_id", "digest"], "left")
+    copies = (keys.join(firsts.drop("n"), ["digest", "size"]).filter("least is not null and not (page_id <=> least)")
+              .select(F.col("page_id").alias("__page"), F.col("digest").alias("__digest"), F.col("least").alias("first"))
+              .dropDuplicates(["__page", "__digest"]))
+    same = F.col("page_id").eqNullSafe(F.col("__page")) & (F.col("digest") == F.col("__digest"))
+    return rows.join(copies, same, "left").drop("__page", "__digest")
 
 
 def _header(name: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))).otherwise(F.lit(""))
 
 
-def _urn(page: Column, segment: Column | None = None) -> Column:
-    """Record id: rows that are equal in page and payload share it."""
-    tail = F.lit("") if segment is None else F.when(segment > 1, F.concat(F.lit("-"), segment.cast("string"))).otherwise(F.lit(""))
-    return F.concat(F.lit("<urn:page:"), page.cast("string"), F.lit(":"), F.col("digest"), tail, F.lit(">"))
+def _urn(page: Column, own: Column | None = None, segment: Column | None = None) -> Column:
+    """Id of a record: page and payload, and what tells rows that are equal in both apart. Without ``own`` it names them all."""
+    parts = [F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("")), F.lit(":"), F.col("digest")]
+    if own is not None:
+        parts += [F.lit(":"), own]
+    if segment is not None:
+        parts.append(F.when(segment > 1, F.concat(F.lit("-"), segment.cast("string"))).otherwise(F.lit("")))
+    return F.concat(*parts, F.lit(">"))
 
 
 def _chunked(payload: Column, chunk: int) -> Column:
@@ -72,11 +78,12 @@ def _chunked(payload: Column, chunk: int) -> Column:
 
 def records(pages: DataFrame, segment: int = SEGMENT_BYTES, chunk: int = CHUNK_BYTES, least_bytes: int = 0) -> DataFrame:
     """(record string): the archive's records without the blank lines that end them. Bytes of any kind pass unchanged."""
-    rows = with_revisits(pages, least_bytes).filter("page_id is not null")
+    # every row is a record of its own; all segments of a record are written by one task, so they share its id
+    rows = with_revisits(pages, least_bytes).withColumn("own", F.expr("uuid()"))
     revisit = F.col("first").isNotNull()
     status = F.lit(b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n")
     block = F.when(revisit, status).otherwise(F.concat(status, _chunked(F.col("payload"), chunk)))
-    sized = rows.select("page_id", "url", "digest", "size", "first", block.alias("block")).withColumn(
+    sized = rows.select("page_id", "own", "url", "digest", "size", "first", block.alias("block")).withColumn(
         "total", F.octet_length("block"))
     parts = sized.withColumn("number", F.explode(F.sequence(F.lit(1), F.greatest(
         F.lit(1), F.ceil(F.col("total") / F.lit(segment)).cast("int")))))
@@ -86,13 +93,13 @@ def records(pages: DataFrame, segment: int = SEGMENT_BYTES, chunk: int = CHUNK_B
     kind = F.when(number > 1, "continuation").when(revisit, "revisit").otherwise("response")
     many = last > 1
     head = F.concat(
-        F.lit(f"{VERSION}\r\n"), _header("WARC-Type", kind), _header("WARC-Record-ID", _urn(page, number)),
+        F.lit(f"{VERSION}\r\n"), _header("WARC-Type", kind), _header("WARC-Record-ID", _urn(page, F.col("own"), number)),
         _header("WARC-Target-URI", F.regexp_replace("url", r"[\r\n]", " ")),
         _header("WARC-Payload-Digest", F.when(number == 1, F.concat(F.lit("sha1:"), F.col("digest")))),
         _header("WARC-Profile", F.when(revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
         _header("WARC-Refers-To", F.when(revisit, _urn(F.col("first")))),
         _header("WARC-Segment-Number", F.when(many, number.cast("string"))),
-        _header("WARC-Segment-Origin-ID", F.when(number > 1, _urn(page))),
+        _header("WARC-Segment-Origin-ID", F.when(number > 1, _urn(page, F.col("own")))),
         _header("WARC-Segment-Total-Length", F.when(many & (number == last), F.col("total").cast("string"))),
         F.lit("Content-Type: application/http; msgtype=response\r\n"),
         _header("Content-Length", F.octet_length(body).cast("string")), F.lit("\r\n"))
@@ -103,8 +110,9 @@ def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT_BYTES, ch
                    per_file: int = RECORDS_PER_FILE) -> None:
     """One record per row of ``pages`` (page_id bigint, url string, html string; further columns are ignored) under ``path``.
 
-    A null html is an empty payload, a null url an empty one; rows with a null page_id have no record id and are left out.
-    Rows equal in page_id and payload have the same record id. An empty table writes no record.
+    A null html is an empty payload, a null url an empty one. Every row is a record, also where page_id and payload repeat
+    or the page_id is null; a row without an id revisits the smallest page with its payload, or is a response where there
+    is none. Of equal payloads all rows of the smallest page are responses. An empty table writes no record.
     """
     (records(pages, segment, chunk, least_bytes).write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
      .option("maxRecordsPerFile", per_file).text(path))
@@ -223,7 +231,7 @@ def round_trip(pages: DataFrame, segment: int = SEGMENT_BYTES, least_bytes: int
     """Write the pages to archives in the shared folder, read them back and describe every record.
 
     (page_id, payload_bytes, payload_digest, record_type, refers_to): size and digest are those of the payload read, for
-    revisits those of the response they refer to. Rows equal in page and payload give one row. Edge cases are those of ``write_archives``.
+    revisits those of the response they refer to. One row per row of ``pages``; edge cases are those of ``write_archives``.
     """
     spark = pages.sparkSession
     path = staging_path(spark, "warc")
@@ -232,9 +240,9 @@ def round_trip(pages: DataFrame, segment: int = SEGMENT_BYTES, least_bytes: int
         "record_id", "kind", "refers_to", F.regexp_replace("digest", "^sha1:", "").alias("stated"), F.octet_length("payload").cast("bigint").alias("payload_bytes"),
         sha1_base32(F.col("payload")).alias("payload_digest"))
     # digests only from here on
-    page = lambda name: F.regexp_extract(name, r"<urn:page:(-?\d+):", 1).cast("bigint")
+    page = lambda name: F.nullif(F.regexp_extract(name, r"<urn:page:(-?\d*):", 1), F.lit("")).cast("bigint")
     return read.select(page("record_id").alias("page_id"), F.col("kind").alias("record_type"), F.when(
-        F.col("kind") == "revisit", page("refers_to")).alias("refers_to"), "stated", "payload_bytes", "payload_digest").distinct()
+        F.col("kind") == "revisit", page("refers_to")).alias("refers_to"), "stated", "payload_bytes", "payload_digest")
 
 
 def resolve_revisits(rows: DataFrame) -> DataFrame:
@@ -242,4 +250,5 @@ def resolve_revisits(rows: DataFrame) -> DataFrame:
     own = rows.filter("record_type != 'revisit'")
     revisits = rows.filter("record_type = 'revisit'").drop("payload_bytes", "payload_digest")
     known = own.select(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("stated"), "payload_bytes", "payload_digest")
+    known = known.dropDuplicates(["refers_to", "stated"])  # all responses of a page and payload are alike
     return own.unionByName(revisits.join(known, ["refers_to", "stated"], "left").select(*own.columns))
