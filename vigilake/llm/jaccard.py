@@ -171,9 +171,11 @@ def _linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, perce
     """The pairs of sets whose full sets reach the threshold, as (x, y); ``sets``: a document (rep) that has the set."""
     pairs = staged(pairs, "pairs")
     ids = pairs.select(F.col("x").alias("set_id")).union(pairs.select(F.col("y").alias("set_id"))).distinct()
-    reps = sets.join(ids, "set_id").select(F.col("rep").alias("doc_id")).distinct()
+    asked = sets.join(ids.withColumnRenamed("set_id", "number"), "number", "left_semi")
+    reps = asked.select(F.col("rep").alias("doc_id")).distinct()
     # an id may stand on several texts: rows are told apart by their sets
-    full = staged(_full_sets(docs.join(reps, "doc_id", "left_semi"), size).dropDuplicates(["set_id"]), "sets")
+    read = _full_sets(docs.join(reps, "doc_id", "left_semi"), size).dropDuplicates(["set_id"])
+    full = staged(read.join(asked.select("set_id", "number"), "set_id").select(F.col("number").alias("set_id"), "columns"), "sets")
     # the rarer side first: the hub's set repeats for many partners, adaptive execution splits its partition
     both = (pairs.join(full.select(F.col("set_id").alias("x"), F.col("columns").alias("cx")), "x")
             .join(full.select(F.col("set_id").alias("y"), F.col("columns").alias("cy")), "y"))
@@ -204,14 +206,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     rows = staged(_shingle_rows(docs, size, percent, common).withColumn("set_id", _set_id()), "rows")
     # equal sets are one row of the matrix, known by its fingerprints; a document that has it stands for its text
     full = rows.filter("n_shingles > 0 and doc_id is not null")
-    sets = staged(full.groupBy("set_id").agg(F.min("doc_id").alias("rep")), "sets")
+    # it is numbered by that document, so that the first of many near copies is a hub; by itself where the document has more sets
+    first = full.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
+    single = first.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    sets = staged(first.join(single, "rep").select("set_id", "rep", F.when(F.col("own") == 1, F.col("rep")).otherwise(F.col("set_id")).alias("number")), "sets")
     chosen = full.join(sets.withColumnRenamed("rep", "doc_id"), ["set_id", "doc_id"], "left_semi").dropDuplicates(["set_id"])
     postings = settled(spark, "postings", lambda: _postings(
-        chosen.select(F.col("set_id").alias("doc_id"), "n_shingles", "rare", "head"), common))
+        chosen.join(sets.select("set_id", "number"), "set_id").select(F.col("number").alias("doc_id"), "n_shingles", "rare", "head"), common))
 
     def round_of(turn: int, state: DataFrame, done: DataFrame | None) -> DataFrame:
         """Links after every row of a column was paired with the column's hub."""
-        order = F.xxhash64("doc_id", F.lit(turn))
+        order = F.xxhash64("doc_id", F.lit(turn)) if turn else F.col("doc_id")
         part = F.col("component") if turn else F.col("doc_id")
         hub = F.min(F.struct(order.alias("order"), "doc_id", "n", "r", "pos", part.alias("part")))
         hubs = state.groupBy("h").agg(hub.alias("hub")).select(
@@ -235,8 +240,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         if last:
             break
     # from sets to documents: all documents of a set hang on its first one, which may stand on several texts
-    reps = links.join(sets.select(F.col("set_id").alias("x"), F.col("rep").alias("a")), "x").join(
-        sets.select(F.col("set_id").alias("y"), F.col("rep").alias("b")), "y").select(F.col("a").alias("x"), F.col("b").alias("y"))
+    reps = links.join(sets.select(F.col("number").alias("x"), F.col("rep").alias("a")), "x").join(
+        sets.select(F.col("number").alias("y"), F.col("rep").alias("b")), "y").select(F.col("a").alias("x"), F.col("b").alias("y"))
     members = full.select("doc_id", "set_id").join(sets, "set_id").select(F.col("doc_id").alias("x"), F.col("rep").alias("y"))
     label = settled(spark, "label", lambda: min_labels(members.unionByName(reps)))
     return (rows.select("doc_id", "n_shingles").join(label, "doc_id", "left")
