@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,6 +184,35 @@ def test_search_of_repeated_vectors_equals_sql(spark):
         assert differences(got, con, queries.TOP_SQL) == []
 
 
+def test_search_of_many_queries_over_several_blocks(spark, monkeypatch):
+    """10 000 queries in 8 blocks against 12 and more blocks of rows; a third of the rows are copies of one vector."""
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(10_000, 6)).round(2)
+    vectors[rng.random(10_000) < 0.34] = vectors[0]
+    monkeypatch.setattr(exact_search.vb, "QUERY_BYTES", 60_000)
+    monkeypatch.setattr(exact_search.vb, "BLOCK_BYTES", 30_000)
+    monkeypatch.setattr(exact_search, "BOUNDS", 100_000)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    found = exact_search.top_k(table, F.lit(True), 3)
+    got = np.array([tuple(r) for r in found.orderBy("query_id", "rank").collect()]).reshape(10_000, 3, 4)
+    whole = np.floor(vectors * 256)
+    for start in range(0, 10_000, 1000):
+        scores = whole[start:start + 1000] @ whole.T
+        scores[np.arange(1000), np.arange(start, start + 1000)] = -np.inf
+        order = np.argsort(-scores, axis=1, kind="stable")[:, :3]
+        assert (got[start:start + 1000, :, 2] == order).all()
+        assert (got[start:start + 1000, :, 3] == np.take_along_axis(scores, order, 1)).all()
+
+
+def test_bounds_of_cells_are_never_below_the_score():
+    rng = np.random.default_rng(10)
+    vectors, queries = rng.integers(-3000, 3000, (400, 9)), rng.integers(-500, 500, (50, 9))
+    cells, low, width = exact_search.approximation(vectors)
+    bounds, scores = exact_search.upper_bounds(queries, cells, low, width), queries @ vectors.T
+    assert cells.max() < exact_search.CELLS and (bounds >= scores).all()
+    assert (bounds - scores <= np.abs(queries) @ (width - 1)[:, None]).all()
+
+
 def test_near_duplicates_of_one_id_on_two_texts(spark):
     """An id on two different texts keeps the links of both of them; so do its copies."""
     rows = []
