@@ -197,6 +197,38 @@ def test_deduplicate_keeps_earliest_and_all_without_id(spark):
     assert only(kept.filter("event_id = 'a'")).pod == "q"
 
 
+def test_stored_events_are_deduplicated_without_moving_wide_rows(spark, tmp_path):
+    """One id holds a third of the rows; copies lie in several files, some equal in time and pod."""
+    rows = [(f"e{i}", i % 7, f"p{i % 3}", f"x{i}") for i in range(200)] + [("hot", 50 - i % 40, "p1", f"h{i}") for i in range(120)]
+    rows += [("e5", 0, "p2", "early"), ("e6", 6, "p0", "tie"), (None, 1, "p", "a"), (None, 1, "p", "a")]
+    frame = spark.createDataFrame(rows, "event_id string, s int, pod string, process string").select(
+        "event_id", F.timestamp_seconds("s").alias("timestamp"), "pod", "process")
+    path = str(tmp_path / "events")
+    frame.repartition(6).write.parquet(path)
+    stored = spark.read.parquet(path)
+    kept = C.deduplicate_stored(stored)
+    got = kept.collect()
+    assert kept.columns == stored.columns and len(got) == 203
+    first = {}
+    for e, s, pod, _ in rows:
+        if e is not None:
+            first[e] = min(first.get(e, (s, pod)), (s, pod))
+    assert {r.event_id: (int(r.timestamp.timestamp()), r.pod) for r in got if r.event_id} == first
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    wide = [line for line in final.splitlines() if "process" in line and ("Exchange" in line or " Sort" in line)]
+    assert "BroadcastHashJoin" in final and wide == []
+
+
+def test_tally_of_the_parsing_pass(spark):
+    lines = ['{"event_id": "a"}', "  ", "", None, "{bad", "no json", '\t{"event_id": "b"}', '{"event_id": "c", "network_metadata": "x"}']
+    frame = spark.createDataFrame([(line,) for line in lines], "value string")
+    events, seen = telemetry.parse_and_tally(frame)
+    assert sorted(r.event_id for r in events.collect()) == ["a", "b", "c"]
+    assert seen.get == {"valid": 3, "malformed": 2, "blank": 3}
+    assert sorted(map(tuple, events.collect())) == sorted(map(tuple, telemetry.parse_unified(frame).collect()))
+
+
 def test_day_partitions_prune(spark, clean_events, tmp_path):
     sinks.write_events(clean_events, str(tmp_path / "events"))
     day = spark.read.parquet(str(tmp_path / "events")).filter("event_date = date'2026-03-23'")

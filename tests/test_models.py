@@ -332,6 +332,61 @@ def test_score_is_the_reconstruction_error(spark):
     assert np.allclose(scores, ((x - rebuilt) ** 2).mean(axis=1))
 
 
+def ring(n, radius=1.0, noise=0.02):
+    angle = RNG.uniform(0, 2 * np.pi, n)
+    return np.c_[np.cos(angle), np.sin(angle)] * radius + RNG.normal(0, noise, (n, 2))
+
+
+def test_rows_off_a_ring_are_found_by_the_nonlinear_encoder_only(spark):
+    """The middle of a ring is where a linear encoder sees its mean."""
+    benign = ring(1500)
+    benign[:500] = benign[0]  # a third of the rows are one row
+    df, columns = frame(spark, benign)
+    off, _ = frame(spark, np.vstack([RNG.normal(0, 0.1, (40, 2)), ring(40, 0.5), ring(40, 1.8)]))
+    caught = {}
+    for nonlinear in (False, True):
+        trained = A.train_detector(df, columns, width=12 if nonlinear else 1, nonlinear=nonlinear)
+        flags = A.detect_anomalies(trained["model"].score(off, latent="code"), trained["threshold"]).orderBy("id").collect()
+        caught[nonlinear] = np.array([r["is_anomaly"] for r in flags])
+        again = A.detect_anomalies(trained["model"].score(frame(spark, ring(300))[0]), trained["threshold"])
+        assert A.anomaly_rate(again).first()["rate"] < 0.2
+        assert {len(r["code"]) for r in flags} == {12 if nonlinear else 1}
+    assert caught[True].mean() >= 0.95 and caught[False][:40].mean() <= 0.2
+
+
+def test_landmark_scores_are_kernel_residuals(spark):
+    """With every row a landmark the features keep all kernel values, and the score is that of kernel components."""
+    matrix = RNG.normal(size=(40, 3))
+    df, columns = frame(spark, matrix)
+    model = A.fit_reconstruction(df, columns, width=5, nonlinear=True)
+    scores = [r["anomaly_score"] for r in model.score(df).orderBy("id").collect()]
+    x = (matrix - matrix.mean(0)) / matrix.std(0, ddof=1)
+    squares = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    kernel = np.exp(-squares / np.median(squares[squares > 0]))
+    middle = np.eye(40) - 1 / 40
+    centred = middle @ kernel @ middle
+    values, vectors = np.linalg.eigh(centred)
+    code = vectors[:, -5:] * np.sqrt(values[-5:])
+    assert np.allclose(scores, np.diag(centred) - (code ** 2).sum(axis=1), atol=1e-5)
+
+
+def test_saved_nonlinear_detector_scores_alike(spark, tmp_path):
+    df, columns = frame(spark, ring(60))
+    trained = A.train_detector(df, columns, width=4, nonlinear=True)
+    sinks.save_model(trained["model"].model, str(tmp_path / "m"), {"threshold": trained["threshold"]})
+    loaded, _ = sinks.load_model(spark, str(tmp_path / "m"))
+    before = [r["anomaly_score"] for r in trained["model"].score(df).orderBy("id").collect()]
+    assert np.allclose([r["anomaly_score"] for r in A.Reconstruction(loaded).score(df).orderBy("id").collect()], before)
+
+
+def test_percentile_of_sketches_with_little_room(spark):
+    """Few samples a sketch and few rows a slice; a third of the rows share one value."""
+    values = np.r_[RNG.normal(size=3000), np.full(1500, 0.25)]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(5)
+    for fraction in (0.0, 0.003, 0.41, 0.95, 1.0):
+        assert exact_percentile(df, "v", fraction, bracket_rows=7, accuracy=40) == pytest.approx(np.quantile(values, fraction), abs=1e-12)
+
+
 def test_training_needs_benign_rows(spark):
     df, columns = frame(spark, RNG.normal(size=(5, 2)), ["ddos"] * 5)
     with pytest.raises(ValueError, match="no benign rows"):

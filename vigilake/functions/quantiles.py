@@ -4,76 +4,67 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigilake.session import staged, staging
+
 ACCURACY = 10_000
-# values that may be ordered in one task once the bracket is small enough
+# distinct values that may be ordered in one task
 BRACKET_ROWS = 1_000_000
 
 
-def exact_percentile(df: DataFrame, column: str, fraction: float, bracket_rows: int = BRACKET_ROWS) -> float | None:
-    """Percentile with linear interpolation between the two nearest ranks.
+def exact_percentile(df: DataFrame, column: str, fraction: float, bracket_rows: int = BRACKET_ROWS,
+                     accuracy: int = ACCURACY) -> float | None:
+    """Percentile with linear interpolation between the two nearest ranks; null values are left out.
 
-    Spark's exact aggregate keeps every distinct value in one buffer. Here sketches narrow a bracket around the wanted
-    rank, each pass by a factor of about a thousand, until few enough values are left to be ordered.
+    Spark's exact aggregate keeps every distinct value in one buffer. Here two passes do. The first merges a rank sketch
+    whose ranks are off by at most ``size / accuracy``, and takes two values from it that enclose the wanted rank with
+    some room. The second counts what lies below them and the values between them, which are a few ten-thousandths of
+    the rows. The counts prove that the rank lies inside; if it ever didn't, the room is widened and the pass repeated.
     """
     values = df.select(F.col(column).alias("v")).filter("v IS NOT NULL")
-    low, high, size = values.agg(F.min("v"), F.max("v"), F.count(F.lit(1))).first()
-    if not size:
-        return None
-    rank = (size - 1) * fraction
-    first, second, before = math.floor(rank), math.ceil(rank), 0
-    # two neighbouring values need no ordering, whatever their number of rows
-    while size > bracket_rows and low < high and not _neighbours(values, low, high):
-        inside = values.filter(F.col("v").between(low, high))
-        narrowed = _narrow(inside, size, first - before, second - before)
-        if narrowed is None:
-            narrowed = _halve(inside, low, high, first - before, second - before)
-        low, high, below, size = narrowed
-        before += below
-    a, b = _values_at(values.filter(F.col("v").between(low, high)), first - before, second - before)
+    room = 4.0 / accuracy
+    with staging(df.sparkSession):
+        while True:
+            least, most = max(0.0, fraction - room), min(1.0, fraction + room)
+            size, (low, high) = values.agg(
+                F.count(F.lit(1)), F.coalesce(F.percentile_approx("v", [least, most], accuracy), F.array(F.lit(None), F.lit(None)))).first()
+            if not size:
+                return None
+            rank = (size - 1) * fraction
+            first, second = math.floor(rank), math.ceil(rank)
+            # the ends of the scale enclose everything
+            below = F.lit(False) if least == 0.0 else F.col("v") < F.lit(low)
+            above = F.lit(False) if most == 1.0 else F.col("v") > F.lit(high)
+            part = F.when(below, -1).when(above, 1).otherwise(0)
+            counts = staged(values.groupBy(part.alias("part"), F.when(part == 0, F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n")), "ranks")
+            totals = {r["part"]: r["n"] for r in counts.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+            before, inside = totals.get(-1, 0), totals.get(0, 0)
+            if before <= first and second < before + inside:
+                break
+            room *= 8
+        kept = counts.filter("part = 0").select("v", "n")
+        a, b = (_value_at(kept, at - before, bracket_rows) for at in (first, second))
     return a + (b - a) * (rank - first)
 
 
-def _neighbours(values: DataFrame, low: float, high: float) -> bool:
-    """Whether no value lies between the two."""
-    return values.filter((F.col("v") > low) & (F.col("v") < high)).isEmpty()
-
-
-def _narrow(inside: DataFrame, size: int, first: int, second: int) -> tuple[float, float, int, int] | None:
-    """A smaller bracket that still holds both ranks, the rows below it and its size; None if there is none."""
-    margin = 4.0 / ACCURACY
-    low_p, high_p = max(0.0, first / size - margin), min(1.0, second / size + margin)
-    low, high = inside.agg(
-        F.percentile_approx("v", F.array(F.lit(low_p), F.lit(high_p)), ACCURACY).alias("q")
-    ).first()["q"]
-    below, kept = inside.agg(F.count_if(F.col("v") < low), F.count_if(F.col("v").between(low, high))).first()
-    if kept >= size or below > first or below + kept <= second:
-        return None
-    return low, high, below, kept
-
-
-def _halve(inside: DataFrame, low: float, high: float, first: int, second: int) -> tuple[float, float, int, int]:
-    """The half of the value range that holds both ranks; where they fall apart, the two values between the halves.
-
-    The ends are values that occur, so the bracket shrinks by at least one distinct value each time.
-    """
-    middle = low + (high - low) / 2
-    left = F.col("v") <= middle if middle < high else F.col("v") < high
-    n, last, begin = inside.agg(F.count_if(left), F.max(F.when(left, F.col("v"))), F.min(F.when(~left, F.col("v")))).first()
-    if second < n:
-        return low, last, 0, n
-    if first >= n:
-        return begin, high, n, inside.filter(F.col("v") >= begin).count()
-    at_last, at_begin = inside.agg(F.count_if(F.col("v") == last), F.count_if(F.col("v") == begin)).first()
-    return last, begin, n - at_last, at_last + at_begin
+def _value_at(counts: DataFrame, at: int, most: int) -> float:
+    """Value at a 0-based rank of (v, n), one row per value. Only the slice of values that holds it is ordered."""
+    slices = -(-counts.count() // most)
+    if slices > 1:
+        edges = counts.agg(F.percentile_approx("v", [i / slices for i in range(1, slices)], ACCURACY)).first()[0]
+        sliced = counts.withColumn("slice", _slice(edges))
+        sizes = sorted((r["slice"], r["n"]) for r in sliced.groupBy("slice").agg(F.sum("n").alias("n")).collect())
+        for number, n in sizes:
+            if at < n:
+                break
+            at -= n
+        counts = sliced.filter(F.col("slice") == number)
+    upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counts.withColumn("until", F.sum("n").over(upto)).filter(F.col("until") > at).agg(F.min("v")).first()[0]
 
 
-def _values_at(inside: DataFrame, first: int, second: int) -> tuple[float, float]:
-    """Values at two 0-based ranks; equal values are merged before they are ordered."""
-    counts = inside.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.withColumn("until", F.sum("n").over(upto)).agg(
-        F.min(F.when(F.col("until") > first, F.col("v"))), F.min(F.when(F.col("until") > second, F.col("v")))
-    ).first()
+def _slice(edges: list[float]) -> Column:
+    """Number of edges below the value."""
+    return F.size(F.filter(F.array(*map(F.lit, edges)), lambda edge: edge < F.col("v")))

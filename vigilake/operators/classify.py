@@ -73,15 +73,11 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "pre
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Dense confusion matrix: every pair of classes seen as label or prediction."""
     counts = confusion_counts(df, label, prediction)
-    grid = counts.agg(
-        F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction"))).alias("classes"),
-        F.map_from_entries(F.collect_list(F.struct(F.struct("label", "prediction"), "n"))).alias("cells"),
-    )
-    cells = grid.select("classes", "cells", F.explode("classes").alias("label")).select(
-        "cells", "label", F.explode("classes").alias("prediction")
-    )
-    n = F.coalesce(F.try_element_at("cells", F.struct("label", "prediction")), F.lit(0))
-    return cells.select("label", "prediction", n.alias("n"))
+    # the list of classes is repeated per class, the cells stay rows
+    classes = counts.agg(F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction"))).alias("classes"))
+    labels = classes.select("classes", F.explode("classes").alias("label")).repartition("label")
+    pairs = labels.select("label", F.explode("classes").alias("prediction"))
+    return pairs.join(counts, ["label", "prediction"], "left").select("label", "prediction", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def class_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

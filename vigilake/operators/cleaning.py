@@ -54,6 +54,23 @@ def deduplicate(events: DataFrame) -> DataFrame:
     return keyed.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank", "__alone")
 
 
+def deduplicate_stored(stored: DataFrame) -> DataFrame:
+    """Keep the earliest copy of each event id of events stored as Parquet; rows without an id are all kept.
+
+    Ids that occur more than once are found in a scan of one column; the address (file and place) of their earliest copy,
+    by time and pod, in one of three. The wide rows are read once and only compared with these addresses: as long as few
+    ids have copies, they are neither shuffled nor sorted. Copies that agree in time and pod are told apart by address.
+    """
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    known = stored.filter(F.col("event_id").isNotNull())
+    repeated = known.groupBy("event_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("event_id")
+    copies = known.select("event_id", "timestamp", "pod", at.alias("at")).join(repeated, "event_id", "left_semi")
+    earliest = copies.groupBy("event_id").agg(F.min(F.struct("timestamp", "pod", "at")).alias("first"))
+    marked = stored.select("*", at.alias("__at")).join(
+        earliest.select("event_id", F.col("first.at").alias("__first")), "event_id", "left")
+    return marked.filter("__first is null or __at = __first").select(*stored.columns)
+
+
 def clean(events: DataFrame) -> DataFrame:
     """Validate, fill and deduplicate."""
     return events.transform(validate_schema).transform(fill_missing).transform(deduplicate)

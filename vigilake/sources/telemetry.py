@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -25,11 +25,34 @@ def tail_lines(spark: SparkSession, folder: str, max_files: int | None = None) -
 
 def parse_unified(lines: DataFrame) -> DataFrame:
     """Unified NDJSON lines to flat event columns; blank and malformed lines are skipped."""
-    parsed = parse_json_lines(lines, schemas.UNIFIED_LINE)
+    return _flat_events(parse_json_lines(lines, schemas.UNIFIED_LINE))
+
+
+def _flat_events(parsed: DataFrame) -> DataFrame:
     fields = parsed.select("line.*").drop(schemas.CORRUPT)
     return flatten_network(fields.withColumn("network_metadata", network_of_variant(F.col("network_metadata"))))
 
 
+def parse_and_tally(lines: DataFrame) -> tuple[DataFrame, Observation]:
+    """``parse_unified`` and the tally of the same pass over the lines.
+
+    The observation holds valid, malformed and blank lines once an action has read the events; it counts the first action
+    only. Lines that are read again because an executor was lost with its shuffle files may count twice; ``line_tally``
+    never does.
+    """
+    seen = Observation()
+    value = F.coalesce("value", F.lit(""))
+    full = f"{schemas.UNIFIED_LINE}, {schemas.CORRUPT} string"
+    line = F.from_json(F.trim(value), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT})
+    blank, brace = value.rlike(r"^\s*$"), value.rlike(r"^\s*\{")
+    parsed = lines.select(blank.alias("blank"), brace.alias("brace"), line.alias("line"))
+    # what is observed is not pushed through, so every line is parsed once
+    good = F.col("brace") & F.col(f"line.{schemas.CORRUPT}").isNull()
+    observed = parsed.observe(
+        seen, F.count_if(good).alias("valid"), F.count_if(~good & ~F.col("blank")).alias("malformed"), F.count_if("blank").alias("blank"))
+    return _flat_events(observed.filter(good).select("line")), seen
+
+
 def ingest_telemetry(spark: SparkSession, path: str) -> DataFrame:
     """Unified telemetry as flat columns; a missing path or a source without valid events is an error."""
     try:

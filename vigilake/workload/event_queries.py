@@ -9,8 +9,8 @@ from vigilake.functions import scalars as S
 from vigilake.operators import cleaning as C
 from vigilake.operators import normalize as N
 from vigilake.operators.detection import detect
-from vigilake.session import staging_path
-from vigilake.sources.telemetry import line_tally, parse_unified, read_lines
+from vigilake.session import staged, staging_path
+from vigilake.sources.telemetry import line_tally, parse_and_tally, parse_unified, read_lines
 from vigilake.workload import fixtures as fx
 from vigilake.workload.registry import query
 
@@ -68,6 +68,19 @@ def a01_line_tally(spark, sf_dir):
     return line_tally(as_text(unified_lines(spark, sf_dir), "unified"))
 
 
+@query("a01_tally_of_parse", """
+select cast(count(case when event_id % 17 <> 0 and event_id % 19 <> 0 then 1 end) as bigint) as valid,
+       cast(count(case when event_id % 17 = 0 then 1 end) as bigint) as malformed,
+       cast(count(case when event_id % 17 <> 0 and event_id % 19 = 0 then 1 end) as bigint) as blank,
+       cast(count(case when event_id % 17 <> 0 and event_id % 19 <> 0 then 1 end) as bigint) as events from events""")
+def a01_tally_of_parse(spark, sf_dir):
+    """Lines are parsed and stored; the tally comes out of the same pass."""
+    events, seen = parse_and_tally(as_text(unified_lines(spark, sf_dir), "unified"))
+    stored = staged(events, "events")
+    tally = [F.lit(n).cast("bigint").alias(name) for name, n in seen.get.items()]
+    return stored.agg(F.count(F.lit(1)).alias("events")).select(*tally, "events")
+
+
 @query("a02_flatten_network", f"""
 select event_id, case when net_dst_port > 0 and net_dst_ip <> '10.244.0.3' then net_dst_ip else '' end as net_dst_ip,
        case when net_dst_port > 0 then concat(cast(net_dst_port as varchar), case when net_dst_port % 5 = 2 then 'x' else '' end)
@@ -369,6 +382,13 @@ def c07_deduplicate(spark, sf_dir):
     return C.deduplicate(with_copies(fx.telemetry(spark, sf_dir))).select("event_id", "timestamp", "pod", "process")
 
 
+@query("c07_deduplicate_stored", f"select event_id, timestamp, pod, process from ({fx.TELEMETRY_SQL}) t")
+def c07_deduplicate_stored(spark, sf_dir):
+    """The copies lie in other files than the events they repeat."""
+    stored = staged(with_copies(fx.telemetry(spark, sf_dir)), "events")
+    return C.deduplicate_stored(stored).select("event_id", "timestamp", "pod", "process")
+
+
 @query("c08_clean", f"""
 with {DIRTY} select event_id, timestamp, source, pod, 'unknown' as namespace, severity, severity_numeric, event_type, syscall,
        process, mitre_technique, net_dst_ip, net_dst_port from r""")

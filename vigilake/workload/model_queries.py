@@ -274,6 +274,17 @@ def g12_score_properties(spark, sf_dir):
     return flagged.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(holds).alias("consistent"))
 
 
+@query("g12_landmark_properties", f"with {SIZES_SQL} select label, n, n as consistent, n as coded from c")
+def g12_landmark_properties(spark, sf_dir):
+    """The same of the nonlinear encoder, whose code is kept."""
+    rows = fx.vectors(spark, sf_dir)
+    detector = A.train_detector(rows, COLUMNS, label="label", nonlinear=True)
+    flagged = A.detect_anomalies(detector["model"].score(rows, latent="code"), detector["threshold"])
+    holds = (F.col("anomaly_score") >= 0) & (F.col("is_anomaly") == (F.col("anomaly_score") > F.lit(detector["threshold"])))
+    coded = (F.size("code") == A.LATENT_WIDTH) & F.forall("code", lambda v: v.isNotNull() & ~F.isnan(v))
+    return flagged.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(holds).alias("consistent"), F.count_if(coded).alias("coded"))
+
+
 @query("g13_threshold", f"select {sql_r6('quantile_cont(score, 0.95)', 'threshold')} from ({fx.PREDICTIONS_SQL}) p")
 def g13_threshold(spark, sf_dir):
     threshold = A.determine_threshold(fx.predictions(spark, sf_dir), 95.0, "score")
