@@ -204,15 +204,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     named = docs.filter(F.col("doc_id").isNotNull())
     common = common_shingles(named, size)
     rows = staged(_shingle_rows(docs, size, percent, common).withColumn("set_id", _set_id()), "rows")
-    # equal sets are one row of the matrix, known by its fingerprints; a document that has it stands for its text
+    # equal sets are one row of the matrix, known by its fingerprints; the first document that has it stands for its text
     full = rows.filter("n_shingles > 0 and doc_id is not null")
+    first = full.groupBy("set_id").agg(F.min(F.struct("doc_id", "n_shingles", "rare", "head")).alias("first")).select(
+        "set_id", F.col("first.doc_id").alias("rep"), "first.n_shingles", "first.rare", "first.head")
     # it is numbered by that document, so that the first of many near copies is a hub; by itself where the document has more sets
-    first = full.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    single = first.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
-    sets = staged(first.join(single, "rep").select("set_id", "rep", F.when(F.col("own") == 1, F.col("rep")).otherwise(F.col("set_id")).alias("number")), "sets")
-    chosen = full.join(sets.withColumnRenamed("rep", "doc_id"), ["set_id", "doc_id"], "left_semi").dropDuplicates(["set_id"])
-    postings = settled(spark, "postings", lambda: _postings(
-        chosen.join(sets.select("set_id", "number"), "set_id").select(F.col("number").alias("doc_id"), "n_shingles", "rare", "head"), common))
+    several = (full.groupBy("set_id").agg(F.min("doc_id").alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+               .filter("own > 1").select("rep", F.lit(True).alias("several")))
+    chosen = staged(first.join(several, "rep", "left").withColumn("number", F.when(F.col("several"), F.col("set_id")).otherwise(F.col("rep"))).drop("several"), "chosen")
+    sets = chosen.select("set_id", "rep", "number")
+    postings = settled(spark, "postings", lambda: _postings(chosen.select(F.col("number").alias("doc_id"), "n_shingles", "rare", "head"), common))
 
     def round_of(turn: int, state: DataFrame, done: DataFrame | None) -> DataFrame:
         """Links after every row of a column was paired with the column's hub."""
@@ -239,13 +240,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
             _linked(_bounded(_across(state), percent), sets, docs, size, percent)) if last else round_of(turn, state, before))
         if last:
             break
-    # from sets to documents: all documents of a set hang on its first one, which may stand on several texts
-    reps = links.join(sets.select(F.col("number").alias("x"), F.col("rep").alias("a")), "x").join(
-        sets.select(F.col("number").alias("y"), F.col("rep").alias("b")), "y").select(F.col("a").alias("x"), F.col("b").alias("y"))
-    members = full.select("doc_id", "set_id").join(sets, "set_id").select(F.col("doc_id").alias("x"), F.col("rep").alias("y"))
-    label = settled(spark, "label", lambda: min_labels(members.unionByName(reps)))
-    return (rows.select("doc_id", "n_shingles").join(label, "doc_id", "left")
-            .select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")))
+    return _of_documents(rows, full, sets, links)
+
+
+def _of_documents(rows: DataFrame, full: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+    """From components of sets to those of documents; a document that stands on several sets joins them."""
+    spark = rows.sparkSession
+    held = full.select("doc_id", "set_id").join(sets.select("set_id", "number"), "set_id")
+    span = staged(held.groupBy("doc_id").agg(F.min("number").alias("number"), F.max("number").alias("last")), "span")
+    joining = span.filter("number < last").select("doc_id", F.col("number").alias("least"))
+    joined = held.join(joining, "doc_id").filter("number != least").select(F.col("number").alias("x"), F.col("least").alias("y"))
+
+    def components() -> DataFrame:
+        label = min_labels(links.unionByName(joined)).withColumnRenamed("doc_id", "number")
+        named = sets.select("number", "rep").join(label, "number", "left").select("number", "rep", F.coalesce("label", "number").alias("label"))
+        least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+        return named.join(least, "label").select("number", "component_id")
+
+    found = span.join(settled(spark, "components", components), "number").select("doc_id", "component_id")
+    return (rows.select("doc_id", "n_shingles").join(found, "doc_id", "left")
+            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def _still_apart(postings: DataFrame, label: DataFrame) -> DataFrame:
