@@ -62,6 +62,33 @@ def test_bigrams_over_slices(spark, clean_events, tmp_path, slice_ms):
     assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, expected.collect()))
 
 
+def test_bigrams_out_of_order_and_late(spark, tmp_path):
+    folder = tmp_path / "in"
+
+    def feed(name, rows):
+        data = spark.createDataFrame([(START + timedelta(seconds=s), i, "p", c) for s, i, c in rows],
+                                     "timestamp timestamp, event_id string, pod string, syscall string")
+        data.coalesce(1).write.mode("append").parquet(str(folder))
+        return run(K.bigram_stream(read_stream(spark, str(folder)), 60, 2, "1 minute"), tmp_path, "out").collect()
+
+    # the second batch fills gaps of the first; null ids come first; calls without a name don't count
+    assert feed("1", [(5, "e", "c"), (1, "a", "a"), (9, "z", ""), (9, None, "d"), (9, "b", "a")]) == []
+    assert feed("2", [(3, "c", "b"), (10, "f", "b"), (10, "g", "c")]) == []
+    expected = {("a_b", 2, 1), ("b_c", 2, 2), ("c_d", 1, 3), ("d_a", 1, 4)}
+    assert {(r["bigram"], r["n"], r["rank"]) for r in feed("3", [(500, "x", "a")])} == expected
+    # the window is closed: a late call changes nothing
+    assert {(r["bigram"], r["n"], r["rank"]) for r in feed("4", [(2, "l", "q"), (501, "y", "b")])} == expected
+
+
+def test_a_million_calls_of_one_pod_at_one_instant(spark, tmp_path):
+    n = 1_000_000
+    calls = spark.range(n).select(F.lit(START).cast("timestamp").alias("timestamp"), F.format_string("%08d", "id").alias("event_id"), F.lit("p").alias("pod"),
+                                  F.when(F.col("id") % 4 == 3, "close").otherwise("read").alias("syscall"))
+    rows = run(K.bigram_stream(read_stream(spark, stage_closed(calls, "busy")), 60, 512, "1 minute"), tmp_path, "out")
+    assert [(r["bigram"], r["n"]) for r in rows.filter("pod = 'p'").orderBy("rank").collect()] == [
+        ("read_read", n // 2), ("read_close", n // 4), ("close_read", n // 4 - 1)]
+
+
 def test_enriched_stream(spark, clean_events, tmp_path):
     source = read_stream(spark, stage_closed(clean_events.fillna(""), "clean"))
     rows = run(K.enrich_stream(source).select("mitre_technique", "tactic").filter("mitre_technique = 'T1611'"), tmp_path, "e")

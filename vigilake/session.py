@@ -24,6 +24,8 @@ ENGINE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # rows may be whole books: a batch to a Python worker ends by its bytes, not only by its rows
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    # the state of a stream may outgrow memory, and map state with timers needs it
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # paths staged by this process and not yet removed

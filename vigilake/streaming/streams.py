@@ -22,6 +22,8 @@ from vigilake.operators.normalize import flatten_network, unify_all
 from vigilake.session import staged
 from vigilake.sources.telemetry import tail_lines
 from vigilake.streaming import ledger
+from vigilake.streaming.bigrams import OUTPUT as BIGRAM_FIELDS
+from vigilake.streaming.bigrams import TopBigrams
 
 
 def unify_stream(spark: SparkSession, folders: dict[str, str], max_files: int | None = None) -> DataFrame:
@@ -153,71 +155,22 @@ def _finish(rolled: DataFrame, syscalls: tuple[str, ...]) -> DataFrame:
     )
 
 
-def bigram_stream(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS, slice_ms: int = 100,
+def bigram_stream(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SECONDS, block_calls: int = 512,
                   delay: str = "10 minutes", k: int = kb.TOP_BIGRAMS) -> DataFrame:
-    """Top-k syscall bigrams per (window, pod) on a stream, equal to the batch operator.
+    """Top-k syscall bigrams per (window, pod) on a stream, equal to the batch operator (append mode).
 
-    Only a short time slice is ever collected (``slice_ms`` must divide the window; the shorter, the fewer calls of a
-    busy pod in one slice). From each slice go its pairs and its two ends. Pairs are counted per bigram, and the ends,
-    at most window / slice of them, are stitched when the window closes.
+    The calls of a pod in a window lie in the state store as sorted runs of blocks of ``block_calls``; a timer at the
+    window's end merges them in bounded memory, however many calls there are. Events of a window that the watermark has
+    passed are dropped, those without a pod or a syscall don't count, null event ids come first among equal times.
+    Needs the RocksDB state store (part of ``session.ENGINE_CONF``).
     """
-    span = f"{window_seconds} seconds"
     timed = events.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", delay)
-    call = F.struct("timestamp", "event_id", "syscall")
-    slices = timed.filter((F.length("syscall") > 0) & F.col("pod").isNotNull()).groupBy(
-        F.window("timestamp", f"{slice_ms} milliseconds").alias("s"), "pod"
-    ).agg(F.array_sort(F.collect_list(call)).alias("seq"))
-
-    end_type = "struct<first:struct<timestamp:timestamp,event_id:string,syscall:string>,last:string>"
-    seen_type = "struct<timestamp:timestamp,event_id:string>"
-    inside = F.transform(
-        F.filter(F.sequence(F.lit(1), F.size("seq")), lambda i: i < F.size("seq")),
-        lambda i: F.struct(
-            F.concat_ws("_", F.col("seq")[i - 1]["syscall"], F.col("seq")[i]["syscall"]).alias("bigram"),
-            F.struct(F.col("seq")[i]["timestamp"].alias("timestamp"), F.col("seq")[i]["event_id"].alias("event_id"))
-            .cast(seen_type).alias("seen"),
-            F.lit(None).cast(end_type).alias("ends"),
-        ),
-    )
-    ends = F.struct(
-        F.lit("").alias("bigram"), F.lit(None).cast(seen_type).alias("seen"),
-        F.struct(F.col("seq")[0].alias("first"), F.element_at("seq", -1)["syscall"].alias("last"))
-        .cast(end_type).alias("ends"),
-    )
-    rows = slices.select("s", "pod", F.explode(F.concat(inside, F.array(ends))).alias("r"))
-    counted = rows.groupBy(F.window(F.window_time("s"), span).alias("w"), "pod", "r.bigram").agg(
-        F.count(F.lit(1)).alias("n"), F.min("r.seen").alias("seen"), F.collect_list("r.ends").alias("ends")
-    )
-    entry = F.struct("bigram", "n", "seen")
-    closed = counted.groupBy(F.window(F.window_time("w"), span).alias("w"), "pod").agg(
-        F.collect_list(F.when(F.col("bigram") != "", entry)).alias("inner"),
-        F.array_sort(F.flatten(F.collect_list(F.when(F.col("bigram") == "", F.col("ends"))))).alias("ends"),
-    )
-    stitched = F.transform(
-        F.filter(F.sequence(F.lit(1), F.size("ends")), lambda i: i < F.size("ends")),
-        lambda i: F.struct(
-            F.concat_ws("_", F.col("ends")[i - 1]["last"], F.col("ends")[i]["first"]["syscall"]).alias("bigram"),
-            F.lit(1).cast("long").alias("n"),
-            F.struct(F.col("ends")[i]["first"]["timestamp"].alias("timestamp"),
-                     F.col("ends")[i]["first"]["event_id"].alias("event_id")).cast(seen_type).alias("seen"),
-        ),
-    )
-    merged = closed.withColumn("all", F.concat("inner", stitched))
-    names = F.array_distinct(F.transform("all", lambda e: e["bigram"]))
-    totals = F.transform(names, lambda b: _total_of(b))
-    ranked = F.slice(F.array_sort(totals), 1, k)
-    return merged.select("pod", F.col("w.start").alias("window_start"), F.posexplode(ranked).alias("pos", "t")).select(
-        "pod", "window_start", F.col("t.bigram").alias("bigram"), (-F.col("t.o")).alias("n"),
-        (F.col("pos") + 1).alias("rank"),
-    )
-
-
-def _total_of(bigram: Column) -> Column:
-    """Sort key and total of one bigram over the merged entries of its window."""
-    mine = F.filter("all", lambda e: e["bigram"] == bigram)
-    total = F.aggregate(mine, F.lit(0).cast("long"), lambda acc, e: acc + e["n"])
-    first = F.array_min(F.transform(mine, lambda e: e["seen"]))
-    return F.struct((-total).alias("o"), first.alias("seen"), bigram.alias("bigram"))
+    # the window carries the watermark, so lateness is that of the window, not of the single event
+    calls = timed.filter((F.length("syscall") > 0) & F.col("pod").isNotNull()).select(
+        "pod", F.window("timestamp", f"{window_seconds} seconds").alias("w"), F.unix_micros("timestamp").alias("micros"), "event_id", "syscall")
+    closed = calls.withColumn("end_ms", F.unix_millis("w.end")).groupBy("pod", "end_ms").transformWithStateInPandas(
+        TopBigrams(window_seconds * 1000, k, block_calls), BIGRAM_FIELDS, "append", "eventTime")
+    return closed.select("pod", F.timestamp_millis("start_ms").alias("window_start"), "bigram", "n", "rank")
 
 
 # --- kill chain and response --------------------------------------------------------------

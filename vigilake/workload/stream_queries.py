@@ -118,7 +118,7 @@ def k03_feature_stream(spark, sf_dir):
 @query("k03_bigram_stream", BIGRAM_SQL)
 def k03_bigram_stream(spark, sf_dir):
     source = read_stream(spark, stage_closed(fx_events(spark, sf_dir), "events"))
-    rows = finish(K.bigram_stream(source, W, slice_ms=300_000, delay=DELAY), "bigrams")
+    rows = finish(K.bigram_stream(source, W, delay=DELAY), "bigrams")
     return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
