@@ -134,6 +134,22 @@ def test_drain_plan(spark, inventory):
     assert plans["other"]["status"] == "partial_success"
 
 
+def test_drain_plan_reads_the_inventory_once(spark, inventory, tmp_path):
+    path = str(tmp_path / "inventory")
+    again = inventory.filter("pod = 'web'").withColumn("node", F.lit("n2"))
+    inventory.union(again).union(again).withColumn("extra", F.lit(1)).write.parquet(path)
+    stored = spark.read.parquet(path)
+    requests = spark.createDataFrame([("web", "ns"), (None, "ns"), ("lost", None)], "pod string, namespace string")
+    scans = D.inventory_summary(requests, stored)._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+    plan = D.drain_plan(requests, stored)
+    assert scans == 1 and not any(path in name for name in plan.inputFiles())
+    # a pod listed three times has three plans; null names are no one's
+    assert sorted((str(r["pod"]), str(r["node"]), r["status"]) for r in plan.collect()) == [
+        ("None", "None", "failed"), ("lost", "None", "failed"), ("web", "n1", "success"), ("web", "n2", "success"), ("web", "n2", "success")]
+    assert D.drain_plan(requests.limit(0), stored).count() == 0
+    assert {r["status"] for r in D.drain_plan(requests, stored.limit(0)).collect()} == {"failed"}
+
+
 def test_pods_on_node(spark, inventory):
     requests = spark.createDataFrame([("web", "ns")], "pod string, namespace string")
     assert {r["pod"]: r["is_daemonset"] for r in D.pods_on_nodes(requests, inventory).collect()} == {

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilake import knowledge as kb
+from vigilake.session import staged
 
 STEP_TYPE = "struct<step:string,node:string,status:string,total:bigint,evictable:bigint,evicted:bigint,success:boolean>"
 
@@ -60,14 +61,35 @@ def reschedule_check(inventory: DataFrame, minimum: int = kb.READY_REPLICAS) ->
     )
 
 
+def inventory_summary(requests: DataFrame, inventory: DataFrame) -> DataFrame:
+    """(level, namespace, node, pod, total, evictable, ready) of namespaces (level 3), of nodes in them (1) and of requested pods (0).
+
+    One pass over the inventory: grouping sets, merged inside map tasks. Pods that nobody asked for share one row per
+    node and namespace, with a null pod.
+    """
+    asked = requests.select("pod", "namespace").distinct().withColumn("__asked", F.lit(True))
+    marked = add_daemonset_flag(inventory).withColumn("ready", is_ready()).join(asked, ["pod", "namespace"], "left").select(
+        "namespace", "node", F.when(F.col("__asked"), F.col("pod")).alias("pod"), "is_daemonset", "ready")
+    names = [F.col(c) for c in ("namespace", "node", "pod")]
+    return marked.groupingSets([names[:1], names[:2], names], *names).agg(
+        F.grouping_id().cast("int").alias("level"), F.count(F.lit(1)).alias("total"),
+        F.count_if(~F.col("is_daemonset")).alias("evictable"), F.count_if("ready").alias("ready"))
+
+
 def drain_plan(requests: DataFrame, inventory: DataFrame, minimum: int = kb.READY_REPLICAS) -> DataFrame:
     """One plan per requested pod: node, status and the ordered steps as an array of structs.
 
-    Node and namespace figures are aggregated before they are joined, so no node's pod list is ever collected.
+    Node and namespace figures are aggregated before they are joined, so no node's pod list is ever collected. The
+    inventory is read once: its summary, a row per node and namespace and per requested pod, is staged.
     """
-    placed = pod_nodes(requests, inventory)
-    counted = placed.join(node_counts(inventory), ["node", "namespace"], "left")
-    checked = counted.join(reschedule_check(inventory, minimum), ["namespace"], "left")
+    summary = staged(inventory_summary(requests, inventory), "inventory")
+    # a pod that is listed more than once has as many plans
+    listed = summary.filter("level = 0 and pod is not null").select(
+        "pod", "namespace", "node", F.explode(F.expr("sequence(1, total)")).alias("__copy")).drop("__copy")
+    placed = requests.select("pod", "namespace").distinct().join(listed, ["pod", "namespace"], "left")
+    nodes = summary.filter("level = 1").select("node", "namespace", "total", "evictable")
+    namespaces = summary.filter("level = 3").select("namespace", (F.col("ready") >= minimum).alias("rescheduled"))
+    checked = placed.join(nodes, ["node", "namespace"], "left").join(namespaces, ["namespace"], "left")
     total, evictable = F.coalesce("total", F.lit(0)), F.coalesce("evictable", F.lit(0))
     ready = F.coalesce("rescheduled", F.lit(False))
 
