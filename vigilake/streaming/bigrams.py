@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import heapq
 import json
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 OUTPUT = "pod string, start_ms long, bigram string, n long, rank int"
@@ -73,3 +75,8 @@ def _in_order(call) -> tuple:
     """Batch order: time, then event id with null first."""
     micros, event_id, syscall = call
     return micros, event_id is not None, event_id or "", syscall
+
+
+# Spark asks the processor for its state variables in a process beside the driver that doesn't get the shipped package,
+# so the processor travels with its code
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
