@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigilake.operators import forest
 from vigilake.operators.classes import balanced_weights, class_sizes, stratified_folds, stratified_split
 from vigilake.session import staged
 
@@ -31,35 +31,40 @@ def decode_labels(df: DataFrame, labels: Sequence[str], column: str = "predictio
 def build_pipeline(columns: Sequence[str], n_trees: int = 200, max_depth: int | None = None, seed: int = 42,
                    label: str = "label_index", weight: str | None = "weight") -> Pipeline:
     """Assembler, scaler and forest; class weights come in through the weight column."""
-    forest = RandomForestClassifier(
+    trees = RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=n_trees, maxDepth=max_depth or MAX_DEPTH,
         featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True, maxMemoryInMB=1024,
     )
     if weight:
-        forest = forest.setWeightCol(weight)
+        trees = trees.setWeightCol(weight)
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(columns), outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        forest,
+        trees,
     ])
 
 
-def fit_forest(train: DataFrame, columns: Sequence[str], label: str = "label", **options) -> tuple[PipelineModel, list[str]]:
-    """Fit on balanced weights; returns the model and its label names in code order.
+def fit_forest(train: DataFrame, columns: Sequence[str], label: str = "label", **options) -> tuple[forest.Forest, list[str]]:
+    """Fit on balanced weights; returns the model and its label names in code order. Unlabelled rows don't count.
 
-    Indexer, scaler and forest each pass over the rows, so callers hand in staged ones. Unlabelled rows don't count.
+    The training rows are written once to the shared folder. Settings and the stages in front of the forest are those of
+    ``build_pipeline``; the trees are a table (``operators.forest``), so they may outgrow the driver.
     """
     train = train.filter(F.col(label).isNotNull()).select(*columns, label)
-    encoded, indexer = encode_labels(balanced_weights(train, label), label)
-    wanted = encoded.select(*columns, "label_index", "weight")
-    return build_pipeline(columns, **options).fit(wanted), list(indexer.labels)
+    encoded, indexer = encode_labels(balanced_weights(staged(train, "labelled"), label), label)
+    wanted = staged(encoded.select(*columns, "label_index", "weight"), "weighted")
+    *before, settings = build_pipeline(columns, **options).getStages()
+    model = forest.fit(wanted, Pipeline(stages=before).fit(wanted), len(indexer.labels), settings.getNumTrees(), settings.getMaxDepth(),
+                       settings.getSeed())
+    return model, list(indexer.labels)
 
 
-def predict_threats(model: PipelineModel, df: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Add ``predicted_label``, ``probabilities`` (in label code order) and ``confidence`` (the largest)."""
-    scored = model.transform(df).withColumn("probabilities", vector_to_array("probability"))
-    decoded = decode_labels(scored, labels).withColumn("confidence", F.array_max("probabilities"))
-    return decoded.drop("raw_features", "features", "rawPrediction", "probability", "prediction")
+def predict_threats(model: forest.Forest, df: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Add ``probabilities`` (in label code order), ``predicted_label`` and ``confidence`` (the largest)."""
+    scored = model.probabilities(df, "probabilities")
+    best = (F.array_position("probabilities", F.array_max("probabilities")) - 1).cast("double")
+    decoded = decode_labels(scored.withColumn("prediction", best), labels).withColumn("confidence", F.array_max("probabilities"))
+    return decoded.drop("prediction")
 
 
 # --- metrics over (label, prediction) -----------------------------------------------------
@@ -119,9 +124,9 @@ def overall_metrics(report: DataFrame) -> DataFrame:
     )
 
 
-def top_features(model: PipelineModel, columns: Sequence[str], spark, k: int = 10) -> DataFrame:
+def top_features(model: forest.Forest, columns: Sequence[str], spark, k: int = 10) -> DataFrame:
     """The k most important features; ties in column order."""
-    importances = model.stages[-1].featureImportances.toArray()
+    importances = model.importances()
     rows = [(name, float(v), i) for i, (name, v) in enumerate(zip(columns, importances))]
     table = spark.createDataFrame(rows, "feature string, importance double, position int")
     return table.orderBy(F.desc("importance"), "position").limit(k).drop("position")

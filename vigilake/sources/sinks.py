@@ -8,6 +8,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilake.operators.forest import Forest
+
+FORM = "__form"   # tells the two kinds of model folders apart
+
 
 def write_events(events: DataFrame, path: str, form: str = "parquet", mode: str = "append") -> None:
     """Clean events partitioned by day, so that time filters prune whole folders.
@@ -46,15 +50,21 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).orderBy("ts")
 
 
-def save_model(model: PipelineModel, path: str, metadata: dict) -> None:
+def save_model(model: PipelineModel | Forest, path: str, metadata: dict) -> None:
     """Model folder plus a one-row metadata table next to it."""
-    model.write().overwrite().save(f"{path}/model")
+    if isinstance(model, Forest):
+        model.save(f"{path}/model")
+        metadata = metadata | {FORM: "forest"}
+    else:
+        model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.getActiveSession()
     spark.createDataFrame([(json.dumps(metadata),)], "value string").coalesce(1).write.mode("overwrite").text(
         f"{path}/metadata"
     )
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
+def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel | Forest, dict]:
     metadata = json.loads(spark.read.text(f"{path}/metadata").first()["value"])
+    if metadata.pop(FORM, None) == "forest":
+        return Forest.load(spark, f"{path}/model"), metadata
     return PipelineModel.load(f"{path}/model"), metadata
