@@ -350,6 +350,16 @@ def test_short_assigned_values_are_proposed_and_redacted_alone(spark):
     assert secret_scan.redact(docs, scanned).first().text == 'password: "[SECRET]" and pwd = abc; kQx-Zvs stays'
 
 
+def test_words_are_counted_before_they_are_joined(spark):
+    """A join of every occurrence with the wanted words grows with texts times findings; counts are joined once per word."""
+    docs = spark.createDataFrame([(i, "the key and the lock of the door") for i in range(50)] + [(50, "key once only")], "doc_id long, text string")
+    wanted = spark.createDataFrame([("the",), ("the",), ("once",), ("and",), ("absent",)], "word string")
+    words = secret_scan.dictionary(docs, wanted)
+    assert sorted(r.word for r in words.collect()) == ["and", "the"]
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("count(1)")
+
+
 def test_dictionary_counts_all_documents(spark):
     docs = spark.createDataFrame([(i, f"rarely{chr(97 + i % 26)} common deadbeef9") for i in range(78)], "doc_id bigint, text string")
     words = {r.word for r in secret_scan.dictionary(docs).collect()}

@@ -64,13 +64,13 @@ def findings(docs: DataFrame) -> DataFrame:
 def dictionary(docs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """(word): whole words of three letters or more that occur DICTIONARY_COUNT times in all documents together.
 
-    ``wanted`` (word): only these are counted; the others drop out before anything is grouped.
+    ``wanted`` (word): only these are returned. Words are counted before they meet ``wanted``: tasks add up their own
+    occurrences first, so what is shuffled and joined follows the number of different words, not of occurrences.
     """
     whole = r"(?<![\p{L}\p{N}_])\p{L}{3,}(?![\p{L}\p{N}_])"
     words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(whole), F.lit(0))).alias("word"))
-    if wanted is not None:
-        words = words.join(wanted, "word", "left_semi")
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= DICTIONARY_COUNT).select("word")
+    known = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= DICTIONARY_COUNT).select("word")
+    return known if wanted is None else known.join(wanted.distinct(), "word")
 
 
 def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """
     proposed = staged(findings(docs), "proposed")
     inside = _runs(proposed if labelled is None else proposed.select("finding").unionByName(labelled.select("finding")))
-    words = staged(dictionary(docs, inside.select("word").distinct()), "dictionary")
+    words = staged(dictionary(docs, inside.select("word")), "dictionary")
     found = staged(with_features(proposed, words), "findings")
     if labelled is None:
         marked = found.withColumn("label", rule_label())
