@@ -195,6 +195,45 @@ def test_kill_chain_state_of_vanished_pods_ends(spark, tmp_path):
     assert step(10, ("a", "T1609")) == ({"a": "2/9 stages"}, 2)
 
 
+def test_kill_chain_evidence_of_many_pods_shares_calls(monkeypatch):
+    """Pods of a bucket are updated in one call; each keeps its own evidence and its own end."""
+    import pandas as pd
+
+    class State:
+        exists, hasTimedOut, value, timeout, now = False, False, None, None, 0
+
+        get = property(lambda self: self.value)
+
+        def getCurrentWatermarkMs(self):
+            return self.now
+
+        def update(self, value):
+            self.exists, self.value = True, value
+
+        def remove(self):
+            self.exists, self.value = False, None
+
+        def setTimeoutTimestamp(self, at):
+            assert at > self.now
+            self.timeout = at
+
+    state, update = State(), K._gathered_evidence(1000)
+
+    def call(*rows):
+        batches = [pd.DataFrame([row], columns=["pod", "bit", "unknown", "millis"]) for row in rows]
+        return [tuple(r) for found in update((7,), iter(batches), state) for r in found.itertuples(index=False)]
+
+    assert call(("a", 1, 0, 100), ("b", 0, 1, 600), ("a", 4, 0, 50)) == [("a", 5, 0), ("b", 0, 1)] and state.timeout == 1100
+    state.now = 1200  # a's time is over, and b is heard of
+    assert call(("b", 2, 0, 1300)) == [("b", 2, 1)] and state.value[0] == ["b"] and state.timeout == 2300
+    state.now = 2200
+    assert call(("a", 8, 0, 2250)) == [("a", 8, 0)]  # a starts anew
+    state.now, state.hasTimedOut = 2301, True
+    assert call() == [] and state.value[0] == ["a"] and state.timeout == 3250
+    state.now = 3251
+    assert call() == [] and not state.exists
+
+
 LEDGER = "namespace string, pod string, action string, ts timestamp"
 
 

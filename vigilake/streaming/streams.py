@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import hashlib
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,7 +175,7 @@ def bigram_stream(events: DataFrame, window_seconds: int = kb.DEFAULT_WINDOW_SEC
 # --- kill chain and response --------------------------------------------------------------
 def kill_chain_stream(events: DataFrame, column: str = "mitre_technique", period: str | None = None,
                       delay: str = "10 minutes", keep: str = "7 days") -> DataFrame:
-    """Current assessment per pod (update mode): two masks and a count of state per pod and a join to the 512 fixed patterns.
+    """Current assessment per pod (update mode): a mask, a count and two times of state per pod and a join to the 512 fixed patterns.
 
     A pod's evidence is kept until the watermark is the time ``keep`` past the pod's last event; then its state ends, and a
     pod that comes back starts anew. Events without a ``timestamp`` column count from their arrival; events that the
@@ -197,28 +196,42 @@ def kill_chain_stream(events: DataFrame, column: str = "mitre_technique", period
                          F.when(index >= 0, F.call_function("shiftleft", F.lit(1), index)).otherwise(0).cast("int").alias("bit"),
                          (index < 0).cast("int").alias("unknown"))
     keep_ms = int(events.sparkSession.sql(f"select unix_millis(timestamp_millis(0) + interval {keep})").first()[0])
-    masks = bits.groupBy("pod").applyInPandasWithState(
-        _gathered_evidence(keep_ms), "pod string, seen_mask int, unknown_stages long", "seen_mask int, unknown_stages long, last long",
-        "update", "EventTimeTimeout")
+    masks = bits.withColumn("bucket", F.pmod(F.xxhash64("pod"), F.lit(EVIDENCE_BUCKETS))).groupBy("bucket").applyInPandasWithState(
+        _gathered_evidence(keep_ms), "pod string, seen_mask int, unknown_stages long", EVIDENCE, "update", "EventTimeTimeout")
     evidence = masks.withColumn("value_mask", F.col("seen_mask")).withColumn("observed_stages", threat.stages_of_mask(F.col("value_mask")))
     return threat.assess(evidence.select("pod", "seen_mask", "value_mask", "unknown_stages", "observed_stages"), by_pattern=patterns)
 
 
+EVIDENCE_BUCKETS = 4096   # pods share a call of the update function and a state value by the hash of their name
+EVIDENCE = "pods array<string>, masks array<int>, unknowns array<long>, lasts array<long>, dues array<long>"
+
+
 def _gathered_evidence(keep_ms: int):
-    """Update function of a pod's state: its stages so far as bits. A silent pod's state ends without a row."""
+    """Update function of a bucket's state: its pods' stages so far as bits. A silent pod's entry ends without a row."""
 
     def update(key, batches, state):
-        if state.hasTimedOut:
+        now = state.getCurrentWatermarkMs()
+        held = {pod: rest for pod, *rest in zip(*state.get)} if state.exists else {}
+        heard = {}
+        for rows in () if state.hasTimedOut else batches:
+            for pod, bit, unknown, millis in zip(*[rows[c].tolist() for c in ("pod", "bit", "unknown", "millis")]):
+                if pod not in heard:
+                    mask, earlier, last, _ = held.get(pod, (0, 0, 0, 0))
+                    heard[pod] = [mask, earlier, last, 0]
+                entry = heard[pod]
+                entry[0] |= bit
+                entry[1] += unknown
+                entry[2] = max(entry[2], millis)
+        for entry in heard.values():
+            entry[3] = max(entry[2] + keep_ms, now + 1)
+        left = {pod: entry for pod, entry in held.items() if entry[3] >= now} | heard
+        if left:
+            state.update((list(left), *map(list, zip(*left.values()))))
+            state.setTimeoutTimestamp(max(min(entry[3] for entry in left.values()), now + 1))
+        else:
             state.remove()
-            return
-        mask, unknown, last = state.get if state.exists else (0, 0, 0)
-        for rows in batches:
-            mask |= int(np.bitwise_or.reduce(rows["bit"].to_numpy()))
-            unknown += int(rows["unknown"].sum())
-            last = max(last, int(rows["millis"].max()))
-        state.update((mask, unknown, last))
-        state.setTimeoutTimestamp(max(last + keep_ms, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"pod": [key[0]], "seen_mask": [mask], "unknown_stages": [unknown]})
+        if heard:
+            yield pd.DataFrame({"pod": list(heard), "seen_mask": [e[0] for e in heard.values()], "unknown_stages": [e[1] for e in heard.values()]})
 
     return update
 
