@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilake.llm.texts import keep_rows, map_arrow, utf8
+from vigilake.llm.texts import held, keep_rows, map_arrow, utf8
 
 SAMPLE_DOCS = 300             # labelled documents per language at most that a dictionary is cut from
 DICTIONARY_BYTES = 64 * 1024  # dictionary per language at most; each document gives an equal share at most
@@ -86,6 +87,12 @@ class LanguageModel:
         return self.languages[order[0]], score, margin, margin < NARROW
 
 
+def language_model(dictionaries: dict[str, bytes]) -> LanguageModel:
+    """One per worker process: the compressors' tables are made once, not by every task."""
+    key = ("language", *((lang, zlib.crc32(content), len(content)) for lang, content in sorted(dictionaries.items())))
+    return held(key, lambda: LanguageModel(dictionaries))
+
+
 def _compressor(dictionary: bytes, level: int) -> zstandard.ZstdCompressor:
     content = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     content.precompute_compress(level=level)
@@ -103,7 +110,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)  # languages times DICTIONARY_BYTES
 
     def run(batches):
-        model = LanguageModel(shared.value)
+        model = language_model(shared.value)
         for batch in batches:
             rows = [model.classify(text.as_py().decode("utf-8", "replace")) for text in batch.column(1)]
             columns = [list(c) for c in zip(*rows)] if rows else [[], [], [], []]
@@ -119,8 +126,8 @@ def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFram
     """The documents whose language is told with a clear margin, all columns kept; every row is decided by its own text."""
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
-    def prepare(held):
-        model = LanguageModel(held.value)
+    def prepare(given):
+        model = language_model(given.value)
         return lambda text: not model.classify(text.decode("utf-8", "replace"))[3]
 
     return keep_rows(docs, prepare, shared)

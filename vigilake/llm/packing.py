@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import array
 import os
-import re
 import unicodedata
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from vigilake.functions.ordering import rank_in_order
-from vigilake.llm.texts import MEMO_ENTRIES, map_arrow, utf8
+from vigilake.llm.texts import MEMO_ENTRIES, held, map_arrow, utf8
 from vigilake.session import staged
 
 CAPACITY = 4096
@@ -40,7 +39,7 @@ class TokenIds:
     """
 
     _TOGETHER = 16
-    _ASCII_END = re.compile(r"[a-z0-9][,.]$")
+    _BEFORE_STOP = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -73,23 +72,29 @@ class TokenIds:
 
     def _learn(self, fresh: set[str]) -> None:
         # a comma or full stop after an ASCII letter or digit is a piece of its own, so such words share their stems' ids
-        stopped = [w for w in fresh if self._ASCII_END.search(w)]
-        for word in stopped:
-            fresh.discard(word)
+        stopped = [w for w in fresh if w[-1] in ",." and w[-2:-1] in self._BEFORE_STOP]
+        fresh.difference_update(stopped)
         fresh.update(w[:-1] for w in stopped if w[:-1] not in self.memo)
         fresh.update(c for c in ",." if c not in self.memo)
         # words of letters only end in one closing token each; a few at a time cost the library less than each alone
         plain = [w for w in fresh if w.isalpha() and (w.isascii() or w.lower().isalpha())] if self.closes.any() else []
         fresh.difference_update(plain)
         groups = [plain[at:at + self._TOGETHER] for at in range(0, len(plain), self._TOGETHER)]
-        for group, data in zip(groups, self._encode([" ".join(group) for group in groups])):
-            ends = 4 * (np.flatnonzero(self.closes[np.frombuffer(data, dtype=np.uint32)]) + 1)
-            if len(ends) != len(group) or ends[-1] != len(data):
+        data = self._encode([" ".join(group) for group in groups])
+        # the ends of all groups' tokens at once: where a group has as many as words, the last one at its end, each is a word's
+        whole = b"".join(data)
+        ends = 4 * (np.flatnonzero(self.closes[np.frombuffer(whole, dtype=np.uint32)]) + 1)
+        limits = np.cumsum([0, *map(len, data)])
+        places = np.searchsorted(ends, limits, side="right").tolist()
+        ends, limits = ends.tolist(), limits.tolist()
+        for i, group in enumerate(groups):
+            first, last = places[i], places[i + 1]
+            if last - first != len(group) or ends[last - 1] != limits[i + 1]:
                 fresh.update(group)
                 continue
-            start = 0
-            for word, end in zip(group, ends.tolist()):
-                self.memo[word] = data[start:end]
+            start = limits[i]
+            for word, end in zip(group, ends[first:last]):
+                self.memo[word] = whole[start:end]
                 start = end
         todo = list(fresh)
         self.memo.update(zip(todo, self._encode(todo)))
@@ -107,14 +112,9 @@ def _lowered(text: str) -> str:
     return lower if unicodedata.is_normalized("NFC", lower) else text
 
 
-_TOKENIZERS: dict[str, TokenIds] = {}
-
-
 def token_ids(path: str) -> TokenIds:
     """One per worker process, so that later tasks find the remembered words."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = TokenIds(path)
-    return _TOKENIZERS[path]
+    return held(("token ids", path), lambda: TokenIds(path))
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

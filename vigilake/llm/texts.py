@@ -13,6 +13,19 @@ from pyspark.sql import functions as F
 MEMO_ENTRIES = 250_000
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """What ``make`` returns, kept in the worker process for later tasks. Only the last thing asked for is kept: processes
+    outlive their stage, and what an earlier one remembered would stay in memory beside the next one's.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def words_of(data: bytes | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a UTF-8 text with A-Z lower-cased (bytes.split cuts at just these six bytes)."""
     return data.lower().split() if data else []
