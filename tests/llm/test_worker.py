@@ -23,3 +23,20 @@ def test_words_learned_together_have_the_library_s_ids():
     lines = [" ".join(rng.choice(words, size=40)) for _ in range(60)] + ["", " ", ".", ",.", "a.", "a..", "<|x|>. a,"]
     assert encoder.encode(lines) == encoder._encode(lines)
     assert encoder.encode(lines) == encoder._encode(lines)
+
+
+def test_a_task_hands_its_memory_back_when_it_ends(monkeypatch):
+    ends = []
+    monkeypatch.setattr(texts, "give_back", lambda: ends.append(1))
+    rows = texts.giving_back(iter([1, 2]))
+    assert next(rows) == 1 and not ends
+    assert list(rows) == [2] and len(ends) == 1
+
+
+def test_kept_rows_send_their_text_once(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, None), (None, "Ä\x00"), (1, "a")], "doc_id long, text string")
+    kept = texts.keep_rows(docs, lambda: lambda text: text in (b"", "Ä\x00".encode()))
+    assert sorted(kept.collect(), key=str) == sorted([(2, None), (None, "Ä\x00")], key=str)
+    assert "cast(text" not in kept._jdf.queryExecution().toString()
+    other = docs.selectExpr("doc_id", "cast(text as binary) as text")
+    assert sorted(texts.keep_rows(other, lambda: lambda text: text == b"a").toPandas()["doc_id"]) == [1, 1]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 MEMO_ENTRIES = 250_000
 
@@ -22,10 +24,25 @@ def held(key, make):
     """
     if key not in _HELD:
         _HELD.clear()
+        give_back()
         _HELD[key] = make()
     return _HELD[key]
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system; a worker process would keep it through its later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; memory is handed back where a task ends."""
+    yield from batches
+    give_back()
+
+
 def words_of(data: bytes | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a UTF-8 text with A-Z lower-cased (bytes.split cuts at just these six bytes)."""
     return data.lower().split() if data else []
@@ -83,25 +100,28 @@ def keep_rows(docs: DataFrame, prepare, *shared) -> DataFrame:
 
     ``prepare(*shared)`` makes the predicate on a text's bytes inside each task. Null texts are judged as empty ones.
     """
-    names = docs.columns
-    held = "text"
-    while held in names:  # any name that no column has
-        held = f"_{held}"
+    names, given, held = docs.columns, docs, "text"
+    # a text column serves as it is; of other types the text goes along in a column of its own
+    if names.count(held) != 1 or not isinstance(docs.schema[held].dataType, StringType):
+        while held in names:  # any name that no column has
+            held = f"_{held}"
+        given = docs.withColumn(held, utf8())
+    at = given.columns.index(held)
 
     def run(batches):
         passes = prepare(*shared)
         for batch in cut(batches):
-            kept = pa.array([passes(text.as_py()) for text in batch.column(len(names))], pa.bool_())
+            kept = pa.array([passes(text.as_py() or b"") for text in batch.column(at).cast(pa.large_binary())], pa.bool_())
             yield batch.select(list(range(len(names)))).filter(kept)
 
-    return docs.withColumn(held, utf8()).mapInArrow(run, docs.schema)
+    return given.mapInArrow(lambda batches: giving_back(run(batches)), docs.schema)
 
 
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` over batches of few rows, so that very long texts don't meet in one batch of ten thousand."""
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return function(cut(batches))
+        return giving_back(function(cut(batches)))
 
     return df.mapInArrow(small, schema)
 
