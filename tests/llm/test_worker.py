@@ -25,6 +25,16 @@ def test_words_learned_together_have_the_library_s_ids():
     assert encoder.encode(lines) == encoder._encode(lines)
 
 
+def test_words_that_come_again_stay_where_memory_ends(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_ENTRIES", 30)
+    encoder = packing.TokenIds(public_tokenizers.path("word_bpe_49k.json"))
+    lines = ["common alpha beta", "common common, gamma&&& a|b", " ".join(f"w{i}x" for i in range(25)), "common gamma&&& 'll| |"]
+    for line in lines:
+        assert encoder.encode([line]) == encoder._encode([line])
+        assert "common" in encoder.memo
+    assert "alpha" not in encoder.memo
+
+
 def test_a_task_hands_its_memory_back_when_it_ends(monkeypatch):
     ends = []
     monkeypatch.setattr(texts, "give_back", lambda: ends.append(1))

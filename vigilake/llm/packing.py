@@ -35,10 +35,13 @@ class TokenIds:
     """Ids of whole texts by the tokenizers library, as little-endian unsigned 32-bit bytes.
 
     Nothing the tokenizer does reaches over a blank or a line end, so a text's ids are those of its words in turn. Each
-    word is given to the library once and remembered. A text with a special token's marker goes to the library whole.
+    word is given to the library once and remembered; where memory ends, words that came in one call only go first. A text
+    with a special token's marker goes to the library whole.
     """
 
-    _TOGETHER = 16
+    _TOGETHER = 64
+    _APART = "|"
+    _STOPS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # all of ASCII that is no letter, digit or blank, but the apostrophe of 's and 'll
     _BEFORE_STOP = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
 
     def __init__(self, path: str):
@@ -49,6 +52,8 @@ class TokenIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.memo: dict[str, bytes] = {"": b""}
+        self.again: set[str] = set()  # words that a later call asked for, too
+        self.apart = np.frombuffer(self._encode([self._APART])[0], dtype=np.uint32)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -59,23 +64,31 @@ class TokenIds:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
         split = [None if "<|" in text else _lowered(text).replace("\n", " ").split(" ") for text in texts]
-        fresh: set[str] = set()
+        wanted: set[str] = {""}
         for words in split:
             if words is not None:
-                fresh.update(words)
+                wanted.update(words)
+        fresh = {word for word in wanted if word not in self.memo}
+        wanted -= fresh
+        self.again |= wanted
         if len(self.memo) + len(fresh) > MEMO_ENTRIES:
-            self.memo = {"": b""}
-        fresh.difference_update(self.memo)
+            kept = self.again if len(self.again) + len(fresh) <= MEMO_ENTRIES else wanted
+            self.memo = {word: self.memo[word] for word in kept}
+            self.again = wanted
         self._learn(fresh)
         get = self.memo.__getitem__
         return [self._encode([text])[0] if words is None else b"".join(map(get, words)) for text, words in zip(texts, split)]
 
     def _learn(self, fresh: set[str]) -> None:
-        # a comma or full stop after an ASCII letter or digit is a piece of its own, so such words share their stems' ids
-        stopped = [w for w in fresh if w[-1] in ",." and w[-2:-1] in self._BEFORE_STOP]
-        fresh.difference_update(stopped)
-        fresh.update(w[:-1] for w in stopped if w[:-1] not in self.memo)
-        fresh.update(c for c in ",." if c not in self.memo)
+        # marks after an ASCII letter or digit are a piece of their own, so such words share their stems' ids
+        stopped = []
+        for word in fresh:
+            if word[-1] in self._STOPS:
+                stem = word.rstrip(self._STOPS)
+                if stem[-1:] in self._BEFORE_STOP:
+                    stopped.append((word, stem, word[len(stem):]))
+        fresh.difference_update([word for word, _, _ in stopped])
+        fresh.update(part for _, *parts in stopped for part in parts if part not in self.memo)
         # words of letters only end in one closing token each; a few at a time cost the library less than each alone
         plain = [w for w in fresh if w.isalpha() and (w.isascii() or w.lower().isalpha())] if self.closes.any() else []
         fresh.difference_update(plain)
@@ -96,10 +109,23 @@ class TokenIds:
             for word, end in zip(group, ends[first:last]):
                 self.memo[word] = whole[start:end]
                 start = end
+        # the other words are told apart by the token of one that none of them holds
+        parted = [w for w in fresh if self._APART not in w] if len(self.apart) == 1 else []
+        fresh.difference_update(parted)
+        groups = [parted[at:at + self._TOGETHER] for at in range(0, len(parted), self._TOGETHER)]
+        for group, ids in zip(groups, self._encode([f" {self._APART} ".join(group) for group in groups])):
+            ends = np.flatnonzero(np.frombuffer(ids, dtype=np.uint32) == self.apart[0]).tolist()
+            if len(ends) != len(group) - 1:
+                fresh.update(group)
+                continue
+            start = 0
+            for word, end in zip(group, [*ends, len(ids) // 4]):
+                self.memo[word] = ids[4 * start:4 * end]
+                start = end + 1
         todo = list(fresh)
         self.memo.update(zip(todo, self._encode(todo)))
-        for word in stopped:
-            self.memo[word] = self.memo[word[:-1]] + self.memo[word[-1]]
+        for word, stem, marks in stopped:
+            self.memo[word] = self.memo[stem] + self.memo[marks]
 
 
 def _lowered(text: str) -> str:
