@@ -311,6 +311,29 @@ def test_probabilities_sum_to_one():
         assert math.isclose(sum(probability(history, w) for w in [*words, b"unseen"]), 1.0, rel_tol=1e-9)
 
 
+def test_automaton_is_built_and_walked_with_few_searches(monkeypatch):
+    """Places are numbered by the sort of their n-grams; only states of several arcs are searched for the word's one."""
+    from vigilake.llm.texts import WordHashes
+
+    texts = [" ".join(f"w{(i * j * 7 + j) % 5000}" for j in range(200)) for i in range(40)] + [""]
+    grams = ngram_lm.grams_of([t.encode() for t in texts], WordHashes(), 3, 60)
+    counts = []
+    for n in (1, 2, 3):
+        keys, number = grams.numbered(n)
+        at = grams.inside(n)
+        assert (keys == np.unique(grams.levels[n - 1][at])).all() and (keys[number[at]] == grams.levels[n - 1][at]).all()
+        counts.append(ngram_lm._flagged(grams.levels[n - 1][at], np.ones(len(at), dtype=bool)))
+    assert (counts[0][0][grams.numbered(1)[1]] == grams.levels[0]).all()
+    looked, plain = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *rest, **more: looked.append(np.size(v)) or plain(a, v, *rest, **more))
+    machine = ngram_lm.Automaton(grams, counts, int(counts[0][1].sum()), len(counts[0][0]))
+    assert sum(looked) == 0
+    sizes = np.diff(np.r_[grams.starts, len(grams.place)])
+    score, *_ = brute_force_lm(texts)
+    assert np.allclose(machine.walk(grams.starts, sizes, 3), [score(t) for t in texts], rtol=1e-9)
+    assert sum(looked) < len(grams.place)
+
+
 @pytest.mark.parametrize("segment", [1, 2, 7, 512])
 def test_walk_takes_arcs_and_failure_arcs(segment):
     """The automaton of one block, step by step: states are histories, segments start in the state before them."""

@@ -77,6 +77,19 @@ class Grams:
         """Places at which an n-gram ends that lies within one text; the end in front of a text is no token."""
         return np.flatnonzero(self.place >= max(1, n - 1))
 
+    def numbered(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct n-grams, and for each place the number among them of the one that ends there (0: none does)."""
+        # every text ends with the word that stands in front of it, so places of all words add none
+        at = self.inside(n) if n > 1 else np.arange(len(self.place))
+        keys = self.levels[n - 1][at]
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.ones(len(keys), dtype=bool)
+        first[1:] = keys[1:] != keys[:-1]
+        number = np.zeros(len(self.place), dtype=np.int32)
+        number[at[order]] = np.cumsum(first, dtype=np.int32) - 1
+        return keys[first], number
+
 
 def grams_of(texts: list[bytes], hashes: WordHashes, order: int, width: int) -> Grams:
     end = hashes[END]
@@ -129,10 +142,11 @@ class Automaton:
     the block's m-grams. Arcs are sorted by (state, word).
     """
 
-    def __init__(self, grams: Grams, counts: list[tuple[np.ndarray, np.ndarray]], tokens: int, words: int, prior: float = PRIOR):
-        """``counts[n - 1]``: (sorted distinct keys, counts in the training texts) of the block's n-grams."""
+    def __init__(self, grams: Grams, counts: list[tuple[np.ndarray, np.ndarray]], tokens: int, words: int, prior: float = PRIOR,
+                 numbers: list[np.ndarray] | None = None):
+        """``counts[n - 1]``: (sorted distinct keys, counts in the training texts) of the block's n-grams; ``numbers``: theirs by ``Grams.numbered``."""
         order = len(counts)
-        number = [np.searchsorted(keys, level) for (keys, _), level in zip(counts, grams.levels)]  # n-gram at each place
+        number = numbers or [grams.numbered(n)[1] for n in range(1, order + 1)]  # n-gram at each place
         self.symbols = number[0]
         base = (counts[0][1] + ADD) / (tokens + ADD * (words + 1))
         self.known = counts[0][1] > 0
@@ -172,6 +186,9 @@ class Automaton:
             self.keys, self.targets, self.logs = keys[order_], np.concatenate(targets)[order_], np.concatenate(logs)[order_]
         else:
             self.keys, self.targets, self.logs = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        # place of the first arc of each state; most have none or one
+        self.low = np.zeros(len(totals) + 1, dtype=np.int64)
+        np.cumsum(np.bincount(self.keys // self.width, minlength=len(totals)) if self.width else 0, out=self.low[1:])
 
     def read(self, states: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(next states, log10 probabilities): every lane takes the arc of its symbol, after as many failure arcs as it needs."""
@@ -188,7 +205,11 @@ class Automaton:
             if not len(waiting):
                 break
             key = state * self.width + symbol
-            at = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+            at = self.low[state]
+            many = np.flatnonzero(self.low[state + 1] - at > 1)
+            many = many[np.argsort(key[many])]  # neighbours are looked for together
+            at[many] = np.searchsorted(self.keys, key[many])
+            at = np.minimum(at, max(0, len(self.keys) - 1))
             found = self.keys[at] == key if len(self.keys) else np.zeros(len(key), dtype=bool)
             done = waiting[found]
             logs[done] += self.logs[at[found]]
@@ -301,12 +322,13 @@ def score(docs: DataFrame, training: Column, order: int = ORDER) -> DataFrame:
             given: dict[int, list] = {n: [] for n in range(1, order + 1)}
             for reply in sorted(replies.select(["n", "bucket", "counts"]).to_pylist(), key=lambda r: (r["n"], r["bucket"])):
                 given[reply["n"]].append(_grown(reply["counts"]))
-            counts = []
+            counts, numbers = [], []
             for n in range(1, order + 1):
-                keys = np.sort(grams.levels[n - 1][grams.inside(n)])
-                keys = keys[np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])] if len(keys) else keys
-                counts.append((keys, np.concatenate(given[n]) if given[n] else np.empty(0, dtype=np.int64)))
-            machine = Automaton(grams, counts, tokens, words)
+                keys, number = grams.numbered(n)
+                numbers.append(number)
+                counts.append((keys, np.concatenate(given.pop(n)) if given[n] else np.empty(0, dtype=np.int64)))
+            grams.levels.clear()  # keys are needed no more
+            machine = Automaton(grams, counts, tokens, words, numbers=numbers)
             inside = grams.place > 0
             sums = [np.add.reduceat(v, grams.starts) for v in (
                 inside.astype(np.int64), (inside & machine.known[machine.symbols]).astype(np.int64), np.where(inside, machine.base[machine.symbols], 0.0))]
