@@ -83,3 +83,22 @@ def test_draws_have_the_shares_of_the_poisson_distribution():
     drawn = np.concatenate([T.poisson(np.arange(20_000), tree, 42) for tree in range(3)])
     assert abs(drawn.mean() - 1) < 0.02 and abs((drawn == 0).mean() - np.exp(-1)) < 0.01
     assert abs(np.corrcoef(drawn[:20_000], drawn[20_000:40_000])[0, 1]) < 0.03
+
+
+def test_splits_without_empty_bins_are_those_of_whole_histograms(monkeypatch):
+    """Many small nodes: the same splits to the last bit, from cells that follow the rows and not the number of bins."""
+    rng = np.random.default_rng(11)
+    sizes = np.r_[np.ones(5, dtype=int), rng.integers(2, 6, 300), rng.integers(6, 90, 40)]
+    node = rng.permutation(np.repeat(np.arange(len(sizes)), sizes))
+    x, y = rng.integers(0, 32, (len(node), 9)).astype(np.uint8), rng.integers(0, 7, len(node))
+    x[node % 10 == 3] = 4  # nodes whose rows are all alike
+    w = rng.choice([0.3, 1.7], 7)[y] * rng.integers(1, 4, len(node))
+    candidates = np.argsort(rng.random((len(sizes), 9)), axis=1)[:, :3]
+    feature, at, gain = T.best_splits(T.histograms(x, y, w, node, candidates, 7), candidates)
+    cells, plain = [], T.best_splits
+    monkeypatch.setattr(T, "best_splits", lambda counts, chosen: cells.append(counts.size) or plain(counts, chosen))
+    found = T.splits_of(x, y, w, node, candidates, 7)
+    good = gain > 0
+    assert good.sum() > 200 and not good[:5].any() and (found[2][~good] == 0).all()
+    assert all((a[good] == b[good]).all() for a, b in zip(found, (feature, at, gain)))
+    assert sum(cells) <= 2 * np.minimum(sizes, 32).sum() * 3 * 7

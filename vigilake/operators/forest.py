@@ -232,9 +232,42 @@ def best_splits(counts: np.ndarray, candidates: np.ndarray) -> tuple[np.ndarray,
     flat = score.reshape(len(score), -1)
     best = flat.argmax(axis=1)
     gain = flat[np.arange(len(flat)), best] - base
-    feature = candidates[np.arange(len(flat)), best // (BINS - 1)]
+    feature = candidates[np.arange(len(flat)), best // score.shape[2]]
     gain[gain <= LEAST_GAIN * np.maximum(whole, 1e-300)] = 0
-    return feature, best % (BINS - 1), gain
+    return feature, best % score.shape[2], gain
+
+
+def splits_of(x: np.ndarray, y: np.ndarray, w: np.ndarray, node: np.ndarray, candidates: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``best_splits`` of the nodes' histograms without their empty bins: a node of five rows has five bins a feature at most."""
+    n, m = candidates.shape
+    column = np.arange(m)
+    bins = x.ravel().take(candidates[node] + (np.arange(len(x)) * x.shape[1])[:, None])
+    key = ((node * m)[:, None] + column) * BINS + bins
+    held = np.zeros(n * m * BINS, dtype=bool)
+    held[key.ravel()] = True
+    number = np.cumsum(held.reshape(n, m, BINS), axis=2, dtype=np.int8) - np.int8(1)
+    rank = number.ravel().take(key)
+    size = number[:, :, -1].max(axis=1) + 1
+    feature, at, gain = candidates[:, 0].copy(), np.zeros(n, dtype=np.int64), np.zeros(n)
+    narrow = 1
+    for width in (2, 4, 8, 16, BINS):  # nodes of like size together; a node of one bin has no split
+        some, narrow = np.flatnonzero((size > narrow) & (size <= width)), width
+        if not len(some):
+            continue
+        place = np.full(n, -1, dtype=np.int64)
+        place[some] = np.arange(len(some)) * m
+        where = place[node]
+        rows = np.flatnonzero(where >= 0)
+        cell = where[rows, None] + column
+        cell *= width
+        cell += rank[rows]
+        cell *= classes
+        cell += y[rows, None]
+        counts = np.bincount(cell.ravel(), np.repeat(w[rows], m), len(some) * m * width * classes).reshape(len(some), m, width, classes)
+        chosen, order, gain[some] = best_splits(counts, np.broadcast_to(column, (len(some), m)))
+        at[some] = (number[some, chosen] == order[:, None]).argmax(axis=1)  # the first bin of that number is the one that holds rows
+        feature[some] = candidates[some, chosen]
+    return feature, at, gain
 
 
 def _subsets(rng: np.random.Generator, nodes: int, width: int, subset: int) -> np.ndarray:
@@ -262,7 +295,7 @@ def grow_part(x: np.ndarray, y: np.ndarray, w: np.ndarray, classes: int, subset:
             where = place[node[rows] - some[0]]
             rows, where = rows[where >= 0], where[where >= 0]
             candidates = _subsets(rng, len(some), width, subset)
-            f, b, gain = best_splits(histograms(x[rows], y[rows], w[rows], where, candidates, classes), candidates)
+            f, b, gain = splits_of(x[rows], y[rows], w[rows], where, candidates, classes)
             good = gain > 0
             feature[some[good]], at[some[good]] = f[good], b[good]
             np.add.at(gains, f[good], gain[good])
