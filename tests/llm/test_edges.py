@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from vigilake.llm import (
     token_count,
     warc,
 )
+from vigilake.session import shared_dir
 
 LONG = " ".join(f"word{i}" for i in range(60_000))
 PROSE = "the quick brown fox jumps over the lazy dog and runs away from the hungry wolf in the dark"
@@ -242,3 +245,22 @@ def test_one_document_of_each_group_stays(spark, tmp_path):
     assert sum(t.startswith(long) for t in texts_of) == 1
     assert sorted(str(r.doc_id) for r in kept if r.doc_id in (5, 6)) == ["5", "6"]
     assert sum(r.text is None for r in kept) == 1
+
+
+def test_near_duplicates_read_few_texts_again_and_keep_no_heads(spark):
+    rows = [(i if i else -7, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(2000)] + [(None, "no id at all")]
+    docs = spark.createDataFrame([*rows, (5000, f"{rows[9][1]} more")], "doc_id bigint, text string")
+    ids = spark.createDataFrame([(-7,), (9,), (5000,), (123456789,)], "doc_id bigint")
+    marked = jaccard._marked(docs, ids)
+    found = [r["doc_id"] for r in marked.collect()]
+    assert marked.columns == docs.columns and {-7, 9, 5000} <= set(found) and len(found) <= 5
+    # all documents may be asked for, and none
+    assert jaccard._marked(docs, docs.select("doc_id")).count() == docs.count() and jaccard._marked(docs, ids.limit(0)).count() == 0
+
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    linked = jaccard.near_duplicates(docs)
+    left = {path for path in folder.iterdir() if path not in before}
+    assert left and not [path for path in left if "head" in spark.read.parquet(str(path)).columns]
+    together = {r["doc_id"]: r["component_id"] for r in linked.collect()}
+    assert together == {r["doc_id"]: r["doc_id"] for r in docs.collect()} | {5000: 9}

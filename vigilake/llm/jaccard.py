@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from vigilake.llm.components import min_labels
 from vigilake.llm.texts import WordHashes, long_lists, map_arrow, shingles, utf8, words_of
-from vigilake.session import settled, staged
+from vigilake.session import release, settled, staged, staging_path
 
 COMMON_AMONG = 2048        # documents, or shingles, that are counted together to find common shingles
 COMMON_TERMS = 2_000_000
@@ -28,6 +28,7 @@ COMMON_SEEN = 12           # a shingle is common if so many of them have it; aff
 COMMON_MOST = 131_072      # as many common shingles at most, the most frequent ones: bounds what workers hold
 HUB_ROUNDS = 3
 PAIRS_PER_ENTRY = 64       # remaining pairs are enumerated once there are at most so many per posting
+MARKS = 1 << 24            # bits that tell documents whose texts are read again from most others; bounds what is broadcast
 SET_KEYS = ["n_shingles", "low", "high"]
 
 
@@ -167,14 +168,28 @@ def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
             .filter(F.col("c") + rest >= bound).select("x", "y", "nx", "ny"))
 
 
+def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id may be among ``ids``: all that are, and few others.
+
+    Each id sets one of MARKS bits. They are broadcast, at most one row per 64 of them, so the texts of most other
+    documents stay out of the join that decides.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).alias("place")
+    word, bit = F.shiftright("place", 6).cast("int"), F.expr("shiftleft(1L, cast(place & 63 as int))")
+    marks = ids.select(place).groupBy(word.alias("word")).agg(F.bit_or(bit).alias("marks"))
+    return (docs.withColumn("place", place).withColumn("word", word).join(F.broadcast(marks), "word")
+            .filter(F.col("marks").bitwiseAND(bit) != 0).select(*docs.columns))
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs of sets whose full sets reach the threshold, as (x, y); ``sets``: a document (rep) that has the set."""
     pairs = staged(pairs, "pairs")
     ids = pairs.select(F.col("x").alias("set_id")).union(pairs.select(F.col("y").alias("set_id"))).distinct()
-    asked = sets.join(ids.withColumnRenamed("set_id", "number"), "number", "left_semi")
+    asked = staged(sets.join(ids.withColumnRenamed("set_id", "number"), "number", "left_semi"), "asked")
     reps = asked.select(F.col("rep").alias("doc_id")).distinct()
     # an id may stand on several texts: rows are told apart by their sets
-    read = _full_sets(docs.join(reps, "doc_id", "left_semi"), size).dropDuplicates(["set_id"])
+    texts = _marked(docs, reps).join(reps, "doc_id", "left_semi")
+    read = _full_sets(texts, size).dropDuplicates(["set_id"])
     full = staged(read.join(asked.select("set_id", "number"), "set_id").select(F.col("number").alias("set_id"), "columns"), "sets")
     # the rarer side first: the hub's set repeats for many partners, adaptive execution splits its partition
     both = (pairs.join(full.select(F.col("set_id").alias("x"), F.col("columns").alias("cx")), "x")
@@ -203,17 +218,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     named = docs.filter(F.col("doc_id").isNotNull())
     common = common_shingles(named, size)
-    rows = staged(_shingle_rows(docs, size, percent, common).withColumn("set_id", _set_id()), "rows")
+    # head blocks serve the postings only; they are deleted once those are written
+    matrix = staging_path(spark, "matrix")
+    built = _shingle_rows(docs, size, percent, common).withColumn("set_id", _set_id())
+    built.write.parquet(matrix)
+    built = spark.read.schema(built.schema).parquet(matrix)
+    rows = staged(built.select("doc_id", "n_shingles", "set_id"), "rows")
     # equal sets are one row of the matrix, known by its fingerprints; the first document that has it stands for its text
     full = rows.filter("n_shingles > 0 and doc_id is not null")
-    first = full.groupBy("set_id").agg(F.min(F.struct("doc_id", "n_shingles", "rare", "head")).alias("first")).select(
-        "set_id", F.col("first.doc_id").alias("rep"), "first.n_shingles", "first.rare", "first.head")
+    first = full.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
     # it is numbered by that document, so that the first of many near copies is a hub; by itself where the document has more sets
-    several = (full.groupBy("set_id").agg(F.min("doc_id").alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
-               .filter("own > 1").select("rep", F.lit(True).alias("several")))
-    chosen = staged(first.join(several, "rep", "left").withColumn("number", F.when(F.col("several"), F.col("set_id")).otherwise(F.col("rep"))).drop("several"), "chosen")
-    sets = chosen.select("set_id", "rep", "number")
-    postings = settled(spark, "postings", lambda: _postings(chosen.select(F.col("number").alias("doc_id"), "n_shingles", "rare", "head"), common))
+    several = first.groupBy("rep").agg(F.count(F.lit(1)).alias("own")).filter("own > 1").select("rep", F.lit(True).alias("several"))
+    number = F.when(F.col("several"), F.col("set_id")).otherwise(F.col("rep"))
+    sets = staged(first.join(several, "rep", "left").select("set_id", "rep", number.alias("number")), "numbers")
+
+    def head_postings() -> DataFrame:
+        heads = built.filter("n_shingles > 0 and doc_id is not null").groupBy("set_id").agg(
+            F.min(F.struct("doc_id", "n_shingles", "rare", "head")).alias("first"))
+        chosen = staged(heads.join(sets, "set_id").select(F.col("number").alias("doc_id"), "first.n_shingles", "first.rare", "first.head"), "chosen")
+        return _postings(chosen, common)
+
+    postings = settled(spark, "postings", head_postings)
+    release(spark, [matrix])
 
     def round_of(turn: int, state: DataFrame, done: DataFrame | None) -> DataFrame:
         """Links after every row of a column was paired with the column's hub."""
