@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -102,3 +104,16 @@ def test_splits_without_empty_bins_are_those_of_whole_histograms(monkeypatch):
     assert good.sum() > 200 and not good[:5].any() and (found[2][~good] == 0).all()
     assert all((a[good] == b[good]).all() for a, b in zip(found, (feature, at, gain)))
     assert sum(cells) <= 2 * np.minimum(sizes, 32).sum() * 3 * 7
+
+
+def test_fits_of_folds_run_side_by_side(spark, rings, monkeypatch):
+    df, columns = rings
+    meeting, fit_one = threading.Barrier(2), G.fit_forest
+
+    def fit(*args, **options):
+        meeting.wait(60)  # breaks where a fit begins only after the one before has ended
+        return fit_one(*args, **options)
+
+    monkeypatch.setattr(G, "fit_forest", fit)
+    scores = G.cross_validate(df, columns, folds=2, n_trees=10).orderBy("fold").collect()
+    assert [r["fold"] for r in scores] == [0, 1] and all(0.7 < r["f1_macro"] <= 1 and 0.7 < r["accuracy"] <= 1 for r in scores)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilake.operators import forest
@@ -16,6 +19,8 @@ from vigilake.session import staged
 
 # MLlib's deepest tree; it stands for "unlimited"
 MAX_DEPTH = 30
+# fits of folds that run at the same time: most jobs of one are short and leave cores idle
+FITS_AT_ONCE = 2
 
 
 def encode_labels(df: DataFrame, label: str = "label", out: str = "label_index"):
@@ -51,8 +56,8 @@ def fit_forest(train: DataFrame, columns: Sequence[str], label: str = "label", *
     ``build_pipeline``; the trees are a table (``operators.forest``), so they may outgrow the driver.
     """
     train = train.filter(F.col(label).isNotNull()).select(*columns, label)
-    encoded, indexer = encode_labels(balanced_weights(staged(train, "labelled"), label), label)
-    wanted = staged(encoded.select(*columns, "label_index", "weight"), "weighted")
+    encoded, indexer = encode_labels(staged(train, "labelled"), label)
+    wanted = staged(balanced_weights(encoded, label).select(*columns, "label_index", "weight"), "weighted")
     *before, settings = build_pipeline(columns, **options).getStages()
     model = forest.fit(wanted, Pipeline(stages=before).fit(wanted), len(indexer.labels), settings.getNumTrees(), settings.getMaxDepth(),
                        settings.getSeed())
@@ -142,14 +147,20 @@ def cross_validate(df: DataFrame, columns: Sequence[str], label: str = "label",
 def fold_scores(assigned: DataFrame, columns: Sequence[str], label: str = "label", folds: int = 5, seed: int = 42,
                 **options) -> DataFrame:
     """Scores of rows whose ``fold`` is known; every fit filters the one staged table."""
-    result = None
-    for fold in range(folds):
+
+    def score(fold: int) -> DataFrame:
         model, labels = fit_forest(assigned.filter(F.col("fold") != fold), columns, label, seed=seed, **options)
         held_out = predict_threats(model, assigned.filter(F.col("fold") == fold), labels)
         metrics = overall_metrics(class_report(held_out, label, "predicted_label"))
-        row = metrics.select(F.lit(fold).alias("fold"), "f1_macro", "accuracy")
-        result = row if result is None else result.unionByName(row)
-    return result
+        return staged(metrics.select(F.lit(fold).alias("fold"), "f1_macro", "accuracy"), "score")
+
+    return reduce(DataFrame.unionByName, at_once(assigned.sparkSession, score, range(folds)))
+
+
+def at_once(spark: SparkSession, work: Callable, items: Iterable, most: int = FITS_AT_ONCE) -> list:
+    """``work`` of every item, in order; the jobs of up to ``most`` items run side by side."""
+    with ThreadPool(most) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items, chunksize=1)
 
 
 def cross_validation_summary(scores: DataFrame) -> DataFrame:
@@ -166,16 +177,21 @@ def train_and_evaluate(df: DataFrame, columns: Sequence[str], label: str = "labe
     # one copy of the training rows serves the split, every fold and the main fit
     assigned = stratified_folds(df.select(row_id, label, *columns), label, row_id, folds, seed)
     split = staged(stratified_split(assigned, label, row_id, test_fraction, seed), "training")
-    df = split
-    model, labels = fit_forest(split.filter(~F.col("is_test")), columns, label, seed=seed, **options)
-    predicted = predict_threats(model, split.filter("is_test"), labels)
+
+    def main_fit() -> tuple:
+        model, labels = fit_forest(split.filter(~F.col("is_test")), columns, label, seed=seed, **options)
+        return model, labels, predict_threats(model, split.filter("is_test"), labels), top_features(model, columns, df.sparkSession)
+
+    def fold_fits() -> DataFrame:
+        return staged(fold_scores(split, columns, label, folds, seed, **options), "scores")
+
+    (model, labels, predicted, top), scores = at_once(df.sparkSession, lambda fits: fits(), [main_fit, fold_fits])
     report = class_report(predicted, label, "predicted_label")
-    scores = staged(fold_scores(df, columns, label, folds, seed, **options), "scores")
     return {
         "model": model, "labels": labels, "predictions": predicted,
         "confusion_matrix": confusion_matrix(predicted, label, "predicted_label"),
         "report": report, "metrics": overall_metrics(report),
         "cv_scores": scores, "cv_summary": cross_validation_summary(scores),
-        "top_features": top_features(model, columns, df.sparkSession),
-        "class_sizes": class_sizes(df, label),
+        "top_features": top,
+        "class_sizes": class_sizes(split, label),
     }

@@ -114,7 +114,8 @@ class Forest:
         tasks = _tasks(self.trees, together, self.top) * slices
         shares = placed.repartition(tasks, *key).groupBy(*key).cogroup(parts.repartition(tasks, *key).groupBy(*key)).applyInArrow(
             walk, "rid bigint, code int, share bigint")
-        summed = shares.groupBy("rid", "code").agg(F.sum("share").alias("share"))
+        # a row's shares meet once: both groupings and the join use this partitioning
+        summed = shares.repartition("rid").groupBy("rid", "code").agg(F.sum("share").alias("share"))
         voted = summed.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("code", "share"))).alias("votes"), F.sum("share").alias("all"))
         each = F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda c: F.coalesce(F.col("votes")[c], F.lit(0)) / F.col("all"))
         return df.join(voted.select(F.col("rid").alias("__rid"), each.alias(out)), "__rid").select(*columns, out)
