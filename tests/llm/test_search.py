@@ -10,7 +10,7 @@ import pytest
 from oracle import differences
 from pyspark.sql import functions as F
 
-from vigilake.llm import graph_search, hard_negatives, queries, ranked_search
+from vigilake.llm import exact_search, graph_search, hard_negatives, queries, ranked_search
 from vigilake.llm import vector_blocks as vb
 
 VECTORS = "vec_id bigint, embedding array<double>, label int"
@@ -27,6 +27,25 @@ def vector_table(rows):
     return con
 
 
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+# --- 9 ------------------------------------------------------------------------------------
+def test_search_broadcasts_no_copies_of_queries(spark, monkeypatch):
+    """Few queries against many blocks: small for Spark, but their copies are as many as the blocks."""
+    rng = np.random.default_rng(15)
+    vectors = rng.normal(size=(3000, 8)).round(2)
+    monkeypatch.setattr(exact_search.vb, "BLOCK_BYTES", 4000)
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], VECTORS)
+    found = exact_search.top_k(table, F.col("vec_id") % 50 == 0, 5)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in found.collect()}
+    assert "SortMergeJoin" in plan_of(found) and "Broadcast" not in plan_of(found)
+    whole = np.floor(vectors * 256)
+    want = {(q, rank): (i, whole[i] @ whole[q]) for q in range(0, 3000, 50) for rank, i in enumerate(brute(whole, np.arange(3000), q, 5), 1)}
+    assert got == want
+
+
 # --- 11 -----------------------------------------------------------------------------------
 def brute(vectors, ids, asked, k):
     scores = vectors @ vectors[asked]

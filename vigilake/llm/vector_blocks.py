@@ -3,7 +3,7 @@
 A block is one row of a table: the ids, labels and components of some thousand vectors as flat arrays. Rows are dealt to
 blocks by a hash, so repeated ids and hot labels spread; the number of blocks follows from the number of rows. Queries
 are packed the same way into smaller blocks, copied once per block of rows and joined on its number. Nothing passes
-through the driver but counts.
+through the driver but counts: both sides of that join are shuffled, whatever size Spark expects of them.
 """
 
 from __future__ import annotations
@@ -71,7 +71,8 @@ def meetings(queries: DataFrame, blocks: DataFrame, number: int) -> DataFrame:
     """Every block of ``queries`` beside every block of the same dimension; the columns of ``queries`` get a ``q_``."""
     asked = queries.select(*[F.col(c).alias(c if c == "dim" else f"q_{c}") for c in queries.columns])
     copies = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(number - 1))))
-    return copies.join(blocks, ["dim", "block"])
+    # Spark takes the copies to be no larger than the queries, and packed blocks to be as small as their files
+    return copies.join(blocks.hint("merge"), ["dim", "block"])
 
 
 def longs(data: bytes) -> np.ndarray:
