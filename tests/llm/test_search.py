@@ -186,6 +186,15 @@ def test_negatives_with_ties_and_repeats_equal_sql(spark):
     assert hard_negatives.mine(table, F.col("vec_id") == -1, label()).collect() == []
 
 
+def test_mining_broadcasts_no_anchors(spark, monkeypatch):
+    rng = random.Random(16)
+    rows = [(i, [rng.randrange(-2, 6) / 4 for _ in range(4)], rng.randrange(4)) for i in range(1500)]
+    monkeypatch.setattr(hard_negatives.vb, "BLOCK_BYTES", 2000)
+    got = hard_negatives.mine(spark.createDataFrame(rows, VECTORS), F.pmod(F.col("vec_id"), F.lit(100)) == 0, label())
+    assert differences(got, vector_table(rows), queries.NEGATIVE_SQL) == []
+    assert plan_of(got).count("SortMergeJoin") >= 4 and "Broadcast" not in plan_of(got)
+
+
 def test_slots_answer_every_window():
     rng = np.random.default_rng(14)
     for _ in range(200):

@@ -103,8 +103,9 @@ def mine(rows: DataFrame, is_anchor: Column, label: Column, positives: int = POS
     limits = chosen.filter("positive_score >= 0").groupBy("anchor_id", "key").agg(
         F.sort_array(F.collect_set("positive_score"), asc=False).alias("limits"))
 
-    # second pass: the best negatives per slot
-    limited = anchors.join(limits.withColumnRenamed("anchor_id", "vec_id"), ["vec_id", "key"])
+    # second pass: the best negatives per slot. There are anchors and positives as there are rows, and their files are a small part
+    # of what they take in memory, so no join here may broadcast a side
+    limited = anchors.join(limits.withColumnRenamed("anchor_id", "vec_id").hint("merge"), ["vec_id", "key"])
     asked = limited.withColumn("block", F.pmod(F.xxhash64("vec_id", "key"), F.lit(parts)).cast("int"))
     met = vb.meetings(_packed_with_limits(asked), blocks, number)
     found = met.mapInArrow(vb.per_row(_negatives(negatives, lowest), _NEGATIVE),
@@ -116,7 +117,7 @@ def mine(rows: DataFrame, is_anchor: Column, label: Column, positives: int = POS
     lists = slots.groupBy("anchor_id", "key").agg(F.collect_list(F.struct(
         "slot", (-F.col("negative_score").cast("decimal(20,0)")).alias("order"), "negative_id", "negative_score")).alias("found"))
     both = chosen.filter("positive_score >= 0").select("anchor_id", "key", "n", "positive_id", "positive_score").join(
-        limits, ["anchor_id", "key"]).join(lists, ["anchor_id", "key"])
+        limits.hint("merge"), ["anchor_id", "key"]).join(lists.hint("merge"), ["anchor_id", "key"])
     suffixes = F.aggregate(
         F.reverse(F.sequence(F.lit(0), F.size("limits") - 1)),
         F.expr("cast(array() as array<array<struct<slot:int,order:decimal(21,0),negative_id:bigint,negative_score:bigint>>>)"),
